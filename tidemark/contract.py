@@ -30,6 +30,7 @@ class ColumnSpec:
     dtype: T.DataType
     nullable: bool = True
     max_len: int | None = None  # VARCHAR(n) length limit for strings
+    allowed: tuple[str, ...] | None = None  # closed set of values (op codes)
 
 
 @dataclass(frozen=True)
@@ -132,9 +133,12 @@ def landing_schema(c: ChangeContract, ts_type: T.DataType | None = None) -> T.St
     fields = [T.StructField(c.op_col, T.StringType(), True)]
     for name in c.columns:
         fields.append(T.StructField(name, ts_type if name == c.ts_col else T.StringType(), True))
+    if c.seq_col:
+        fields.append(T.StructField(c.seq_col, T.StringType(), True))
     return T.StructType(fields)
 
 
 def raw_schema(c: ChangeContract, ts_type: T.DataType | None = None) -> T.StructType:
     """Schema of the raw current-state table: landing schema without op."""
-    return T.StructType([f for f in landing_schema(c, ts_type).fields if f.name != c.op_col])
+    drop = {c.op_col, c.seq_col}
+    return T.StructType([f for f in landing_schema(c, ts_type).fields if f.name not in drop])

@@ -222,3 +222,28 @@ def _resolve_strict(joined: DataFrame, c: ChangeContract) -> DataFrame:
         .alias(DELETED_COL)
     )
     return j.select(*out, dele, a)
+
+
+def fold(
+    target: DataFrame,
+    batches: list[DataFrame],
+    c: ChangeContract,
+    mode: str = "strict",
+    reduce: str = "one",
+    **merge_kw,
+) -> DataFrame:
+    """Apply change batches one after another (H1, H3).
+
+    Each batch is reduced to its latest change per key (``reduce``: ``"one"``
+    for D2, ``"ties"`` for D1) and merged; every intermediate state is
+    checkpointed so lineage stays one merge deep however many batches run.
+    In strict mode with tombstones the result does not depend on the order
+    of the batches and equals a single merge of all changes.
+    """
+    from tidemark.operators.latest import latest_one, latest_with_ties
+
+    state = target
+    for b in batches:
+        latest = latest_one(b, c) if reduce == "one" else latest_with_ties(b, c)
+        state = materialize(merge(state, latest, c, mode=mode, **merge_kw).table)
+    return state

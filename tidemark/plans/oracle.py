@@ -7,7 +7,9 @@ merges a three-branch ``UNION ALL``.
 
 from __future__ import annotations
 
-from tidemark.sources.feeds import FEED_SQL, LINEITEM_FEED_SQL, TARGET_SQL
+from tidemark.plans.queries import ADHOC_SQL
+from tidemark.sources.feeds import (FEED_SQL, LINEITEM_FEED_SQL, SNAP_A_SQL, SNAP_B_SQL,
+                                    TARGET_LEFT_OUT_SEGMENT, TARGET_SQL, TARGET_TIME)
 
 ORACLE: dict[str, str] = {}
 
@@ -122,3 +124,112 @@ strict AS (
 SELECT 'compat' AS mode, action, count(*) AS n FROM compat GROUP BY action
 UNION ALL
 SELECT 'strict' AS mode, action, count(*) AS n FROM strict GROUP BY action"""
+
+ORACLE["full_load"] = f"""
+SELECT 'I' AS op, c_mktsegment AS state, c_acctbal AS amount, c_custkey AS record_id,
+       TIMESTAMP '{TARGET_TIME}' AS cdc_ingestion_timestamp
+FROM customer"""
+
+# Folding batches (any order) and the stream both equal one strict merge.
+ORACLE["fold_batches"] = MERGE_STRICT_SQL
+ORACLE["fold_batches_reversed"] = MERGE_STRICT_SQL
+ORACLE["stream_upsert"] = MERGE_STRICT_SQL
+
+_ORDER_PAYLOAD = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+_DIFFERS = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in _ORDER_PAYLOAD)
+_IMAGE = ",\n       ".join(
+    f"CASE WHEN b.o_orderkey IS NULL THEN a.{c} ELSE b.{c} END AS {c}"
+    for c in ("o_orderkey",) + _ORDER_PAYLOAD)
+
+ORACLE["snapshot_diff"] = f"""
+WITH a AS ({SNAP_A_SQL}), b AS ({SNAP_B_SQL})
+SELECT CASE WHEN a.o_orderkey IS NULL THEN 'I' WHEN b.o_orderkey IS NULL THEN 'D' ELSE 'U' END AS op,
+       {_IMAGE}
+FROM a FULL OUTER JOIN b ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR {_DIFFERS}"""
+
+_DIFF_COLS = ", ".join(f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in _ORDER_PAYLOAD)
+_RECON = f"""
+WITH a AS ({SNAP_A_SQL}), b AS ({SNAP_B_SQL}),
+r AS (
+  SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey,
+         CASE WHEN a.o_orderkey IS NULL THEN 'missing'
+              WHEN b.o_orderkey IS NULL THEN 'extra'
+              WHEN {_DIFFERS} THEN 'differ' ELSE 'match' END AS status,
+         CASE WHEN a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL AND ({_DIFFERS})
+              THEN concat_ws(',', {_DIFF_COLS}) END AS diff_cols
+  FROM b FULL OUTER JOIN a ON b.o_orderkey = a.o_orderkey)"""
+
+ORACLE["reconcile"] = _RECON + "\nSELECT * FROM r WHERE status <> 'match'"
+ORACLE["reconcile_summary"] = _RECON + "\nSELECT status, count(*) AS n FROM r GROUP BY status"
+
+_TXT = f"""
+feed AS ({FEED_SQL}),
+txt AS (
+  SELECT CAST(op AS VARCHAR) AS op, CAST(state AS VARCHAR) AS state,
+         CAST(amount AS VARCHAR) AS amount, CAST(record_id AS VARCHAR) AS record_id,
+         CAST(cdc_ingestion_timestamp AS VARCHAR) AS cdc_ingestion_timestamp,
+         CAST(event_id AS VARCHAR) AS event_id
+  FROM feed),
+chk AS (
+  SELECT *, concat_ws(',',
+      CASE WHEN op IS NULL THEN 'op:null' END,
+      CASE WHEN length(op) > 1 THEN 'op:length' END,
+      CASE WHEN op NOT IN ('I','U','D') THEN 'op:value' END,
+      CASE WHEN length(state) > 10 THEN 'state:length' END,
+      CASE WHEN amount IS NOT NULL AND TRY_CAST(amount AS DECIMAL(5,2)) IS NULL THEN 'amount:type' END,
+      CASE WHEN record_id IS NULL THEN 'record_id:null' END,
+      CASE WHEN record_id IS NOT NULL AND TRY_CAST(record_id AS INTEGER) IS NULL THEN 'record_id:type' END,
+      CASE WHEN cdc_ingestion_timestamp IS NULL THEN 'cdc_ingestion_timestamp:null' END,
+      CASE WHEN cdc_ingestion_timestamp IS NOT NULL
+                AND TRY_CAST(cdc_ingestion_timestamp AS TIMESTAMP) IS NULL
+           THEN 'cdc_ingestion_timestamp:type' END,
+      CASE WHEN event_id IS NULL THEN 'event_id:null' END,
+      CASE WHEN event_id IS NOT NULL AND TRY_CAST(event_id AS BIGINT) IS NULL THEN 'event_id:type' END
+  ) AS reasons
+  FROM txt)"""
+
+ORACLE["conform_good"] = f"""
+WITH {_TXT}
+SELECT op, state, TRY_CAST(amount AS DECIMAL(5,2)) AS amount,
+       TRY_CAST(record_id AS INTEGER) AS record_id,
+       TRY_CAST(cdc_ingestion_timestamp AS TIMESTAMP) AS cdc_ingestion_timestamp,
+       TRY_CAST(event_id AS BIGINT) AS event_id
+FROM chk WHERE reasons = ''"""
+
+ORACLE["conform_bad"] = f"""
+WITH {_TXT}
+SELECT op, state, amount, record_id, event_id, reasons FROM chk WHERE reasons <> ''"""
+
+_LEFT_OUT = f"""
+SELECT c_mktsegment AS state, c_acctbal AS amount, c_custkey AS record_id,
+       TIMESTAMP '{TARGET_TIME}' AS cdc_ingestion_timestamp
+FROM customer WHERE c_mktsegment = '{TARGET_LEFT_OUT_SEGMENT}'"""
+
+ORACLE["insert_rows"] = f"{TARGET_SQL}\nUNION ALL{_LEFT_OUT}"
+
+ORACLE["update_where"] = f"""
+SELECT state, CASE WHEN state = 'BUILDING' AND amount < 0 THEN amount + 100 ELSE amount END AS amount,
+       record_id, cdc_ingestion_timestamp
+FROM ({TARGET_SQL})"""
+
+ORACLE["delete_where"] = f"SELECT * FROM ({TARGET_SQL}) WHERE NOT (amount < 0)"
+
+ORACLE["evolve_add_column"] = f"""
+SELECT *, CAST(NULL AS INTEGER) AS nation FROM ({TARGET_SQL})
+UNION ALL
+SELECT c_mktsegment AS state, c_acctbal AS amount, c_custkey AS record_id,
+       TIMESTAMP '{TARGET_TIME}' AS cdc_ingestion_timestamp, c_nationkey AS nation
+FROM customer WHERE c_mktsegment = '{TARGET_LEFT_OUT_SEGMENT}'"""
+
+ORACLE["compact"] = "SELECT * FROM events"
+ORACLE["partition_layout"] = TARGET_SQL
+
+ORACLE["adhoc_sql"] = f"""
+WITH current_state AS ({MERGE_STRICT_SQL})
+{ADHOC_SQL}"""
+
+ORACLE["landing_roundtrip"] = f"""
+SELECT op, state, CAST(amount AS VARCHAR) AS amount, CAST(record_id AS VARCHAR) AS record_id,
+       cdc_ingestion_timestamp, CAST(event_id AS VARCHAR) AS event_id
+FROM ({FEED_SQL})"""

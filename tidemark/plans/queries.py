@@ -10,10 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.diff import reconcile, reconcile_summary, snapshot_diff
 from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
-from tidemark.operators.merge import merge
+from tidemark.operators.merge import fold, merge
+from tidemark.operators.quality import as_text, conform
+from tidemark.session import scratch_path
 from tidemark.sources import feeds
-from tidemark.sources.feeds import FEED_CONTRACT, LINEITEM_CONTRACT
+from tidemark.sources.feeds import FEED_CONTRACT, LINEITEM_CONTRACT, ORDERS_CONTRACT
+from tidemark.sources.landing import full_load, project_contract, read_landing, split_corrupt, write_landing
+from tidemark.sources.table import VersionedTable
+from tidemark.streaming.upsert import start_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,5 +109,184 @@ def merge_action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def registry() -> dict[str, Query]:
-    return dict(QUERIES)
+# ------------------------------------------------------ full load, batches
+@query("full_load")
+def full_load_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + B7: every customer as an insert change row with its capture time."""
+    cu = feeds.table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("state"),
+        F.col("c_acctbal").alias("amount"),
+        F.col("c_custkey").alias("record_id"),
+    )
+    return full_load(cu, FEED_CONTRACT, capture_literal=feeds.TARGET_TIME)
+
+
+def _fold(spark: SparkSession, sf_dir: str, reverse: bool) -> DataFrame:
+    batches = feeds.feed_batches(feeds.event_feed(spark, sf_dir))
+    if reverse:
+        batches = batches[::-1]
+    state = fold(feeds.customer_target(spark, sf_dir), batches, FEED_CONTRACT, mode="strict")
+    return state.where(~F.col("is_deleted")).drop("is_deleted")
+
+
+@query("fold_batches")
+def fold_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 + H3: three time-ordered batches merged one by one equal one merge."""
+    return _fold(spark, sf_dir, reverse=False)
+
+
+@query("fold_batches_reversed")
+def fold_batches_reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late data: the same batches in reverse order give the same table."""
+    return _fold(spark, sf_dir, reverse=True)
+
+
+@query("stream_upsert")
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A2 + H1 + H2: the feed lands as CSV in three drops; a file stream
+    with ``availableNow`` merges each micro-batch into the table whose
+    version 0 is the full load of the target."""
+    root = scratch_path(spark, "stream_upsert")
+    landing = f"{root}/landing"
+    for b in feeds.feed_batches(feeds.event_feed(spark, sf_dir)):
+        write_landing(b, landing, FEED_CONTRACT)
+    table = VersionedTable.for_contract(spark, f"{root}/table", FEED_CONTRACT)
+    table.write(feeds.customer_target(spark, sf_dir).withColumn("is_deleted", F.lit(False)), version=0)
+    changes = read_landing(spark, landing, FEED_CONTRACT, streaming=True, max_files_per_trigger=8)
+    q = start_upsert(changes, table, FEED_CONTRACT, checkpoint=f"{root}/checkpoint",
+                     specs=feeds.feed_typed_specs(), quarantine_path=f"{root}/quarantine")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return table.read(visible=True)
+
+
+# ------------------------------------------------------- snapshots, checks
+@query("snapshot_diff")
+def snapshot_diff_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I/U/D change rows between two snapshots of orders."""
+    a, b = feeds.orders_snapshots(spark, sf_dir)
+    return snapshot_diff(a, b, ORDERS_CONTRACT)
+
+
+@query("reconcile")
+def reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys missing from, extra in or differing in a stale copy."""
+    a, b = feeds.orders_snapshots(spark, sf_dir)
+    return reconcile(b, a, ORDERS_CONTRACT)
+
+
+@query("reconcile_summary")
+def reconcile_orders_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = feeds.orders_snapshots(spark, sf_dir)
+    return reconcile_summary(reconcile(b, a, ORDERS_CONTRACT, only_mismatches=False))
+
+
+def _conform(spark: SparkSession, sf_dir: str):
+    return conform(as_text(feeds.event_feed(spark, sf_dir)), feeds.feed_specs())
+
+
+@query("conform_good")
+def conform_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 + J2: landed text converted to the typed contract."""
+    return _conform(spark, sf_dir)[0]
+
+
+@query("conform_bad")
+def conform_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows set aside, raw text and the failed checks."""
+    bad = _conform(spark, sf_dir)[1]
+    return bad.select("op", "state", "amount", "record_id", "event_id",
+                      F.array_join("reasons", ",").alias("reasons"))
+
+
+# ------------------------------------------------------- table operations
+def _target_table(spark: SparkSession, sf_dir: str, name: str) -> VersionedTable:
+    t = VersionedTable.for_contract(spark, scratch_path(spark, name), FEED_CONTRACT)
+    t.write(feeds.customer_target(spark, sf_dir))
+    return t
+
+
+def _left_out_customers(spark: SparkSession, sf_dir: str, extra: tuple = ()) -> DataFrame:
+    cu = feeds.table(spark, sf_dir, "customer")
+    return cu.where(F.col("c_mktsegment") == feeds.TARGET_LEFT_OUT_SEGMENT).select(
+        F.col("c_mktsegment").alias("state"),
+        F.col("c_acctbal").alias("amount"),
+        F.col("c_custkey").alias("record_id"),
+        F.expr(f"TIMESTAMP_NTZ '{feeds.TARGET_TIME}'").alias("cdc_ingestion_timestamp"),
+        *extra,
+    )
+
+
+@query("insert_rows")
+def insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INSERT of new rows as the next table version."""
+    t = _target_table(spark, sf_dir, "insert_rows")
+    t.insert(_left_out_customers(spark, sf_dir))
+    return t.read()
+
+
+@query("update_where")
+def update_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UPDATE ... SET amount = amount + 100 WHERE state = 'BUILDING' AND amount < 0."""
+    t = _target_table(spark, sf_dir, "update_where")
+    t.update("state = 'BUILDING' AND amount < 0", {"amount": "amount + 100"})
+    return t.read()
+
+
+@query("delete_where")
+def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DELETE ... WHERE amount < 0."""
+    t = _target_table(spark, sf_dir, "delete_where")
+    t.delete("amount < 0")
+    return t.read()
+
+
+@query("evolve_add_column")
+def evolve_add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add a column; old rows read null, new rows carry it."""
+    t = _target_table(spark, sf_dir, "evolve")
+    t.add_columns({"nation": "int"})
+    t.insert(_left_out_customers(spark, sf_dir, (F.col("c_nationkey").alias("nation"),)))
+    return t.read()
+
+
+@query("compact")
+def compact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I2 + A7: many small files rewritten near the target size; rows unchanged."""
+    t = VersionedTable(spark, scratch_path(spark, "compact"), partition_cols=("event_type",))
+    t.write(feeds.table(spark, sf_dir, "events").repartition(32), rebalance=False)
+    t.compact()
+    return t.read()
+
+
+@query("partition_layout")
+def partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + G3: identity(state) + bucket(16, key) layout, read back whole."""
+    t = _target_table(spark, sf_dir, "layout")
+    return t.read()
+
+
+@query("adhoc_sql")
+def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + A8 + I3: SQL over a view of the merged table's current version."""
+    t = _target_table(spark, sf_dir, "adhoc")
+    res = merge(t.read(), latest_one(feeds.event_feed(spark, sf_dir), FEED_CONTRACT), FEED_CONTRACT)
+    t.write(res.table)
+    t.view("current_state")
+    return spark.sql(ADHOC_SQL)
+
+
+ADHOC_SQL = """
+SELECT state, count(*) AS n, min(amount) AS min_amount, max(amount) AS max_amount,
+       max(cdc_ingestion_timestamp) AS last_change
+FROM current_state GROUP BY state"""
+
+
+@query("landing_roundtrip")
+def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + B6: change rows written as unquoted CSV and scanned back by schema."""
+    path = scratch_path(spark, "landing")
+    write_landing(feeds.event_feed(spark, sf_dir), path, FEED_CONTRACT)
+    rows, _ = split_corrupt(read_landing(spark, path, FEED_CONTRACT))
+    return project_contract(rows, FEED_CONTRACT)

@@ -173,3 +173,33 @@ def feed_batches(feed: DataFrame, ts_col: str = "cdc_ingestion_timestamp") -> li
         out.append(feed.where((ts >= lo) & (ts < hi)))
     out.append(feed.where(ts >= cuts[-1]))
     return out
+
+
+# Typed contract of the events feed as landed text.  ``state``
+# is declared VARCHAR(10), so 'SRC-purchase' is too long and is set aside.
+def feed_specs():
+    from pyspark.sql import types as T
+
+    from tidemark.contract import OPS, ColumnSpec
+
+    return (
+        ColumnSpec("op", T.StringType(), False, 1, OPS),
+        ColumnSpec("state", T.StringType(), True, 10),
+        ColumnSpec("amount", T.DecimalType(5, 2)),
+        ColumnSpec("record_id", T.IntegerType(), False),
+        ColumnSpec("cdc_ingestion_timestamp", T.TimestampNTZType(), False),
+        ColumnSpec("event_id", T.LongType(), False),
+    )
+
+
+def feed_typed_specs():
+    """The events feed's own types, to read it back from landing text."""
+    from pyspark.sql import types as T
+
+    from tidemark.contract import ColumnSpec
+
+    return (
+        ColumnSpec("amount", T.DoubleType()),
+        ColumnSpec("record_id", T.LongType()),
+        ColumnSpec("event_id", T.LongType()),
+    )
