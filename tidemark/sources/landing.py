@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.contract import OP_INSERT, ChangeContract, landing_schema
 from tidemark.functions.expr import capture_time
+from tidemark.session import materialize
 
 CORRUPT_COL = "_corrupt_record"
 # Fixed value: text form of the capture time (microsecond precision).
@@ -60,9 +61,16 @@ def read_landing(
     return spark.read.schema(schema).options(**opts).csv(path)
 
 
-def split_corrupt(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_corrupt(landed: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(rows, corrupt)``: parsed rows without the corrupt column, and the raw
-    text of lines that did not parse."""
+    text of lines that did not parse.
+
+    The parsed text is checkpointed once (``checkpoint``) so that both outputs
+    read columnar data instead of parsing the CSV twice; it also lets a query
+    touch only the corrupt column, which Spark refuses on a raw CSV scan.
+    """
+    if checkpoint:
+        landed = materialize(landed)
     ok = landed.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
     bad = landed.where(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
     return ok, bad

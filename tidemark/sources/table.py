@@ -209,16 +209,19 @@ class VersionedTable:
         return name
 
     def register(self, table_name: str, version: int | None = None) -> str:
-        """Point a catalog table at a version (create it or move its location)."""
+        """Point a catalog table at a version."""
         v = self.current_version() if version is None else version
         loc = self.version_path(v)
         if "." in table_name:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table_name.split('.')[0]}")
-        if self.spark.catalog.tableExists(table_name):
-            self.spark.sql(f"ALTER TABLE {table_name} SET LOCATION '{loc}'")
-            self.spark.sql(f"REFRESH TABLE {table_name}")
-        else:
-            self.spark.sql(f"CREATE TABLE {table_name} USING parquet LOCATION '{loc}'")
+        # An external table: dropping it never touches the version's files.
+        # Re-creating it (rather than moving its location) also replaces the
+        # partition list, which a location change would keep pointing at the
+        # old version.
+        self.spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+        self.spark.sql(f"CREATE TABLE {table_name} USING parquet LOCATION '{loc}'")
+        if self.partition_cols or self.bucket_col:
+            self.spark.sql(f"MSCK REPAIR TABLE {table_name}")
         return table_name
 
     # ----------------------------------------------- row-level DML

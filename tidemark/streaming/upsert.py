@@ -22,7 +22,7 @@ from tidemark.contract import ChangeContract, ColumnSpec
 from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
 from tidemark.operators.merge import merge
 from tidemark.operators.quality import conform
-from tidemark.sources.landing import CORRUPT_COL
+from tidemark.sources.landing import CORRUPT_COL, split_corrupt
 from tidemark.sources.table import VersionedTable
 
 
@@ -46,9 +46,9 @@ def upsert_batch_fn(
             raise FileNotFoundError(f"no version below {version} under {table.path}")
         rows, rejects = batch, None
         if CORRUPT_COL in rows.columns:
-            rejects = rows.where(F.col(CORRUPT_COL).isNotNull()).select(
-                F.col(CORRUPT_COL).alias("raw"), F.array(F.lit("corrupt")).alias("reasons"))
-            rows = rows.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+            rows, corrupt = split_corrupt(rows)
+            rejects = corrupt.select(F.col(CORRUPT_COL).alias("raw"),
+                                     F.array(F.lit("corrupt")).alias("reasons"))
         if specs:
             rows, bad = conform(rows, specs)
             bad = bad.select(F.to_json(F.struct(*[F.col(f"`{x}`") for x in bad.columns if x != "reasons"])).alias("raw"),
