@@ -1,6 +1,7 @@
 """Column expressions shared by the operators (all built-in, JVM side)."""
 
 from tidemark.functions.expr import (
+    any_failed,
     bucket,
     capture_time,
     null_safe_row_equal,
@@ -10,6 +11,7 @@ from tidemark.functions.expr import (
 )
 
 __all__ = [
+    "any_failed",
     "bucket",
     "capture_time",
     "null_safe_row_equal",

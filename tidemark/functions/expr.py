@@ -60,11 +60,21 @@ def null_safe_row_equal(left: Iterable[Column], right: Iterable[Column]) -> Colu
     return out
 
 
+def any_failed(*checks: tuple[Column, str]) -> Column:
+    """True when any check fails.  A plain boolean OR, so the filter that
+    splits good from bad rows stays inside whole-stage codegen."""
+    out = F.lit(False)
+    for cond, _ in checks:
+        out = out | F.coalesce(cond, F.lit(False))
+    return out
+
+
 def reasons(*checks: tuple[Column, str]) -> Column:
     """Array of the names of the failed checks (empty when all pass).
 
     A check whose condition is null counts as passed; write conditions so
-    that null means "not failed".
+    that null means "not failed".  Built with a higher-order function, which
+    runs interpreted: evaluate it on the rejected rows only.
     """
     arr = F.array(*[F.when(cond, F.lit(name)) for cond, name in checks])
     return F.filter(arr, lambda x: x.isNotNull())

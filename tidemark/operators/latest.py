@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import ChangeContract
-from tidemark.functions.expr import reasons, valid_op
+from tidemark.functions.expr import any_failed, reasons, valid_op
 
 _MAX_TS = "_tm_max_ts"
 
@@ -53,14 +53,14 @@ def split_valid(changes: DataFrame, c: ChangeContract) -> tuple[DataFrame, DataF
     key_null = F.lit(False)
     for k in c.key_cols:
         key_null = key_null | F.col(k).isNull()
-    why = reasons(
+    checks = (
         (key_null, "null_key"),
         (F.col(c.ts_col).isNull(), "null_time"),
         (~valid_op(c.op_col), "bad_op"),
     )
-    tagged = changes.withColumn("reasons", why)
-    good = tagged.where(F.size("reasons") == 0).drop("reasons")
-    bad = tagged.where(F.size("reasons") > 0)
+    failed = any_failed(*checks)
+    good = changes.where(~failed)
+    bad = changes.where(failed).withColumn("reasons", reasons(*checks))
     return good, bad
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contract import ColumnSpec
-from tidemark.functions.expr import reasons
+from tidemark.functions.expr import any_failed, reasons
 
 REASONS = "reasons"
 
@@ -53,11 +53,10 @@ def conform(df: DataFrame, specs: Iterable[ColumnSpec]) -> tuple[DataFrame, Data
             checks.append((F.length(raw) > s.max_len, f"{s.name}:length"))
         if s.allowed is not None:
             checks.append((raw.isNotNull() & ~raw.isin(*s.allowed), f"{s.name}:value"))
-    tagged = df.withColumn(REASONS, reasons(*checks))
-    ok = F.size(REASONS) == 0
-    good = tagged.where(ok).select(
+    failed = any_failed(*checks)
+    good = df.where(~failed).select(
         *[conv[x].alias(x) if x in conv else _c(x) for x in df.columns])
-    bad = tagged.where(~ok)
+    bad = df.where(failed).withColumn(REASONS, reasons(*checks))
     return good, bad
 
 
