@@ -192,9 +192,15 @@ class VersionedTable:
         # Data columns first, partition columns last: the order a partitioned read returns.
         ordered = [c for c in out.columns if c not in parts] + parts
         out = out.select(*[F.col(f"`{x}`") for x in ordered])
-        with session_conf(self.spark, {
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(self.file_bytes),
-        }):
+        conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(self.file_bytes)}
+        if parts:
+            # Every partition folder goes to exactly one task (skewed ones are
+            # split), so more tasks do not mean more files: let AQE keep the
+            # default parallelism for small data instead of coalescing it into
+            # one task that writes every folder in turn.  At scale the advisory
+            # size still sets the task size.
+            conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "1"
+        with session_conf(self.spark, conf):
             w = out.write.mode("overwrite")
             if parts:
                 w = w.partitionBy(*parts)
