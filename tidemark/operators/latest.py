@@ -6,8 +6,10 @@ by a partial (map-side) aggregate, so no task ever receives a whole hot group.
 * ``latest_with_ties`` (compat, D1) keeps every row at the key's maximum change
   time, takes that maximum *before* filtering op codes, and then keeps only
   I / U / D rows -- the reference job's exact semantics (Q1-Q5).  The maximum
-  is a hash aggregate; rows are then matched back with an equi-join on
-  ``(key, time)``, which spreads a hot key's rows over tasks by time.
+  is a hash aggregate (checkpointed and measured); rows are matched back with
+  an equi-join on ``(key, time)``: a broadcast join when the per-key maxima
+  are under the bound, else a sort-merge join that spreads a hot key's rows
+  over tasks by time.
 * ``latest_one`` (strict, D2) keeps exactly one row per key, ordered by
   ``(time, seq)``, as a ``max_by`` aggregate with a partial stage.
 """
@@ -19,11 +21,18 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import ChangeContract
 from tidemark.functions.expr import any_failed, reasons, valid_op
+from tidemark.plans.sizing import fits_broadcast
+from tidemark.session import materialize
 
 _MAX_TS = "_tm_max_ts"
 
 
-def latest_with_ties(changes: DataFrame, c: ChangeContract) -> DataFrame:
+def latest_with_ties(
+    changes: DataFrame,
+    c: ChangeContract,
+    materialize_max: bool = True,
+    broadcast_limit_bytes: int | None = None,
+) -> DataFrame:
     """D1 + B3-B5 + E1: rows at the per-key max time whose op is I, U or D.
 
     * the max is taken over all rows, so a key whose latest row has a null or
@@ -38,6 +47,14 @@ def latest_with_ties(changes: DataFrame, c: ChangeContract) -> DataFrame:
     mx = changes.groupBy(*[F.col(k).alias(alias[k]) for k in keys]).agg(
         F.max(c.ts_col).alias(_MAX_TS)
     )
+    if materialize_max:
+        # One row per key: computed once, measured, and broadcast only when
+        # its measured size is under the bound -- then the feed is never
+        # shuffled.  Otherwise a sort-merge join on (key, time).
+        mx = materialize(mx)
+        small, _ = fits_broadcast(mx, broadcast_limit_bytes)
+        if small:
+            mx = F.broadcast(mx)
     cond = [changes[k].eqNullSafe(mx[alias[k]]) for k in keys]
     cond.append(changes[c.ts_col] == mx[_MAX_TS])
     joined = changes.join(mx, cond, "inner")
