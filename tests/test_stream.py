@@ -47,3 +47,30 @@ def test_available_now_runs_like_bookmarked_jobs(spark, tmp_dir, target, changes
     before = rows_of(table.read(2))
     upsert_batch_fn(table, C, specs=SPECS)(read_landing(spark, f"{tmp_dir}/replay", C), 1)
     assert table.versions() == [0, 1, 2] and rows_of(table.read(2)) == before
+
+
+def test_job_runs_reference_flow_on_toll_landing(spark, tmp_dir):
+    """The command-line job in compat mode over toll landing lines: corrupt
+    lines go to the quarantine, a replayed run processes nothing new."""
+    from pathlib import Path
+
+    from test_landing import LINES
+
+    from tidemark import job
+
+    landing = Path(tmp_dir.replace("file:", "")) / "landing"
+    landing.mkdir(parents=True)
+    (landing / "a.csv").write_text("\n".join(LINES[:5]) + "\n")
+    table_path = f"{tmp_dir}/raw"
+    assert job.run(spark, str(landing), table_path, mode="compat") == 1
+    (landing / "b.csv").write_text("\n".join(LINES[5:]) + "\n")
+    assert job.run(spark, str(landing), table_path, mode="compat") == 2
+    assert job.run(spark, str(landing), table_path, mode="compat") == 2  # nothing new
+    t = VersionedTable(spark, table_path, partition_cols=("state",), bucket_col="toll_id")
+    assert t.versions() == [1, 2]  # vacuumed to the newest two
+    # Key 1 is inserted by run 1 and deleted by run 2.  Landed in one batch
+    # (test_landing) the same rows end with key 1 present: compat results
+    # depend on how changes are batched.
+    assert sorted(r["record_id"] for r in t.read().collect()) == ["2", "3", "5", "6", "7"]
+    q = spark.read.parquet(f"{table_path}/_quarantine")
+    assert q.count() == 3 and {tuple(r["reasons"]) for r in q.collect()} == {("corrupt",)}

@@ -75,3 +75,12 @@ def test_view_and_catalog_table(spark, tmp_dir):
     t.delete("state = 'B'")
     t.register("tm_db.tolldata_raw")
     assert spark.table("tm_db.tolldata_raw").count() == 10
+
+
+def test_vacuum_keeps_newest_versions(spark, tmp_dir):
+    t = _table(spark, tmp_dir)
+    for i in range(3):
+        t.delete(f"record_id = {i}")
+    assert t.versions() == [0, 1, 2, 3]
+    assert t.vacuum(keep=2) == [0, 1]
+    assert t.versions() == [2, 3] and t.read().count() == 17

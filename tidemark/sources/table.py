@@ -92,6 +92,9 @@ class _FS:
         finally:
             stream.close()
 
+    def delete(self, p: str) -> bool:
+        return self.fs.delete(self.path(p), True)
+
     def count_files(self, p: str, suffix: str = ".parquet") -> int:
         it = self.fs.listFiles(self.path(p), True)
         n = 0
@@ -208,6 +211,27 @@ class VersionedTable:
         self._fs.write_text(f"{vp}/_schema.json", out.schema.json())
         return version
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` published versions (and any
+        unpublished folder older than them).  Returns the deleted versions.
+
+        A stream keeps at least 2: replaying the last batch reads the version
+        before it.
+        """
+        if keep < 1:
+            raise ValueError("keep at least one version")
+        published = self.versions()
+        if len(published) <= keep:
+            return []
+        oldest_kept = published[-keep]
+        gone = []
+        for p in self._fs.glob(f"{self.path}/v=*"):
+            m = re.match(r".*/v=(\d+)$", p)
+            if m and int(m.group(1)) < oldest_kept:
+                self._fs.delete(p)
+                gone.append(int(m.group(1)))
+        return sorted(gone)
+
     # ---------------------------------------------------------------- views
     def view(self, name: str, version: int | None = None, visible: bool = True) -> str:
         """Register the (visible) current version as a temp view."""

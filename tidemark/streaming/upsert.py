@@ -33,8 +33,12 @@ def upsert_batch_fn(
     base_version: int = 0,
     specs: Iterable[ColumnSpec] | None = None,
     quarantine_path: str | None = None,
+    keep_versions: int | None = None,
 ):
-    """The ``foreachBatch`` function: conform, reduce, merge, write a version."""
+    """The ``foreachBatch`` function: conform, reduce, merge, write a version,
+    then (``keep_versions``) drop versions older than the newest ones."""
+    if keep_versions is not None and keep_versions < 2:
+        raise ValueError("a stream must keep at least 2 versions (a replay reads the previous one)")
     specs = list(specs) if specs else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -67,6 +71,8 @@ def upsert_batch_fn(
         table.write(res.table, version=version)
         if quarantine_path and rejects is not None:
             rejects.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        if keep_versions:
+            table.vacuum(keep_versions)
 
     return run
 
@@ -82,10 +88,11 @@ def start_upsert(
     quarantine_path: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    keep_versions: int | None = None,
 ) -> StreamingQuery:
     """Start the upsert stream over a streaming DataFrame of change rows."""
     w = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        upsert_batch_fn(table, c, mode, base_version, specs, quarantine_path))
+        upsert_batch_fn(table, c, mode, base_version, specs, quarantine_path, keep_versions))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
