@@ -110,3 +110,14 @@ def select_tables(spark: SparkSession, pattern: str, db: str | None = None) -> l
         db, pattern = pattern.split(".", 1)
     spark_pattern = pattern.replace("%", "*")
     return sorted(t.name for t in spark.catalog.listTables(db, spark_pattern))
+
+
+def create_landing_table(spark: SparkSession, name: str, path: str, c: ChangeContract,
+                         ts_type: T.DataType | None = None, ts_format: str = TS_FORMAT) -> str:
+    """An external catalog table over the landing folder, with the
+    declared positional schema and the unquoted CSV options."""
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    schema = landing_schema(c, ts_type or T.TimestampNTZType())
+    spark.catalog.createTable(name, path=path, source="csv", schema=schema, **_csv_options(ts_format))
+    return name
