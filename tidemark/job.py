@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--conform", action="store_true", help="convert text to the typed contract")
     ap.add_argument("--keep-versions", type=int, default=2)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("tidemark-upsert").getOrCreate()
+    spark = SparkSession.builder.appName("tidemark-upsert").config("spark.ui.enabled", "false").getOrCreate()
     v = run(spark, a.landing, a.table, a.mode, a.contract, a.full_load, a.conform, a.keep_versions)
     print(f"current version {v}")
 
