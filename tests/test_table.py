@@ -84,3 +84,42 @@ def test_vacuum_keeps_newest_versions(spark, tmp_dir):
     assert t.versions() == [0, 1, 2, 3]
     assert t.vacuum(keep=2) == [0, 1]
     assert t.versions() == [2, 3] and t.read().count() == 17
+
+
+def _plan(df):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_clustered_merge_shuffles_only_the_batch(spark, tmp_dir):
+    from conftest import C, rows_of
+
+    from tidemark.operators.merge import merge
+
+    t = VersionedTable(spark, f"{tmp_dir}/k", cluster_keys=("record_id",), cluster_buckets=8)
+    base = spark.range(200).select(F.lit("A").alias("state"), F.col("id").cast("string").alias("val"),
+                                   F.col("id").alias("record_id"),
+                                   F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("ts"))
+    t.write(base)
+    assert t.files() == 8  # one file per bucket
+    batch = spark.range(150, 260).select(F.lit("U").alias("op"), F.lit("B").alias("state"),
+                                         F.lit("new").alias("val"), F.col("id").alias("record_id"),
+                                         F.expr("TIMESTAMP_NTZ '2024-01-02 00:00:00'").alias("ts"))
+    res = merge(t.read(), batch, C, mode="strict", strategy="shuffle")
+    plan = _plan(res.table)
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    t.write(res.table, clustered_input=True)
+    assert t.files() == 8  # merged rows went back bucket by bucket
+    got = rows_of(t.read(visible=True), "record_id", "val")
+    assert len(got) == 260 and got[150] == (150, "new") and got[0] == (0, "0")
+    # a new session's catalog: the version's table is re-registered from its schema
+    spark.sql(f"DROP TABLE {t.catalog_name(1)}")
+    again = VersionedTable(spark, f"{tmp_dir}/k", cluster_keys=("record_id",), cluster_buckets=8)
+    assert again.read(visible=True).count() == 260
+    plan = _plan(merge(again.read(), batch, C, mode="strict", strategy="shuffle").table)
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1

@@ -95,6 +95,7 @@ WITH feed AS ({FEED_SQL}), target AS ({TARGET_SQL}), {_BATCH_ONE}
 ORACLE["merge_compat"] = MERGE_COMPAT_SQL
 ORACLE["merge_strict"] = MERGE_STRICT_SQL
 ORACLE["merge_strict_shuffle"] = MERGE_STRICT_SQL
+ORACLE["merge_clustered"] = MERGE_STRICT_SQL
 
 ORACLE["merge_action_counts"] = f"""
 WITH feed AS ({FEED_SQL}), target AS ({TARGET_SQL}),

@@ -21,6 +21,7 @@ rewrites only touched files.  This module does not try to be a storage engine.
 from __future__ import annotations
 
 import contextlib
+import hashlib
 import json
 import re
 
@@ -109,6 +110,14 @@ class VersionedTable:
 
     ``partition_cols`` are identity partitions; ``bucket_col`` adds a
     ``<col>_bucket`` partition of ``pmod(hash(col), num_buckets)`` (A6, G3).
+
+    ``cluster_keys`` + ``cluster_buckets`` store each version as a Spark
+    bucketed table on the merge key (an external catalog table over the
+    version folder).  A merge whose target is read from such a version joins
+    without shuffling the target -- only the batch is hash-partitioned into
+    the same buckets -- and the merged rows are written back bucket by bucket
+    without a shuffle either.  Choose ``cluster_buckets`` of about the table
+    size / 512 MiB and at least ``spark.sql.shuffle.partitions``.
     """
 
     def __init__(
@@ -119,17 +128,26 @@ class VersionedTable:
         bucket_col: str | None = None,
         num_buckets: int = 16,
         file_bytes: int = TARGET_FILE_BYTES,
+        cluster_keys: tuple[str, ...] = (),
+        cluster_buckets: int = 0,
     ):
+        if bool(cluster_keys) != bool(cluster_buckets):
+            raise ValueError("cluster_keys and cluster_buckets go together")
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_cols = tuple(partition_cols)
         self.bucket_col = bucket_col
         self.num_buckets = num_buckets
         self.file_bytes = file_bytes
+        self.cluster_keys = tuple(cluster_keys)
+        self.cluster_buckets = cluster_buckets
         self._fs = _FS(spark, self.path)
 
     @classmethod
     def for_contract(cls, spark: SparkSession, path: str, c: ChangeContract, **kw) -> "VersionedTable":
+        """The contract's layout; ``cluster_buckets=N`` clusters by the key."""
+        if kw.get("cluster_buckets") and not kw.get("cluster_keys"):
+            kw["cluster_keys"] = c.key_cols
         return cls(spark, path, c.partition_cols, c.bucket_col, c.num_buckets, **kw)
 
     # ------------------------------------------------------------ versions
@@ -157,6 +175,37 @@ class VersionedTable:
     def bucket_name(self) -> str | None:
         return f"{self.bucket_col}{BUCKET_SUFFIX}" if self.bucket_col else None
 
+    @property
+    def clustered(self) -> bool:
+        return self.cluster_buckets > 0
+
+    def catalog_name(self, n: int) -> str:
+        """Catalog table of version ``n`` of a clustered table."""
+        tag = hashlib.sha1(self.path.encode()).hexdigest()[:12]
+        return f"tidemark_{tag}_v{n}"
+
+    def _parts(self) -> list[str]:
+        return [*self.partition_cols, *([self.bucket_name] if self.bucket_col else [])]
+
+    def _register_version(self, n: int, schema: T.StructType) -> str:
+        """(Re)create the bucketed catalog table of a version from its saved
+        schema, e.g. in a new session with an in-memory catalog."""
+        name = self.catalog_name(n)
+        if self.spark.catalog.tableExists(name):
+            return name
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = self._parts()
+        ddl = f"CREATE TABLE {name} ({cols}) USING parquet"
+        if parts:
+            ddl += " PARTITIONED BY (" + ", ".join(f"`{x}`" for x in parts) + ")"
+        keys = ", ".join(f"`{k}`" for k in self.cluster_keys)
+        ddl += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.cluster_buckets} BUCKETS"
+        ddl += f" LOCATION '{self.version_path(n)}'"
+        self.spark.sql(ddl)
+        if parts:
+            self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        return name
+
     # ----------------------------------------------------------- read/write
     def read(self, version: int | None = None, visible: bool = False) -> DataFrame:
         """A5: the rows of a version (the current one by default).  The layout
@@ -166,7 +215,10 @@ class VersionedTable:
             raise FileNotFoundError(f"no published version under {self.path}")
         vp = self.version_path(v)
         schema = T.StructType.fromJson(json.loads(self._fs.read_text(f"{vp}/_schema.json")))
-        df = self.spark.read.schema(schema).parquet(vp)
+        if self.clustered:
+            df = self.spark.table(self._register_version(v, schema))
+        else:
+            df = self.spark.read.schema(schema).parquet(vp)
         if self.bucket_name and self.bucket_name in df.columns:
             df = df.drop(self.bucket_name)
         cols = [f.name for f in schema.fields if f.name != self.bucket_name]
@@ -175,12 +227,19 @@ class VersionedTable:
             df = df.where(~F.col(DELETED_COL)).drop(DELETED_COL)
         return df
 
-    def write(self, df: DataFrame, version: int | None = None, rebalance: bool = True) -> int:
+    def write(self, df: DataFrame, version: int | None = None, rebalance: bool = True,
+              clustered_input: bool = False) -> int:
         """Write ``df`` as version ``n`` (next by default) and return ``n``.
 
         The rows are rebalanced on the partition columns so each partition
         folder gets files near the target size; AQE splits a hot partition
         over several tasks instead of sending it to one (A6, A7).
+
+        For a clustered table, ``clustered_input`` says ``df`` already comes
+        bucket by bucket (a merge whose target was read from this table):
+        it is written without a shuffle.  Otherwise it is hash-partitioned
+        into the buckets first.  Either way the data is correct; the flag only
+        decides the number of files.
         """
         if version is None:
             cur = self.current_version()
@@ -189,8 +248,11 @@ class VersionedTable:
         out = df
         if self.bucket_col:
             out = out.withColumn(self.bucket_name, bucket(self.bucket_col, self.num_buckets))
-        parts = [*self.partition_cols, *([self.bucket_name] if self.bucket_col else [])]
-        if rebalance:
+        parts = self._parts()
+        if self.clustered:
+            if not clustered_input:
+                out = out.repartition(self.cluster_buckets, *[F.col(f"`{k}`") for k in self.cluster_keys])
+        elif rebalance:
             out = out.hint("rebalance", *parts) if parts else out.hint("rebalance")
         # Data columns first, partition columns last: the order a partitioned read returns.
         ordered = [c for c in out.columns if c not in parts] + parts
@@ -203,11 +265,22 @@ class VersionedTable:
             # one task that writes every folder in turn.  At scale the advisory
             # size still sets the task size.
             conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "1"
+        if self.clustered:
+            # keep the target's bucketed scan (one task per bucket) even where
+            # no join asks for it, so merged rows stay bucket-aligned
+            conf["spark.sql.sources.bucketing.autoBucketedScan.enabled"] = "false"
         with session_conf(self.spark, conf):
             w = out.write.mode("overwrite")
             if parts:
                 w = w.partitionBy(*parts)
-            w.parquet(vp)
+            if self.clustered:
+                name = self.catalog_name(version)
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: files stay
+                keys = list(self.cluster_keys)
+                w.bucketBy(self.cluster_buckets, keys[0], *keys[1:]).sortBy(keys[0], *keys[1:]) \
+                    .option("path", vp).saveAsTable(name, format="parquet")
+            else:
+                w.parquet(vp)
         self._fs.write_text(f"{vp}/_schema.json", out.schema.json())
         return version
 
@@ -228,6 +301,8 @@ class VersionedTable:
         for p in self._fs.glob(f"{self.path}/v=*"):
             m = re.match(r".*/v=(\d+)$", p)
             if m and int(m.group(1)) < oldest_kept:
+                if self.clustered:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.catalog_name(int(m.group(1)))}")
                 self._fs.delete(p)
                 gone.append(int(m.group(1)))
         return sorted(gone)
@@ -257,7 +332,7 @@ class VersionedTable:
     # ----------------------------------------------- row-level DML
     def insert(self, rows: DataFrame) -> int:
         """Append rows as the next version (columns matched by name)."""
-        return self.write(self.read().unionByName(rows, allowMissingColumns=True))
+        return self.write(self.read().unionByName(rows, allowMissingColumns=True), clustered_input=True)
 
     def update(self, where: Column | str, assignments: dict[str, Column | str]) -> int:
         """``UPDATE t SET col = expr WHERE cond`` as a conditional projection."""
@@ -272,13 +347,13 @@ class VersionedTable:
                 cols.append(F.when(cond, v).otherwise(F.col(f"`{name}`")).cast(cur.schema[name].dataType).alias(name))
             else:
                 cols.append(F.col(f"`{name}`"))
-        return self.write(cur.select(*cols))
+        return self.write(cur.select(*cols), clustered_input=True)
 
     def delete(self, where: Column | str) -> int:
         """``DELETE FROM t WHERE cond``: rows where the condition is true go;
         a null condition keeps the row, as in SQL."""
         cond = F.expr(where) if isinstance(where, str) else where
-        return self.write(self.read().where(~F.coalesce(cond, F.lit(False))))
+        return self.write(self.read().where(~F.coalesce(cond, F.lit(False))), clustered_input=True)
 
     # ------------------------------------------------ maintenance
     def add_columns(self, columns: dict[str, T.DataType | str]) -> int:
@@ -286,7 +361,7 @@ class VersionedTable:
         cur = self.read()
         for name, dtype in columns.items():
             cur = cur.withColumn(name, F.lit(None).cast(dtype))
-        return self.write(cur)
+        return self.write(cur, clustered_input=True)
 
     def compact(self) -> tuple[int, int, int]:
         """Rewrite the current version into files near the target size.

@@ -68,7 +68,7 @@ def upsert_batch_fn(
             latest = latest_with_ties(rows, c)
         prev = table.read(prior[-1])
         res = merge(prev, latest, c, mode=mode)
-        table.write(res.table, version=version)
+        table.write(res.table, version=version, clustered_input=True)
         if quarantine_path and rejects is not None:
             rejects.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
         if keep_versions:
