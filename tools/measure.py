@@ -95,6 +95,18 @@ def main():
             res[f"merge_{tag}_{strategy}"] = timed(go)
             res[f"merge_{tag}_{strategy}_plan"] = chosen[-1]
 
+    # the same full-batch merge into a target bucketed by the key
+    ct = VersionedTable(spark, scratch_path(spark, "measure_clustered"),
+                        cluster_keys=("o_orderkey",), cluster_buckets=16)
+    ct.write(target())
+
+    def go_clustered():
+        m = merge(ct.read(), orders_batch(spark, sf_dir, False), ORDERS_TARGET, mode="strict",
+                  strategy="shuffle")
+        m.table.write.format("noop").mode("overwrite").save()
+
+    res["merge_full_batch_clustered_target"] = timed(go_clustered)
+
     a_b = lambda: snapshot_diff(*feeds.orders_snapshots(spark, sf_dir), ORDERS_CONTRACT)
     res["snapshot_diff_orders"] = timed(run(a_b))
 
