@@ -107,3 +107,18 @@ def test_landing_catalog_table(spark, tmp_dir):
     # the short first half of the split row has no key; the bad-time row keeps
     # its key and reads a null time in a table without the corrupt column
     assert {r["op"]: r["n"] for r in got} == {"I": 3, "U": 4, "D": 1}
+
+
+def test_to_change_time(spark):
+    import datetime as dt
+
+    from tidemark.functions.expr import to_change_time
+
+    df = spark.createDataFrame([("2024-01-02 03:04:05.123456", "02/01/2024 03:04"), ("nope", "bad")],
+                               "iso string, custom string")
+    got = df.select(to_change_time("iso").alias("a"),
+                    to_change_time("custom", "dd/MM/yyyy HH:mm").alias("b")).collect()
+    assert got[0]["a"] == dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
+    assert got[0]["b"] == dt.datetime(2024, 1, 2, 3, 4)
+    assert got[1]["a"] is None and got[1]["b"] is None
+    assert df.select(to_change_time("iso")).schema[0].dataType.typeName() == "timestamp_ntz"

@@ -4,7 +4,6 @@ from tidemark.functions.expr import (
     any_failed,
     bucket,
     capture_time,
-    null_safe_row_equal,
     reasons,
     to_change_time,
     valid_op,
@@ -14,7 +13,6 @@ __all__ = [
     "any_failed",
     "bucket",
     "capture_time",
-    "null_safe_row_equal",
     "reasons",
     "to_change_time",
     "valid_op",

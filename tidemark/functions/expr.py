@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,17 +15,19 @@ def valid_op(op_col: str = "op") -> Column:
     return F.coalesce(F.col(op_col).isin(*OPS), F.lit(False))
 
 
-def to_change_time(c: Column | str, fmt: str | None = None) -> Column:
+def to_change_time(c: Column | str, fmt: str | None = None, ntz: bool = True) -> Column:
     """G1: change time from text or timestamp.
 
-    Text is parsed with ``try_to_timestamp`` so that, under ANSI mode, a bad
-    value becomes null (and can be quarantined) instead of failing the job.
-    A column that already is a timestamp passes through unchanged.
+    Text is parsed with ``try_cast`` (ISO text) or ``try_to_timestamp`` (a
+    pattern) so that, under ANSI mode, a bad value becomes null (and can be
+    quarantined) instead of failing the job.  Times carry no zone (NTZ) by
+    default, as the capture side writes them.
     """
     col = F.col(c) if isinstance(c, str) else c
     if fmt is None:
-        return F.try_to_timestamp(col)
-    return F.try_to_timestamp(col, F.lit(fmt))
+        return col.try_cast(T.TimestampNTZType() if ntz else T.TimestampType())
+    out = F.try_to_timestamp(col, F.lit(fmt))
+    return out.cast(T.TimestampNTZType()) if ntz else out
 
 
 def capture_time(literal: str | None = None, ntz: bool = True) -> Column:
@@ -52,14 +52,6 @@ def bucket(col: str, num_buckets: int) -> Column:
     return F.pmod(F.hash(F.col(col)), F.lit(num_buckets)).cast("int")
 
 
-def null_safe_row_equal(left: Iterable[Column], right: Iterable[Column]) -> Column:
-    """True when every pair is equal, treating two nulls as equal."""
-    out = F.lit(True)
-    for a, b in zip(left, right, strict=True):
-        out = out & a.eqNullSafe(b)
-    return out
-
-
 def any_failed(*checks: tuple[Column, str]) -> Column:
     """True when any check fails.  A plain boolean OR, so the filter that
     splits good from bad rows stays inside whole-stage codegen."""
