@@ -152,3 +152,20 @@ def test_merge_into_catalog_reaches_table_check(spark):
     for mode in ("strict", "compat"):
         with pytest.raises(Exception, match="MERGE"):
             merge_into_catalog("tm_merge_target", b, C, mode=mode)
+
+
+@pytest.mark.parametrize("strategy", ["auto", "shuffle"])
+def test_merge_carries_evolved_columns(spark, target, changes, strategy):
+    from pyspark.sql import functions as F
+
+    tgt = target(TARGET).withColumn("nation", F.col("record_id").cast("int") * 10)
+    batch = latest_one(changes([("U", "B", "u1", 1, 11, 1), ("I", "A", "i8", 8, 11, 2)]), C)
+    strict = merge(tgt, batch, C, strategy=strategy).current()
+    assert strict.columns == ["state", "val", "record_id", "ts", "nation"]
+    assert rows_of(strict, "record_id", "nation") == [(1, 10), (2, 20), (3, 30), (8, None)]
+    with_col = batch.withColumn("nation", F.lit(7))
+    strict = merge(tgt, with_col, C, strategy=strategy).current()
+    assert rows_of(strict, "record_id", "nation") == [(1, 7), (2, 20), (3, 30), (8, 7)]
+    compat = merge(tgt, with_col, C, mode="compat", strategy=strategy).current()
+    # compat: UPDATE SET lists only contract columns; INSERT takes the batch's
+    assert rows_of(compat, "record_id", "nation") == [(1, 10), (2, 20), (3, 30), (8, 7)]

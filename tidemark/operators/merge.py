@@ -103,10 +103,17 @@ def merge(
     if strategy not in ("auto", "shuffle"):
         raise ValueError(f"strategy must be auto or shuffle, not {strategy!r}")
     cols, keys = list(c.columns), list(c.key_cols)
+    # Columns outside the contract (added by schema evolution) ride along.
+    skip = {c.op_col, c.seq_col, DELETED_COL, *cols}
+    t_extra = [x for x in target.columns if x not in skip]
+    s_extra = [x for x in batch.columns if x not in skip]
+    types = {f.name: f.dataType for f in target.schema.fields} | {
+        f.name: f.dataType for f in batch.schema.fields if f.name not in t_extra}
+    extra = _Extra(t_extra + [x for x in s_extra if x not in t_extra], set(t_extra), set(s_extra), types)
 
     s = batch.select(
         _c(c.op_col).alias("_s_op"),
-        *[_c(x).alias(_s(x)) for x in cols],
+        *[_c(x).alias(_s(x)) for x in cols + s_extra],
         F.lit(True).alias("_s_hit"),
     )
     if materialize_batch:
@@ -116,7 +123,7 @@ def merge(
 
     deleted = _c(DELETED_COL) if DELETED_COL in target.columns else F.lit(False)
     t = target.select(
-        *[_c(x).alias(_t(x)) for x in cols],
+        *[_c(x).alias(_t(x)) for x in cols + t_extra],
         deleted.alias("_t_del"),
         F.lit(True).alias("_t_hit"),
     )
@@ -134,18 +141,35 @@ def merge(
     else:
         joined = t.join(s, on, "full_outer")
 
-    resolved = (_resolve_compat if mode == "compat" else _resolve_strict)(joined, c)
+    resolved = (_resolve_compat if mode == "compat" else _resolve_strict)(joined, c, extra)
+    out_cols = cols + extra.names
     if mode == "compat":
-        table = resolved.where(_c(ACTION) != DELETE).select(*cols)
+        table = resolved.where(_c(ACTION) != DELETE).select(*out_cols)
     else:
         table = resolved
         if not keep_tombstones:
             table = table.where(~_c(DELETED_COL))
-        table = table.select(*cols, DELETED_COL)
+        table = table.select(*out_cols, DELETED_COL)
     actions = resolved.select(*cols, ACTION)
     return MergeResult(table, actions, "broadcast" if use_broadcast else "shuffle", size, mode)
 
 
+@dataclass
+class _Extra:
+    """Non-contract columns: their order, which side has each, their types."""
+
+    names: list
+    in_target: set
+    in_batch: set
+    types: dict
+
+    def t(self, x: str) -> Column:
+        return _c(_t(x)) if x in self.in_target else F.lit(None).cast(self.types[x])
+
+    def s(self, x: str) -> Column:
+        return _c(_s(x)) if x in self.in_batch else F.lit(None).cast(self.types[x])
+
+
 def _key_match(keys: list[str]) -> Column:
     cond = None
     for k in keys:
@@ -178,7 +202,7 @@ def _hits(joined: DataFrame):
     return F.coalesce(_c("_t_hit"), F.lit(False)), F.coalesce(_c("_s_hit"), F.lit(False))
 
 
-def _resolve_compat(joined: DataFrame, c: ChangeContract) -> DataFrame:
+def _resolve_compat(joined: DataFrame, c: ChangeContract, extra: _Extra) -> DataFrame:
     t_hit, s_hit = _hits(joined)
     action = (
         F.when(t_hit & s_hit & (_c("_s_op") == OP_DELETE), F.lit(DELETE))
@@ -194,10 +218,13 @@ def _resolve_compat(joined: DataFrame, c: ChangeContract) -> DataFrame:
         out.append(
             F.when(a == KEEP, _c(_t(x))).when(a == UPDATE, on_update).otherwise(_c(_s(x))).alias(x)
         )
+    # a column outside the UPDATE SET list keeps the target's value
+    for x in extra.names:
+        out.append(F.when(a.isin(KEEP, UPDATE), extra.t(x)).otherwise(extra.s(x)).alias(x))
     return j.select(*out, a)
 
 
-def _resolve_strict(joined: DataFrame, c: ChangeContract) -> DataFrame:
+def _resolve_strict(joined: DataFrame, c: ChangeContract, extra: _Extra) -> DataFrame:
     t_hit, s_hit = _hits(joined)
     newer = F.coalesce(_c(_s(c.ts_col)) >= _c(_t(c.ts_col)), F.lit(True))
     is_d = F.coalesce(_c("_s_op") == OP_DELETE, F.lit(False))
@@ -215,6 +242,10 @@ def _resolve_strict(joined: DataFrame, c: ChangeContract) -> DataFrame:
     a = _c(ACTION)
     from_target = a.isin(KEEP, IGNORE)
     out = [F.when(from_target, _c(_t(x))).otherwise(_c(_s(x))).alias(x) for x in c.columns]
+    # an applied change sets the columns it carries; others keep the target's
+    for x in extra.names:
+        applied = extra.s(x) if x in extra.in_batch else extra.t(x)
+        out.append(F.when(from_target, extra.t(x)).otherwise(applied).alias(x))
     dele = (
         F.when(from_target, t_del)
         .when(a.isin(DELETE, ABSENT_DELETE), F.lit(True))
