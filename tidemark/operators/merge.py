@@ -135,7 +135,9 @@ def merge(
     if use_broadcast:
         left = t.join(F.broadcast(s), on, "left")
         s_keys = s.select(*[_c(_s(k)) for k in keys])
-        matched = t.select(*[_c(_t(k)) for k in keys]).join(F.broadcast(s_keys), on, "left_semi")
+        # distinct: target keys can repeat (compat inserts unmatched ties), so
+        # only deduplicated they are bounded by the measured batch
+        matched = t.select(*[_c(_t(k)) for k in keys]).join(F.broadcast(s_keys), on, "left_semi").distinct()
         inserts = s.join(F.broadcast(matched), on, "left_anti")
         joined = left.unionByName(inserts, allowMissingColumns=True)
     else:
