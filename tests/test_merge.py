@@ -169,3 +169,26 @@ def test_merge_carries_evolved_columns(spark, target, changes, strategy):
     compat = merge(tgt, with_col, C, mode="compat", strategy=strategy).current()
     # compat: UPDATE SET lists only contract columns; INSERT takes the batch's
     assert rows_of(compat, "record_id", "nation") == [(1, 10), (2, 20), (3, 30), (8, 7)]
+
+
+@pytest.mark.parametrize("strategy", ["auto", "shuffle"])
+def test_composite_key(spark, strategy):
+    from tidemark.contract import ChangeContract
+    from tidemark.operators.diff import snapshot_diff
+
+    c = ChangeContract(columns=("a", "b", "v", "ts"), key_cols=("a", "b"), ts_col="ts", seq_col="seq")
+    tgt = spark.createDataFrame([(1, "x", "t1", 1), (1, "y", "t2", 1), (2, "x", "t3", 1)],
+                                "a int, b string, v string, ts int")
+    ch = spark.createDataFrame(
+        [("U", 1, "x", "u", 2, 1), ("D", 1, "y", None, 2, 2), ("I", 2, "y", "n", 2, 3),
+         ("U", 1, "x", "older", 0, 4), ("U", None, "x", "nk", 5, 5), ("U", None, "x", "nk2", 5, 6)],
+        "op string, a int, b string, v string, ts int, seq int")
+    strict = merge(tgt, latest_one(ch, c), c, strategy=strategy).current()
+    assert rows_of(strict, "a", "b", "v") == [(1, "x", "u"), (2, "x", "t3"), (2, "y", "n")]
+    ties = latest_with_ties(ch, c)
+    assert rows_of(ties.where("a IS NULL"), "v") == [("nk",), ("nk2",)]  # null part: one group, tie kept
+    compat = merge(tgt, ties, c, mode="compat", strategy=strategy).current()
+    assert rows_of(compat, "a", "b", "v") == [(1, "x", "u"), (2, "x", "t3"), (2, "y", "n"),
+                                              (None, "x", "nk"), (None, "x", "nk2")]
+    after = spark.createDataFrame([(1, "x", "t1", 1), (2, "x", "t3b", 1)], "a int, b string, v string, ts int")
+    assert rows_of(snapshot_diff(tgt, after, c), "op", "a", "b") == [("D", 1, "y"), ("U", 2, "x")]
