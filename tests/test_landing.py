@@ -122,3 +122,12 @@ def test_to_change_time(spark):
     assert got[0]["b"] == dt.datetime(2024, 1, 2, 3, 4)
     assert got[1]["a"] is None and got[1]["b"] is None
     assert df.select(to_change_time("iso")).schema[0].dataType.typeName() == "timestamp_ntz"
+
+
+def test_comma_inside_value_is_quarantined(spark, tmp_dir):
+    """Unquoted landing text: a comma inside a value makes the line one field
+    too long; it is set aside whole instead of shifting columns (Q13)."""
+    line = f"I,Alabama,Bay Road, Express,4,County Roads LLC,AL 1,AL 2,8.53,Rural,Pass,None,Fixed,3.50,3.50,2,{T0}"
+    rows, corrupt = split_corrupt(read_landing(spark, _land(spark, tmp_dir, [LINES[0], line]), TOLL_CONTRACT))
+    assert [r["record_id"] for r in rows.collect()] == ["1"]
+    assert [r[CORRUPT_COL] for r in corrupt.collect()] == [line]
