@@ -36,3 +36,26 @@ def test_reconcile(spark):
         (1, "missing", None), (2, "differ", "b"), (4, "extra", None)]
     summary = dict(rows_of(reconcile_summary(reconcile(src, tgt, C, only_mismatches=False)), "status", "n"))
     assert summary == {"missing": 1, "differ": 1, "extra": 1, "match": 1}
+
+
+def test_diff_of_clustered_snapshots_needs_no_shuffle(spark, tmp_dir):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.table import VersionedTable
+
+    def snap(name, shift):
+        t = VersionedTable(spark, f"{tmp_dir}/{name}", cluster_keys=("k",), cluster_buckets=8)
+        t.write(spark.range(shift, shift + 100).select(
+            F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("a"),
+            (F.col("id") * 1.5).alias("b"), F.lit(1).cast("long").alias("ts")))
+        return t.read()
+
+    d = snapshot_diff(snap("a", 0), snap("b", 50), C)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        d.explain()
+    assert "Exchange" not in buf.getvalue() and buf.getvalue().count("Bucketed: true") == 2
+    assert rows_of(d.groupBy("op").count(), "op", "count") == [("D", 50), ("I", 50)]

@@ -26,10 +26,10 @@ CONTRACTS = {"toll": (TOLL_CONTRACT, TOLL_SPECS)}
 
 def run(spark: SparkSession, landing: str, table_path: str, mode: str = "strict",
         contract: str = "toll", full_load: str | None = None, conform: bool = False,
-        keep_versions: int = 2) -> int:
+        keep_versions: int = 2, cluster_buckets: int = 0) -> int:
     """Run the job once; returns the table's current version."""
     c, specs = CONTRACTS[contract]
-    table = VersionedTable.for_contract(spark, table_path, c)
+    table = VersionedTable.for_contract(spark, table_path, c, cluster_buckets=cluster_buckets)
     if table.current_version() is None:
         if full_load:  # H2: the full load becomes version 0
             base = spark.read.parquet(full_load)
@@ -58,9 +58,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--full-load")
     ap.add_argument("--conform", action="store_true", help="convert text to the typed contract")
     ap.add_argument("--keep-versions", type=int, default=2)
+    ap.add_argument("--cluster-buckets", type=int, default=0,
+                    help="store versions bucketed by the key (co-located merges)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tidemark-upsert").config("spark.ui.enabled", "false").getOrCreate()
-    v = run(spark, a.landing, a.table, a.mode, a.contract, a.full_load, a.conform, a.keep_versions)
+    v = run(spark, a.landing, a.table, a.mode, a.contract, a.full_load, a.conform, a.keep_versions,
+            a.cluster_buckets)
     print(f"current version {v}")
 
 
