@@ -52,7 +52,7 @@ class MergeResult:
     table: DataFrame      # next table state (strict: tombstones included)
     actions: DataFrame    # ``table``-side columns plus ``action`` for every joined row
     strategy: str         # "broadcast" or "shuffle"
-    batch_size: Size
+    batch_size: Size | None  # measured when strategy="auto"
     mode: str
 
     def current(self) -> DataFrame:
@@ -118,8 +118,10 @@ def merge(
     )
     if materialize_batch:
         s = materialize(s)
-    small, size = fits_broadcast(s, broadcast_limit_bytes)
-    use_broadcast = small and strategy == "auto"
+    size = None
+    use_broadcast = False
+    if strategy == "auto":  # measure only where the size decides the plan
+        use_broadcast, size = fits_broadcast(s, broadcast_limit_bytes)
 
     deleted = _c(DELETED_COL) if DELETED_COL in target.columns else F.lit(False)
     t = target.select(
