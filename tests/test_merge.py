@@ -192,3 +192,21 @@ def test_composite_key(spark, strategy):
                                               (None, "x", "nk"), (None, "x", "nk2")]
     after = spark.createDataFrame([(1, "x", "t1", 1), (2, "x", "t3b", 1)], "a int, b string, v string, ts int")
     assert rows_of(snapshot_diff(tgt, after, c), "op", "a", "b") == [("D", 1, "y"), ("U", 2, "x")]
+
+
+def test_conflict_log(target, changes):
+    rows = [
+        ("I", "A", "dup", 1, 11, 1),    # insert of a live key
+        ("U", "A", "u9", 9, 11, 2),     # update of a missing key
+        ("D", "A", "d8", 8, 11, 3),     # delete of a missing key
+        ("U", "A", "ok", 2, 11, 4),     # fits
+        ("I", "A", "old", 3, 1, 5),     # insert of a live key, stale
+    ]
+    res = _strict(target, changes, rows)
+    assert rows_of(res.conflicts, "record_id", "conflict", "action") == [
+        (1, "insert_existing", "update"), (3, "insert_existing", "ignore"),
+        (8, "delete_missing", "absent_delete"), (9, "update_missing", "insert")]
+    res = _compat(target, changes, rows)
+    assert rows_of(res.conflicts, "record_id", "conflict", "action") == [
+        (1, "insert_existing", "update"), (3, "insert_existing", "update"),
+        (8, "delete_missing", "insert"), (9, "update_missing", "insert")]

@@ -42,7 +42,7 @@ def run(spark: SparkSession, landing: str, table_path: str, mode: str = "strict"
         read_landing(spark, landing, c, streaming=True), table, c,
         checkpoint=f"{table_path}/_checkpoint", mode=mode,
         specs=specs if conform else None, quarantine_path=f"{table_path}/_quarantine",
-        keep_versions=keep_versions)
+        keep_versions=keep_versions, conflicts_path=f"{table_path}/_conflicts")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

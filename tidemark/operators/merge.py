@@ -34,13 +34,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import DELETED_COL, OP_DELETE, ChangeContract
+from tidemark.contract import DELETED_COL, OP_DELETE, OP_INSERT, OP_UPDATE, ChangeContract
 from tidemark.plans.sizing import Size, fits_broadcast
 from tidemark.session import materialize
 
 ACTION = "action"
 KEEP, UPDATE, DELETE, INSERT, IGNORE, ABSENT_DELETE = (
     "keep", "update", "delete", "insert", "ignore", "absent_delete")
+CONFLICT = "conflict"
+INSERT_EXISTING, UPDATE_MISSING, DELETE_MISSING = "insert_existing", "update_missing", "delete_missing"
+_OP, _TS = "_tm_op", "_tm_ts"
 
 
 class MergeCardinalityError(ValueError):
@@ -54,6 +57,10 @@ class MergeResult:
     strategy: str         # "broadcast" or "shuffle"
     batch_size: Size | None  # measured when strategy="auto"
     mode: str
+    # Changes whose op does not fit the target (key, time, op, conflict,
+    # action): the apply-conflict log.  Strict mode applies them by time;
+    # compat applies them as the MERGE does.
+    conflicts: DataFrame | None = None
 
     def current(self) -> DataFrame:
         """Visible rows: tombstones hidden, ``is_deleted`` dropped."""
@@ -155,7 +162,10 @@ def merge(
             table = table.where(~_c(DELETED_COL))
         table = table.select(*out_cols, DELETED_COL)
     actions = resolved.select(*cols, ACTION)
-    return MergeResult(table, actions, "broadcast" if use_broadcast else "shuffle", size, mode)
+    conflicts = resolved.where(_c(CONFLICT).isNotNull()).select(
+        *keys, _c(_TS).alias(c.ts_col), _c(_OP).alias(c.op_col), CONFLICT, ACTION)
+    return MergeResult(table, actions, "broadcast" if use_broadcast else "shuffle", size, mode,
+                       conflicts)
 
 
 @dataclass
@@ -206,6 +216,24 @@ def _hits(joined: DataFrame):
     return F.coalesce(_c("_t_hit"), F.lit(False)), F.coalesce(_c("_s_hit"), F.lit(False))
 
 
+def _conflict(joined: DataFrame) -> Column:
+    """A change whose op does not fit the target -- an insert of a live
+    key, an update or a delete of a key with no live row."""
+    t_hit, s_hit = _hits(joined)
+    live = t_hit & ~F.coalesce(_c("_t_del"), F.lit(False))
+    op = _c("_s_op")
+    return (
+        F.when(s_hit & (op == OP_INSERT) & live, F.lit(INSERT_EXISTING))
+        .when(s_hit & (op == OP_UPDATE) & ~live, F.lit(UPDATE_MISSING))
+        .when(s_hit & (op == OP_DELETE) & ~live, F.lit(DELETE_MISSING))
+    )
+
+
+def _change_cols(j: DataFrame, c: ChangeContract) -> list[Column]:
+    """The change's own op, time and conflict, kept for the conflict log."""
+    return [_conflict(j).alias(CONFLICT), _c("_s_op").alias(_OP), _c(_s(c.ts_col)).alias(_TS)]
+
+
 def _resolve_compat(joined: DataFrame, c: ChangeContract, extra: _Extra) -> DataFrame:
     t_hit, s_hit = _hits(joined)
     action = (
@@ -225,7 +253,7 @@ def _resolve_compat(joined: DataFrame, c: ChangeContract, extra: _Extra) -> Data
     # a column outside the UPDATE SET list keeps the target's value
     for x in extra.names:
         out.append(F.when(a.isin(KEEP, UPDATE), extra.t(x)).otherwise(extra.s(x)).alias(x))
-    return j.select(*out, a)
+    return j.select(*out, a, *_change_cols(j, c))
 
 
 def _resolve_strict(joined: DataFrame, c: ChangeContract, extra: _Extra) -> DataFrame:
@@ -256,7 +284,7 @@ def _resolve_strict(joined: DataFrame, c: ChangeContract, extra: _Extra) -> Data
         .otherwise(F.lit(False))
         .alias(DELETED_COL)
     )
-    return j.select(*out, dele, a)
+    return j.select(*out, dele, a, *_change_cols(j, c))
 
 
 def fold(

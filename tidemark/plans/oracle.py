@@ -97,6 +97,20 @@ ORACLE["merge_strict"] = MERGE_STRICT_SQL
 ORACLE["merge_strict_shuffle"] = MERGE_STRICT_SQL
 ORACLE["merge_clustered"] = MERGE_STRICT_SQL
 
+ORACLE["merge_conflicts"] = f"""
+WITH feed AS ({FEED_SQL}), target AS ({TARGET_SQL}), {_BATCH_ONE}
+SELECT * FROM (
+  SELECT b.record_id, b.cdc_ingestion_timestamp, b.op,
+         CASE WHEN b.op = 'I' AND t.record_id IS NOT NULL THEN 'insert_existing'
+              WHEN b.op = 'U' AND t.record_id IS NULL THEN 'update_missing'
+              WHEN b.op = 'D' AND t.record_id IS NULL THEN 'delete_missing' END AS conflict,
+         CASE WHEN t.record_id IS NULL AND b.op = 'D' THEN 'absent_delete'
+              WHEN t.record_id IS NULL THEN 'insert'
+              WHEN b.cdc_ingestion_timestamp < t.cdc_ingestion_timestamp THEN 'ignore'
+              WHEN b.op = 'D' THEN 'delete' ELSE 'update' END AS action
+  FROM batch b LEFT JOIN target t ON t.record_id = b.record_id)
+WHERE conflict IS NOT NULL"""
+
 ORACLE["merge_action_counts"] = f"""
 WITH feed AS ({FEED_SQL}), target AS ({TARGET_SQL}),
 bt AS (

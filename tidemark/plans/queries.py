@@ -113,6 +113,13 @@ def merge_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read(visible=True)
 
 
+@query("merge_conflicts")
+def merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The apply-conflict log of the strict merge (insert of a live key,
+    update or delete of a missing key), with the action taken."""
+    return _merge(spark, sf_dir, "strict").conflicts
+
+
 @query("merge_action_counts")
 def merge_action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per merge action in both modes."""

@@ -34,9 +34,11 @@ def upsert_batch_fn(
     specs: Iterable[ColumnSpec] | None = None,
     quarantine_path: str | None = None,
     keep_versions: int | None = None,
+    conflicts_path: str | None = None,
 ):
     """The ``foreachBatch`` function: conform, reduce, merge, write a version,
-    then (``keep_versions``) drop versions older than the newest ones."""
+    log apply conflicts (``conflicts_path``), then (``keep_versions``) drop
+    versions older than the newest ones."""
     if keep_versions is not None and keep_versions < 2:
         raise ValueError("a stream must keep at least 2 versions (a replay reads the previous one)")
     specs = list(specs) if specs else None
@@ -69,6 +71,8 @@ def upsert_batch_fn(
         prev = table.read(prior[-1])
         res = merge(prev, latest, c, mode=mode)
         table.write(res.table, version=version, clustered_input=True)
+        if conflicts_path:
+            res.conflicts.write.mode("overwrite").parquet(f"{conflicts_path}/batch={batch_id}")
         if quarantine_path and rejects is not None:
             rejects.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
         if keep_versions:
@@ -89,10 +93,12 @@ def start_upsert(
     available_now: bool = True,
     processing_time: str | None = None,
     keep_versions: int | None = None,
+    conflicts_path: str | None = None,
 ) -> StreamingQuery:
     """Start the upsert stream over a streaming DataFrame of change rows."""
     w = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        upsert_batch_fn(table, c, mode, base_version, specs, quarantine_path, keep_versions))
+        upsert_batch_fn(table, c, mode, base_version, specs, quarantine_path, keep_versions,
+                        conflicts_path))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
