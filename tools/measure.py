@@ -80,6 +80,14 @@ def main():
     res["latest_lineitem_max_by"] = timed(run(
         lambda: latest_one(feeds.lineitem_feed(spark, sf_dir), LINEITEM_CONTRACT)))
 
+    # one key holding a third of all rows: every lineitem with return flag N
+    # is re-keyed to -1 (the flag splits the table in three)
+    hot = lambda: feeds.lineitem_feed(spark, sf_dir).withColumn(
+        "record_id", F.when(F.col("op") == "D", F.lit(-1)).otherwise(F.col("record_id")))
+    res["hot_key_window_max"] = timed(run(lambda: window_ties(hot().drop("seq"), LINEITEM_CONTRACT)))
+    res["hot_key_agg_join"] = timed(run(lambda: latest_with_ties(hot().drop("seq"), LINEITEM_CONTRACT)))
+    res["hot_key_max_by"] = timed(run(lambda: latest_one(hot(), LINEITEM_CONTRACT)))
+
     target = lambda: feeds.table(spark, sf_dir, "orders").select(*ORDERS_CONTRACT.columns)
     for small in (True, False):
         tag = "small_batch" if small else "full_batch"
