@@ -59,3 +59,16 @@ def test_diff_of_clustered_snapshots_needs_no_shuffle(spark, tmp_dir):
         d.explain()
     assert "Exchange" not in buf.getvalue() and buf.getvalue().count("Bucketed: true") == 2
     assert rows_of(d.groupBy("op").count(), "op", "count") == [("D", 50), ("I", 50)]
+
+
+def test_duplicate_keys_are_refused(spark):
+    import pytest
+
+    from tidemark.operators.diff import DuplicateKeyError
+
+    ok = spark.createDataFrame([(1, "x", 1.0, 1)], S)
+    dup = spark.createDataFrame([(1, "x", 1.0, 1), (1, "y", 2.0, 1)], S)
+    with pytest.raises(DuplicateKeyError):
+        snapshot_diff(ok, dup, C)
+    with pytest.raises(DuplicateKeyError):
+        reconcile(dup, ok, C)

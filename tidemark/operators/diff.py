@@ -29,10 +29,31 @@ def _on(keys: list[str], a: str, b: str) -> Column:
     return cond
 
 
-def snapshot_diff(before: DataFrame, after: DataFrame, c: ChangeContract) -> DataFrame:
+class DuplicateKeyError(ValueError):
+    """A snapshot holds a key more than once, so a key join would pair rows."""
+
+
+def check_unique_keys(df: DataFrame, keys: list[str], what: str) -> None:
+    """Raise when a key occurs twice.  A count per key with a partial
+    aggregate (skew-safe); stops at the first duplicate found."""
+    dup = df.groupBy(*[_c(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    if not dup.isEmpty():
+        raise DuplicateKeyError(
+            f"{what} holds a key more than once; a key join would emit every pair of its rows")
+
+
+def snapshot_diff(before: DataFrame, after: DataFrame, c: ChangeContract,
+                  check_keys: bool = True) -> DataFrame:
     """I for keys only in ``after``, D for keys only in ``before``, U for
-    keys whose row differs.  Rows carry the after-image (the before-image for D)."""
+    keys whose row differs.  Rows carry the after-image (the before-image for D).
+
+    Each snapshot must hold a key once (``check_keys`` verifies it first):
+    otherwise the key join would pair every copy with every other copy.
+    """
     cols, keys = list(c.columns), list(c.key_cols)
+    if check_keys:
+        check_unique_keys(before, keys, "the before snapshot")
+        check_unique_keys(after, keys, "the after snapshot")
     payload = [x for x in cols if x not in keys]
     j = _side(before, cols, "a").join(_side(after, cols, "b"), _on(keys, "a", "b"), "full_outer")
     a_hit = F.coalesce(_c("_a_hit"), F.lit(False))
@@ -54,7 +75,8 @@ MATCH, DIFFER, MISSING, EXTRA = "match", "differ", "missing", "extra"
 
 
 def reconcile(source: DataFrame, target: DataFrame, c: ChangeContract,
-              columns: list[str] | None = None, only_mismatches: bool = True) -> DataFrame:
+              columns: list[str] | None = None, only_mismatches: bool = True,
+              check_keys: bool = True) -> DataFrame:
     """Compare a target with its source row by row.
 
     Per key: ``missing`` (in source only), ``extra`` (in target only),
@@ -62,6 +84,9 @@ def reconcile(source: DataFrame, target: DataFrame, c: ChangeContract,
     compared null-safely) or ``match``.
     """
     keys = list(c.key_cols)
+    if check_keys:
+        check_unique_keys(source, keys, "the source")
+        check_unique_keys(target, keys, "the target")
     cols = columns or [x for x in c.columns if x in source.columns and x in target.columns]
     payload = [x for x in cols if x not in keys]
     allc = keys + payload
