@@ -20,6 +20,11 @@ OPS = (OP_INSERT, OP_UPDATE, OP_DELETE)
 # Hidden column of strict-mode tables: a tombstone keeps the key and the time
 # of its delete so that an older change arriving later cannot bring it back.
 DELETED_COL = "is_deleted"
+# Hidden column of strict-mode tables: the sequence of the change a row holds,
+# so that two changes at the same time are ordered the same way in every
+# batch order (the time guard compares (time, sequence)).
+CHANGE_SEQ_COL = "change_seq"
+HIDDEN_COLS = (DELETED_COL, CHANGE_SEQ_COL)
 
 
 @dataclass(frozen=True)

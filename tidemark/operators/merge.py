@@ -34,7 +34,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import DELETED_COL, OP_DELETE, OP_INSERT, OP_UPDATE, ChangeContract
+from tidemark.contract import (CHANGE_SEQ_COL, DELETED_COL, HIDDEN_COLS, OP_DELETE, OP_INSERT,
+                               OP_UPDATE, ChangeContract)
 from tidemark.plans.sizing import Size, fits_broadcast
 from tidemark.session import materialize
 
@@ -72,9 +73,9 @@ class MergeResult:
 
 def visible(table: DataFrame) -> DataFrame:
     """The current-state view of a strict table."""
-    if DELETED_COL not in table.columns:
-        return table
-    return table.where(~F.col(DELETED_COL)).drop(DELETED_COL)
+    if DELETED_COL in table.columns:
+        table = table.where(~F.col(DELETED_COL))
+    return table.drop(*HIDDEN_COLS)
 
 
 def _c(name: str) -> Column:
@@ -111,7 +112,9 @@ def merge(
         raise ValueError(f"strategy must be auto or shuffle, not {strategy!r}")
     cols, keys = list(c.columns), list(c.key_cols)
     # Columns outside the contract (added by schema evolution) ride along.
-    skip = {c.op_col, c.seq_col, DELETED_COL, *cols}
+    skip = {c.op_col, c.seq_col, *HIDDEN_COLS, *cols}
+    # strict: the applied change's sequence is kept to order equal times
+    seq = c.seq_col if (mode == "strict" and c.seq_col and c.seq_col in batch.columns) else None
     t_extra = [x for x in target.columns if x not in skip]
     s_extra = [x for x in batch.columns if x not in skip]
     types = {f.name: f.dataType for f in target.schema.fields} | {
@@ -121,6 +124,7 @@ def merge(
     s = batch.select(
         _c(c.op_col).alias("_s_op"),
         *[_c(x).alias(_s(x)) for x in cols + s_extra],
+        *([_c(seq).alias("_s_seq")] if seq else []),
         F.lit(True).alias("_s_hit"),
     )
     if materialize_batch:
@@ -131,9 +135,15 @@ def merge(
         use_broadcast, size = fits_broadcast(s, broadcast_limit_bytes)
 
     deleted = _c(DELETED_COL) if DELETED_COL in target.columns else F.lit(False)
+    seq_cols = []
+    if seq:
+        seq_type = batch.schema[seq].dataType
+        kept = _c(CHANGE_SEQ_COL) if CHANGE_SEQ_COL in target.columns else F.lit(None)
+        seq_cols = [kept.cast(seq_type).alias("_t_seq")]
     t = target.select(
         *[_c(x).alias(_t(x)) for x in cols + t_extra],
         deleted.alias("_t_del"),
+        *seq_cols,
         F.lit(True).alias("_t_hit"),
     )
     on = _key_match(keys)
@@ -152,7 +162,10 @@ def merge(
     else:
         joined = t.join(s, on, "full_outer")
 
-    resolved = (_resolve_compat if mode == "compat" else _resolve_strict)(joined, c, extra)
+    if mode == "compat":
+        resolved = _resolve_compat(joined, c, extra)
+    else:
+        resolved = _resolve_strict(joined, c, extra, seq is not None)
     out_cols = cols + extra.names
     if mode == "compat":
         table = resolved.where(_c(ACTION) != DELETE).select(*out_cols)
@@ -160,7 +173,7 @@ def merge(
         table = resolved
         if not keep_tombstones:
             table = table.where(~_c(DELETED_COL))
-        table = table.select(*out_cols, DELETED_COL)
+        table = table.select(*out_cols, DELETED_COL, *([CHANGE_SEQ_COL] if seq else []))
     actions = resolved.select(*cols, ACTION)
     conflicts = resolved.where(_c(CONFLICT).isNotNull()).select(
         *keys, _c(_TS).alias(c.ts_col), _c(_OP).alias(c.op_col), CONFLICT, ACTION)
@@ -256,9 +269,18 @@ def _resolve_compat(joined: DataFrame, c: ChangeContract, extra: _Extra) -> Data
     return j.select(*out, a, *_change_cols(j, c))
 
 
-def _resolve_strict(joined: DataFrame, c: ChangeContract, extra: _Extra) -> DataFrame:
+def _resolve_strict(joined: DataFrame, c: ChangeContract, extra: _Extra, has_seq: bool) -> DataFrame:
     t_hit, s_hit = _hits(joined)
-    newer = F.coalesce(_c(_s(c.ts_col)) >= _c(_t(c.ts_col)), F.lit(True))
+    s_ts, t_ts = _c(_s(c.ts_col)), _c(_t(c.ts_col))
+    if has_seq:
+        # (time, seq) order; a target row without a kept sequence loses ties
+        newer = (
+            F.when(t_ts.isNull() | (s_ts > t_ts), F.lit(True))
+            .when(s_ts == t_ts, F.coalesce(_c("_s_seq") >= _c("_t_seq"), F.lit(True)))
+            .otherwise(F.lit(False))
+        )
+    else:
+        newer = F.coalesce(s_ts >= t_ts, F.lit(True))
     is_d = F.coalesce(_c("_s_op") == OP_DELETE, F.lit(False))
     t_del = F.coalesce(_c("_t_del"), F.lit(False))
     action = (
@@ -284,7 +306,8 @@ def _resolve_strict(joined: DataFrame, c: ChangeContract, extra: _Extra) -> Data
         .otherwise(F.lit(False))
         .alias(DELETED_COL)
     )
-    return j.select(*out, dele, a, *_change_cols(j, c))
+    kept_seq = [F.when(from_target, _c("_t_seq")).otherwise(_c("_s_seq")).alias(CHANGE_SEQ_COL)] if has_seq else []
+    return j.select(*out, dele, *kept_seq, a, *_change_cols(j, c))
 
 
 def fold(

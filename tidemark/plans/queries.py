@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.diff import reconcile, reconcile_summary, snapshot_diff
 from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
-from tidemark.operators.merge import fold, merge
+from tidemark.operators.merge import fold, merge, visible
 from tidemark.operators.quality import as_text, conform
 from tidemark.session import scratch_path
 from tidemark.sources import feeds
@@ -148,7 +148,7 @@ def _fold(spark: SparkSession, sf_dir: str, reverse: bool) -> DataFrame:
     if reverse:
         batches = batches[::-1]
     state = fold(feeds.customer_target(spark, sf_dir), batches, FEED_CONTRACT, mode="strict")
-    return state.where(~F.col("is_deleted")).drop("is_deleted")
+    return visible(state)
 
 
 @query("fold_batches")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contract import DELETED_COL, ChangeContract
+from tidemark.contract import DELETED_COL, HIDDEN_COLS, ChangeContract
 from tidemark.functions.expr import bucket
 
 # Fixed value: target data file size of the reference table (512 MiB).
@@ -224,7 +224,9 @@ class VersionedTable:
         cols = [f.name for f in schema.fields if f.name != self.bucket_name]
         df = df.select(*[F.col(f"`{x}`") for x in cols])
         if visible and DELETED_COL in df.columns:
-            df = df.where(~F.col(DELETED_COL)).drop(DELETED_COL)
+            df = df.where(~F.col(DELETED_COL))
+        if visible:
+            df = df.drop(*HIDDEN_COLS)
         return df
 
     def write(self, df: DataFrame, version: int | None = None, rebalance: bool = True,
