@@ -366,9 +366,18 @@ def merge_into_catalog(
              .whenMatched().update({x: src(x) for x in c.columns if x not in c.frozen_cols})
              .whenNotMatched().insert({x: src(x) for x in c.columns}))
     else:
-        newer = src(c.ts_col) >= tgt(c.ts_col)
-        live = {x: src(x) for x in c.columns} | {DELETED_COL: F.lit(False)}
-        dead = {x: src(x) for x in c.columns} | {DELETED_COL: F.lit(True)}
+        s_ts, t_ts = src(c.ts_col), tgt(c.ts_col)
+        kept = {}
+        if c.seq_col and c.seq_col in batch.columns:
+            # the table keeps the applied change's sequence (``change_seq``)
+            t_seq = tgt(CHANGE_SEQ_COL)
+            newer = t_ts.isNull() | (s_ts > t_ts) | (
+                (s_ts == t_ts) & (t_seq.isNull() | (src(c.seq_col) >= t_seq)))
+            kept = {CHANGE_SEQ_COL: src(c.seq_col)}
+        else:
+            newer = t_ts.isNull() | (s_ts >= t_ts)
+        live = {x: src(x) for x in c.columns} | {DELETED_COL: F.lit(False)} | kept
+        dead = {x: src(x) for x in c.columns} | {DELETED_COL: F.lit(True)} | kept
         if keep_tombstones:
             m = m.whenMatched(newer & is_d).update(dead)
         else:
