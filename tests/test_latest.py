@@ -69,3 +69,16 @@ def test_hot_key_keeps_all_rows_correct(changes):
     assert (hot["ts"], hot["seq"]) == (t(49), 2999)
     ties = latest_with_ties(df, C).where("record_id = 7")
     assert ties.count() == 60  # every row at hour 49
+
+
+def test_ties_over_the_bound_use_sort_merge(changes):
+    import contextlib
+    import io
+
+    df = changes(EDGE)
+    big = latest_with_ties(df, C, broadcast_limit_bytes=0)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        big.explain()
+    assert "SortMergeJoin" in buf.getvalue() and "BroadcastHashJoin" not in buf.getvalue()
+    assert rows_of(big) == rows_of(latest_with_ties(df, C))

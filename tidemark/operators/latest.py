@@ -53,8 +53,8 @@ def latest_with_ties(
         # shuffled.  Otherwise a sort-merge join on (key, time).
         mx = materialize(mx)
         small, _ = fits_broadcast(mx, broadcast_limit_bytes)
-        if small:
-            mx = F.broadcast(mx)
+        # the measurement decides, not the optimizer's estimate of a checkpoint
+        mx = F.broadcast(mx) if small else mx.hint("merge")
     cond = [changes[k].eqNullSafe(mx[alias[k]]) for k in keys]
     cond.append(changes[c.ts_col] == mx[_MAX_TS])
     joined = changes.join(mx, cond, "inner")

@@ -149,7 +149,7 @@ def merge(
     on = _key_match(keys)
 
     if mode == "compat" and check_cardinality:
-        _check_cardinality(t, s, keys, use_broadcast)
+        _check_cardinality(t, s, keys, broadcast_limit_bytes)
 
     if use_broadcast:
         left = t.join(F.broadcast(s), on, "left")
@@ -205,7 +205,7 @@ def _key_match(keys: list[str]) -> Column:
     return cond
 
 
-def _check_cardinality(t: DataFrame, s: DataFrame, keys: list[str], small: bool) -> None:
+def _check_cardinality(t: DataFrame, s: DataFrame, keys: list[str], limit: int | None) -> None:
     """raise when a source key occurs more than once and matches a target row."""
     dup = (
         s.groupBy(*[_c(_s(k)) for k in keys])
@@ -215,8 +215,9 @@ def _check_cardinality(t: DataFrame, s: DataFrame, keys: list[str], small: bool)
     )
     if dup.isEmpty():
         return
-    if small:  # dup keys are a subset of a batch already measured under the bound
-        dup = F.broadcast(dup)
+    # broadcast the duplicated keys only under their measured size
+    small, _ = fits_broadcast(dup, limit)
+    dup = F.broadcast(dup) if small else dup.hint("merge")
     hit = t.select(*[_c(_t(k)) for k in keys]).join(dup, _key_match(keys), "left_semi")
     if not hit.isEmpty():
         raise MergeCardinalityError(
