@@ -15,8 +15,8 @@ from tidemark.streaming.upsert import start_upsert, upsert_batch_fn
 SPECS = (ColumnSpec("record_id", T.LongType()), ColumnSpec("seq", T.LongType()))
 
 
-def _run(spark, landing, table, ckpt):
-    q = start_upsert(read_landing(spark, landing, C, streaming=True), table, C, ckpt, specs=SPECS)
+def _run(spark, landing, table, ckpt, **kw):
+    q = start_upsert(read_landing(spark, landing, C, streaming=True), table, C, ckpt, specs=SPECS, **kw)
     q.awaitTermination()
     assert q.exception() is None
 
@@ -27,16 +27,24 @@ def test_available_now_runs_like_bookmarked_jobs(spark, tmp_dir, target, changes
     table.write(target(tgt).withColumn("is_deleted", F.lit(False)), version=0)
     landing, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/ckpt"
     b1 = [("U", "A", "u1", 1, 11, 1), ("I", "A", "i3", 3, 11, 2), (None, "A", "view", 2, 12, 3)]
-    b2 = [("D", "A", "d1", 1, 12, 4), ("U", "A", "old", 2, 1, 5), ("U", "A", "u3", 3, 13, 6)]
+    b2 = [("D", "A", "d1", 1, 12, 4), ("U", "A", "old", 2, 1, 5), ("U", "A", "u3", 3, 13, 6),
+          ("U", "A", "u9", 9, 13, 7)]
 
     write_landing(changes(b1), landing, C)
-    _run(spark, landing, table, ckpt)
+    logs = {"quarantine_path": f"{tmp_dir}/quarantine", "conflicts_path": f"{tmp_dir}/conflicts"}
+    _run(spark, landing, table, ckpt, **logs)
     assert table.versions() == [0, 1]
+    bad = spark.read.parquet(f"{tmp_dir}/quarantine").collect()
+    assert [list(r["reasons"]) for r in bad] == [["bad_op"]] and '"view"' in bad[0]["raw"]
+    conflicts = spark.read.parquet(f"{tmp_dir}/conflicts")
+    assert rows_of(conflicts, "record_id", "conflict", "action") == []  # b1 fits the target
     _run(spark, landing, table, ckpt)           # nothing new: no batch, no version
     assert table.versions() == [0, 1]
     write_landing(changes(b2), landing, C)
     write_landing(changes(b2), f"{tmp_dir}/replay", C)
-    _run(spark, landing, table, ckpt)           # restart picks up only the new file
+    _run(spark, landing, table, ckpt, **logs)   # restart picks up only the new file
+    conflicts = spark.read.parquet(f"{tmp_dir}/conflicts/batch=1")  # the empty run made no batch
+    assert rows_of(conflicts, "record_id", "conflict", "action") == [(9, "update_missing", "insert")]
     assert table.versions() == [0, 1, 2]
 
     one_shot = visible(merge(target(tgt), latest_one(changes(b1 + b2), C), C).table)
