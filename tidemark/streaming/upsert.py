@@ -26,6 +26,16 @@ from tidemark.sources.landing import CORRUPT_COL, split_corrupt
 from tidemark.sources.table import VersionedTable
 
 
+def _as_rejects(bad: DataFrame) -> DataFrame:
+    """Rejected rows as (raw JSON of the row, reasons)."""
+    cols = [F.col(f"`{x}`") for x in bad.columns if x != "reasons"]
+    return bad.select(F.to_json(F.struct(*cols)).alias("raw"), "reasons")
+
+
+def _union(a: DataFrame | None, b: DataFrame) -> DataFrame:
+    return b if a is None else a.unionByName(b)
+
+
 def upsert_batch_fn(
     table: VersionedTable,
     c: ChangeContract,
@@ -44,27 +54,24 @@ def upsert_batch_fn(
     specs = list(specs) if specs else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # B8: nothing landed, no new version
-            return
-        version = base_version + batch_id + 1
-        prior = [v for v in table.versions() if v < version]
-        if not prior:
-            raise FileNotFoundError(f"no version below {version} under {table.path}")
         rows, rejects = batch, None
         if CORRUPT_COL in rows.columns:
+            # parsed once into a checkpoint; the emptiness test below reads it
             rows, corrupt = split_corrupt(rows)
             rejects = corrupt.select(F.col(CORRUPT_COL).alias("raw"),
                                      F.array(F.lit("corrupt")).alias("reasons"))
+        if rows.isEmpty() and (rejects is None or rejects.isEmpty()):
+            return  # B8: nothing landed, no new version
+        version = base_version + batch_id + 1
+        prior = [v for v in table.versions() if v < version]
+        if not prior:
+            raise FileNotFoundError(f"no version below {version} under {table.path}")
         if specs:
             rows, bad = conform(rows, specs)
-            bad = bad.select(F.to_json(F.struct(*[F.col(f"`{x}`") for x in bad.columns if x != "reasons"])).alias("raw"),
-                             "reasons")
-            rejects = bad if rejects is None else rejects.unionByName(bad)
+            rejects = _union(rejects, _as_rejects(bad))
         if mode == "strict":
             rows, bad = split_valid(rows, c)
-            bad = bad.select(F.to_json(F.struct(*[F.col(f"`{x}`") for x in bad.columns if x != "reasons"])).alias("raw"),
-                             "reasons")
-            rejects = bad if rejects is None else rejects.unionByName(bad)
+            rejects = _union(rejects, _as_rejects(bad))
             latest = latest_one(rows, c, assume_valid=True)
         else:
             latest = latest_with_ties(rows, c)
