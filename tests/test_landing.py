@@ -131,3 +131,29 @@ def test_comma_inside_value_is_quarantined(spark, tmp_dir):
     rows, corrupt = split_corrupt(read_landing(spark, _land(spark, tmp_dir, [LINES[0], line]), TOLL_CONTRACT))
     assert [r["record_id"] for r in rows.collect()] == ["1"]
     assert [r[CORRUPT_COL] for r in corrupt.collect()] == [line]
+
+
+def test_contract_from_json_runs_the_job(spark, tmp_dir):
+    import json
+
+    from tidemark import job
+    from tidemark.contract import ChangeContract
+
+    spec = {"columns": ["region", {"name": "amount", "type": "decimal(6,2)"},
+                        {"name": "id", "type": "int", "nullable": False}, "ts"],
+            "key_cols": ["id"], "ts_col": "ts", "partition_cols": ["region"]}
+    c = ChangeContract.from_dict(spec)
+    assert c.key_cols == ("id",) and [s.name for s in c.specs] == ["amount", "id"]
+    path = Path(tmp_dir.replace("file:", ""))
+    path.mkdir(parents=True, exist_ok=True)
+    (path / "c.json").write_text(json.dumps(spec))
+    landing = path / "landing"
+    landing.mkdir()
+    lines = [f"I,north,1.50,1,{T0}", "U,south,2.25,1,2024-01-03 00:00:00.000000", f"I,north,bad,2,{T0}"]
+    (landing / "a.csv").write_text("\n".join(lines) + "\n")
+    v = job.run(spark, str(landing), f"{tmp_dir}/t", contract=str(path / "c.json"), conform=True)
+    t = VersionedTable(spark, f"{tmp_dir}/t", partition_cols=("region",))
+    cur = t.read(v, visible=True)
+    assert {f.name: f.dataType.simpleString() for f in cur.schema.fields}["amount"] == "decimal(6,2)"
+    rows = {r["id"]: (r["region"], str(r["amount"])) for r in cur.collect()}
+    assert rows == {1: ("south", "2.25")}  # id 2 set aside by conform (amount:type)

@@ -76,6 +76,24 @@ class ChangeContract:
     def with_seq(self, seq_col: str | None) -> "ChangeContract":
         return replace(self, seq_col=seq_col)
 
+    @classmethod
+    def from_dict(cls, d: dict) -> "ChangeContract":
+        """A contract from plain data (e.g. a JSON file); column types are DDL
+        strings: ``{"columns": [{"name": "toll_id", "type": "int"}, ...],
+        "key_cols": ["record_id"], ...}``.  Columns without a type stay text."""
+        specs, names = [], []
+        for col in d["columns"]:
+            col = {"name": col} if isinstance(col, str) else col
+            names.append(col["name"])
+            if "type" in col:
+                specs.append(ColumnSpec(col["name"], T.DataType.fromDDL(col["type"]),
+                                        col.get("nullable", True), col.get("max_len"),
+                                        tuple(col["allowed"]) if col.get("allowed") else None))
+        kw = {k: (tuple(v) if isinstance(v, list) else v) for k, v in d.items()
+              if k in ("key_cols", "ts_col", "op_col", "seq_col", "frozen_cols",
+                       "partition_cols", "bucket_col", "num_buckets")}
+        return cls(columns=tuple(names), specs=tuple(specs), **kw)
+
 
 # --------------------------------------------------------------------------
 # The toll-road table of the reference sample.

@@ -3,7 +3,7 @@ a versioned table.  One run processes every landing file not yet processed
 (the stream checkpoint is the bookmark) and stops.
 
     python -m tidemark.job --landing s3://bucket/landing --table s3://bucket/current \\
-        --mode strict [--contract toll] [--full-load path/to/parquet]
+        --mode strict [--contract toll | contract.json] [--full-load path/to/parquet]
 
 The checkpoint and quarantine live under the table folder; the cluster's
 ``spark.checkpoint.dir`` is used for intermediate checkpoints.
@@ -12,29 +12,43 @@ The checkpoint and quarantine live under the table folder; the cluster's
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contract import DELETED_COL, TOLL_CONTRACT, TOLL_SPECS
-from tidemark.sources.landing import read_landing
+from tidemark.contract import DELETED_COL, TOLL_CONTRACT, TOLL_SPECS, ChangeContract
+from tidemark.operators.quality import conform as conform_rows
+from tidemark.sources.landing import CORRUPT_COL, read_landing
 from tidemark.sources.table import VersionedTable
 from tidemark.streaming.upsert import start_upsert
 
 CONTRACTS = {"toll": (TOLL_CONTRACT, TOLL_SPECS)}
 
 
+def load_contract(name_or_path: str):
+    """A built-in contract by name, or one read from a JSON file."""
+    if name_or_path in CONTRACTS:
+        return CONTRACTS[name_or_path]
+    with open(name_or_path, encoding="utf-8") as fh:
+        c = ChangeContract.from_dict(json.load(fh))
+    return c, c.specs
+
+
 def run(spark: SparkSession, landing: str, table_path: str, mode: str = "strict",
         contract: str = "toll", full_load: str | None = None, conform: bool = False,
         keep_versions: int = 2, cluster_buckets: int = 0) -> int:
     """Run the job once; returns the table's current version."""
-    c, specs = CONTRACTS[contract]
+    c, specs = load_contract(contract)
     table = VersionedTable.for_contract(spark, table_path, c, cluster_buckets=cluster_buckets)
     if table.current_version() is None:
         if full_load:  # H2: the full load becomes version 0
             base = spark.read.parquet(full_load)
-        else:  # an empty raw table with the contract's columns
-            base = read_landing(spark, landing, c).where(F.lit(False)).select(*c.columns)
+        else:  # an empty table with the contract's columns (typed when conforming)
+            base = read_landing(spark, landing, c).where(F.lit(False)).drop(CORRUPT_COL)
+            if conform and specs:
+                base = conform_rows(base, specs)[0]
+            base = base.select(*c.columns)
         if mode == "strict":
             base = base.withColumn(DELETED_COL, F.lit(False))
         table.write(base, version=0)
@@ -54,7 +68,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--landing", required=True)
     ap.add_argument("--table", required=True)
     ap.add_argument("--mode", choices=("compat", "strict"), default="strict")
-    ap.add_argument("--contract", choices=sorted(CONTRACTS), default="toll")
+    ap.add_argument("--contract", default="toll",
+                    help="built-in contract name (toll) or a JSON contract file")
     ap.add_argument("--full-load")
     ap.add_argument("--conform", action="store_true", help="convert text to the typed contract")
     ap.add_argument("--keep-versions", type=int, default=2)
