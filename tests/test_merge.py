@@ -209,3 +209,15 @@ def test_conflict_log(target, changes):
     assert rows_of(res.conflicts, "record_id", "conflict", "action") == [
         (1, "insert_existing", "update"), (3, "insert_existing", "update"),
         (8, "delete_missing", "insert"), (9, "update_missing", "insert")]
+
+
+def test_source_values_take_target_types(spark):
+    from tidemark.contract import ChangeContract
+
+    c = ChangeContract(columns=("k", "n", "ts"), key_cols=("k",), ts_col="ts")
+    tgt = spark.createDataFrame([(1, 10, 1)], "k long, n int, ts long")
+    b = spark.createDataFrame([("U", 1, "11", 2), ("I", 2, "7", 2)], "op string, k long, n string, ts long")
+    for mode in ("strict", "compat"):
+        out = merge(tgt, b, c, mode=mode).current()
+        assert out.schema["n"].dataType.simpleString() == "int"
+        assert rows_of(out, "k", "n") == [(1, 11), (2, 7)]

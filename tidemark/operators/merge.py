@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contract import (CHANGE_SEQ_COL, DELETED_COL, HIDDEN_COLS, OP_DELETE, OP_INSERT,
                                OP_UPDATE, ChangeContract)
@@ -121,9 +122,19 @@ def merge(
         f.name: f.dataType for f in batch.schema.fields if f.name not in t_extra}
     extra = _Extra(t_extra + [x for x in s_extra if x not in t_extra], set(t_extra), set(s_extra), types)
 
+    # as a SQL MERGE does, source values take the target column's type
+    t_types = {f.name: f.dataType for f in target.schema.fields}
+    b_types = {f.name: f.dataType for f in batch.schema.fields}
+
+    def as_target(x: str) -> Column:
+        tt = t_types.get(x)
+        if tt is None or isinstance(tt, T.NullType) or tt == b_types.get(x):
+            return _c(x)
+        return _c(x).cast(tt)
+
     s = batch.select(
         _c(c.op_col).alias("_s_op"),
-        *[_c(x).alias(_s(x)) for x in cols + s_extra],
+        *[as_target(x).alias(_s(x)) for x in cols + s_extra],
         *([_c(seq).alias("_s_seq")] if seq else []),
         F.lit(True).alias("_s_hit"),
     )
