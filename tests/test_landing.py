@@ -157,3 +157,14 @@ def test_contract_from_json_runs_the_job(spark, tmp_dir):
     assert {f.name: f.dataType.simpleString() for f in cur.schema.fields}["amount"] == "decimal(6,2)"
     rows = {r["id"]: (r["region"], str(r["amount"])) for r in cur.collect()}
     assert rows == {1: ("south", "2.25")}  # id 2 set aside by conform (amount:type)
+
+
+def test_capture_time_now_and_literal(spark):
+    from tidemark.functions.expr import capture_time
+
+    df = spark.range(1).select(capture_time().alias("now"), capture_time("2024-01-01 00:00:00").alias("lit"),
+                               capture_time(ntz=False).alias("ltz"))
+    types = [f.dataType.typeName() for f in df.schema.fields]
+    assert types == ["timestamp_ntz", "timestamp_ntz", "timestamp"]
+    r = df.first()
+    assert r["now"].year >= 2024 and r["lit"].isoformat() == "2024-01-01T00:00:00"
