@@ -6,18 +6,45 @@ DataFrame to DataFrame parameterised by a :class:`~tidemark.contract.ChangeContr
 Catalyst plans the work, nothing is collected to the driver.
 """
 
-from tidemark.contract import ChangeContract, OPS, TOLL_CONTRACT
-from tidemark.operators.latest import latest_with_ties, latest_one, split_valid
-from tidemark.operators.merge import merge, MergeResult, MergeCardinalityError
+from tidemark.contract import OPS, TOLL_CONTRACT, ChangeContract, ColumnSpec
+from tidemark.operators.diff import DuplicateKeyError, reconcile, reconcile_summary, snapshot_diff
+from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
+from tidemark.operators.merge import (
+    MergeCardinalityError,
+    MergeResult,
+    fold,
+    merge,
+    merge_into_catalog,
+    visible,
+)
+from tidemark.operators.quality import conform
+from tidemark.sources.landing import full_load, read_landing, split_corrupt, write_landing
+from tidemark.sources.table import VersionedTable
+from tidemark.streaming.upsert import start_upsert
 
 __all__ = [
-    "ChangeContract",
     "OPS",
     "TOLL_CONTRACT",
-    "latest_with_ties",
+    "ChangeContract",
+    "ColumnSpec",
+    "DuplicateKeyError",
+    "MergeCardinalityError",
+    "MergeResult",
+    "VersionedTable",
+    "conform",
+    "fold",
+    "full_load",
     "latest_one",
-    "split_valid",
+    "latest_with_ties",
     "merge",
-    "MergeResult",
-    "MergeCardinalityError",
+    "merge_into_catalog",
+    "read_landing",
+    "reconcile",
+    "reconcile_summary",
+    "snapshot_diff",
+    "split_corrupt",
+    "split_valid",
+    "start_upsert",
+    "visible",
+    "write_landing",
 ]
