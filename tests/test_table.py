@@ -123,3 +123,15 @@ def test_clustered_merge_shuffles_only_the_batch(spark, tmp_dir):
     assert again.read(visible=True).count() == 260
     plan = _plan(merge(again.read(), batch, C, mode="strict", strategy="shuffle").table)
     assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_clustered_version_rewrite_replaces_it(spark, tmp_dir):
+    t = VersionedTable(spark, f"{tmp_dir}/r", cluster_keys=("record_id",), cluster_buckets=4)
+    t.write(spark.range(100).select(F.col("id").alias("record_id"), F.lit("a").alias("v")), version=0)
+    t.write(spark.range(50).select(F.col("id").alias("record_id"), F.lit("b").alias("v")), version=0)
+    assert t.versions() == [0] and t.files(0) == 4
+    assert rows_of_v(t.read(0)) == [(i, "b") for i in range(50)]
+
+
+def rows_of_v(df):
+    return sorted((r["record_id"], r["v"]) for r in df.collect())
