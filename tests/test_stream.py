@@ -82,3 +82,14 @@ def test_job_runs_reference_flow_on_toll_landing(spark, tmp_dir):
     assert sorted(r["record_id"] for r in t.read().collect()) == ["2", "3", "5", "6", "7"]
     q = spark.read.parquet(f"{table_path}/_quarantine")
     assert q.count() == 3 and {tuple(r["reasons"]) for r in q.collect()} == {("corrupt",)}
+
+
+def test_stream_into_clustered_table(spark, tmp_dir, target, changes):
+    tgt = [("A", "t1", 1, 10), ("A", "t2", 2, 10)]
+    table = VersionedTable(spark, f"{tmp_dir}/ctable", cluster_keys=("record_id",), cluster_buckets=4)
+    table.write(target(tgt).withColumn("is_deleted", F.lit(False)), version=0)
+    b1 = [("U", "A", "u1", 1, 11, 1), ("I", "A", "i3", 3, 11, 2), ("D", "A", "d2", 2, 12, 3)]
+    write_landing(changes(b1), f"{tmp_dir}/cland", C)
+    _run(spark, f"{tmp_dir}/cland", table, f"{tmp_dir}/cckpt")
+    assert table.versions() == [0, 1]
+    assert rows_of(table.read(visible=True), "record_id", "val") == [(1, "u1"), (3, "i3")]
