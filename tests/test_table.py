@@ -56,6 +56,7 @@ def test_compact_reduces_files_rows_unchanged(spark, tmp_dir):
     t = VersionedTable(spark, f"{tmp_dir}/c", partition_cols=("state",))
     df = spark.range(2000).select((F.col("id") % 3).cast("string").alias("state"), "id")
     t.write(df.repartition(40), rebalance=False)
+    assert t.compact(min_files=10_000) == (0, t.files(0), t.files(0))  # below threshold: untouched
     v, before, after = t.compact()
     assert v == 1 and after < before
     assert sorted(r.id for r in t.read().collect()) == list(range(2000))

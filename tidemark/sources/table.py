@@ -365,10 +365,14 @@ class VersionedTable:
             cur = cur.withColumn(name, F.lit(None).cast(dtype))
         return self.write(cur, clustered_input=True)
 
-    def compact(self) -> tuple[int, int, int]:
+    def compact(self, min_files: int = 0) -> tuple[int, int, int]:
         """Rewrite the current version into files near the target size.
-        Rows are unchanged.  Returns ``(new_version, files_before, files_after)``."""
+        Rows are unchanged.  Returns ``(version, files_before, files_after)``;
+        with fewer than ``min_files`` files nothing is rewritten and the
+        current version is returned."""
         before_v = self.current_version()
         before = self.files(before_v)
+        if before < min_files:
+            return before_v, before, before
         v = self.write(self.read(before_v))
         return v, before, self.files(v)
