@@ -181,15 +181,15 @@ w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '{_W}') AS ws FROM d),
 l0 AS (SELECT rid, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d),
 l1 AS (SELECT *, regexp_extract_all(line, '{_W}') AS ws FROM l0),
 l2 AS (SELECT *, len(ws) AS n, row_number() OVER (PARTITION BY rid, line ORDER BY i) AS nth,
-        list_sum(list_transform(ws, x -> length(x))) AS chars FROM l1 WHERE len(ws) > 0),
+        list_sum(list_transform(ws, lambda x: length(x))) AS chars FROM l1 WHERE len(ws) > 0),
 l3 AS (SELECT *,
   (n >= 4 AND (
      100 * len(regexp_extract_all(line, '[^\x20\x09-\x0D]*[#*$%&|<>][^\x20\x09-\x0D]*')) > 30 * n
   OR 100 * len(regexp_extract_all(line, '[!?]{{2,}}')) > 30 * n
   OR len(regexp_extract_all(line, '[A-Z]')) > 2 * len(regexp_extract_all(line, '[a-z]'))
-  OR 100 * len(list_filter(range(1, n), j -> ws[j] = ws[j + 1])) > 30 * n
-  OR (len(list_filter(ws, x -> x IN ('|', '>', '/', '•', '·', '»'))) >= 3
-      AND n <= 4 * len(list_filter(ws, x -> x IN ('|', '>', '/', '•', '·', '»'))))
+  OR 100 * len(list_filter(range(1, n), lambda j: ws[j] = ws[j + 1])) > 30 * n
+  OR (len(list_filter(ws, lambda x: x IN ('|', '>', '/', '•', '·', '»'))) >= 3
+      AND n <= 4 * len(list_filter(ws, lambda x: x IN ('|', '>', '/', '•', '·', '»'))))
   OR (n >= 12 AND NOT regexp_matches(line, '[.,;:!?…]'))))
   OR (n <= 25 AND regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
        '(?:^|[^a-z])(?:{BOILERPLATE})(?:[^a-z]|$)')) AS bad
@@ -199,7 +199,7 @@ ls AS (SELECT rid, sum((nth > 1)::INT) AS dup, sum(bad::INT) AS removed, sum(CAS
 v AS (SELECT rid, unnest(range(1, len(ws) - 3)) AS i, ws FROM w WHERE len(ws) >= 5),
 k AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, array_to_string(ws[i:i + 4], ' ')) AS c FROM v),
 r AS (SELECT rid, count(DISTINCT i + o) AS rep FROM k, (SELECT unnest([0, 1, 2, 3, 4]) AS o) WHERE c > 1 GROUP BY rid),
-b AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+b AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
   len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dup, 0)::BIGINT AS n_dup_lines,
   coalesce(rep, 0)::BIGINT AS n_repeat_words, coalesce(removed, 0)::BIGINT AS n_lines_removed, coalesce(lost, 0)::BIGINT AS lost_chars
   FROM w LEFT JOIN ls USING (rid) LEFT JOIN r USING (rid))
