@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op3_line_rules, op8_html_text
+from tidemark.llm import op3_line_rules, op4_token_counts, op5_packing, op8_html_text, op9_licenses
 
 QUERIES = {
     "op3_line_rules": op3_line_rules.op3_line_rules,
+    "op4_token_counts": op4_token_counts.op4_token_counts,
+    "op5_packing": op5_packing.op5_packing,
     "op8_html_text": op8_html_text.op8_html_text,
+    "op9_licenses": op9_licenses.op9_licenses,
 }
 
 ORACLE = {
