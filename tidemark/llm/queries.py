@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op3_line_rules, op4_token_counts, op5_packing, op8_html_text, op9_licenses
+from tidemark.llm import (
+    op1_mixing,
+    op2_ann,
+    op3_line_rules,
+    op4_token_counts,
+    op5_packing,
+    op8_html_text,
+    op9_licenses,
+)
 
 QUERIES = {
+    "op1_mixing": op1_mixing.op1_mixing,
+    "op2_ann": op2_ann.op2_ann,
     "op3_line_rules": op3_line_rules.op3_line_rules,
     "op4_token_counts": op4_token_counts.op4_token_counts,
     "op5_packing": op5_packing.op5_packing,
