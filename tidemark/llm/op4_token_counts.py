@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import table
+from tidemark.llm.common import stored, table
 from tidemark.llm.encode import encoder, public_tokenizer
 from tidemark.session import scratch_path
 
@@ -81,7 +81,10 @@ def token_counts(docs: DataFrame, cache: str, tokenizer: str | None = None,
                                 "n_tokens": [len(x) // 4 for x in e.ids(own["text"].tolist())]})
 
     to_encode.mapInPandas(encode, CACHE_SCHEMA).write.mode("append").parquet(folder)
-    return narrow.join(_cache(spark, folder), "digest", "left").select("doc_id", "n_bytes", "n_tokens")
+    # the counts of these digests, stored: a join of two plain scans, in which
+    # Spark splits the rows of a digest that many documents share
+    counts = stored(_cache(spark, folder).join(narrow.select("digest").distinct(), "digest", "left_semi"), "counts")
+    return narrow.hint("merge").join(counts, "digest", "left").select("doc_id", "n_bytes", "n_tokens")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str, limit: int = 1024) -> DataFrame:
