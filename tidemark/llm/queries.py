@@ -8,8 +8,10 @@ from tidemark.llm import (
     op3_line_rules,
     op4_token_counts,
     op5_packing,
+    op6_line_crf,
     op8_html_text,
     op9_licenses,
+    op10_ngram_join,
 )
 
 QUERIES = {
@@ -18,10 +20,13 @@ QUERIES = {
     "op3_line_rules": op3_line_rules.op3_line_rules,
     "op4_token_counts": op4_token_counts.op4_token_counts,
     "op5_packing": op5_packing.op5_packing,
+    "op6_line_crf": op6_line_crf.op6_line_crf,
     "op8_html_text": op8_html_text.op8_html_text,
     "op9_licenses": op9_licenses.op9_licenses,
+    "op10_ngram_join": op10_ngram_join.op10_ngram_join,
 }
 
 ORACLE = {
     "op3_line_rules": op3_line_rules.SQL,
+    "op10_ngram_join": op10_ngram_join.SQL,
 }
