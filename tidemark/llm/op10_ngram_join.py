@@ -28,9 +28,8 @@ exactly, in integers: 100 * intersection >= percent * union.
 
 Defined results: a null text or one without words has an empty set, is linked
 with nothing and is its own component; with fewer words than a shingle, the
-whole sequence is one shingle; repeated rows of an id count once, and of an id with
-several texts the text with the smallest digest stands for it; rows with a
-null id are left out, as they name no document; an empty table gives an empty
+whole sequence is one shingle; repeated rows of an id count once, and an id with
+several texts is linked through each of them; rows with a null id are left out, as they name no document; an empty table gives an empty
 result; other columns are ignored.
 """
 
@@ -211,157 +210,200 @@ def probe_keys(n: int, parts, b: Band, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def sets_of(docs: DataFrame, j: Join) -> DataFrame:
-    """doc_id, n_shingles, digest (of the whole set), s (its shingles)."""
+def class_of(s: np.ndarray) -> int:
+    """A set's class: 61 bits of its digest; the empty set's is 0."""
+    return (xxhash.xxh3_64_intdigest(s.tobytes()) >> 3) | 1 if len(s) else 0
+
+
+def classes_of(docs: DataFrame, j: Join) -> DataFrame:
+    """doc_id, h (digest of the text), n_shingles, cls of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digest = WordHash()
         for b in batches:
             sets = [shingle_set(t, j.shingle, digest) for t in b["text"]]
-            raw = [x.tobytes() for x in sets]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": [len(x) for x in sets],
-                                "digest": [xxhash.xxh3_128_digest(r) for r in raw], "s": raw})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "h": b["h"], "n_shingles": [len(x) for x in sets],
+                                "cls": [class_of(x) for x in sets]})
+
+    return docs.mapInPandas(run, "doc_id long, h long, n_shingles long, cls long")
 
-    return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, n_shingles long, digest binary, s binary")
 
+#: A key's row beside the key is one number: the class above the lowest bit
+#: (set if it looks under the key), and above it whether it only looks.
+ONLY = 1 << 62
 
-def keys_of(classes: DataFrame, j: Join) -> DataFrame:
-    """key, cls, n, found, probe: the keys of every class, and whether it is
-    found under them (index), looks under them (probe), or both.  Sets so small
-    that only an equal one can be linked write none."""
+
+def keys_of(docs: DataFrame, j: Join) -> DataFrame:
+    """key, val: under which keys every set is found (index), looks (probe), or
+    both.  Sets so small that only an equal one can be linked write none; copies
+    write equal rows."""
+    least = next(n for n in range(1, 1000) if longest(n, j.percent) > n)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = WordHash()
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
-                keys, found, probe, sizes = [], [], [], []
-                for raw in part["s"]:
-                    s = np.frombuffer(raw, _U)
+            texts = batch["text"].drop_duplicates().tolist()
+            for at in range(0, len(texts), 500):
+                keys, vals = [], []
+                for text in texts[at : at + 500]:
+                    s = shingle_set(text, j.shingle, digest)
+                    if len(s) < least:
+                        continue
                     own = band_of(len(s), j.percent)
                     parts = segment_keys(s, own)
                     index, looks = index_keys(parts, own), probe_keys(len(s), parts, own, j.percent)
-                    both = np.isin(index, looks)
                     other = looks[~np.isin(looks, index)]
                     if longest(len(s), j.percent) > own.high:
                         up = band_of(own.high + 1, j.percent)
                         other = np.concatenate([other, probe_keys(len(s), segment_keys(s, up), up, j.percent)])
+                    cls = class_of(s) << 1
                     keys += [index, other]
-                    found += [np.ones(len(index), bool), np.zeros(len(other), bool)]
-                    probe += [both, np.ones(len(other), bool)]
-                    sizes.append(len(index) + len(other))
+                    vals += [cls + np.isin(index, looks).astype(np.int64), np.full(len(other), cls + 1 + ONLY, np.int64)]
                 if keys:
-                    yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64),
-                                        "cls": np.repeat(part["cls"].to_numpy(), sizes),
-                                        "n": np.repeat(part["n_shingles"].to_numpy().astype(np.int32), sizes),
-                                        "found": np.concatenate(found), "probe": np.concatenate(probe)})
+                    yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "val": np.concatenate(vals)})
 
-    least = next(n for n in range(1, 1000) if longest(n, j.percent) > n)
-    return classes.where(F.col("n_shingles") >= least).select("cls", "n_shingles", "s").mapInPandas(
-        run, "key long, cls long, n int, found boolean, probe boolean")
+    return docs.select("text").mapInPandas(run, "key long, val long")
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
-    """The rows of the keys under which some class is found and another one is
-    found or looks, with the smallest class found there (rep, of size m).
+    """key, cls, found, probe, rep: the distinct rows of the keys under which
+    some class is found and another one is found or looks, with the smallest
+    class found there.
 
     One shuffle and sort by key; a key's rows stream past, so a key that very
     many classes share needs no memory of its own.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None  # the last key's rows, while they are of one class
-        open_: tuple | None = None  # or the last key with its rep, when it is known to be shared
+        held_key = held_val = np.empty(0, np.int64)  # the last key's rows, while they are of one class
+        shared: tuple | None = None  # or the last key, its smallest class and its last row, once it is known to be shared
         for b in batches:
-            if held is not None:
-                b, held = pd.concat([held, b], ignore_index=True), None
-            if not len(b):
+            key, val = np.append(held_key, b["key"].to_numpy()), np.append(held_val, b["val"].to_numpy())
+            held_key = held_val = key[:0]
+            if not len(key):
                 continue
-            key, cls = b["key"].to_numpy(), b["cls"].to_numpy()
+            fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (val[1:] != val[:-1])])
+            goes_on = shared is not None and shared[0] == key[0]
+            if goes_on and shared[2] == val[0]:
+                fresh[0] = False
+                if not fresh.any():
+                    continue
+            key, val = key[fresh], val[fresh]
+            cls = (val & (ONLY - 1)) >> 1
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(b))))
-            rep, m, is_found = cls[first].copy(), b["n"].to_numpy()[first].copy(), b["found"].to_numpy()[first].copy()
-            if open_ is not None and open_[0] == key[0]:
-                rep[0], m[0], is_found[0] = open_[1], open_[2], True
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
+            rep, found = cls[first].copy(), val[first] < ONLY
+            goes_on = shared is not None and shared[0] == key[0]
+            if goes_on:
+                rep[0], found[0] = shared[1], True
             has = np.logical_or.reduceat(cls != rep[group], first)
-            if open_ is not None and open_[0] == key[0]:
-                has[0] = True
-            last = len(first) - 1
-            keep = (has & is_found)[group]
-            if is_found[last] and not has[last]:
-                held, open_ = b.iloc[first[last]:], None
-            else:
-                open_ = (key[-1], rep[last], m[last]) if is_found[last] else None
-                if not is_found[last]:  # only probes: more of them may follow, and are dropped as well
-                    open_ = None
-            yield b[keep].assign(rep=rep[group[keep]], m=m[group[keep]])
+            has[0] |= goes_on
+            shared = None
+            if found[-1]:
+                if has[-1]:
+                    shared = (key[-1], rep[-1], val[-1])
+                else:
+                    held_key, held_val = key[first[-1]:], val[first[-1]:]
+            keep = (has & found)[group]
+            yield pd.DataFrame({"key": key[keep], "cls": cls[keep], "found": val[keep] < ONLY,
+                                "probe": (val[keep] & 1) == 1, "rep": rep[group[keep]]})
 
     n = max(1, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (keys.repartition(n, "key").sortWithinPartitions("key", F.col("found").desc(), "cls")
-            .mapInPandas(run, "key long, cls long, n int, found boolean, probe boolean, rep long, m int"))
-
-
-def verified(pairs: DataFrame, classes: DataFrame, j: Join) -> DataFrame:
-    """The pairs (a, b) of classes that are linked."""
-    one = classes.select(F.col("cls").alias("a"), F.col("s").alias("sa"))
-    two = classes.select(F.col("cls").alias("b"), F.col("s").alias("sb"))
+    return (keys.repartition(n, "key").sortWithinPartitions("key", "val")
+            .mapInPandas(run, "key long, cls long, found boolean, probe boolean, rep long"))
+
+
+#: Bits of the table that keeps texts out of a shuffle for which no pair asks:
+#: 1 MB, whatever the number of documents.
+BITS = 1 << 23
+
+
+def asked_only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose doc_id is not in ``ids``: a bit table of
+    fixed size, which passes all of ``ids`` and a few others."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
+    words = (ids.select(bit(F.col("doc_id")).alias("b"))
+             .groupBy(F.floor(F.col("b") / 64).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits")))
+    every = ids.sparkSession.range(BITS // 64).select(F.col("id").cast("int").alias("w")).join(F.broadcast(words), "w", "left")
+    one = stored(every.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0)).alias("bits")))),
+                                       lambda x: x["bits"]).alias("table")), "bits")
+    at = bit(F.col("doc_id"))
+    return (docs.crossJoin(F.broadcast(one))
+            .where(F.getbit(F.element_at("table", (F.floor(at / 64) + 1).cast("int")), (at % 64).cast("int")) == 1).drop("table"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, j: Join, name: str) -> DataFrame:
+    """The pairs (a, b) of classes that are linked, by their documents' texts."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = stored(ids.join(asked, "cls", "left_semi").select("cls", "doc_id", "h"), f"{name}-wanted")
+    # repeated rows of a document stand in the same task already
+    texts = stored(asked_only(docs, wanted).hint("merge").join(wanted, ["doc_id", "h"])
+                   .groupBy("doc_id", "h", "cls").agg(F.min("text").alias("text")).select("cls", "text"), f"{name}-texts")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = WordHash()
         for p in batches:
             keep = []
-            for x, y in zip(p["sa"], p["sb"]):
-                x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
-                if len(x) > len(y):
-                    x, y = y, x
+            known: dict[int, np.ndarray] = {}
+            for a, x, b, y in zip(p["a"].tolist(), p["ta"], p["b"].tolist(), p["tb"]):
+                for c, t in ((a, x), (b, y)):
+                    if c not in known:
+                        known[c] = shingle_set(t, j.shingle, digest)
+                x, y = sorted((known[a], known[b]), key=len)
                 at = np.searchsorted(y, x)
                 at[at == len(y)] = 0
                 both = int(np.count_nonzero(y[at] == x))
                 keep.append(100 * both >= j.percent * (len(x) + len(y) - both))
+                if len(known) > 2000:
+                    known.clear()
             yield p.loc[np.array(keep, bool), ["a", "b"]]
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long")
+    return (pairs.hint("merge").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a")
+            .hint("merge").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b")
+            .select("a", "ta", "b", "tb").mapInPandas(run, "a long, b long"))
 
 
 def linked(docs: DataFrame, j: Join = Join(), name: str = "ngram") -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    sets = stored(sets_of(docs, j), f"{name}-sets")
-    # equal sets are one class, named by its smallest document
-    ids = stored(sets.groupBy("digest").agg(F.min("doc_id").alias("cls"), F.max("n_shingles").alias("n")), f"{name}-classes")
-    member = (sets.select("doc_id", "digest", "n_shingles").join(ids.select("digest", "cls"), "digest")
-              .where("n_shingles > 0").select("doc_id", "n_shingles", "cls"))
-    # an id with several texts is one class; its smallest digest stands for it
-    named = ids.where("n > 0").groupBy("cls").agg(F.min("digest").alias("d"))
-    classes = stored(
-        sets.where("n_shingles > 0").hint("merge")
-        .join(named, (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("cls")), "left_semi")
-        .select(F.col("doc_id").alias("cls"), "n_shingles", "s").dropDuplicates(["cls"]), f"{name}-representatives")
-
-    low = F.expr("percent * greatest(n, m) <= 100 * least(n, m)".replace("percent", str(j.percent)))
-    live = stored(shared_keys(keys_of(classes, j)), f"{name}-shared")
+    docs = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    members = stored(classes_of(docs, j), f"{name}-members")
+    # equal sets are one class; its smallest document stands for it
+    ids = stored(members.where("cls <> 0").groupBy("cls").agg(F.min(F.struct("doc_id", "h")).alias("r"), F.max("n_shingles").alias("n"))
+                 .select("cls", F.col("r.doc_id").alias("doc_id"), F.col("r.h").alias("h"), "n"), f"{name}-classes")
+    live = stored(shared_keys(keys_of(docs, j)), f"{name}-shared")
 
     # each probe with one member of the key's index: no more candidates than probes
-    star = (live.where(F.col("probe") & (F.col("cls") != F.col("rep")) & low)
-            .select(F.least("cls", "rep").alias("a"), F.greatest("cls", "rep").alias("b")).distinct())
-    first = stored(verified(star, classes, j), f"{name}-star")
+    pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    sized = lambda p: stored(  # noqa: E731  pairs whose sizes allow a link
+        p.join(ids.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a")
+        .join(ids.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
+        .where(j.percent * F.greatest("na", "nb") <= 100 * F.least("na", "nb")).select("a", "b"), f"{name}-pairs")
+    star = sized(live.where(F.col("probe") & (F.col("cls") != F.col("rep")))
+                 .select(F.col("cls").alias("x"), F.col("rep").alias("y")).select(*pair).distinct())
+    first = stored(verified(star, docs, ids, j, name), f"{name}-star")
     comp = components(first, f"{name}-components")
 
     # under a key, pairs of which both are not yet in one component
-    named = (live.select("key", "cls", "n", "found", "probe").join(comp, F.col("cls") == F.col("node"), "left")
-             .select("key", "cls", "n", "found", "probe", F.coalesce("root", "cls").alias("root")))
-    mixed_keys = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    rest = stored(named.join(mixed_keys, "key"), f"{name}-rest")
-    probes = rest.where("probe").select("key", F.col("cls").alias("a"), "n", F.col("root").alias("ra"))
-    found = rest.where("found").select("key", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb"))
-    pairs = (probes.hint("merge").join(found, "key").where((F.col("ra") != F.col("rb")) & low)
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(star, ["a", "b"], "left_anti"))
-    second = stored(verified(pairs, classes, j), f"{name}-more")
+    named = (live.select("key", "cls", "found", "probe").join(comp, F.col("cls") == F.col("node"), "left")
+             .select("key", "cls", "found", "probe", F.coalesce("root", "cls").alias("root")))
+    apart = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
+    rest = stored(named.join(apart, "key", "left_semi"), f"{name}-rest")
+    probes = rest.where("probe").select("key", F.col("cls").alias("x"), F.col("root").alias("rx"))
+    found = rest.where("found").select("key", F.col("cls").alias("y"), F.col("root").alias("ry"))
+    more = sized(probes.hint("merge").join(found, "key").where("rx <> ry").select(*pair).distinct()
+                 .join(star, ["a", "b"], "left_anti"))
+    second = stored(verified(more, docs, ids, j, name), f"{name}-more")
     root = components(first.unionAll(second), f"{name}-components")
 
-    out = (member.join(root, F.col("cls") == F.col("node"), "left")
-           .select("doc_id", "n_shingles", F.coalesce("root", "cls").alias("component_id")))
-    empty = sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.unionAll(empty).groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"),
-                                                      F.min("component_id").alias("component_id"))
+    placed = stored(ids.select("cls", "doc_id").join(root, F.col("cls") == F.col("node"), "left")
+                    .select("cls", "doc_id", F.coalesce("root", "cls").alias("root")), f"{name}-roots")
+    smallest = stored(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), f"{name}-smallest")
+    named = stored(placed.hint("merge").join(smallest, "root").select("cls", "component_id"), f"{name}-named")
+    out = (members.hint("merge").join(named, "cls", "left")
+           .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    return out.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
