@@ -45,10 +45,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_RE, stored, table
+from tidemark.llm.common import stored, table
 from tidemark.llm.components import components
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _U = np.uint64
 
 
@@ -68,17 +67,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """64-bit digests of words, kept for a bounded number of them."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > 300_000:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
 def shingle_set(text: str | None, size: int, digest: WordHash) -> np.ndarray:
     """The sorted digests of a text's distinct shingles."""
-    text = text or ""
-    words = WORD_RE.findall(text.lower() if text.isascii() else text.translate(_LOWER))
+    # of bytes, lower() takes A-Z only and split() the six white-space characters
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, _U)
     w = np.fromiter(map(digest.__getitem__, words), _U, len(words))
@@ -89,6 +88,19 @@ def shingle_set(text: str | None, size: int, digest: WordHash) -> np.ndarray:
     return np.unique(key)
 
 
+#: Words of 64 bits in a set's parity sketch.
+SKETCH = 8
+
+
+def sketch_of(s: np.ndarray) -> np.ndarray:
+    """Parities of the counts of elements in 512 cells.  An element that only
+    one of two sets holds flips one bit, so sketches differ in no more bits than
+    the sets do in elements."""
+    at = (mixed(s ^ _U(0xA0761D6478BD642F)) & _U(64 * SKETCH - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def longest(n: int, percent: int) -> int:
     """The largest size that a set of ``n`` can be linked with."""
     return n * 100 // percent
@@ -147,15 +159,21 @@ def allocated(size: int, units: int) -> tuple[int, int]:
     return best[1], best[2]
 
 
-def segment_keys(s: np.ndarray, b: Band) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def spread(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every element, the number that keys add up and the one that picks its
+    segment."""
+    return mixed(s + _U(0x632BE59BD9B4E019)), mixed(s ^ _U(0xD6E8FEB86659FD93))
+
+
+def segment_keys(spread_: tuple, b: Band) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """(size of each segment, its key, the keys of its one-deletion
     neighbours).  A subset's key is a sum, so an element is deleted by
     subtracting it."""
-    h = mixed(s + _U(0x632BE59BD9B4E019))
-    seg = (mixed(s ^ _U(0xD6E8FEB86659FD93)) % _U(b.segments)).astype(np.int64)
-    order = np.argsort(seg, kind="stable")
-    h, seg = h[order], seg[order]
+    h, pick = spread_
+    seg = (pick % _U(b.segments)).astype(np.int64)
     size = np.bincount(seg, minlength=b.segments)
+    order = np.argsort(seg, kind="stable")
+    h = h[order]
     ends = np.cumsum(size)
     sums = np.concatenate([np.zeros(1, _U), np.cumsum(h, dtype=_U)])
     total = sums[ends] - sums[ends - size]
@@ -175,39 +193,35 @@ def index_keys(parts, b: Band) -> np.ndarray:
     return np.concatenate([key ^ WHOLE, *(x ^ LESS for x in less)])
 
 
-def probe_keys(n: int, parts, b: Band, percent: int) -> np.ndarray:
-    """The keys under which a set looks for sets of band ``b``: units enough
-    for the largest difference possible, the cheapest first."""
+def probes(n: int, parts, b: Band, percent: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The segments whose whole subsets a set looks up in band ``b``, and the
+    further keys it looks under: units enough for the largest difference
+    possible, the cheapest first."""
     top = min(b.high, longest(n, percent))
     need = difference(n, top, percent) + 1
     size, key, less = parts
     # one unit of each segment that holds something, the largest first; then the
     # second unit of those that stay non-empty; then what is left
-    out, got = [], 0
     order = np.argsort(-size, kind="stable")
-    full = order[size[order] > 0]
-    take = full[:need]
-    out.append(key[take] ^ WHOLE)
-    got += len(take)
-    if got < need:
-        for i in order:
-            if got >= need:
-                break
-            if i < b.deleting and size[i] >= 2:
-                out += [key[i : i + 1] ^ LESS, less[i] ^ WHOLE]
-                got += 1
+    take = order[:need]
+    if size[take[-1]] > 0 and len(take) == need:
+        return take, []
+    take, more = order[size[order] > 0], []
+    got = len(take)
+    second = [i for i in range(b.deleting) if size[i] >= 2]
+    empty = order[size[order] == 0]
+    for i in second[: max(0, need - got)]:
+        more += [key[i : i + 1] ^ LESS, less[i] ^ WHOLE]
+        got += 1
     if got < need:
-        empty = order[size[order] == 0]
-        out.append(key[empty] ^ WHOLE)
-        got += len(empty)
-    if got < need:
-        for i in range(b.deleting):
-            if size[i] < 2:
-                out += [key[i : i + 1] ^ LESS, less[i] ^ WHOLE]
-                got += 1
+        take, got = np.concatenate([take, empty]), got + len(empty)
+    for i in range(b.deleting):
+        if got < need and size[i] < 2:
+            more += [key[i : i + 1] ^ LESS, less[i] ^ WHOLE]
+            got += 1
     if got < need:
         raise AssertionError("a band allocates too few units")
-    return np.concatenate(out)
+    return take, more
 
 
 def class_of(s: np.ndarray) -> int:
@@ -215,60 +229,68 @@ def class_of(s: np.ndarray) -> int:
     return (xxhash.xxh3_64_intdigest(s.tobytes()) >> 3) | 1 if len(s) else 0
 
 
-def classes_of(docs: DataFrame, j: Join) -> DataFrame:
-    """doc_id, h (digest of the text), n_shingles, cls of every row."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        digest = WordHash()
-        for b in batches:
-            sets = [shingle_set(t, j.shingle, digest) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "h": b["h"], "n_shingles": [len(x) for x in sets],
-                                "cls": [class_of(x) for x in sets]})
-
-    return docs.mapInPandas(run, "doc_id long, h long, n_shingles long, cls long")
-
-
 #: A key's row beside the key is one number: the class above the lowest bit
 #: (set if it looks under the key), and above it whether it only looks.
 ONLY = 1 << 62
+#: A document's own row has the class as that number, less this one.
+MEMBER = -(1 << 63)
 
 
-def keys_of(docs: DataFrame, j: Join) -> DataFrame:
-    """key, val: under which keys every set is found (index), looks (probe), or
-    both.  Sets so small that only an equal one can be linked write none; copies
-    write equal rows."""
+def rows_of(docs: DataFrame, j: Join) -> DataFrame:
+    """key, val, body.  Of every set, under which keys it is found (index),
+    looks (probe), or both; copies write equal rows, and sets so small that only
+    an equal one can be linked write none.  Of every document one row with a
+    body: its id, its text's digest, its set's size and sketch."""
     least = next(n for n in range(1, 1000) if longest(n, j.percent) > n)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digest = WordHash()
         for batch in batches:
-            texts = batch["text"].drop_duplicates().tolist()
-            for at in range(0, len(texts), 500):
-                keys, vals = [], []
-                for text in texts[at : at + 500]:
+            seen: set[int] = set()
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
+                keys, vals, own_keys, own_vals, bodies = [], [], [], [], []
+                for doc_id, h, text in zip(part["doc_id"].tolist(), part["h"].tolist(), part["text"]):
                     s = shingle_set(text, j.shingle, digest)
-                    if len(s) < least:
+                    cls = class_of(s)
+                    own_keys.append(h)
+                    own_vals.append(MEMBER + cls)
+                    bodies.append(np.concatenate([np.array([doc_id, h, len(s)], np.int64), sketch_of(s)]).tobytes())
+                    if len(s) < least or cls in seen:
                         continue
+                    seen.add(cls)
+                    cls <<= 1
+                    apart = spread(s)
                     own = band_of(len(s), j.percent)
-                    parts = segment_keys(s, own)
-                    index, looks = index_keys(parts, own), probe_keys(len(s), parts, own, j.percent)
-                    other = looks[~np.isin(looks, index)]
+                    parts = segment_keys(apart, own)
+                    looks, more = probes(len(s), parts, own, j.percent)
+                    index = index_keys(parts, own)
+                    flags = np.full(len(index), cls, np.int64)
+                    flags[looks] += 1
+                    keys.append(index)
+                    vals.append(flags)
                     if longest(len(s), j.percent) > own.high:
                         up = band_of(own.high + 1, j.percent)
-                        other = np.concatenate([other, probe_keys(len(s), segment_keys(s, up), up, j.percent)])
-                    cls = class_of(s) << 1
-                    keys += [index, other]
-                    vals += [cls + np.isin(index, looks).astype(np.int64), np.full(len(other), cls + 1 + ONLY, np.int64)]
-                if keys:
-                    yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "val": np.concatenate(vals)})
+                        parts = segment_keys(apart, up)
+                        looks, further = probes(len(s), parts, up, j.percent)
+                        more = [*more, parts[1][looks] ^ WHOLE, *further]
+                    if more:
+                        keys += more
+                        vals.append(np.full(sum(map(len, more)), cls + 1 + ONLY, np.int64))
+                key = np.concatenate([np.array(own_keys, np.int64), *(k.view(np.int64) for k in keys)])
+                yield pd.DataFrame({"key": key, "val": np.concatenate([np.array(own_vals, np.int64), *vals]),
+                                    "body": np.array(bodies + [None] * (len(key) - len(bodies)), object)})
+
+    return docs.mapInPandas(run, "key long, val long, body binary")
 
-    return docs.select("text").mapInPandas(run, "key long, val long")
 
+_LIVE = "key long, cls long, found boolean, probe boolean, rep long"
 
-def shared_keys(keys: DataFrame) -> DataFrame:
+
+def shared_keys(rows: DataFrame) -> DataFrame:
     """key, cls, found, probe, rep: the distinct rows of the keys under which
     some class is found and another one is found or looks, with the smallest
-    class found there.
+    class found there.  The documents' own rows pass, with their body.
 
     One shuffle and sort by key; a key's rows stream past, so a key that very
     many classes share needs no memory of its own.
@@ -278,6 +300,11 @@ def shared_keys(keys: DataFrame) -> DataFrame:
         held_key = held_val = np.empty(0, np.int64)  # the last key's rows, while they are of one class
         shared: tuple | None = None  # or the last key, its smallest class and its last row, once it is known to be shared
         for b in batches:
+            own = b["body"].notna()
+            if own.any():
+                yield pd.DataFrame({"key": None, "cls": b["val"][own] - MEMBER, "found": None, "probe": None, "rep": None,
+                                    "body": b["body"][own]}).astype({"key": "Int64", "rep": "Int64"})
+                b = b[~own]
             key, val = np.append(held_key, b["key"].to_numpy()), np.append(held_val, b["val"].to_numpy())
             held_key = held_val = key[:0]
             if not len(key):
@@ -306,11 +333,33 @@ def shared_keys(keys: DataFrame) -> DataFrame:
                     held_key, held_val = key[first[-1]:], val[first[-1]:]
             keep = (has & found)[group]
             yield pd.DataFrame({"key": key[keep], "cls": cls[keep], "found": val[keep] < ONLY,
-                                "probe": (val[keep] & 1) == 1, "rep": rep[group[keep]]})
+                                "probe": (val[keep] & 1) == 1, "rep": rep[group[keep]], "body": None})
+
+    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(n, "key").sortWithinPartitions("key", "val").mapInPandas(run, f"{_LIVE}, body binary")
+
+
+def unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        x = np.frombuffer(b"".join(b["body"]), np.int64).reshape(len(b), 3 + SKETCH)
+        yield pd.DataFrame({"cls": b["cls"].to_numpy(), "doc_id": x[:, 0], "h": x[:, 1], "n_shingles": x[:, 2]}
+                           | {f"k{i}": x[:, 3 + i] for i in range(SKETCH)})
+
+
+_KS = [f"k{i}" for i in range(SKETCH)]
+_MEMBERS = "cls long, doc_id long, h long, n_shingles long, " + ", ".join(f"{k} long" for k in _KS)
+
+
+def may_link(x: str, y: str, percent: int) -> F.Column:
+    """Whether sets of sizes x_n and y_n with sketches x_k0 ... can be linked."""
+    n, m = F.col(f"{x}_n"), F.col(f"{y}_n")
+    apart = sum((F.bit_count(F.col(f"{x}_{k}").bitwiseXOR(F.col(f"{y}_{k}"))) for k in _KS), F.lit(0))
+    return (percent * F.greatest(n, m) <= 100 * F.least(n, m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
+
 
-    n = max(1, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (keys.repartition(n, "key").sortWithinPartitions("key", "val")
-            .mapInPandas(run, "key long, cls long, found boolean, probe boolean, rep long"))
+def shaped(ids: DataFrame, x: str) -> DataFrame:
+    """A class, its size and sketch, under the names of side ``x`` of a pair."""
+    return ids.select(F.col("cls").alias(x), F.col("n").alias(f"{x}_n"), *(F.col(k).alias(f"{x}_{k}") for k in _KS))
 
 
 #: Bits of the table that keeps texts out of a shuffle for which no pair asks:
@@ -368,20 +417,19 @@ def linked(docs: DataFrame, j: Join = Join(), name: str = "ngram") -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     docs = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    members = stored(classes_of(docs, j), f"{name}-members")
+    rows = stored(shared_keys(rows_of(docs, j)), f"{name}-rows")
+    members = stored(rows.where("body is not null").select("cls", "body").mapInPandas(unpacked, _MEMBERS), f"{name}-members")
     # equal sets are one class; its smallest document stands for it
-    ids = stored(members.where("cls <> 0").groupBy("cls").agg(F.min(F.struct("doc_id", "h")).alias("r"), F.max("n_shingles").alias("n"))
-                 .select("cls", F.col("r.doc_id").alias("doc_id"), F.col("r.h").alias("h"), "n"), f"{name}-classes")
-    live = stored(shared_keys(keys_of(docs, j)), f"{name}-shared")
+    ids = stored(members.where("cls <> 0").groupBy("cls").agg(
+        F.min(F.struct("doc_id", "h")).alias("r"), F.max("n_shingles").alias("n"), *(F.max(k).alias(k) for k in _KS))
+        .select("cls", F.col("r.doc_id").alias("doc_id"), F.col("r.h").alias("h"), "n", *_KS), f"{name}-classes")
+    live = rows.where("body is null").select("key", "cls", "found", "probe", "rep")
 
     # each probe with one member of the key's index: no more candidates than probes
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    sized = lambda p: stored(  # noqa: E731  pairs whose sizes allow a link
-        p.join(ids.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a")
-        .join(ids.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
-        .where(j.percent * F.greatest("na", "nb") <= 100 * F.least("na", "nb")).select("a", "b"), f"{name}-pairs")
-    star = sized(live.where(F.col("probe") & (F.col("cls") != F.col("rep")))
-                 .select(F.col("cls").alias("x"), F.col("rep").alias("y")).select(*pair).distinct())
+    tied = live.where(F.col("probe") & (F.col("cls") != F.col("rep"))).select(F.col("cls").alias("x"), F.col("rep").alias("y"))
+    star = stored(tied.select(*pair).distinct().join(shaped(ids, "a"), "a").join(shaped(ids, "b"), "b")
+                  .where(may_link("a", "b", j.percent)).select("a", "b"), f"{name}-star-pairs")
     first = stored(verified(star, docs, ids, j, name), f"{name}-star")
     comp = components(first, f"{name}-components")
 
@@ -390,10 +438,10 @@ def linked(docs: DataFrame, j: Join = Join(), name: str = "ngram") -> DataFrame:
              .select("key", "cls", "found", "probe", F.coalesce("root", "cls").alias("root")))
     apart = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
     rest = stored(named.join(apart, "key", "left_semi"), f"{name}-rest")
-    probes = rest.where("probe").select("key", F.col("cls").alias("x"), F.col("root").alias("rx"))
-    found = rest.where("found").select("key", F.col("cls").alias("y"), F.col("root").alias("ry"))
-    more = sized(probes.hint("merge").join(found, "key").where("rx <> ry").select(*pair).distinct()
-                 .join(star, ["a", "b"], "left_anti"))
+    looks = rest.where("probe").select("key", F.col("cls").alias("x"), F.col("root").alias("rx")).join(shaped(ids, "x"), "x")
+    found = rest.where("found").select("key", F.col("cls").alias("y"), F.col("root").alias("ry")).join(shaped(ids, "y"), "y")
+    more = stored(looks.hint("merge").join(found, (looks["key"] == found["key"]) & (F.col("rx") != F.col("ry")) & may_link("x", "y", j.percent))
+                  .select(*pair).distinct().join(star, ["a", "b"], "left_anti"), f"{name}-pairs")
     second = stored(verified(more, docs, ids, j, name), f"{name}-more")
     root = components(first.unionAll(second), f"{name}-components")
 
