@@ -9,6 +9,7 @@ from tidemark.llm import (
     op4_token_counts,
     op5_packing,
     op6_line_crf,
+    op7_line_dedup,
     op8_html_text,
     op9_licenses,
     op10_ngram_join,
@@ -21,6 +22,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts.op4_token_counts,
     "op5_packing": op5_packing.op5_packing,
     "op6_line_crf": op6_line_crf.op6_line_crf,
+    "op7_line_dedup": op7_line_dedup.op7_line_dedup,
     "op8_html_text": op8_html_text.op8_html_text,
     "op9_licenses": op9_licenses.op9_licenses,
     "op10_ngram_join": op10_ngram_join.op10_ngram_join,
@@ -28,5 +30,6 @@ QUERIES = {
 
 ORACLE = {
     "op3_line_rules": op3_line_rules.SQL,
+    "op7_line_dedup": op7_line_dedup.SQL,
     "op10_ngram_join": op10_ngram_join.SQL,
 }
