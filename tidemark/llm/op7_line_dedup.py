@@ -4,7 +4,8 @@ A line is the set of its distinct words.  Its words are ordered by rarity, the
 rarest first; two lines of Jaccard similarity s or more must then share a word
 among their first n - ceil(s n) + 1 (prefix filter), at places that leave room
 for enough common words (positional filter), and their sizes differ little
-(length filter).  The pairs left are verified exactly.  A line is removed when
+(length filter); a 64-bit sketch of each set bounds the difference from below.
+The pairs left are verified exactly.  A line is removed when
 an earlier one (by document id, then by place) equals or resembles it.
 
 Only DataFrame functions are used.  A word is a 64-bit digest; its rarity is the
@@ -67,17 +68,23 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def words_of(line) -> Column:
     """The digests of a line's distinct words."""
-    return F.array_distinct(F.transform(F.split(line, r"[\x20\x09-\x0D]+", -1), lambda w: F.xxhash64(w)))
+    # a split at one plain character needs no regular expression; lines with
+    # other white space than spaces take the slower way
+    odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
+    parts = F.when(odd, F.split(line, r"[\x20\x09-\x0D]+", -1)).otherwise(F.split(line, " ", -1))
+    return F.array_remove(F.array_distinct(F.transform(parts, lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def cell(word, bits: int) -> Column:
     return F.shiftrightunsigned(word, 64 - bits).cast("int")
 
 
-def rarity(words: DataFrame, bits: int) -> bytes:
+def rarity(docs: DataFrame, bits: int) -> bytes:
     """The level of every cell, one byte each; three levels double the count.
-    The table's size is fixed by ``bits``, whatever the corpus."""
-    count = words.select(F.explode("words").alias("w")).groupBy(cell(F.col("w"), bits).alias("c")).agg(F.count("*").alias("n"))
+    The table's size is fixed by ``bits``, whatever the corpus.  Any levels give
+    the same pairs, so words are parted at spaces alone here."""
+    word = docs.select(F.explode(F.split("text", " ", -1)).alias("w")).select(cell(F.xxhash64("w"), bits).alias("c"))
+    count = word.groupBy("c").agg(F.count("*").alias("n"))
     level = F.least(F.floor(F.log2(F.col("n") + 1.0) * 3), F.lit(126)).cast("int")
     out = bytearray(1 << bits)
     for c, n in count.select("c", level).collect():  # at most 2^bits rows of two small numbers
@@ -95,6 +102,18 @@ def ordered_set(words, levels: bytes, bits: int) -> Column:
     return F.sort_array(F.transform(words, number))
 
 
+def sketch(s) -> Column:
+    """Parities of the words' counts in 64 cells.  Sets differ in at least as
+    many words as their sketches do in bits."""
+    return F.aggregate(s, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def may_match(n, m, k, l, percent: int) -> Column:
+    """Length filter, and the sketches' bound on the difference."""
+    return ((percent * F.greatest(n, m) <= 100 * F.least(n, m))
+            & ((100 + percent) * F.bit_count(k.bitwiseXOR(l)) <= (100 - percent) * (n + m)))
+
+
 def place(doc, h, at) -> Column:
     """The order of lines: by id (nulls last), text, place."""
     return F.struct(doc.isNull().alias("last"), doc.alias("doc"), h.alias("h"), at.alias("at"))
@@ -110,15 +129,15 @@ def later_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: byte
     the whole sets."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = stored(classes.join(asked, "id", "left_semi").select("id", "doc", "h", "at"), f"{name}-wanted")
-    # a bit table of fixed size keeps most other lines out of the shuffle
-    bit = F.pmod(F.xxhash64("doc", "h", "at"), F.lit(_BITS))
+    # a bit table of fixed size keeps most other documents out
+    bit = F.pmod(F.xxhash64("doc", "h"), F.lit(_BITS))
     words = (wanted.select(bit.alias("b")).groupBy(F.floor(F.col("b") / 64).cast("int").alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits")))
     every = wanted.sparkSession.range(_BITS // 64).select(F.col("id").cast("int").alias("w")).join(words, "w", "left")
     bits = stored(every.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0)).alias("bits")))),
                                         lambda x: x["bits"]).alias("bits")), f"{name}-bits")
     near = F.getbit(F.element_at(bits.scalar(), (F.floor(bit / 64) + 1).cast("int")), (bit % 64).cast("int")) == 1
-    w, line = wanted.alias("w"), lines_of(docs).where(near).alias("l")
+    w, line = wanted.alias("w"), lines_of(docs.where(near)).alias("l")
     same = (F.col("w.h") == F.col("l.h")) & (F.col("w.at") == F.col("l.at")) & F.col("w.doc").eqNullSafe(F.col("l.doc"))
     sets = stored(line.join(w, same).select("w.id", "w.doc", "w.h", "w.at", ordered_set(words_of(F.col("line")), levels, p.cell_bits).alias("s"))
                   .dropDuplicates(["id"]), f"{name}-sets")
@@ -133,40 +152,41 @@ def later_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: byte
 def removed_lines(docs: DataFrame, p: Lines = Lines(), name: str = "lines") -> DataFrame:
     """doc, h, at of every line that an earlier line removes (``docs``: keyed)."""
     raw = lines_of(docs).select("doc", "h", "at", words_of(F.col("line")).alias("words")).where(F.size("words") >= p.min_words)
-    levels = rarity(raw, p.cell_bits)
+    levels = rarity(docs, p.cell_bits)
     n = F.size("s")
     prefix = n - F.floor((n * p.percent + 99) / F.lit(100)).cast("int") + 1
     sets = stored(raw.select("doc", "h", "at", ordered_set(F.col("words"), levels, p.cell_bits).alias("s"))
-                  .select("doc", "h", "at", F.xxhash64("s").alias("id"), n.alias("n"), F.slice("s", F.lit(1), prefix).alias("prefix")),
+                  .select("doc", "h", "at", F.xxhash64("s").alias("id"), n.alias("n"), sketch(F.col("s")).alias("k"),
+                          F.slice("s", F.lit(1), prefix).alias("prefix")),
                   f"{name}-sets")
 
     # one row per distinct set: its first line
-    first = F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "h", "at", "n", "prefix")).alias("f")
+    first = F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "h", "at", "n", "k", "prefix")).alias("f")
     classes = stored(sets.groupBy("id").agg(first, F.count("*").alias("lines")).select("id", "f.*", "lines"), f"{name}-classes")
 
     # below this size only an equal set is similar enough
     least = next(k for k in range(1, 10_000) if 100 * k >= p.percent * (k + 1))
-    posts = classes.where(F.col("n") >= least).select("id", "doc", "n", F.posexplode("prefix").alias("pos", "w"))
+    posts = classes.where(F.col("n") >= least).select("id", "doc", "n", "k", F.posexplode("prefix").alias("pos", "w"))
     lists = (posts.groupBy("w").agg(F.count("*").alias("c"), F.min_by("id", F.coalesce("doc", F.lit(2**63 - 1))).alias("rep"))
              .where("c > 1").select("w", "rep"))
-    live = stored(posts.hint("merge").join(lists, "w").select("id", "n", "pos", "w", "rep"), f"{name}-lists")
+    live = stored(posts.hint("merge").join(lists, "w").select("id", "n", "k", "pos", "w", "rep"), f"{name}-lists")
 
     # each line with the first one of its words' lists
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    sizes = classes.select(F.col("id").alias("rep"), F.col("n").alias("m"))
-    star = stored(live.where("id <> rep").select("id", "n", "rep").distinct().join(sizes, "rep")
-                  .where(p.percent * F.greatest("n", "m") <= 100 * F.least("n", "m"))
+    sizes = classes.select(F.col("id").alias("rep"), F.col("n").alias("m"), F.col("k").alias("l"))
+    star = stored(live.where("id <> rep").select("id", "n", "k", "rep").distinct().join(sizes, "rep")
+                  .where(may_match(F.col("n"), F.col("m"), F.col("k"), F.col("l"), p.percent))
                   .select(F.col("id").alias("x"), F.col("rep").alias("y")).select(*pair).distinct(), f"{name}-star")
     settled = stored(later_of(star, classes, docs, levels, p, name), f"{name}-settled")
 
     # lines not settled, with every line of the lists that may be similar
-    x = live.select(F.col("id").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), "w")
-    y = live.join(settled, "id", "left_anti").select(F.col("id").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), "w")
+    x = live.select(F.col("id").alias("x"), F.col("n").alias("nx"), F.col("k").alias("kx"), F.col("pos").alias("px"), "w")
+    y = live.join(settled, "id", "left_anti").select(F.col("id").alias("y"), F.col("n").alias("ny"), F.col("k").alias("ky"), F.col("pos").alias("py"), "w")
     # a shared word at these places leaves so many that can be common: itself,
     # those before it at most on the shorter side, and those after it
     room = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
     more = stored(x.hint("merge").join(y, "w").where(
-        (F.col("x") != F.col("y")) & (p.percent * F.greatest("nx", "ny") <= 100 * F.least("nx", "ny"))
+        (F.col("x") != F.col("y")) & may_match(F.col("nx"), F.col("ny"), F.col("kx"), F.col("ky"), p.percent)
         & (room + F.least("px", "py") >= least_common(F.col("nx"), F.col("ny"), p.percent)))
         .select(*pair).distinct().join(star, ["a", "b"], "left_anti"), f"{name}-pairs")
     late = settled.unionAll(later_of(more, classes, docs, levels, p, name)).distinct().withColumn("late", F.lit(True))
