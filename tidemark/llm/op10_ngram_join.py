@@ -19,7 +19,8 @@ few others.
 Large groups of similar sets never become all pairs.  Equal sets are joined
 first, by digest.  Then each key ties its probes to one member of its index
 (the smallest), which is as many candidates as there are probes; verified ones
-are links, and links are merged into components.  Only pairs under a key that
+are links, and links are merged into components.  This is done a few times, with
+another member each time, under keys that are not yet in one component.  Only pairs under a key that
 are still in different components are then verified, so no link between
 different components is lost.
 
@@ -362,6 +363,8 @@ def shaped(ids: DataFrame, x: str) -> DataFrame:
     return ids.select(F.col("cls").alias(x), F.col("n").alias(f"{x}_n"), *(F.col(k).alias(f"{x}_{k}") for k in _KS))
 
 
+#: Rounds of tying each key's members to one of them.
+STARS = 4
 #: Bits of the table that keeps texts out of a shuffle for which no pair asks:
 #: 1 MB, whatever the number of documents.
 BITS = 1 << 23
@@ -431,19 +434,30 @@ def linked(docs: DataFrame, j: Join = Join(), name: str = "ngram") -> DataFrame:
     star = stored(tied.select(*pair).distinct().join(shaped(ids, "a"), "a").join(shaped(ids, "b"), "b")
                   .where(may_link("a", "b", j.percent)).select("a", "b"), f"{name}-star-pairs")
     first = stored(verified(star, docs, ids, j, name), f"{name}-star")
-    comp = components(first, f"{name}-components")
+    # again with other members, under keys that are not yet in one component,
+    # before the members of different components are compared one by one
+    links, rest = first, live.select("key", "cls", "found", "probe")
+    for again in range(1, STARS + 1):
+        comp = components(links, f"{name}-components")
+        named = (rest.select("key", "cls", "found", "probe").join(comp, F.col("cls") == F.col("node"), "left")
+                 .select("key", "cls", "found", "probe", F.coalesce("root", "cls").alias("root")))
+        apart = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
+        rest = stored(named.join(apart, "key", "left_semi"), f"{name}-rest")
+        if again == STARS:
+            break
+        order = F.xxhash64("cls", F.lit(again))
+        rep = rest.where("found").groupBy("key").agg(F.min_by("cls", order).alias("y"), F.min_by("root", order).alias("ry"))
+        tied = rest.where("probe").join(rep, "key").where("root <> ry").select(F.col("cls").alias("x"), "y")
+        tied = stored(tied.select(*pair).distinct().join(shaped(ids, "a"), "a").join(shaped(ids, "b"), "b")
+                      .where(may_link("a", "b", j.percent)).select("a", "b"), f"{name}-star-pairs")
+        links = links.unionAll(stored(verified(tied, docs, ids, j, name), f"{name}-star"))
 
-    # under a key, pairs of which both are not yet in one component
-    named = (live.select("key", "cls", "found", "probe").join(comp, F.col("cls") == F.col("node"), "left")
-             .select("key", "cls", "found", "probe", F.coalesce("root", "cls").alias("root")))
-    apart = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    rest = stored(named.join(apart, "key", "left_semi"), f"{name}-rest")
     looks = rest.where("probe").select("key", F.col("cls").alias("x"), F.col("root").alias("rx")).join(shaped(ids, "x"), "x")
     found = rest.where("found").select("key", F.col("cls").alias("y"), F.col("root").alias("ry")).join(shaped(ids, "y"), "y")
     more = stored(looks.hint("merge").join(found, (looks["key"] == found["key"]) & (F.col("rx") != F.col("ry")) & may_link("x", "y", j.percent))
                   .select(*pair).distinct().join(star, ["a", "b"], "left_anti"), f"{name}-pairs")
     second = stored(verified(more, docs, ids, j, name), f"{name}-more")
-    root = components(first.unionAll(second), f"{name}-components")
+    root = components(links.unionAll(second), f"{name}-components")
 
     placed = stored(ids.select("cls", "doc_id").join(root, F.col("cls") == F.col("node"), "left")
                     .select("cls", "doc_id", F.coalesce("root", "cls").alias("root")), f"{name}-roots")
