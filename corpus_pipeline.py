@@ -10,15 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import op3_line_rules
+from tidemark.llm import op1_mixing, op3_line_rules, op5_packing, op7_line_dedup, op10_ngram_join
 from tidemark.llm.common import DOCUMENT_COLUMNS, stored, table
 
 STAGES = [
     ("quality rules", op3_line_rules.stage),
+    ("line dedup", op7_line_dedup.stage),
+    ("n-gram Jaccard join", op10_ngram_join.stage),
+    ("mixing", op1_mixing.stage),
+    ("packing", op5_packing.stage),
 ]
 
-#: Stages of this pipeline cannot be expressed in SQL (see the README); the
-#: pipeline is tested against a brute-force version instead.
+#: Mixing (a fitted classifier) and packing (a tokenizer) cannot be expressed in
+#: SQL; the pipeline is tested against a brute-force version instead.
 ORACLE_SQL = None
 
 
