@@ -167,16 +167,17 @@ def removed_lines(docs: DataFrame, p: Lines = Lines(), name: str = "lines") -> D
     # below this size only an equal set is similar enough
     least = next(k for k in range(1, 10_000) if 100 * k >= p.percent * (k + 1))
     posts = classes.where(F.col("n") >= least).select("id", "doc", "n", "k", F.posexplode("prefix").alias("pos", "w"))
-    lists = (posts.groupBy("w").agg(F.count("*").alias("c"), F.min_by("id", F.coalesce("doc", F.lit(2**63 - 1))).alias("rep"))
-             .where("c > 1").select("w", "rep"))
-    live = stored(posts.hint("merge").join(lists, "w").select("id", "n", "k", "pos", "w", "rep"), f"{name}-lists")
-
-    # each line with the first one of its words' lists
+    order = F.coalesce("doc", F.lit(2**63 - 1))
+    lists = (posts.groupBy("w").agg(F.count("*").alias("c"), F.min_by("id", order).alias("rep"),
+                                    F.min_by("n", order).alias("m"), F.min_by("k", order).alias("l"))
+             .where("c > 1").drop("c"))
+    # each line with the first one of its words' lists, where they may match
+    tied = (F.col("id") != F.col("rep")) & may_match(F.col("n"), F.col("m"), F.col("k"), F.col("l"), p.percent)
+    live = stored(posts.hint("merge").join(lists, "w").select("id", "n", "k", "pos", "w", F.when(tied, F.col("rep")).alias("rep")),
+                  f"{name}-lists")
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    sizes = classes.select(F.col("id").alias("rep"), F.col("n").alias("m"), F.col("k").alias("l"))
-    star = stored(live.where("id <> rep").select("id", "n", "k", "rep").distinct().join(sizes, "rep")
-                  .where(may_match(F.col("n"), F.col("m"), F.col("k"), F.col("l"), p.percent))
-                  .select(F.col("id").alias("x"), F.col("rep").alias("y")).select(*pair).distinct(), f"{name}-star")
+    star = stored(live.where("rep is not null").select(F.col("id").alias("x"), F.col("rep").alias("y")).select(*pair).distinct(),
+                  f"{name}-star")
     settled = stored(later_of(star, classes, docs, levels, p, name), f"{name}-settled")
 
     # lines not settled, with every line of the lists that may be similar
