@@ -205,7 +205,8 @@ def labelled_pages(pages: int = 48, seed: int = 8) -> list[str]:
                   f"<div class='ad'>{say('-')}</div>", f"<form>{say('-')}</form>"]
         around = [f"<header>{say('-')}</header>", f"<nav><ul>{links('-')}</ul></nav>", f"<div class='ad'>{say('-')}</div>",
                   f"<div class='cookie-notice'><p>{say('-')}</p></div>", f"<div>{say('-', 5)}</div>",
-                  f"<div><a>{say('-', 12)}</a></div>", f"<div><ul>{links('-')}</ul></div>",
+                  f"<div><a>{say('-', 12)}</a></div>", f"<div>{''.join('<a>' + say('-', 5) + '</a> ' for _ in range(12))}</div>",
+                  f"<div><ul>{links('-')}</ul></div>",
                   f"<div class='sidebar'><p>{say('-')}</p></div>", f"<footer><p>{say('-')}</p></footer>"]
         around += [f"<div><p>{say('-')}</p></div>"] * bool(best)
         body = f"{open_}<h1>{say('+', 14)}</h1>{mixed(own + inside)}{close}" if best else "".join(own)
