@@ -12,7 +12,7 @@ import __spark_entry__ as E  # noqa: E402
 from tools.oracle_check import TABLES, digest  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(E.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.ORACLE) == set(E.QUERIES)
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="driver test data not present")

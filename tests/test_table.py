@@ -1,8 +1,9 @@
 """Versioned table: versions, DML, evolution, compaction, layout, catalog."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources.table import VersionedTable
+from tidemark.sources.table import VersionedTable, VersionExistsError
 
 
 def _table(spark, tmp_dir, **kw):
@@ -21,8 +22,10 @@ def test_versions_and_reads(spark, tmp_dir):
     t.delete("record_id < 5")
     assert t.versions() == [0, 1]
     assert t.read().count() == 15 and t.read(0).count() == 20
-    t.write(t.read(0), version=1)  # rewriting a version replaces it (replay)
-    assert t.read(1).count() == 20
+    for n in (0, 1):  # a published version is neither rewritten nor hidden
+        with pytest.raises(VersionExistsError):
+            t.write(t.read(0), version=n)
+    assert t.read(1).count() == 15
 
 
 def test_update_and_delete_null_semantics(spark, tmp_dir):
@@ -56,7 +59,6 @@ def test_compact_reduces_files_rows_unchanged(spark, tmp_dir):
     t = VersionedTable(spark, f"{tmp_dir}/c", partition_cols=("state",))
     df = spark.range(2000).select((F.col("id") % 3).cast("string").alias("state"), "id")
     t.write(df.repartition(40), rebalance=False)
-    assert t.compact(min_files=10_000) == (0, t.files(0), t.files(0))  # below threshold: untouched
     v, before, after = t.compact()
     assert v == 1 and after < before
     assert sorted(r.id for r in t.read().collect()) == list(range(2000))
@@ -126,9 +128,10 @@ def test_clustered_merge_shuffles_only_the_batch(spark, tmp_dir):
     assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
 
 
-def test_clustered_version_rewrite_replaces_it(spark, tmp_dir):
+def test_unpublished_clustered_version_is_replaced(spark, tmp_dir):
     t = VersionedTable(spark, f"{tmp_dir}/r", cluster_keys=("record_id",), cluster_buckets=4)
     t.write(spark.range(100).select(F.col("id").alias("record_id"), F.lit("a").alias("v")), version=0)
+    t._fs.delete(f"{t.version_path(0)}/_version.json")  # as if the writer had died before publishing
     t.write(spark.range(50).select(F.col("id").alias("record_id"), F.lit("b").alias("v")), version=0)
     assert t.versions() == [0] and t.files(0) == 4
     assert rows_of_v(t.read(0)) == [(i, "b") for i in range(50)]
@@ -136,3 +139,70 @@ def test_clustered_version_rewrite_replaces_it(spark, tmp_dir):
 
 def rows_of_v(df):
     return sorted((r["record_id"], r["v"]) for r in df.collect())
+
+
+def test_unpublished_version_is_not_seen(spark, tmp_dir):
+    t = _table(spark, tmp_dir)
+    t.delete("record_id < 5")
+    t._fs.delete(f"{t.version_path(1)}/_version.json")  # crash between the data and the publication
+    assert t.versions() == [0] and t.read().count() == 20
+    assert t.delete("state = 'A'") == 1  # the next write takes its place, nothing of it stays
+    assert t.read().count() == 10
+
+
+def _strict(spark, tmp_dir, **kw):
+    t = VersionedTable(spark, f"{tmp_dir}/s", key_cols=("record_id",), ts_col="ts", **kw)
+    t.write(spark.sql("""
+        SELECT 'A' AS state, concat('t', id) AS val, id AS record_id,
+               TIMESTAMP_NTZ '2024-01-01 10:00:00' AS ts, id = 3 AS is_deleted, id AS change_seq
+        FROM range(1, 5)"""))
+    return t
+
+
+def test_strict_insert_is_visible_and_replaces_a_tombstone(spark, tmp_dir):
+    t = _strict(spark, tmp_dir)
+    t.insert(spark.sql("""
+        SELECT 'B' AS state, 'new' AS val, id AS record_id, TIMESTAMP_NTZ '2024-01-02 00:00:00' AS ts
+        FROM range(3, 6) WHERE id <> 4"""))
+    got = sorted((r["record_id"], r["val"]) for r in t.read(visible=True).collect())
+    assert got == [(1, "t1"), (2, "t2"), (3, "new"), (4, "t4"), (5, "new")]
+    assert t.read().count() == 5  # one row a key
+
+
+def test_strict_update_leaves_tombstones(spark, tmp_dir):
+    t = _strict(spark, tmp_dir)
+    t.update("record_id >= 2", {"val": "'x'"})
+    got = {r["record_id"]: (r["val"], r["is_deleted"]) for r in t.read().collect()}
+    assert got == {1: ("t1", False), 2: ("x", False), 3: ("t3", True), 4: ("x", False)}
+    with pytest.raises(ValueError):
+        t.update("true", {"no_such_column": "1"})
+
+
+def test_strict_delete_leaves_a_tombstone_that_stops_late_changes(spark, tmp_dir, changes):
+    from conftest import C, rows_of
+
+    from tidemark.operators.latest import latest_one
+    from tidemark.operators.merge import merge
+
+    t = _strict(spark, tmp_dir)
+    t.delete("record_id <= 2", at="2024-01-01 20:00:00")
+    assert rows_of(t.read(visible=True), "record_id") == [(4,)]
+    late = [("U", "A", "stale", 1, 15, 99), ("U", "A", "new", 2, 21, 1)]
+    res = merge(t.read(), latest_one(changes(late), C), C)
+    assert rows_of(res.current(), "record_id", "val") == [(2, "new"), (4, "t4")]
+    t.delete("record_id = 4")  # now
+    assert t.read(visible=True).count() == 0
+    bare = VersionedTable(spark, f"{tmp_dir}/s")
+    with pytest.raises(ValueError):
+        bare.delete("true")
+    with pytest.raises(ValueError):
+        bare.insert(t.read(visible=True))
+
+
+def test_clustered_insert_keeps_the_number_of_files_bounded(spark, tmp_dir):
+    t = VersionedTable(spark, f"{tmp_dir}/kc", cluster_keys=("record_id",), cluster_buckets=8)
+    t.write(spark.range(200).select(F.col("id").alias("record_id"), F.lit("a").alias("v")))
+    t.insert(spark.range(200, 400).select(F.col("id").alias("record_id"), F.lit("b").alias("v")).repartition(50))
+    assert t.files() <= 16 and t.read().count() == 400  # not 50 tasks x 8 buckets
+    t.update("true", {"record_id": "record_id + 1"})
+    assert t.files() == 8 and t.read().count() == 400

@@ -51,6 +51,9 @@ class ChangeContract:
     ts_col: str = "cdc_ingestion_timestamp"
     op_col: str = "op"
     seq_col: str | None = None
+    # Type of the sequence.  Landing rows are text, where 9 sorts above 10, so
+    # a text sequence is used only where this says that text order is meant.
+    seq_type: T.DataType | None = None
     # Columns the compat MERGE leaves out of its UPDATE SET list.
     frozen_cols: tuple[str, ...] = ()
     partition_cols: tuple[str, ...] = ()
@@ -73,14 +76,15 @@ class ChangeContract:
         seq = (self.seq_col,) if self.seq_col else ()
         return (self.op_col, *self.columns, *seq)
 
-    def with_seq(self, seq_col: str | None) -> "ChangeContract":
-        return replace(self, seq_col=seq_col)
+    def with_seq(self, seq_col: str | None, seq_type: T.DataType | None = None) -> "ChangeContract":
+        return replace(self, seq_col=seq_col, seq_type=seq_type)
 
     @classmethod
     def from_dict(cls, d: dict) -> "ChangeContract":
         """A contract from plain data (e.g. a JSON file); column types are DDL
         strings: ``{"columns": [{"name": "toll_id", "type": "int"}, ...],
-        "key_cols": ["record_id"], ...}``.  Columns without a type stay text."""
+        "key_cols": ["record_id"], "seq_col": "lsn", "seq_type": "bigint", ...}``.
+        Columns without a type stay text."""
         specs, names = [], []
         for col in d["columns"]:
             col = {"name": col} if isinstance(col, str) else col
@@ -92,6 +96,8 @@ class ChangeContract:
         kw = {k: (tuple(v) if isinstance(v, list) else v) for k, v in d.items()
               if k in ("key_cols", "ts_col", "op_col", "seq_col", "frozen_cols",
                        "partition_cols", "bucket_col", "num_buckets")}
+        if d.get("seq_type"):
+            kw["seq_type"] = T.DataType.fromDDL(d["seq_type"])
         return cls(columns=tuple(names), specs=tuple(specs), **kw)
 
 
@@ -133,7 +139,7 @@ TOLL_SPECS = (
     ColumnSpec("vehicle_fee", T.DecimalType(5, 2)),
     ColumnSpec("Truck_fee", T.DecimalType(6, 2)),
     ColumnSpec("record_id", T.IntegerType(), False),
-    ColumnSpec("cdc_ingestion_timestamp", T.TimestampType()),
+    ColumnSpec("cdc_ingestion_timestamp", T.TimestampNTZType()),
 )
 
 TOLL_CONTRACT = ChangeContract(
@@ -150,14 +156,15 @@ TOLL_CONTRACT = ChangeContract(
 
 
 def landing_schema(c: ChangeContract, ts_type: T.DataType | None = None) -> T.StructType:
-    """Schema of landing change rows: op, every contract column as text, and
-    the capture time as a timestamp (types are lost on landing)."""
-    ts_type = ts_type or T.TimestampType()
+    """Schema of landing change rows: op, every contract column as text, the
+    capture time as a timestamp without a zone and the sequence in its declared
+    type (types are lost on landing)."""
+    ts_type = ts_type or T.TimestampNTZType()
     fields = [T.StructField(c.op_col, T.StringType(), True)]
     for name in c.columns:
         fields.append(T.StructField(name, ts_type if name == c.ts_col else T.StringType(), True))
     if c.seq_col:
-        fields.append(T.StructField(c.seq_col, T.StringType(), True))
+        fields.append(T.StructField(c.seq_col, c.seq_type or T.StringType(), True))
     return T.StructType(fields)
 
 

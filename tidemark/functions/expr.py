@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contract import OPS
+from tidemark.contract import OP_DELETE, OPS
 
 
 def valid_op(op_col: str = "op") -> Column:
@@ -70,3 +70,22 @@ def reasons(*checks: tuple[Column, str]) -> Column:
     """
     arr = F.array(*[F.when(cond, F.lit(name)) for cond, name in checks])
     return F.filter(arr, lambda x: x.isNotNull())
+
+
+def orderable(col: Column, dtype: T.DataType) -> Column:
+    """``col`` in a form that can be compared: types without an order (maps,
+    variants) as JSON text."""
+    text = dtype.simpleString()
+    return F.to_json(F.struct(col)) if "map<" in text or "variant" in text else col
+
+
+def change_order(*parts: Column) -> Column:
+    """A change's place in the total order, as one struct compared field by
+    field (null lowest): time, sequence, delete flag, then the row's values.
+    The reducer and the merge build it from the same parts, so equal times are
+    resolved alike whatever order rows arrive in."""
+    return F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
+
+
+def is_delete(op: Column) -> Column:
+    return F.coalesce(op == OP_DELETE, F.lit(False))

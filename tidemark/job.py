@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import DELETED_COL, TOLL_CONTRACT, TOLL_SPECS, ChangeContract
 from tidemark.operators.quality import conform as conform_rows
-from tidemark.sources.landing import CORRUPT_COL, read_landing
+from tidemark.sources.landing import CORRUPT_COL, full_load as load_rows, read_landing
 from tidemark.sources.table import VersionedTable
 from tidemark.streaming.upsert import start_upsert
 
@@ -37,13 +37,13 @@ def load_contract(name_or_path: str):
 
 def run(spark: SparkSession, landing: str, table_path: str, mode: str = "strict",
         contract: str = "toll", full_load: str | None = None, conform: bool = False,
-        keep_versions: int = 2, cluster_buckets: int = 0) -> int:
+        keep_versions: int | None = None, cluster_buckets: int = 0) -> int:
     """Run the job once; returns the table's current version."""
     c, specs = load_contract(contract)
     table = VersionedTable.for_contract(spark, table_path, c, cluster_buckets=cluster_buckets)
     if table.current_version() is None:
         if full_load:  # H2: the full load becomes version 0
-            base = spark.read.parquet(full_load)
+            base = load_rows(spark.read.parquet(full_load), c).drop(c.op_col)
         else:  # an empty table with the contract's columns (typed when conforming)
             base = read_landing(spark, landing, c).where(F.lit(False)).drop(CORRUPT_COL)
             if conform and specs:
@@ -72,11 +72,13 @@ def main(argv: list[str] | None = None) -> None:
                     help="built-in contract name (toll) or a JSON contract file")
     ap.add_argument("--full-load")
     ap.add_argument("--conform", action="store_true", help="convert text to the typed contract")
-    ap.add_argument("--keep-versions", type=int, default=2)
+    ap.add_argument("--keep-versions", type=int,
+                    help="delete all but the newest N versions after each batch (default: keep all)")
     ap.add_argument("--cluster-buckets", type=int, default=0,
                     help="store versions bucketed by the key (co-located merges)")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("tidemark-upsert").config("spark.ui.enabled", "false").getOrCreate()
+    spark = SparkSession.builder.appName("tidemark-upsert").config("spark.ui.enabled", "false") \
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     v = run(spark, a.landing, a.table, a.mode, a.contract, a.full_load, a.conform, a.keep_versions,
             a.cluster_buckets)
     print(f"current version {v}")

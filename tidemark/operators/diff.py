@@ -33,13 +33,24 @@ class DuplicateKeyError(ValueError):
     """A snapshot holds a key more than once, so a key join would pair rows."""
 
 
+class NullKeyError(ValueError):
+    """A snapshot holds a row with a null key, which matches no row by key."""
+
+
 def check_unique_keys(df: DataFrame, keys: list[str], what: str) -> None:
-    """Raise when a key occurs twice.  A count per key with a partial
-    aggregate (skew-safe); stops at the first duplicate found."""
-    dup = df.groupBy(*[_c(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    if not dup.isEmpty():
-        raise DuplicateKeyError(
-            f"{what} holds a key more than once; a key join would emit every pair of its rows")
+    """Raise when a key occurs twice or is null.  A count per key with a
+    partial aggregate (skew-safe); stops at the first such key found."""
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | _c(k).isNull()
+    bad = df.groupBy(*[_c(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n")) \
+        .where((F.col("_n") > 1) | null_key).select(null_key.alias("_null")).first()
+    if bad is None:
+        return
+    if bad["_null"]:
+        raise NullKeyError(f"{what} holds a null key, which cannot be matched; set such rows aside first")
+    raise DuplicateKeyError(
+        f"{what} holds a key more than once; a key join would emit every pair of its rows")
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, c: ChangeContract,
@@ -47,8 +58,9 @@ def snapshot_diff(before: DataFrame, after: DataFrame, c: ChangeContract,
     """I for keys only in ``after``, D for keys only in ``before``, U for
     keys whose row differs.  Rows carry the after-image (the before-image for D).
 
-    Each snapshot must hold a key once (``check_keys`` verifies it first):
-    otherwise the key join would pair every copy with every other copy.
+    Each snapshot must hold a key once and no null key (``check_keys`` verifies
+    it first): otherwise the key join would pair every copy with every other
+    copy, and a null key would match nothing.
     """
     cols, keys = list(c.columns), list(c.key_cols)
     if check_keys:

@@ -11,16 +11,18 @@ by a partial (map-side) aggregate, so no task ever receives a whole hot group.
   are under the bound, else a sort-merge join that spreads a hot key's rows
   over tasks by time.
 * ``latest_one`` (strict, D2) keeps exactly one row per key, ordered by
-  ``(time, seq)``, as a ``max_by`` aggregate with a partial stage.
+  ``(time, seq)`` and then by the row itself, as one aggregate with a partial
+  stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contract import ChangeContract
-from tidemark.functions.expr import any_failed, reasons, valid_op
+from tidemark.functions.expr import any_failed, change_order, is_delete, orderable, reasons, valid_op
 from tidemark.plans.sizing import fits_broadcast
 from tidemark.session import materialize
 
@@ -84,16 +86,45 @@ def split_valid(changes: DataFrame, c: ChangeContract) -> tuple[DataFrame, DataF
 def latest_one(changes: DataFrame, c: ChangeContract, assume_valid: bool = False) -> DataFrame:
     """Exactly one change per key, the one with the greatest ``(time, seq)``.
 
+    Rows equal in both are ordered by their content (a delete above others,
+    then the contract's columns, then the rest), so the choice never depends
+    on input order.
+
     Invalid rows (null key, null time, unknown op) are filtered first unless
     ``assume_valid``; use :func:`split_valid` to keep them.  Filtering before
     the maximum is what makes batch folding order-independent (SURVEY 2.13).
     """
     if not assume_valid:
         changes, _ = split_valid(changes, c)
+    check_sequence(changes, c)
     keys = list(c.key_cols)
-    rest = [x for x in changes.columns if x not in keys]
-    order = [c.ts_col] + ([c.seq_col] if c.seq_col else [])
-    picked = changes.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("_tm_row")
-    )
-    return picked.select(*keys, "_tm_row.*").select(*changes.columns)
+    types = {f.name: f.dataType for f in changes.schema.fields}
+    head = [c.ts_col] + ([c.seq_col] if c.seq_col else [])
+    tail = tie_columns(changes.columns, c) + [c.op_col]
+    named = [*head, None, *tail]  # None: the delete flag
+    parts = [is_delete(F.col(f"`{c.op_col}`")) if x is None else F.col(f"`{x}`") for x in named]
+    ordered = [p if x is None else orderable(p, types[x]) for x, p in zip(named, parts)]
+    group = changes.groupBy(*[F.col(f"`{k}`") for k in keys])
+    if all(a is b for a, b in zip(parts, ordered)):  # the order holds the whole row
+        picked = group.agg(F.max(change_order(*parts)).alias("_tm_row"))
+    else:
+        picked = group.agg(F.max_by(change_order(*parts), change_order(*ordered)).alias("_tm_row"))
+    at = {x: f"_tm_row.o{i}" for i, x in enumerate(named)}
+    return picked.select(*[F.col(f"`{x}`") if x in keys else F.col(at[x]).alias(x) for x in changes.columns])
+
+
+def tie_columns(names: list[str], c: ChangeContract) -> list[str]:
+    """The columns that order changes of one key, time and sequence: the
+    contract's own, then the others as they come."""
+    skip = {*c.key_cols, c.ts_col, c.op_col, c.seq_col}
+    own = [x for x in c.columns if x in names]
+    return [x for x in [*own, *[x for x in names if x not in own]] if x not in skip]
+
+
+def check_sequence(changes: DataFrame, c: ChangeContract) -> None:
+    """Refuse a text sequence that the contract does not declare as text."""
+    if not c.seq_col:
+        return
+    text = isinstance(changes.schema[c.seq_col].dataType, T.StringType)
+    if text and not isinstance(c.seq_type, T.StringType):
+        raise ValueError(f"sequence {c.seq_col} is text, where 9 sorts above 10: give the contract a seq_type")

@@ -11,8 +11,10 @@ Two rule sets:
     no time guard (Q8); a source key matching a target row more than once
     raises :class:`MergeCardinalityError` (F4).
 
-``strict`` (for real use) applies a change only when it is at least as new as
-the target row, updates every column (Q6), ignores a delete of an absent key
+``strict`` (for real use) takes one change per key, in the target's key type
+(a second one raises :class:`MergeCardinalityError` too), applies it only when
+it is at least as new as the target row, equal times being resolved by the
+sequence and then by the row itself as in ``latest_one``, updates every column (Q6), ignores a delete of an absent key
 (J4) and keeps deletes as hidden tombstones (``is_deleted``) so that batches
 can be folded in any order and replayed (Q7, Q8, Q10).
 
@@ -24,7 +26,8 @@ Physical plans.  The batch is materialised (checkpoint) and measured once:
   never shuffled.
 * larger batch -> one ``FULL OUTER`` sort-merge join on the key.  After the
   latest-per-key reduction both sides hold each key at most once, so this
-  join has no hot keys.
+  join has no hot keys.  Rows with a null key (compat inserts them on every
+  run) match nothing and would all meet in one task: they pass beside the join.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ from pyspark.sql import types as T
 
 from tidemark.contract import (CHANGE_SEQ_COL, DELETED_COL, HIDDEN_COLS, OP_DELETE, OP_INSERT,
                                OP_UPDATE, ChangeContract)
+from tidemark.functions.expr import change_order, is_delete, orderable
+from tidemark.operators.latest import check_sequence, latest_one, latest_with_ties, tie_columns
 from tidemark.plans.sizing import Size, fits_broadcast
 from tidemark.session import materialize
 
@@ -75,7 +80,7 @@ class MergeResult:
 def visible(table: DataFrame) -> DataFrame:
     """The current-state view of a strict table."""
     if DELETED_COL in table.columns:
-        table = table.where(~F.col(DELETED_COL))
+        table = table.where(~F.coalesce(F.col(DELETED_COL), F.lit(False)))
     return table.drop(*HIDDEN_COLS)
 
 
@@ -83,6 +88,16 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def spelled(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` with its columns spelled as in ``names`` where they differ only
+    in case, unless the session tells cases apart."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return df
+    want = {x.lower(): x for x in names}
+    ren = {x: want[x.lower()] for x in df.columns if want.get(x.lower(), x) != x}
+    return df.withColumnsRenamed(ren) if ren else df
+
+
 def _t(name: str) -> str:
     return f"_t_{name}"
 
@@ -112,6 +127,9 @@ def merge(
     if strategy not in ("auto", "shuffle"):
         raise ValueError(f"strategy must be auto or shuffle, not {strategy!r}")
     cols, keys = list(c.columns), list(c.key_cols)
+    known = [c.op_col, *cols, *([c.seq_col] if c.seq_col else []), *HIDDEN_COLS]
+    target = spelled(target, known)
+    batch = spelled(batch, known + [x for x in target.columns if x not in known])
     # Columns outside the contract (added by schema evolution) ride along.
     skip = {c.op_col, c.seq_col, *HIDDEN_COLS, *cols}
     # strict: the applied change's sequence is kept to order equal times
@@ -138,6 +156,8 @@ def merge(
         *([_c(seq).alias("_s_seq")] if seq else []),
         F.lit(True).alias("_s_hit"),
     )
+    if seq:
+        check_sequence(batch, c)
     if materialize_batch:
         s = materialize(s)
     size = None
@@ -159,8 +179,8 @@ def merge(
     )
     on = _key_match(keys)
 
-    if mode == "compat" and check_cardinality:
-        _check_cardinality(t, s, keys, broadcast_limit_bytes)
+    if check_cardinality:
+        _check_cardinality(t if mode == "compat" else None, s, keys, broadcast_limit_bytes)
 
     if use_broadcast:
         left = t.join(F.broadcast(s), on, "left")
@@ -171,12 +191,16 @@ def merge(
         inserts = s.join(F.broadcast(matched), on, "left_anti")
         joined = left.unionByName(inserts, allowMissingColumns=True)
     else:
-        joined = t.join(s, on, "full_outer")
+        t_null, s_null = _null_key(keys, _t), _null_key(keys, _s)
+        joined = t.where(~t_null).join(s.where(~s_null), on, "full_outer")
+        lone = t.where(t_null).unionByName(s.where(s_null), allowMissingColumns=True)
+        joined = joined.unionByName(lone, allowMissingColumns=True)
 
     if mode == "compat":
         resolved = _resolve_compat(joined, c, extra)
     else:
-        resolved = _resolve_strict(joined, c, extra, seq is not None)
+        ties = tie_columns([x for x in batch.columns if x not in HIDDEN_COLS], c)
+        resolved = _resolve_strict(joined, c, extra, seq is not None, ties)
     out_cols = cols + extra.names
     if mode == "compat":
         table = resolved.where(_c(ACTION) != DELETE).select(*out_cols)
@@ -208,6 +232,13 @@ class _Extra:
         return _c(_s(x)) if x in self.in_batch else F.lit(None).cast(self.types[x])
 
 
+def _null_key(keys: list[str], side) -> Column:
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | _c(side(k)).isNull()
+    return cond
+
+
 def _key_match(keys: list[str]) -> Column:
     cond = None
     for k in keys:
@@ -216,8 +247,9 @@ def _key_match(keys: list[str]) -> Column:
     return cond
 
 
-def _check_cardinality(t: DataFrame, s: DataFrame, keys: list[str], limit: int | None) -> None:
-    """raise when a source key occurs more than once and matches a target row."""
+def _check_cardinality(t: DataFrame | None, s: DataFrame, keys: list[str], limit: int | None) -> None:
+    """raise when a source key occurs more than once and matches a target
+    row (or at all, without ``t``: strict tables hold a key once)."""
     dup = (
         s.groupBy(*[_c(_s(k)) for k in keys])
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -226,6 +258,11 @@ def _check_cardinality(t: DataFrame, s: DataFrame, keys: list[str], limit: int |
     )
     if dup.isEmpty():
         return
+    if t is None:
+        raise MergeCardinalityError(
+            "the batch holds several changes for one key of the target; "
+            "cast the keys to the target's types and reduce (latest_one) first"
+        )
     # broadcast the duplicated keys only under their measured size
     small, _ = fits_broadcast(dup, limit)
     dup = F.broadcast(dup) if small else dup.hint("merge")
@@ -281,20 +318,21 @@ def _resolve_compat(joined: DataFrame, c: ChangeContract, extra: _Extra) -> Data
     return j.select(*out, a, *_change_cols(j, c))
 
 
-def _resolve_strict(joined: DataFrame, c: ChangeContract, extra: _Extra, has_seq: bool) -> DataFrame:
+def _resolve_strict(joined: DataFrame, c: ChangeContract, extra: _Extra, has_seq: bool,
+                    ties: list[str]) -> DataFrame:
     t_hit, s_hit = _hits(joined)
-    s_ts, t_ts = _c(_s(c.ts_col)), _c(_t(c.ts_col))
-    if has_seq:
-        # (time, seq) order; a target row without a kept sequence loses ties
-        newer = (
-            F.when(t_ts.isNull() | (s_ts > t_ts), F.lit(True))
-            .when(s_ts == t_ts, F.coalesce(_c("_s_seq") >= _c("_t_seq"), F.lit(True)))
-            .otherwise(F.lit(False))
-        )
-    else:
-        newer = F.coalesce(s_ts >= t_ts, F.lit(True))
-    is_d = F.coalesce(_c("_s_op") == OP_DELETE, F.lit(False))
+    is_d = is_delete(_c("_s_op"))
     t_del = F.coalesce(_c("_t_del"), F.lit(False))
+    # The order of latest_one; a target row without a kept sequence loses ties.
+    types = {f.name: f.dataType for f in joined.schema.fields}
+
+    def place(side, seq: str, dead: Column) -> Column:
+        vals = [(extra.t if side is _t else extra.s)(x) if x in extra.names else _c(side(x)) for x in ties]
+        kinds = [extra.types[x] if x in extra.names else types[_s(x)] for x in ties]
+        return change_order(_c(side(c.ts_col)), *([_c(seq)] if has_seq else []), dead,
+                            *[orderable(v, k) for v, k in zip(vals, kinds)])
+
+    newer = place(_s, "_s_seq", is_d) >= place(_t, "_t_seq", t_del)
     action = (
         F.when(t_hit & ~s_hit, F.lit(KEEP))
         .when(t_hit & ~newer, F.lit(IGNORE))
@@ -338,8 +376,6 @@ def fold(
     In strict mode with tombstones the result does not depend on the order
     of the batches and equals a single merge of all changes.
     """
-    from tidemark.operators.latest import latest_one, latest_with_ties
-
     state = target
     for b in batches:
         latest = latest_one(b, c) if reduce == "one" else latest_with_ties(b, c)
@@ -378,16 +414,19 @@ def merge_into_catalog(
              .whenMatched().update({x: src(x) for x in c.columns if x not in c.frozen_cols})
              .whenNotMatched().insert({x: src(x) for x in c.columns}))
     else:
-        s_ts, t_ts = src(c.ts_col), tgt(c.ts_col)
         kept = {}
         if c.seq_col and c.seq_col in batch.columns:
             # the table keeps the applied change's sequence (``change_seq``)
-            t_seq = tgt(CHANGE_SEQ_COL)
-            newer = t_ts.isNull() | (s_ts > t_ts) | (
-                (s_ts == t_ts) & (t_seq.isNull() | (src(c.seq_col) >= t_seq)))
+            check_sequence(batch, c)
             kept = {CHANGE_SEQ_COL: src(c.seq_col)}
-        else:
-            newer = t_ts.isNull() | (s_ts >= t_ts)
+        ties = [x for x in tie_columns(batch.columns, c) if x in c.columns]
+        types = {f.name: f.dataType for f in batch.schema.fields}
+
+        def place(col, seq: list[Column], dead: Column) -> Column:
+            return change_order(col(c.ts_col), *seq, dead, *[orderable(col(x), types[x]) for x in ties])
+
+        newer = place(src, [src(c.seq_col)] if kept else [], is_delete(src(c.op_col))) >= place(
+            tgt, [tgt(CHANGE_SEQ_COL)] if kept else [], F.coalesce(tgt(DELETED_COL), F.lit(False)))
         live = {x: src(x) for x in c.columns} | {DELETED_COL: F.lit(False)} | kept
         dead = {x: src(x) for x in c.columns} | {DELETED_COL: F.lit(True)} | kept
         if keep_tombstones:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contract import ColumnSpec
+from tidemark.contract import ChangeContract, ColumnSpec
 from tidemark.functions.expr import any_failed, reasons
 
 REASONS = "reasons"
@@ -60,6 +60,18 @@ def conform(df: DataFrame, specs: Iterable[ColumnSpec]) -> tuple[DataFrame, Data
     return good, bad
 
 
+def table_specs(rows: DataFrame, target: DataFrame, c: ChangeContract) -> list[ColumnSpec]:
+    """Specs that bring change rows to the types of the table they are merged
+    into, so that keys equal there ('7' and '07' as numbers) are one key
+    before the reduction, and a value that does not convert is set aside
+    instead of failing the merge."""
+    want = {f.name.lower(): f.dataType for f in target.schema.fields}
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    return [ColumnSpec(x, want[x.lower()]) for x in c.columns
+            if x in have and x.lower() in want and want[x.lower()] != have[x]
+            and not isinstance(want[x.lower()], (T.NullType, T.StringType))]
+
+
 def as_text(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Every column as text, the way a landing file holds it (``keep`` stay typed)."""
     keep = set(keep)

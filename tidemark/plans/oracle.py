@@ -246,5 +246,5 @@ WITH current_state AS ({MERGE_STRICT_SQL})
 
 ORACLE["landing_roundtrip"] = f"""
 SELECT op, state, CAST(amount AS VARCHAR) AS amount, CAST(record_id AS VARCHAR) AS record_id,
-       cdc_ingestion_timestamp, CAST(event_id AS VARCHAR) AS event_id
+       cdc_ingestion_timestamp, event_id
 FROM ({FEED_SQL})"""

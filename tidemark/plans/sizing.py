@@ -31,15 +31,33 @@ def broadcast_limit(spark: SparkSession) -> int:
     return parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
 
 
+#: Types held in their 8-byte slot.
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
+          T.DayTimeIntervalType, T.YearMonthIntervalType, T.NullType)
+
+
 def _row_bytes(schema: T.StructType):
     """Per-row size in an in-memory row: an 8-byte slot per field plus the
-    variable-length bytes of strings and binaries, plus a null bitmap."""
+    variable-length bytes, plus a null bitmap.  Strings and binaries count
+    their bytes and wide decimals 16.  Arrays, maps and structs count the
+    larger of their JSON text and 16 bytes for every character that can end a
+    value in it, so that neither long texts nor many short numbers are missed.
+    Any other variable-length type cannot be measured and is refused."""
     fixed = 8 * (len(schema.fields) + 1)
-    var = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-        for f in schema.fields
-        if isinstance(f.dataType, (T.StringType, T.BinaryType))
-    ]
+    var = []
+    for f in schema.fields:
+        x, dt = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(dt, (T.StringType, T.BinaryType, T.CharType, T.VarcharType)):
+            var.append(F.coalesce(F.octet_length(x), F.lit(0)))
+        elif isinstance(dt, T.DecimalType):
+            fixed += 16 if dt.precision > 18 else 0
+        elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+            # null fields are written too: they take a slot as well
+            text = F.coalesce(F.to_json(F.struct(x), {"ignoreNullFields": "false"}), F.lit(""))
+            ends = F.octet_length(text) - F.octet_length(F.translate(text, ",:]}", ""))
+            var.append(F.greatest(F.octet_length(text), ends * 16) + 16)
+        elif not isinstance(dt, _FIXED):
+            raise TypeError(f"cannot measure a column of type {dt.simpleString()}")
     out = F.lit(fixed).cast("long")
     for v in var:
         out = out + ((v + 7) / 8).cast("long") * 8
@@ -61,5 +79,8 @@ def measure(df: DataFrame) -> Size:
 def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> tuple[bool, Size]:
     """Whether ``df`` is small enough to broadcast, with its measured size."""
     limit = broadcast_limit(df.sparkSession) if limit_bytes is None else limit_bytes
-    size = measure(df)
+    try:
+        size = measure(df)
+    except TypeError:  # an unmeasured side is never broadcast
+        return False, Size(df.count(), -1)
     return (limit >= 0 and size.bytes <= limit), size

@@ -2,11 +2,14 @@
 
 Jobs cut lineage and write intermediate tables only under the folder the
 cluster names in ``spark.checkpoint.dir``.  A private temporary folder is
-created only when that setting is unset *and* the master is local (tests).
+created only when that setting is unset *and* the driver is the only process
+(master ``local`` or ``local[...]``: tests); a cluster of any kind, one of
+several processes on one machine included, must name the folder.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,12 +38,12 @@ def work_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read ``spark.checkpoint.dir`` from the session.  Only where it is unset
-    and the master is local is a temporary folder created (and set).
+    and there is no executor process is a temporary folder created (and set).
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: set it to a shared folder (HDFS, object store) "
                 "that every executor and the driver can reach"

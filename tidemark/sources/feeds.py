@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contract import ChangeContract
 from tidemark.functions.expr import capture_time
@@ -27,6 +28,7 @@ FEED_CONTRACT = ChangeContract(
     columns=("state", "amount", "record_id", "cdc_ingestion_timestamp"),
     key_cols=("record_id",),
     seq_col="event_id",
+    seq_type=T.LongType(),
     frozen_cols=("state",),
     partition_cols=("state",),
     bucket_col="record_id",
@@ -201,5 +203,4 @@ def feed_typed_specs():
     return (
         ColumnSpec("amount", T.DoubleType()),
         ColumnSpec("record_id", T.LongType()),
-        ColumnSpec("event_id", T.LongType()),
     )

@@ -9,7 +9,7 @@ column so it can be quarantined rather than silently lost (Q13).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,9 +65,9 @@ def split_corrupt(landed: DataFrame, checkpoint: bool = True) -> tuple[DataFrame
     """``(rows, corrupt)``: parsed rows without the corrupt column, and the raw
     text of lines that did not parse.
 
-    The parsed text is checkpointed once (``checkpoint``) so that both outputs
-    read columnar data instead of parsing the CSV twice; it also lets a query
-    touch only the corrupt column, which Spark refuses on a raw CSV scan.
+    The parsed rows are checkpointed once (``checkpoint``, serialised rows) so
+    that neither output parses the CSV again; it also lets a query touch only
+    the corrupt column, which Spark refuses on a raw CSV scan.
     """
     if checkpoint:
         landed = materialize(landed)
@@ -78,10 +78,25 @@ def split_corrupt(landed: DataFrame, checkpoint: bool = True) -> tuple[DataFrame
 
 def write_landing(changes: DataFrame, path: str, c: ChangeContract,
                   ts_format: str = TS_FORMAT, mode: str = "append") -> None:
-    """Write change rows in the landing format (what the capture side emits)."""
+    """Write change rows in the landing format (what the capture side emits):
+    the fields as they are, joined by commas, nothing quoted, escaped or
+    trimmed; null and '' are both an empty field.  A comma or a newline inside
+    a value breaks its row, as the format has it (Q13)."""
+    types = {f.name: f.dataType for f in changes.schema.fields}
     cols = [c.op_col, *c.columns] + ([c.seq_col] if c.seq_col else [])
-    out = changes.select(*[F.col(f"`{x}`") for x in cols])
-    out.write.mode(mode).options(**_csv_options(ts_format)).csv(path)
+    fields = [F.coalesce(_text(F.col(f"`{x}`"), types[x], ts_format), F.lit("")) for x in cols]
+    changes.select(F.concat_ws(",", *fields).alias("value")).write.mode(mode).text(path)
+
+
+def _text(x: Column, dtype: T.DataType, ts_format: str) -> Column:
+    if isinstance(dtype, T.TimestampNTZType) and ts_format == TS_FORMAT:
+        # by text: date_format would move the time through the session's zone
+        whole = x.cast("string")
+        part = F.when(F.instr(whole, ".") > 0, F.substring_index(whole, ".", -1)).otherwise("")
+        return F.concat(F.substring_index(whole, ".", 1), F.lit("."), F.rpad(part, 6, "0"))
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
+        return F.date_format(x, ts_format)
+    return x.cast("string")
 
 
 def project_contract(df: DataFrame, c: ChangeContract, with_op: bool = True) -> DataFrame:
@@ -102,7 +117,7 @@ def full_load(rows: DataFrame, c: ChangeContract, capture_literal: str | None =
 
 
 def select_tables(spark: SparkSession, pattern: str, db: str | None = None) -> list[str]:
-    """A4: names of catalog tables matching a ``%`` pattern (``TollData.%``).
+    """A4: names of catalog tables matching a ``%`` pattern (``sales.%``).
 
     Catalog metadata only, never rows.
     """

@@ -3,15 +3,18 @@
 Layout::
 
     <path>/v=<n>/<partition cols>=.../part-*.parquet   one folder per version
-    <path>/v=<n>/_SUCCESS                               written by the committer
-    <path>/v=<n>/_schema.json                           schema of the version
+    <path>/v=<n>/_version.json                          schema and stream progress
 
 A version is never written in place: each change writes ``v=<n+1>`` from
-``v=<n>`` and then re-points the view.  Writing the same ``n`` again simply
-overwrites it, which makes replays idempotent.  The current version is the
-highest one whose ``_SUCCESS`` exists.  Files are listed through the Hadoop
-FileSystem of the path, so the same code runs on a local disk, HDFS or an
-object store.
+``v=<n>`` and then re-points the view.  ``_version.json`` is put in place
+last, by a rename, and a version exists only once it is there: a write that
+dies earlier leaves a folder that no reader sees and the next write replaces.
+A published version is never overwritten.  The file also carries, for every
+stream that writes the table, the last batch it applied; every later version
+keeps that record, so a replayed batch is recognised whatever was written
+since.  One writer at a time: two at once would aim at the same ``n``.  Files
+are listed through the Hadoop FileSystem of the path, so the same code runs on
+a local disk, HDFS or an object store.
 
 At very large scale the portable cost of this design is a full rewrite per
 version; a table-format catalog with ``DataFrame.mergeInto`` is the path that
@@ -29,13 +32,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contract import DELETED_COL, HIDDEN_COLS, ChangeContract
+from tidemark.contract import CHANGE_SEQ_COL, DELETED_COL, HIDDEN_COLS, ChangeContract
 from tidemark.functions.expr import bucket
 
 # Fixed value: target data file size of the reference table (512 MiB).
 TARGET_FILE_BYTES = 536870912
 BUCKET_SUFFIX = "_bucket"
-_VERSION = re.compile(r".*/v=(\d+)/_SUCCESS$")
+_VERSION_FILE = "_version.json"
+_VERSION = re.compile(r".*/v=(\d+)/_version\.json$")
+
+
+def _live() -> Column:
+    """A row that is no tombstone (an unset flag counts as live)."""
+    return ~F.coalesce(F.col(DELETED_COL), F.lit(False))
 
 
 @contextlib.contextmanager
@@ -74,11 +83,15 @@ class _FS:
         return self.fs.exists(self.path(p))
 
     def write_text(self, p: str, text: str) -> None:
-        out = self.fs.create(self.path(p), True)
+        """Write beside the final name, then rename: a reader sees all or nothing."""
+        tmp = self.path(f"{p}.tmp")
+        out = self.fs.create(tmp, True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        if not self.fs.rename(tmp, self.path(p)):
+            raise OSError(f"could not publish {p}")
 
     def read_text(self, p: str) -> str:
         stream = self.fs.open(self.path(p))
@@ -105,6 +118,10 @@ class _FS:
         return n
 
 
+class VersionExistsError(ValueError):
+    """A published version would be overwritten, or hidden by a newer one."""
+
+
 class VersionedTable:
     """A partitioned Parquet table written as whole versions.
 
@@ -118,6 +135,10 @@ class VersionedTable:
     the same buckets -- and the merged rows are written back bucket by bucket
     without a shuffle either.  Choose ``cluster_buckets`` of about the table
     size / 512 MiB and at least ``spark.sql.shuffle.partitions``.
+
+    ``key_cols`` and ``ts_col`` are what the row-level statements need on a
+    strict table (one with ``is_deleted``): a delete leaves a tombstone with a
+    change time, and an insert takes the place of its key's tombstone.
     """
 
     def __init__(
@@ -130,6 +151,8 @@ class VersionedTable:
         file_bytes: int = TARGET_FILE_BYTES,
         cluster_keys: tuple[str, ...] = (),
         cluster_buckets: int = 0,
+        key_cols: tuple[str, ...] = (),
+        ts_col: str | None = None,
     ):
         if bool(cluster_keys) != bool(cluster_buckets):
             raise ValueError("cluster_keys and cluster_buckets go together")
@@ -141,6 +164,8 @@ class VersionedTable:
         self.file_bytes = file_bytes
         self.cluster_keys = tuple(cluster_keys)
         self.cluster_buckets = cluster_buckets
+        self.key_cols = tuple(key_cols)
+        self.ts_col = ts_col
         self._fs = _FS(spark, self.path)
 
     @classmethod
@@ -148,6 +173,7 @@ class VersionedTable:
         """The contract's layout; ``cluster_buckets=N`` clusters by the key."""
         if kw.get("cluster_buckets") and not kw.get("cluster_keys"):
             kw["cluster_keys"] = c.key_cols
+        kw = {"key_cols": c.key_cols, "ts_col": c.ts_col, **kw}
         return cls(spark, path, c.partition_cols, c.bucket_col, c.num_buckets, **kw)
 
     # ------------------------------------------------------------ versions
@@ -156,7 +182,7 @@ class VersionedTable:
 
     def versions(self) -> list[int]:
         found = []
-        for p in self._fs.glob(f"{self.path}/v=*/_SUCCESS"):
+        for p in self._fs.glob(f"{self.path}/v=*/{_VERSION_FILE}"):
             m = _VERSION.match(p)
             if m:
                 found.append(int(m.group(1)))
@@ -166,6 +192,14 @@ class VersionedTable:
         v = self.versions()
         return v[-1] if v else None
 
+    def _meta(self, version: int) -> dict:
+        return json.loads(self._fs.read_text(f"{self.version_path(version)}/{_VERSION_FILE}"))
+
+    def applied_batch(self, stream_id: str) -> int | None:
+        """The last batch of a stream that the current version holds."""
+        v = self.current_version()
+        return None if v is None else self._meta(v)["streams"].get(stream_id)
+
     def files(self, version: int | None = None) -> int:
         """Number of data files in a version (for compaction reports)."""
         v = self.current_version() if version is None else version
@@ -214,7 +248,7 @@ class VersionedTable:
         if v is None:
             raise FileNotFoundError(f"no published version under {self.path}")
         vp = self.version_path(v)
-        schema = T.StructType.fromJson(json.loads(self._fs.read_text(f"{vp}/_schema.json")))
+        schema = T.StructType.fromJson(self._meta(v)["schema"])
         if self.clustered:
             df = self.spark.table(self._register_version(v, schema))
         else:
@@ -224,15 +258,18 @@ class VersionedTable:
         cols = [f.name for f in schema.fields if f.name != self.bucket_name]
         df = df.select(*[F.col(f"`{x}`") for x in cols])
         if visible and DELETED_COL in df.columns:
-            df = df.where(~F.col(DELETED_COL))
+            df = df.where(_live())
         if visible:
             df = df.drop(*HIDDEN_COLS)
         return df
 
     def write(self, df: DataFrame, version: int | None = None, rebalance: bool = True,
-              clustered_input: bool = False) -> int:
+              clustered_input: bool = False, batch: tuple[str, int] | None = None) -> int:
         """Write ``df`` as version ``n`` (next by default) and return ``n``.
 
+        ``n`` must be above every published version.  ``batch`` is the
+        ``(stream id, batch id)`` this version applies, if a stream writes it.
+
         The rows are rebalanced on the partition columns so each partition
         folder gets files near the target size; AQE splits a hot partition
         over several tasks instead of sending it to one (A6, A7).
@@ -243,9 +280,14 @@ class VersionedTable:
         into the buckets first.  Either way the data is correct; the flag only
         decides the number of files.
         """
+        cur = self.current_version()
         if version is None:
-            cur = self.current_version()
             version = 0 if cur is None else cur + 1
+        elif cur is not None and version <= cur:
+            raise VersionExistsError(f"version {version} is not above the current version {cur} of {self.path}")
+        streams = {} if cur is None else self._meta(cur)["streams"]
+        if batch is not None:
+            streams = {**streams, batch[0]: batch[1]}
         vp = self.version_path(version)
         out = df
         if self.bucket_col:
@@ -259,7 +301,9 @@ class VersionedTable:
         # Data columns first, partition columns last: the order a partitioned read returns.
         ordered = [c for c in out.columns if c not in parts] + parts
         out = out.select(*[F.col(f"`{x}`") for x in ordered])
-        conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(self.file_bytes)}
+        conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(self.file_bytes),
+                # whatever an unfinished write left in the folder goes
+                "spark.sql.sources.partitionOverwriteMode": "static"}
         if parts:
             # Every partition folder goes to exactly one task (skewed ones are
             # split), so more tasks do not mean more files: let AQE keep the
@@ -283,16 +327,14 @@ class VersionedTable:
                     .option("path", vp).saveAsTable(name, format="parquet")
             else:
                 w.parquet(vp)
-        self._fs.write_text(f"{vp}/_schema.json", out.schema.json())
+        self._fs.write_text(f"{vp}/{_VERSION_FILE}",
+                            json.dumps({"schema": out.schema.jsonValue(), "streams": streams}))
         return version
 
     def vacuum(self, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` published versions (and any
         unpublished folder older than them).  Returns the deleted versions.
-
-        A stream keeps at least 2: replaying the last batch reads the version
-        before it.
-        """
+        Nothing calls this unless a caller asks for it."""
         if keep < 1:
             raise ValueError("keep at least one version")
         published = self.versions()
@@ -333,14 +375,38 @@ class VersionedTable:
 
     # ----------------------------------------------- row-level DML
     def insert(self, rows: DataFrame) -> int:
-        """Append rows as the next version (columns matched by name)."""
-        return self.write(self.read().unionByName(rows, allowMissingColumns=True), clustered_input=True)
+        """Append rows as the next version (columns matched by name).
+
+        On a strict table the rows are live unless they say otherwise, and a
+        row takes the place of its key's tombstone; without ``key_cols`` the
+        keys cannot be told, which is refused."""
+        cur = self.read()
+        if DELETED_COL in cur.columns:
+            if not self.key_cols:
+                raise ValueError("insert into a strict table needs the table's key_cols")
+            flag = F.col(DELETED_COL) if DELETED_COL in rows.columns else F.lit(None).cast("boolean")
+            rows = rows.withColumn(DELETED_COL, F.coalesce(flag, F.lit(False)))
+            dead = cur.where(~_live()).join(rows.select(*self.key_cols), list(self.key_cols), "left_anti")
+            cur = cur.where(_live()).unionByName(dead)
+        if self.clustered:
+            cur = cur if DELETED_COL not in cur.columns else self._by_key(cur)
+            rows = self._by_key(rows)
+        return self.write(cur.unionByName(rows, allowMissingColumns=True), clustered_input=True)
+
+    def _by_key(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.cluster_buckets, *[F.col(f"`{k}`") for k in self.cluster_keys])
 
     def update(self, where: Column | str, assignments: dict[str, Column | str]) -> int:
-        """``UPDATE t SET col = expr WHERE cond`` as a conditional projection."""
+        """``UPDATE t SET col = expr WHERE cond`` as a conditional projection.
+        Tombstones of a strict table are no rows of it and stay as they are."""
         cond = F.expr(where) if isinstance(where, str) else where
         cond = F.coalesce(cond, F.lit(False))
         cur = self.read()
+        unknown = [x for x in assignments if x not in cur.columns]
+        if unknown:
+            raise ValueError(f"UPDATE sets unknown columns {unknown}")
+        if DELETED_COL in cur.columns:
+            cond = cond & _live()
         cols = []
         for name in cur.columns:
             if name in assignments:
@@ -349,13 +415,32 @@ class VersionedTable:
                 cols.append(F.when(cond, v).otherwise(F.col(f"`{name}`")).cast(cur.schema[name].dataType).alias(name))
             else:
                 cols.append(F.col(f"`{name}`"))
-        return self.write(cur.select(*cols), clustered_input=True)
+        return self.write(cur.select(*cols), clustered_input=not set(assignments) & set(self.cluster_keys))
 
-    def delete(self, where: Column | str) -> int:
+    def delete(self, where: Column | str, at: Column | str | None = None) -> int:
         """``DELETE FROM t WHERE cond``: rows where the condition is true go;
-        a null condition keeps the row, as in SQL."""
+        a null condition keeps the row, as in SQL.
+
+        On a strict table they become tombstones at the time ``at`` (now by
+        default; never before the row's own time), so that an older change
+        arriving later does not bring them back."""
         cond = F.expr(where) if isinstance(where, str) else where
-        return self.write(self.read().where(~F.coalesce(cond, F.lit(False))), clustered_input=True)
+        cond = F.coalesce(cond, F.lit(False))
+        cur = self.read()
+        if DELETED_COL not in cur.columns:
+            return self.write(cur.where(~cond), clustered_input=True)
+        if not self.ts_col:
+            raise ValueError("delete from a strict table needs the table's ts_col")
+        hit = cond & _live()
+        own = F.col(f"`{self.ts_col}`")
+        when = F.current_timestamp() if at is None else F.lit(at) if isinstance(at, str) else at
+        when = F.greatest(own, when.cast(cur.schema[self.ts_col].dataType))
+        new = {DELETED_COL: F.lit(True), self.ts_col: when}
+        if CHANGE_SEQ_COL in cur.columns:  # the kept sequence belongs to the row's own time
+            new[CHANGE_SEQ_COL] = F.when(when == own, F.col(CHANGE_SEQ_COL))
+        return self.write(cur.select(*[
+            F.when(hit, new[x]).otherwise(F.col(f"`{x}`")).alias(x) if x in new else F.col(f"`{x}`")
+            for x in cur.columns]), clustered_input=True)
 
     # ------------------------------------------------ maintenance
     def add_columns(self, columns: dict[str, T.DataType | str]) -> int:
@@ -365,14 +450,10 @@ class VersionedTable:
             cur = cur.withColumn(name, F.lit(None).cast(dtype))
         return self.write(cur, clustered_input=True)
 
-    def compact(self, min_files: int = 0) -> tuple[int, int, int]:
+    def compact(self) -> tuple[int, int, int]:
         """Rewrite the current version into files near the target size.
-        Rows are unchanged.  Returns ``(version, files_before, files_after)``;
-        with fewer than ``min_files`` files nothing is rewritten and the
-        current version is returned."""
+        Rows are unchanged.  Returns ``(version, files_before, files_after)``."""
         before_v = self.current_version()
         before = self.files(before_v)
-        if before < min_files:
-            return before_v, before, before
         v = self.write(self.read(before_v))
         return v, before, self.files(v)

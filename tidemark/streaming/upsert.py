@@ -3,11 +3,14 @@
 A file stream over the landing folder replaces the job bookmark: the query's
 checkpoint records which files were processed, and ``trigger(availableNow)``
 processes everything new and stops, like one scheduled job run.  Each
-micro-batch ``k`` is reduced to the latest change per key and merged into
-the versioned table, producing version ``base + k + 1`` from the newest
-version below it.  A replayed batch rewrites the same version from the same
-input, so a crash between the table write and the checkpoint commit is
-harmless (Q10, Q11); one query owns one checkpoint and one table (Q12).
+micro-batch is reduced to the latest change per key and merged into the
+current version of the table, giving the next version, whatever wrote the
+current one (another statement, a compaction, an earlier stream).  The version
+records the stream and the batch it applied, so a batch replayed after a crash
+between the table write and the checkpoint commit is recognised and skipped
+(Q10, Q11).  Rejected rows and conflicts are written before the version, which
+is what marks the batch as done.  One query owns one checkpoint, and one
+writer at a time works on a table (Q12).
 """
 
 from __future__ import annotations
@@ -21,10 +24,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.contract import ChangeContract, ColumnSpec
 from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
 from tidemark.operators.merge import merge
-from tidemark.operators.quality import conform
+from tidemark.operators.quality import conform, table_specs
 from tidemark.sources.landing import CORRUPT_COL, split_corrupt
 from tidemark.sources.table import VersionedTable
 
+# Fixed value: the local property that names the running streaming query.
+_QUERY_ID = "sql.streaming.queryId"
+
 
 def _as_rejects(bad: DataFrame) -> DataFrame:
     """Rejected rows as (raw JSON of the row, reasons)."""
@@ -40,20 +46,35 @@ def upsert_batch_fn(
     table: VersionedTable,
     c: ChangeContract,
     mode: str = "strict",
-    base_version: int = 0,
     specs: Iterable[ColumnSpec] | None = None,
     quarantine_path: str | None = None,
     keep_versions: int | None = None,
     conflicts_path: str | None = None,
+    discard_rejects: bool = False,
+    stream_id: str | None = None,
 ):
-    """The ``foreachBatch`` function: conform, reduce, merge, write a version,
-    log apply conflicts (``conflicts_path``), then (``keep_versions``) drop
-    versions older than the newest ones."""
-    if keep_versions is not None and keep_versions < 2:
-        raise ValueError("a stream must keep at least 2 versions (a replay reads the previous one)")
+    """The ``foreachBatch`` function: conform, reduce, log rejected rows
+    (``quarantine_path``) and apply conflicts (``conflicts_path``), merge and
+    write a version, then (``keep_versions``, if given) drop older versions.
+
+    Rows that cannot be applied need a ``quarantine_path``, or the caller's
+    word that they may go (``discard_rejects``).  Both logs are folders
+    ``stream=<id>/batch=<k>``.  ``stream_id`` defaults to the id of the running
+    query, which its checkpoint keeps.
+    """
+    if quarantine_path is None and not discard_rejects:
+        raise ValueError("rejected rows need a quarantine_path (or discard_rejects=True)")
+    if keep_versions is not None and keep_versions < 1:
+        raise ValueError("keep at least one version")
     specs = list(specs) if specs else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        stream = stream_id or batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+        if not stream:
+            raise ValueError("outside a streaming query the batch function needs a stream_id")
+        done = table.applied_batch(stream)
+        if done is not None and batch_id <= done:
+            return  # replay of a batch that the table holds
         rows, rejects = batch, None
         if CORRUPT_COL in rows.columns:
             # parsed once into a checkpoint; the emptiness test below reads it
@@ -62,26 +83,31 @@ def upsert_batch_fn(
                                      F.array(F.lit("corrupt")).alias("reasons"))
         if rows.isEmpty() and (rejects is None or rejects.isEmpty()):
             return  # B8: nothing landed, no new version
-        version = base_version + batch_id + 1
-        prior = [v for v in table.versions() if v < version]
-        if not prior:
-            raise FileNotFoundError(f"no version below {version} under {table.path}")
+        prev = table.read()
         if specs:
             rows, bad = conform(rows, specs)
             rejects = _union(rejects, _as_rejects(bad))
+        as_stored = table_specs(rows, prev, c)
+        if as_stored:
+            rows, bad = conform(rows, as_stored)
+            rejects = _union(rejects, _as_rejects(bad))
         if mode == "strict":
             rows, bad = split_valid(rows, c)
             rejects = _union(rejects, _as_rejects(bad))
+        log = f"stream={stream}/batch={batch_id}"
+        if quarantine_path and rejects is not None:
+            rejects.write.mode("overwrite").parquet(f"{quarantine_path}/{log}")
+        if rows.isEmpty():
+            return  # B8: only rejected rows landed, the table is as it was
+        if mode == "strict":
             latest = latest_one(rows, c, assume_valid=True)
         else:
             latest = latest_with_ties(rows, c)
-        prev = table.read(prior[-1])
-        res = merge(prev, latest, c, mode=mode)
-        table.write(res.table, version=version, clustered_input=True)
+        # strict: reduced in the target's types, so a key cannot occur twice
+        res = merge(prev, latest, c, mode=mode, check_cardinality=mode == "compat")
         if conflicts_path:
-            res.conflicts.write.mode("overwrite").parquet(f"{conflicts_path}/batch={batch_id}")
-        if quarantine_path and rejects is not None:
-            rejects.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+            res.conflicts.write.mode("overwrite").parquet(f"{conflicts_path}/{log}")
+        table.write(res.table, clustered_input=True, batch=(stream, batch_id))
         if keep_versions:
             table.vacuum(keep_versions)
 
@@ -94,18 +120,18 @@ def start_upsert(
     c: ChangeContract,
     checkpoint: str,
     mode: str = "strict",
-    base_version: int = 0,
     specs: Iterable[ColumnSpec] | None = None,
     quarantine_path: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
     keep_versions: int | None = None,
     conflicts_path: str | None = None,
+    discard_rejects: bool = False,
 ) -> StreamingQuery:
     """Start the upsert stream over a streaming DataFrame of change rows."""
     w = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        upsert_batch_fn(table, c, mode, base_version, specs, quarantine_path, keep_versions,
-                        conflicts_path))
+        upsert_batch_fn(table, c, mode, specs, quarantine_path, keep_versions, conflicts_path,
+                        discard_rejects))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
