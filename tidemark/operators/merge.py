@@ -247,15 +247,30 @@ def _key_match(keys: list[str]) -> Column:
     return cond
 
 
-def _check_cardinality(t: DataFrame | None, s: DataFrame, keys: list[str], limit: int | None) -> None:
-    """raise when a source key occurs more than once and matches a target
-    row (or at all, without ``t``: strict tables hold a key once)."""
-    dup = (
+def _repeated(s: DataFrame, keys: list[str]) -> DataFrame:
+    return (
         s.groupBy(*[_c(_s(k)) for k in keys])
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > 1)
         .drop("_n")
     )
+
+
+def ambiguous_keys(target: DataFrame, batch: DataFrame, c: ChangeContract) -> DataFrame:
+    """F4 as a report: the target's keys matched by more than one batch row,
+    those for which a compat merge raises :class:`MergeCardinalityError`."""
+    keys = list(c.key_cols)
+    types = {f.name: f.dataType for f in target.schema.fields}
+    s = batch.select(*[_c(k).cast(types[k]).alias(_s(k)) for k in keys])
+    t = target.select(*[_c(k).alias(_t(k)) for k in keys])
+    return t.join(_repeated(s, keys), _key_match(keys), "left_semi").distinct().select(
+        *[_c(_t(k)).alias(k) for k in keys])
+
+
+def _check_cardinality(t: DataFrame | None, s: DataFrame, keys: list[str], limit: int | None) -> None:
+    """raise when a source key occurs more than once and matches a target
+    row (or at all, without ``t``: strict tables hold a key once)."""
+    dup = _repeated(s, keys)
     if dup.isEmpty():
         return
     if t is None:

@@ -8,7 +8,8 @@ merges a three-branch ``UNION ALL``.
 from __future__ import annotations
 
 from tidemark.plans.queries import ADHOC_SQL
-from tidemark.sources.feeds import (FEED_SQL, LINEITEM_FEED_SQL, SNAP_A_SQL, SNAP_B_SQL,
+from tidemark.sources.feeds import (ALL_CUSTOMERS_SQL, BATCH_CUTS, DELETE_TIME, FEED_SQL,
+                                    LINEITEM_FEED_SQL, ROUGH_SQL, SNAP_A_SQL, SNAP_B_SQL,
                                     TARGET_LEFT_OUT_SEGMENT, TARGET_SQL, TARGET_TIME)
 
 ORACLE: dict[str, str] = {}
@@ -214,7 +215,7 @@ FROM chk WHERE reasons = ''"""
 
 ORACLE["conform_bad"] = f"""
 WITH {_TXT}
-SELECT op, state, amount, record_id, event_id, reasons FROM chk WHERE reasons <> ''"""
+SELECT op, state, amount, record_id, cdc_ingestion_timestamp, event_id, reasons FROM chk WHERE reasons <> ''"""
 
 _LEFT_OUT = f"""
 SELECT c_mktsegment AS state, c_acctbal AS amount, c_custkey AS record_id,
@@ -223,12 +224,85 @@ FROM customer WHERE c_mktsegment = '{TARGET_LEFT_OUT_SEGMENT}'"""
 
 ORACLE["insert_rows"] = f"{TARGET_SQL}\nUNION ALL{_LEFT_OUT}"
 
+ORACLE["rough_quarantine"] = f"""
+SELECT * FROM (
+  SELECT *, concat_ws(',', CASE WHEN record_id IS NULL THEN 'null_key' END,
+                      CASE WHEN cdc_ingestion_timestamp IS NULL THEN 'null_time' END,
+                      CASE WHEN op IS NULL OR op NOT IN ('I','U','D') THEN 'bad_op' END) AS reasons
+  FROM ({ROUGH_SQL}))
+WHERE reasons <> ''"""
+
+_ROUGH_TIES = f"""
+  SELECT * EXCLUDE (m) FROM (
+    SELECT *, max(cdc_ingestion_timestamp) OVER (PARTITION BY record_id) AS m FROM ({ROUGH_SQL}))
+  WHERE cdc_ingestion_timestamp = m AND {_VALID}"""
+
+ORACLE["rough_latest_ties"] = _ROUGH_TIES
+
+ORACLE["rough_latest_one"] = f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY record_id
+            ORDER BY cdc_ingestion_timestamp DESC, op = 'D' DESC, state DESC, amount DESC, op DESC) AS rn
+  FROM ({ROUGH_SQL})
+  WHERE record_id IS NOT NULL AND cdc_ingestion_timestamp IS NOT NULL AND {_VALID})
+WHERE rn = 1"""
+
+ORACLE["merge_cardinality"] = f"""
+SELECT record_id FROM ({_ROUGH_TIES})
+WHERE record_id IN (SELECT c_custkey FROM customer)
+GROUP BY record_id HAVING count(*) > 1"""
+
+# A drop, an update of what is then live, a compaction, the other drops.  The
+# update hits rows that the first drop left in place or wrote; later drops
+# overwrite those that they apply to.
+ORACLE["stream_with_dml"] = f"""
+WITH feed AS ({FEED_SQL}), target AS ({TARGET_SQL}),
+valid AS (SELECT * FROM feed WHERE record_id IS NOT NULL AND cdc_ingestion_timestamp IS NOT NULL AND {_VALID}),
+one AS (
+  SELECT * FROM valid
+  QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY cdc_ingestion_timestamp DESC, event_id DESC) = 1),
+won AS (
+  SELECT b.*, b.cdc_ingestion_timestamp < TIMESTAMP '{BATCH_CUTS[0]}' AS before_update
+  FROM one b LEFT JOIN target t USING (record_id)
+  WHERE t.record_id IS NULL OR b.cdc_ingestion_timestamp >= t.cdc_ingestion_timestamp)
+SELECT state, CASE WHEN before_update AND amount < 0 THEN 0 ELSE amount END AS amount,
+       record_id, cdc_ingestion_timestamp
+FROM won WHERE op <> 'D'
+UNION ALL
+SELECT state, CASE WHEN amount < 0 THEN 0 ELSE amount END, record_id, cdc_ingestion_timestamp
+FROM target WHERE record_id NOT IN (SELECT record_id FROM won)"""
+
+ORACLE["late_change_after_delete"] = f"""
+WITH feed AS ({FEED_SQL}),
+base AS (
+  SELECT c_mktsegment AS state, c_acctbal AS amount, c_custkey AS record_id,
+         CASE WHEN c_acctbal < 5000 THEN TIMESTAMP '{DELETE_TIME}'
+              ELSE TIMESTAMP '2024-01-01 00:00:00' END AS cdc_ingestion_timestamp,
+         c_acctbal < 5000 AS dead
+  FROM customer),
+one AS (
+  SELECT * FROM feed
+  WHERE record_id IS NOT NULL AND cdc_ingestion_timestamp IS NOT NULL AND {_VALID}
+  QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY cdc_ingestion_timestamp DESC, event_id DESC) = 1),
+won AS (
+  SELECT b.* FROM one b LEFT JOIN base t USING (record_id)
+  WHERE t.record_id IS NULL OR b.cdc_ingestion_timestamp >= t.cdc_ingestion_timestamp)
+SELECT state, amount, record_id, cdc_ingestion_timestamp FROM won WHERE op <> 'D'
+UNION ALL
+SELECT state, amount, record_id, cdc_ingestion_timestamp FROM base
+WHERE NOT dead AND record_id NOT IN (SELECT record_id FROM won)"""
+
 ORACLE["update_where"] = f"""
 SELECT state, CASE WHEN state = 'BUILDING' AND amount < 0 THEN amount + 100 ELSE amount END AS amount,
-       record_id, cdc_ingestion_timestamp
-FROM ({TARGET_SQL})"""
+       record_id, cdc_ingestion_timestamp, amount > 9000 AS is_deleted
+FROM ({ALL_CUSTOMERS_SQL})"""
 
-ORACLE["delete_where"] = f"SELECT * FROM ({TARGET_SQL}) WHERE NOT (amount < 0)"
+ORACLE["delete_where"] = f"""
+SELECT state, amount, record_id,
+       CASE WHEN amount < 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE cdc_ingestion_timestamp END
+         AS cdc_ingestion_timestamp,
+       amount > 9000 OR amount < 0 AS is_deleted
+FROM ({ALL_CUSTOMERS_SQL})"""
 
 ORACLE["evolve_add_column"] = f"""
 SELECT *, CAST(NULL AS INTEGER) AS nation FROM ({TARGET_SQL})
@@ -238,7 +312,10 @@ SELECT c_mktsegment AS state, c_acctbal AS amount, c_custkey AS record_id,
 FROM customer WHERE c_mktsegment = '{TARGET_LEFT_OUT_SEGMENT}'"""
 
 ORACLE["compact"] = "SELECT * FROM events"
-ORACLE["partition_layout"] = TARGET_SQL
+ORACLE["partition_layout"] = """
+SELECT c_mktsegment AS state, count(*) AS n_rows, CAST(sum(c_custkey) AS BIGINT) AS sum_keys,
+       CAST(0 AS BIGINT) AS n_misplaced, CAST(0 AS BIGINT) AS n_outside
+FROM customer GROUP BY c_mktsegment"""
 
 ORACLE["adhoc_sql"] = f"""
 WITH current_state AS ({MERGE_STRICT_SQL})

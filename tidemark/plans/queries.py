@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.diff import reconcile, reconcile_summary, snapshot_diff
 from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
-from tidemark.operators.merge import fold, merge, visible
+from tidemark.operators.merge import ambiguous_keys, fold, merge, visible
 from tidemark.operators.quality import as_text, conform
 from tidemark.session import scratch_path
 from tidemark.sources import feeds
@@ -131,6 +131,35 @@ def merge_action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query("rough_quarantine")
+def rough_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows strict mode refuses, with every reason: null key, null time, bad op."""
+    _, bad = split_valid(feeds.rough_feed(spark, sf_dir), feeds.ROUGH_CONTRACT)
+    return bad.select("op", "state", "amount", "record_id", "cdc_ingestion_timestamp",
+                      F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("rough_latest_ties")
+def rough_latest_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 where keys, times and ops are null, unknown or tied (Q1-Q5)."""
+    return latest_with_ties(feeds.rough_feed(spark, sf_dir), feeds.ROUGH_CONTRACT)
+
+
+@query("rough_latest_one")
+def rough_latest_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 without a sequence: rows tied at a key's last time are ordered by
+    their content (a delete first, then state and amount, then the op)."""
+    return latest_one(feeds.rough_feed(spark, sf_dir), feeds.ROUGH_CONTRACT)
+
+
+@query("merge_cardinality")
+def merge_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the keys for which a compat MERGE of the tied changes is refused,
+    those of the target that more than one change matches."""
+    batch = latest_with_ties(feeds.rough_feed(spark, sf_dir), feeds.ROUGH_CONTRACT)
+    return ambiguous_keys(feeds.all_customers(spark, sf_dir), batch, feeds.ROUGH_CONTRACT)
+
+
 # ------------------------------------------------------ full load, batches
 @query("full_load")
 def full_load_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +213,45 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read(visible=True)
 
 
+@query("stream_with_dml")
+def stream_with_dml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 + F6 + I2 on one strict table: a drop, an UPDATE, a compaction, the
+    other drops.  Every write builds on the one before it."""
+    root = scratch_path(spark, "stream_dml")
+    table = VersionedTable.for_contract(spark, f"{root}/table", FEED_CONTRACT)
+    table.write(feeds.customer_target(spark, sf_dir).withColumn("is_deleted", F.lit(False)))
+    first, *rest = feeds.feed_batches(feeds.event_feed(spark, sf_dir))
+
+    def drop(rows: DataFrame) -> None:
+        write_landing(rows, f"{root}/landing", FEED_CONTRACT)
+        changes = read_landing(spark, f"{root}/landing", FEED_CONTRACT, streaming=True)
+        q = start_upsert(changes, table, FEED_CONTRACT, checkpoint=f"{root}/checkpoint",
+                         specs=feeds.feed_typed_specs(), quarantine_path=f"{root}/quarantine")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+    drop(first)
+    table.update("amount < 0", {"amount": "0.0D"})
+    table.compact()
+    for rows in rest:
+        drop(rows)
+    return table.read(visible=True)
+
+
+@query("late_change_after_delete")
+def late_change_after_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 + H3: rows deleted from a strict table stay deleted for changes older
+    than the delete and come back with newer ones."""
+    t = VersionedTable.for_contract(spark, scratch_path(spark, "late_delete"), FEED_CONTRACT)
+    base = feeds.all_customers(spark, sf_dir).withColumn("is_deleted", F.lit(False))
+    t.write(base.withColumn("cdc_ingestion_timestamp", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")))
+    t.delete("amount < 5000", at=feeds.DELETE_TIME)
+    batch = latest_one(feeds.event_feed(spark, sf_dir), FEED_CONTRACT)
+    t.write(merge(t.read(), batch, FEED_CONTRACT).table)
+    return t.read(visible=True)
+
+
 # ------------------------------------------------------- snapshots, checks
 @query("snapshot_diff")
 def snapshot_diff_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,7 +287,7 @@ def conform_good(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conform_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows set aside, raw text and the failed checks."""
     bad = _conform(spark, sf_dir)[1]
-    return bad.select("op", "state", "amount", "record_id", "event_id",
+    return bad.select("op", "state", "amount", "record_id", "cdc_ingestion_timestamp", "event_id",
                       F.array_join("reasons", ",").alias("reasons"))
 
 
@@ -230,6 +298,13 @@ def _target_table(spark: SparkSession, sf_dir: str, name: str) -> VersionedTable
     return t
 
 
+def _strict_customers(spark: SparkSession, sf_dir: str, name: str) -> VersionedTable:
+    """Every customer in a strict table, rows of positive balance above 9000 already deleted."""
+    t = VersionedTable.for_contract(spark, scratch_path(spark, name), FEED_CONTRACT)
+    t.write(feeds.all_customers(spark, sf_dir).withColumn("is_deleted", F.col("amount") > 9000))
+    return t
+
+
 def _left_out_customers(spark: SparkSession, sf_dir: str, extra: tuple = ()) -> DataFrame:
     cu = feeds.table(spark, sf_dir, "customer")
     return cu.where(F.col("c_mktsegment") == feeds.TARGET_LEFT_OUT_SEGMENT).select(
@@ -243,25 +318,29 @@ def _left_out_customers(spark: SparkSession, sf_dir: str, extra: tuple = ()) ->
 
 @query("insert_rows")
 def insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """INSERT of new rows as the next table version."""
-    t = _target_table(spark, sf_dir, "insert_rows")
+    """INSERT of one segment's customers into a strict table that holds
+    every customer, that segment as deleted: visible rows."""
+    t = VersionedTable.for_contract(spark, scratch_path(spark, "insert_rows"), FEED_CONTRACT)
+    t.write(feeds.all_customers(spark, sf_dir).withColumn(
+        "is_deleted", F.col("state") == feeds.TARGET_LEFT_OUT_SEGMENT))
     t.insert(_left_out_customers(spark, sf_dir))
-    return t.read()
+    return t.read(visible=True)
 
 
 @query("update_where")
 def update_where(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UPDATE ... SET amount = amount + 100 WHERE state = 'BUILDING' AND amount < 0."""
-    t = _target_table(spark, sf_dir, "update_where")
-    t.update("state = 'BUILDING' AND amount < 0", {"amount": "amount + 100"})
+    """UPDATE ... SET amount = amount + 100 WHERE ... on a strict table;
+    deleted rows (amounts above 9000) stay as they are."""
+    t = _strict_customers(spark, sf_dir, "update_where")
+    t.update("state = 'BUILDING' AND (amount < 0 OR amount > 9000)", {"amount": "amount + 100"})
     return t.read()
 
 
 @query("delete_where")
 def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DELETE ... WHERE amount < 0."""
-    t = _target_table(spark, sf_dir, "delete_where")
-    t.delete("amount < 0")
+    """DELETE ... WHERE amount < 0 on a strict table: stored rows, tombstones included."""
+    t = _strict_customers(spark, sf_dir, "delete_where")
+    t.delete("amount < 0", at="2024-02-01 00:00:00")
     return t.read()
 
 
@@ -285,9 +364,20 @@ def compact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("partition_layout")
 def partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A6 + G3: identity(state) + bucket(16, key) layout, read back whole."""
-    t = _target_table(spark, sf_dir, "layout")
-    return t.read()
+    """A6 + G3: identity(state) + bucket(16, key) layout, as the stored folders
+    tell it: rows per state, the number of buckets that rows of the state are
+    in, and rows that lie outside the bucket of their key."""
+    t = VersionedTable.for_contract(spark, scratch_path(spark, "layout"), FEED_CONTRACT)
+    t.write(feeds.all_customers(spark, sf_dir))
+    folder = F.regexp_extract(F.input_file_name(), "record_id_bucket=([0-9]+)/", 1).cast("int")
+    rows = spark.read.parquet(t.version_path(0)).select(
+        F.url_decode(F.regexp_extract(F.input_file_name(), "/state=([^/]*)/", 1)).alias("state"),
+        "record_id", folder.alias("bucket"))
+    own = F.pmod(F.hash(F.col("record_id")), F.lit(FEED_CONTRACT.num_buckets))
+    return rows.groupBy("state").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("record_id").alias("sum_keys"),
+        F.sum((F.col("bucket").isNull() | (F.col("bucket") != own)).cast("long")).alias("n_misplaced"),
+        F.sum((~F.col("bucket").between(0, FEED_CONTRACT.num_buckets - 1)).cast("long")).alias("n_outside"))
 
 
 @query("adhoc_sql")

@@ -53,6 +53,9 @@ ORDERS_CONTRACT = ChangeContract(
 # segment the target leaves out (its keys arrive as inserts).
 TARGET_TIME = "2024-01-30 12:00:00"
 TARGET_LEFT_OUT_SEGMENT = "HOUSEHOLD"
+# The time of the registered deletes (after every change of the feed
+# that they are meant to stop).
+DELETE_TIME = "2024-01-25 00:00:00"
 # The times at which the feed is cut into three batches.
 BATCH_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 
@@ -86,8 +89,12 @@ FROM events"""
 
 def customer_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TARGET: current state built from customers of every segment but one."""
-    cu = table(spark, sf_dir, "customer")
-    return cu.where(F.col("c_mktsegment") != TARGET_LEFT_OUT_SEGMENT).select(
+    return all_customers(spark, sf_dir).where(F.col("state") != TARGET_LEFT_OUT_SEGMENT)
+
+
+def all_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as a current-state row."""
+    return table(spark, sf_dir, "customer").select(
         F.col("c_mktsegment").alias("state"),
         F.col("c_acctbal").alias("amount"),
         F.col("c_custkey").alias("record_id"),
@@ -95,6 +102,12 @@ def customer_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ALL_CUSTOMERS_SQL = f"""
+SELECT c_mktsegment AS state, c_acctbal AS amount, c_custkey AS record_id,
+       TIMESTAMP '{TARGET_TIME}' AS cdc_ingestion_timestamp
+FROM customer"""
+
+
 TARGET_SQL = f"""
 SELECT c_mktsegment AS state, c_acctbal AS amount, c_custkey AS record_id,
        TIMESTAMP '{TARGET_TIME}' AS cdc_ingestion_timestamp
@@ -125,6 +138,46 @@ SELECT CASE l_returnflag WHEN 'A' THEN 'I' WHEN 'R' THEN 'U' WHEN 'N' THEN 'D' E
 FROM lineitem"""
 
 
+# Changes with every oddity a capture can land, by attribute over all events:
+# null keys (users who are multiples of 11), null times (errors of small
+# amounts), lower-case and unknown ops, keys tied at one time (times cut to
+# the day, keys folded to 1/4), no sequence.
+ROUGH_CONTRACT = ChangeContract(
+    columns=FEED_CONTRACT.columns, key_cols=FEED_CONTRACT.key_cols, frozen_cols=("state",))
+
+
+def rough_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    op = (
+        F.when(F.col("event_type") == "signup", "I")
+        .when((F.col("event_type") == "click") & (F.col("value") < 10), "u")
+        .when((F.col("event_type") == "purchase") & (F.col("value") < 10), "X")
+        .when(F.col("event_type").isin("click", "purchase"), "U")
+        .when(F.col("event_type") == "error", "D")
+    )
+    return ev.select(
+        op.alias("op"),
+        F.concat(F.lit("SRC-"), F.col("event_type")).alias("state"),
+        F.col("value").alias("amount"),
+        F.when(F.col("user_id") % 11 != 0, F.floor(F.col("user_id") / 4)).alias("record_id"),
+        F.when(~((F.col("event_type") == "error") & (F.col("value") < 20)),
+               F.col("ts").cast("date").cast("timestamp_ntz")).alias("cdc_ingestion_timestamp"),
+    )
+
+
+ROUGH_SQL = """
+SELECT CASE WHEN event_type = 'signup' THEN 'I'
+            WHEN event_type = 'click' AND value < 10 THEN 'u'
+            WHEN event_type = 'purchase' AND value < 10 THEN 'X'
+            WHEN event_type IN ('click', 'purchase') THEN 'U'
+            WHEN event_type = 'error' THEN 'D' END AS op,
+       concat('SRC-', event_type) AS state, value AS amount,
+       CASE WHEN user_id % 11 <> 0 THEN CAST(floor(user_id / 4) AS BIGINT) END AS record_id,
+       CASE WHEN NOT (event_type = 'error' AND value < 20)
+            THEN CAST(date_trunc('day', ts) AS TIMESTAMP) END AS cdc_ingestion_timestamp
+FROM events"""
+
+
 # Snapshot rules.  A is "before": orders up to 2000.  B is
 # "after": orders from 1996 on, pending orders before 1998 now filled, and
 # urgent 1999 orders repriced.
