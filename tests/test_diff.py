@@ -72,3 +72,17 @@ def test_duplicate_keys_are_refused(spark):
         snapshot_diff(ok, dup, C)
     with pytest.raises(DuplicateKeyError):
         reconcile(dup, ok, C)
+
+
+def test_null_keys_are_refused(spark):
+    import pytest
+
+    from tidemark.operators.diff import NullKeyError
+
+    ok = spark.createDataFrame([(1, "x", 1.0, 1)], S)
+    null = spark.createDataFrame([(1, "x", 1.0, 1), (None, "y", 2.0, 1)], S)
+    for a, b in ((ok, null), (null, ok), (null, null)):
+        with pytest.raises(NullKeyError):
+            snapshot_diff(a, b, C)
+        with pytest.raises(NullKeyError):
+            reconcile(a, b, C)

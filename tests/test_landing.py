@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from tidemark.contract import TOLL_CONTRACT, TOLL_SPECS
+from tidemark.contract import TOLL_CONTRACT, TOLL_SPECS, ChangeContract
 from tidemark.operators.latest import latest_with_ties
 from tidemark.operators.merge import merge
 from tidemark.operators.quality import conform
@@ -14,6 +14,7 @@ from tidemark.sources.landing import (
     read_landing,
     select_tables,
     split_corrupt,
+    write_landing,
 )
 from tidemark.sources.table import VersionedTable
 
@@ -168,3 +169,27 @@ def test_capture_time_now_and_literal(spark):
     assert types == ["timestamp_ntz", "timestamp_ntz", "timestamp"]
     r = df.first()
     assert r["now"].year >= 2024 and r["lit"].isoformat() == "2024-01-01T00:00:00"
+
+
+def test_landing_lines_are_written_as_they_are(spark, tmp_dir):
+    """No quotes, no escapes, no trimming, no shift of a time without a zone."""
+    c = ChangeContract(columns=("v", "k", "ts"), key_cols=("k",), ts_col="ts")
+    df = spark.sql("""
+        SELECT 'U' AS op, v, id AS k, t AS ts FROM VALUES
+          (' lead', 1, TIMESTAMP_NTZ '2024-03-10 02:30:00'), ('trail ', 2, TIMESTAMP_NTZ '2024-03-10 02:30:00.5'),
+          ('', 3, NULL), (NULL, 4, TIMESTAMP_NTZ '1999-12-31 23:59:59.123456'),
+          ('a"b\\\\c', 5, NULL), ('x,y', 6, NULL) AS t(v, id, t)""")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 is skipped there
+    try:
+        write_landing(df.coalesce(1), f"{tmp_dir}/exact", c)
+        lines = [r["value"] for r in spark.read.text(f"{tmp_dir}/exact").collect()]
+        rows, corrupt = split_corrupt(read_landing(spark, f"{tmp_dir}/exact", c))
+        back = {r["k"]: (r["v"], str(r["ts"])) for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert lines == ["U, lead,1,2024-03-10 02:30:00.000000", "U,trail ,2,2024-03-10 02:30:00.500000", "U,,3,",
+                     "U,,4,1999-12-31 23:59:59.123456", 'U,a"b\\c,5,', "U,x,y,6,"]
+    assert back["1"] == (" lead", "2024-03-10 02:30:00") and back["2"][0] == "trail "
+    assert back["5"][0] == 'a"b\\c' and back["4"] == (None, "1999-12-31 23:59:59.123456")
+    assert [r[0] for r in corrupt.collect()] == ["U,x,y,6,"]  # the comma broke its row (Q13)

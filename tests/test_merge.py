@@ -4,8 +4,10 @@ properties strict mode promises: fold = one-shot in any order, replay = once."""
 import random
 
 import pytest
-from conftest import C, rows_of
+from conftest import C, rows_of, srt
+from pyspark.sql import functions as F
 
+from tidemark.contract import ChangeContract
 from tidemark.operators.latest import latest_one, latest_with_ties
 from tidemark.operators.merge import MergeCardinalityError, fold, merge, visible
 
@@ -221,3 +223,89 @@ def test_source_values_take_target_types(spark):
         out = merge(tgt, b, c, mode=mode).current()
         assert out.schema["n"].dataType.simpleString() == "int"
         assert rows_of(out, "k", "n") == [(1, 11), (2, 7)]
+
+
+def test_strict_refuses_two_changes_for_one_key(spark, target, changes):
+    rows = [("U", "A", "x", 1, 11, 1), ("U", "A", "y", 1, 12, 2)]
+    for strategy in ("auto", "shuffle"):
+        with pytest.raises(MergeCardinalityError):
+            merge(target([("A", "t1", 1, 10)]), changes(rows), C, strategy=strategy)
+    text = changes([("U", "A", "x", 7, 11, 1), ("U", "A", "y", 8, 12, 2)]).withColumn(
+        "record_id", F.when(F.col("record_id") == 7, "7").otherwise("07"))
+    with pytest.raises(MergeCardinalityError):  # two text keys, one key of the target
+        merge(target([]), text, C)
+
+
+def test_equal_times_do_not_depend_on_input_order(spark, target, changes):
+    """Without a sequence the row itself orders changes of one time: in a
+    reduction, and in folds in any order."""
+    import itertools
+
+    c = ChangeContract(columns=C.columns, key_cols=C.key_cols, ts_col="ts")
+    rows = [("U", "A", "y", 1, 11, None), ("U", "A", "x", 1, 11, None), ("I", "B", "x", 1, 11, None),
+            ("D", "A", "a", 2, 11, None), ("U", "A", "z", 2, 11, None), ("U", None, None, 3, 11, None),
+            ("U", "A", None, 3, 11, None)]
+    want = [("B", "x", 1), ("A", None, 3)]
+    for order in (rows, rows[::-1]):
+        one = latest_one(changes(order).drop("seq").coalesce(1), c)
+        assert rows_of(one.where("op <> 'D'"), "state", "val", "record_id") == srt(want)
+        assert one.count() == 3
+    pairs = [rows[0:2], rows[2:5], rows[5:7]]
+    for perm in itertools.permutations(pairs):
+        state = fold(target([("A", "t", 1, 10)]), [changes(b).drop("seq") for b in perm], c)
+        assert rows_of(visible(state), "state", "val", "record_id") == srt(want)
+
+
+def test_text_sequence_is_refused_unless_declared(changes):
+    from dataclasses import replace
+
+    from pyspark.sql import types as T
+
+    df = changes([("U", "A", "nine", 1, 11, 9), ("U", "A", "ten", 1, 11, 10)])
+    text = df.withColumn("seq", F.col("seq").cast("string"))
+    assert rows_of(latest_one(df, C), "val") == [("ten",)]
+    with pytest.raises(ValueError):
+        latest_one(text, C)
+    assert rows_of(latest_one(text, replace(C, seq_type=T.StringType())), "val") == [("nine",)]
+
+
+def test_column_names_match_without_case(target, changes):
+    upper = target([("A", "t1", 1, 10), ("A", "t2", 2, 10)]).withColumnsRenamed({"val": "VAL", "record_id": "Record_Id"})
+    out = merge(upper, latest_one(changes([("U", "B", "u1", 1, 11, 1)]), C), C).current()
+    assert out.columns == list(C.columns)
+    assert rows_of(out, "record_id", "val") == [(1, "u1"), (2, "t2")]
+
+
+@pytest.mark.parametrize("strategy", ["auto", "shuffle"])
+def test_null_keys_pass_beside_the_join(target, changes, strategy):
+    tgt = [("A", "n1", None, 10), ("A", "n2", None, 11), ("A", "t1", 1, 10)]
+    batch = latest_with_ties(changes([("U", "B", "n3", None, 12, 1), ("U", "B", "u1", 1, 12, 2)]), C)
+    out = merge(target(tgt), batch, C, mode="compat", strategy=strategy).table
+    assert rows_of(out, "val", "record_id") == srt([("n1", None), ("n2", None), ("n3", None), ("u1", 1)])
+
+
+def test_rows_without_a_delete_flag_are_live(target):
+    df = target([("A", "t1", 1, 10)]).withColumn("is_deleted", F.lit(None).cast("boolean"))
+    assert visible(df).count() == 1
+
+
+def test_changes_with_map_columns_are_ordered_too(spark):
+    c = ChangeContract(columns=("k", "m", "ts"), key_cols=("k",), ts_col="ts")
+    df = spark.sql("SELECT 'U' AS op, 1 AS k, map('a', v) AS m, 5 AS ts FROM VALUES (1), (3), (2) AS t(v)")
+    out = merge(spark.sql("SELECT 1 AS k, map('a', 2) AS m, 5 AS ts"), latest_one(df, c), c).current()
+    assert [r["m"] for r in out.collect()] == [{"a": 3}]
+
+
+def test_nested_columns_are_measured_before_a_broadcast(spark):
+    from tidemark.plans.sizing import fits_broadcast, measure
+
+    small = spark.range(10).select("id", F.array(F.lit("x")).alias("a"))
+    big = spark.range(10).select("id", F.array(F.repeat(F.lit("x"), 100_000)).alias("a"))
+    many = spark.range(10).select("id", F.sequence(F.lit(1), F.lit(10_000)).alias("a"))
+    nulls = spark.range(10).select("id", F.array_repeat(F.lit(None).cast("int"), 10_000).alias("a"))
+    assert measure(small).bytes < 2000
+    assert measure(big).bytes > 1_000_000
+    assert measure(many).bytes > 10 * 8 * 10_000 and measure(nulls).bytes > 10 * 8 * 10_000
+    assert fits_broadcast(small, 100_000)[0] and not fits_broadcast(big, 100_000)[0]
+    odd = spark.range(3).select(F.expr("parse_json('1')").alias("v"))
+    assert fits_broadcast(odd, 10**9) == (False, fits_broadcast(odd, 0)[1])  # unmeasured: not broadcast

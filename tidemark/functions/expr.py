@@ -76,7 +76,7 @@ def orderable(col: Column, dtype: T.DataType) -> Column:
     """``col`` in a form that can be compared: types without an order (maps,
     variants) as JSON text."""
     text = dtype.simpleString()
-    return F.to_json(F.struct(col)) if "map<" in text or "variant" in text else col
+    return F.to_json(F.struct(col.alias("v"))) if "map<" in text or "variant" in text else col
 
 
 def change_order(*parts: Column) -> Column:
