@@ -61,9 +61,9 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc, h, at (place of the line), line: every line that isn't blank."""
-    return (docs.select("doc", "h", F.posexplode(text_lines(F.col("text"))).alias("at", "line"))
-            .withColumn("line", F.btrim("line", F.lit(_SPACES))).where("line <> ''"))
+    """doc, h, at (place of the line), line.  Blank lines stay here: they have
+    no words, and trimming every line costs more than splitting it."""
+    return docs.select("doc", "h", F.posexplode(text_lines(F.col("text"))).alias("at", "line"))
 
 
 def words_of(line) -> Column:
@@ -151,14 +151,14 @@ def later_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: byte
 
 def removed_lines(docs: DataFrame, p: Lines = Lines(), name: str = "lines") -> DataFrame:
     """doc, h, at of every line that an earlier line removes (``docs``: keyed)."""
-    raw = lines_of(docs).select("doc", "h", "at", words_of(F.col("line")).alias("words")).where(F.size("words") >= p.min_words)
+    raw = lines_of(docs).select("doc", "h", "at", words_of(F.col("line")).alias("words"))
     levels = rarity(docs, p.cell_bits)
     n = F.size("s")
     prefix = n - F.floor((n * p.percent + 99) / F.lit(100)).cast("int") + 1
     sets = stored(raw.select("doc", "h", "at", ordered_set(F.col("words"), levels, p.cell_bits).alias("s"))
                   .select("doc", "h", "at", F.xxhash64("s").alias("id"), n.alias("n"), sketch(F.col("s")).alias("k"),
                           F.slice("s", F.lit(1), prefix).alias("prefix")),
-                  f"{name}-sets")
+                  f"{name}-sets").where(F.col("n") >= max(1, p.min_words))  # before the table, the words would be split twice
 
     # one row per distinct set: its first line
     first = F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "h", "at", "n", "k", "prefix")).alias("f")
