@@ -42,8 +42,8 @@ class Lines:
     percent: int = 90  # similarity
     #: Lines with fewer distinct words stay, however often they occur.
     min_words: int = 5
-    #: The counting table has 2^cell_bits cells.
-    cell_bits: int = 17
+    #: The counting table has 2^cell_bits cells, of a byte each in the plan.
+    cell_bits: int = 20
 
 
 #: The six white-space characters that part words.
@@ -86,9 +86,12 @@ def rarity(docs: DataFrame, bits: int) -> bytes:
     word = docs.select(F.explode(F.split("text", " ", -1)).alias("w")).select(cell(F.xxhash64("w"), bits).alias("c"))
     count = word.groupBy("c").agg(F.count("*").alias("n"))
     level = F.least(F.floor(F.log2(F.col("n") + 1.0) * 3), F.lit(126)).cast("int")
+    # at most 2^bits small numbers, cell and level in one
+    part = count.select((F.col("c") * 128 + level).alias("v")).groupBy(F.shiftright("v", 17).alias("part")).agg(F.collect_list("v").alias("v"))
     out = bytearray(1 << bits)
-    for c, n in count.select("c", level).collect():  # at most 2^bits rows of two small numbers
-        out[c] = n
+    for row in part.select("v").collect():
+        for v in row["v"]:
+            out[v >> 7] = v & 127
     return bytes(out)
 
 
