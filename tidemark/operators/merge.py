@@ -386,15 +386,18 @@ def fold(
     """Apply change batches one after another (H1, H3).
 
     Each batch is reduced to its latest change per key (``reduce``: ``"one"``
-    for D2, ``"ties"`` for D1) and merged; every intermediate state is
-    checkpointed so lineage stays one merge deep however many batches run.
+    for D2, ``"ties"`` for D1) and merged; every intermediate state (the last
+    one is left to the caller) is checkpointed so lineage stays one merge deep
+    however many batches run.
     In strict mode with tombstones the result does not depend on the order
     of the batches and equals a single merge of all changes.
     """
     state = target
-    for b in batches:
+    for i, b in enumerate(batches):
+        if i:
+            state = materialize(state)
         latest = latest_one(b, c) if reduce == "one" else latest_with_ties(b, c)
-        state = materialize(merge(state, latest, c, mode=mode, **merge_kw).table)
+        state = merge(state, latest, c, mode=mode, **merge_kw).table
     return state
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.contract import OP_INSERT, ChangeContract, landing_schema
 from tidemark.functions.expr import capture_time
-from tidemark.session import materialize
+from tidemark.session import scratch_path
 
 CORRUPT_COL = "_corrupt_record"
 # Fixed value: text form of the capture time (microsecond precision).
@@ -61,16 +61,19 @@ def read_landing(
     return spark.read.schema(schema).options(**opts).csv(path)
 
 
-def split_corrupt(landed: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, DataFrame]:
+def split_corrupt(landed: DataFrame, staging: str | None = None) -> tuple[DataFrame, DataFrame]:
     """``(rows, corrupt)``: parsed rows without the corrupt column, and the raw
     text of lines that did not parse.
 
-    The parsed rows are checkpointed once (``checkpoint``, serialised rows) so
-    that neither output parses the CSV again; it also lets a query touch only
-    the corrupt column, which Spark refuses on a raw CSV scan.
+    The parsed rows are staged once as Parquet (in the folder ``staging``, by
+    default a new one in the shared work folder), so that neither output parses
+    the CSV again and each reads only its columns; it also lets a query touch
+    only the corrupt column, which Spark refuses on a raw CSV scan.
     """
-    if checkpoint:
-        landed = materialize(landed)
+    spark = landed.sparkSession
+    staging = staging or scratch_path(spark, "landed")
+    landed.write.parquet(staging)
+    landed = spark.read.schema(landed.schema).parquet(staging)
     ok = landed.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
     bad = landed.where(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
     return ok, bad

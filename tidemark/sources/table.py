@@ -118,6 +118,11 @@ class _FS:
         return n
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table, whatever file system it is on."""
+    _FS(spark, path).delete(path)
+
+
 class VersionExistsError(ValueError):
     """A published version would be overwritten, or hidden by a newer one."""
 

@@ -25,8 +25,9 @@ from tidemark.contract import ChangeContract, ColumnSpec
 from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
 from tidemark.operators.merge import merge
 from tidemark.operators.quality import conform, table_specs
+from tidemark.session import scratch_path
 from tidemark.sources.landing import CORRUPT_COL, split_corrupt
-from tidemark.sources.table import VersionedTable
+from tidemark.sources.table import VersionedTable, delete_folder
 
 # Fixed value: the local property that names the running streaming query.
 _QUERY_ID = "sql.streaming.queryId"
@@ -75,10 +76,17 @@ def upsert_batch_fn(
         done = table.applied_batch(stream)
         if done is not None and batch_id <= done:
             return  # replay of a batch that the table holds
+        staging = scratch_path(table.spark, "landed")
+        try:
+            apply(batch, batch_id, stream, staging)
+        finally:  # a crash leaves this folder; a replay stages anew
+            delete_folder(table.spark, staging)
+
+    def apply(batch: DataFrame, batch_id: int, stream: str, staging: str) -> None:
         rows, rejects = batch, None
         if CORRUPT_COL in rows.columns:
-            # parsed once into a checkpoint; the emptiness test below reads it
-            rows, corrupt = split_corrupt(rows)
+            # parsed once into a staged table; the emptiness test below reads it
+            rows, corrupt = split_corrupt(rows, staging)
             rejects = corrupt.select(F.col(CORRUPT_COL).alias("raw"),
                                      F.array(F.lit("corrupt")).alias("reasons"))
         if rows.isEmpty() and (rejects is None or rejects.isEmpty()):
