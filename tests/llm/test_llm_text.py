@@ -202,6 +202,20 @@ def test_licenses(spark):
     assert licenses.licenses(none(d)).count() == 0
 
 
+def found(spark, *texts):
+    rows = licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [sorted((r["license"], texts[i][r["block_start"] : r["block_start"] + r["block_chars"]]) for r in rows if r["doc_id"] == i)
+            for i in range(len(texts))]
+
+
+def test_license_in_a_long_sentence(spark):
+    by_length = [f"{head} are released under the MIT License." for head in (
+        "All of the tools", "The scanner, the packer and every helper that the nightly build collects from the other folders of the project",
+        "The scanner, the packer, each helper that the nightly build collects from other folders of this project, its manual pages, the "
+        "examples that visitors asked for, several drawings of the harbour and whatever the volunteers sent us last winter")]
+    assert found(spark, *by_length) == [[("MIT", "released under the MIT License")]] * 3
+
+
 def test_mixing_meets_targets(spark):
     sf = "/root/testdata/sf0.01"
     m = mix.Mix()
