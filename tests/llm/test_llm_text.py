@@ -1,6 +1,7 @@
 """Operators that read one text or page at a time: rules, counts, quality, main
 text, licenses, packing and mixing."""
 
+import textwrap
 import zlib
 
 import numpy as np
@@ -202,6 +203,19 @@ def test_licenses(spark):
     assert licenses.licenses(none(d)).count() == 0
 
 
+def wrapped(text, mark="", width=60):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# ", "REM "])
+def test_wrapped_licenses(spark, mark):
+    long = [(n, t) for n, _, t in licenses.TEMPLATES if len(t) > 120]
+    assert {"MIT", "BSD", "GPL-3.0", "Apache-2.0"} <= {n for n, _ in long}
+    rows = [(i, f"int a;\n\n{wrapped(t, mark)}\n\nint b;") for i, (_, t) in enumerate(long)]
+    got = licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["license"], r["exact"]) for r in got) == [(i, n, True) for i, (n, _) in enumerate(long)]
+
+
 def found(spark, *texts):
     rows = licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     return [sorted((r["license"], texts[i][r["block_start"] : r["block_start"] + r["block_chars"]]) for r in rows if r["doc_id"] == i)
