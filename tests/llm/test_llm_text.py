@@ -230,6 +230,13 @@ def test_license_in_a_long_sentence(spark):
     assert found(spark, *by_length) == [[("MIT", "released under the MIT License")]] * 3
 
 
+def test_several_licenses_in_a_line(spark):
+    a, m, g = "Licensed under the Apache License, Version 2.0", "Released under the MIT License", "This work is licensed under the GNU General Public License, version 3"
+    both = [("Apache-2.0", a), ("MIT", m)]
+    assert found(spark, f"{a}. {m}.", f"{m} / {a}.", f"{a}. Some words between them. {m}. {a}. {g}.", f"{m}. {m}") == [
+        both, both, sorted([*both, both[0], ("GPL-3.0", g)]), [both[1]] * 2]
+
+
 def test_mixing_meets_targets(spark):
     sf = "/root/testdata/sf0.01"
     m = mix.Mix()
