@@ -113,6 +113,19 @@ def test_lines_match_brute_force(spark, seed):
         assert r["text"] == (text if text is None else "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone))
 
 
+def test_copies_of_short_lines(spark):
+    many = " ".join(["to be or not"] * 15)  # 60 words, 4 distinct ones
+    docs = [(1, f"Read more\n{many}\n\n{A}"), (2, f"Read more\nRead less\n{many}\n\n"), (3, f"more Read\nRead more about\n{A}\n{many}"), (4, "Read")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    for p, want in ((lines.Lines(), brute_removed(docs)), (lines.Lines(short_copies=True), brute_removed(docs, min_words=1)),
+                    (lines.Lines(percent=50, short_copies=True), {2: {0, 2}, 3: {0, 2, 3}})):
+        got = {}
+        for r in lines.removed_lines(lines.keyed(d), p).collect():
+            got.setdefault(r["doc"], set()).add(r["at"])
+        assert got == want
+    assert brute_removed(docs, min_words=1) == {2: {0, 2}, 3: {0, 2, 3}}
+
+
 def test_lines_of_nothing(spark):
     d = spark.createDataFrame([], "doc_id long, text string")
     assert lines.deduplicated(d).count() == 0

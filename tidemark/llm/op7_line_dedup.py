@@ -20,8 +20,9 @@ ties its members to the list's first one, which settles the variants of a common
 line; only lines not settled by that are joined with the whole lists.  Whole sets
 are made again, from the text, for lines in a candidate pair only.
 
-Defined results: blank lines and lines of fewer than ``min_words`` distinct
-words are never compared or removed; a null text has no lines and stays null;
+Defined results: blank lines are never removed, and lines of fewer than
+``min_words`` distinct words only with ``short_copies``, if an earlier line has
+the same distinct words; a null text has no lines and stays null;
 rows of the same id and text are one document, and rows of one id with different
 texts are ordered by a digest of the text; a null id comes last; an empty table
 gives an empty result; other columns are kept as they are.
@@ -40,8 +41,11 @@ from tidemark.llm.common import stored, table
 @dataclass(frozen=True)
 class Lines:
     percent: int = 90  # similarity
-    #: Lines with fewer distinct words stay, however often they occur.
+    #: Lines with fewer distinct words are compared with none.
     min_words: int = 5
+    #: Whether such lines go if an earlier line has the same words; they stay,
+    #: however often they occur, without it.
+    short_copies: bool = False
     #: The counting table has 2^cell_bits cells, of a byte each in the plan.
     cell_bits: int = 20
 
@@ -161,7 +165,7 @@ def removed_lines(docs: DataFrame, p: Lines = Lines(), name: str = "lines") -> D
     sets = stored(raw.select("doc", "h", "at", ordered_set(F.col("words"), levels, p.cell_bits).alias("s"))
                   .select("doc", "h", "at", F.xxhash64("s").alias("id"), n.alias("n"), sketch(F.col("s")).alias("k"),
                           F.slice("s", F.lit(1), prefix).alias("prefix")),
-                  f"{name}-sets").where(F.col("n") >= max(1, p.min_words))  # before the table, the words would be split twice
+                  f"{name}-sets").where(F.col("n") >= (1 if p.short_copies else max(1, p.min_words)))  # before the table, the words would be split twice
 
     # one row per distinct set: its first line
     first = F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "h", "at", "n", "k", "prefix")).alias("f")
@@ -169,7 +173,7 @@ def removed_lines(docs: DataFrame, p: Lines = Lines(), name: str = "lines") -> D
 
     # below this size only an equal set is similar enough
     least = next(k for k in range(1, 10_000) if 100 * k >= p.percent * (k + 1))
-    posts = classes.where(F.col("n") >= least).select("id", "doc", "n", "k", F.posexplode("prefix").alias("pos", "w"))
+    posts = classes.where(F.col("n") >= max(least, p.min_words)).select("id", "doc", "n", "k", F.posexplode("prefix").alias("pos", "w"))
     order = F.coalesce("doc", F.lit(2**63 - 1))
     lists = (posts.groupBy("w").agg(F.count("*").alias("c"), F.min_by("id", order).alias("rep"),
                                     F.min_by("n", order).alias("m"), F.min_by("k", order).alias("l"))
