@@ -57,6 +57,29 @@ def test_ann_recall_and_scores(spark):
     assert hit / (20 * len(got)) >= 0.9
 
 
+def test_ann_groups_are_bounded_on_both_sides(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 8))
+    x[:600] = x[0]  # one hot leaf, which many queries visit
+    d = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, v array<double>, leaf long")
+    p = ann.Ann(leaf_rows=32, block_rows=64, part_rows=32)
+    tree = ann.grow(x, p)
+    leaf = tree.leaf_of(x)
+    index = spark.createDataFrame([(i, v.tolist(), int(n)) for i, (v, n) in enumerate(zip(x, leaf))], d.schema)
+    asked = d.where("vec_id % 2 = 0").select("vec_id", "v")
+    rows, asks = (s.select("vec_id", "leaf", "block", "part").toPandas() for s in ann.dealt(index, asked, tree, 3, p, "test"))
+    for side, most in ((rows, p.block_rows), (asks, p.part_rows)):
+        assert side.groupby(["leaf", "block", "part"]).size().max() <= 2 * most
+    # every query meets every row of its leaves once
+    met = rows.merge(asks, on=["leaf", "block", "part"])
+    assert not met.duplicated(["vec_id_x", "vec_id_y"]).any()
+    assert len(met) == sum((leaf == n).sum() for i in range(0, 1500, 2) for n in tree.walk(x[i], 3))
+    # the same neighbours whatever the parts
+    near = [{tuple(r) for r in ann.search(d, d.where("vec_id % 2 = 0"), ann.Ann(leaf_rows=32, block_rows=64, part_rows=n), vec_col="v").collect()}
+            for n in (32, 4096)]
+    assert near[0] == near[1] and len(near[0]) == 750 * 20
+
+
 def test_ann_few_rows(spark):
     d = spark.createDataFrame([(20, [1.0, 0.0]), (1, [0.5, 0.5]), (40, [0.0, 2.0])], "vec_id long, embedding array<double>")
     got = ann.search(d, d.where("vec_id % 20 = 0")).collect()

@@ -6,7 +6,8 @@ the inner product of their centre with the query, and yields leaves in that
 order.  On a calibration set of queries with known exact neighbours, the number
 of leaves visited is widened until the wanted recall is reached; all queries
 then visit that many leaves.  Rows of a leaf are split into blocks of bounded
-size, so no leaf is ever one task's work.
+size, and the queries that visit it into parts of bounded size; each block meets
+each part in a group of its own, so no leaf is ever one task's work.
 
 Nearness is the inner product in double precision.
 
@@ -41,8 +42,10 @@ class Ann:
     #: Queries whose exact neighbours calibrate the number of leaves.
     calibration: int = 200
     recall: float = 0.97
-    #: Rows of a leaf in one block, and queries joined with a block at a time.
+    #: Rows of a leaf in one block, queries of a leaf in one part, and queries
+    #: joined with a block at a time.
     block_rows: int = 4096
+    part_rows: int = 4096
     query_rows: int = 1024
     seed: int = 2
 
@@ -175,26 +178,7 @@ def search(vectors: DataFrame, queries: DataFrame, p: Ann = Ann(), id_col: str =
     asked = stored(usable(queries, id_col, vec_col), f"{name}-queries")
     visits = calibrated(index, asked, tree, p)
 
-    # rows of each leaf are dealt into blocks of bounded size; the number of
-    # leaves is bounded by the sample, and so is the list of their sizes
-    sizes = {r["leaf"]: -(-r["n"] // p.block_rows) for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    blocks = np.array([sizes.get(i, 0) for i in range(tree.leaves)])
-    per_leaf = F.element_at(F.array(*[F.lit(int(max(1, n))) for n in blocks]), (F.col("leaf") + 1).cast("int"))
-    rows = index.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(p.seed)), per_leaf))
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            at, leaf, block = [], [], []
-            for i, v in enumerate(b["v"]):
-                for one in tree.walk(np.asarray(v), visits):
-                    n = int(blocks[one])
-                    at += [i] * n
-                    leaf += [one] * n
-                    block += range(n)
-            yield pd.DataFrame({"vec_id": b["vec_id"].to_numpy()[at], "v": b["v"].to_numpy()[at],
-                                "leaf": np.array(leaf, np.int64), "block": np.array(block, np.int64)})
-
-    asks = asked.mapInPandas(visit, "vec_id long, v array<double>, leaf long, block long")
+    rows, asks = dealt(index, asked, tree, visits, p, name)
 
     def match(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -207,7 +191,7 @@ def search(vectors: DataFrame, queries: DataFrame, p: Ann = Ann(), id_col: str =
                 out.append(pd.DataFrame({"query_id": q_ids[i], "vec_id": found, "score": s}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    found = (rows.groupBy("leaf", "block").cogroup(asks.groupBy("leaf", "block"))
+    found = (rows.groupBy("leaf", "block", "part").cogroup(asks.groupBy("leaf", "block", "part"))
              .applyInPandas(match, "query_id long, vec_id long, score double"))
     # at most k rows of a query from each block, so a query's list is bounded
     best = (found.groupBy("query_id").agg(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id")).alias("all"))
@@ -217,6 +201,32 @@ def search(vectors: DataFrame, queries: DataFrame, p: Ann = Ann(), id_col: str =
         (-F.col("hit.s")).alias("score"))
 
 
+def dealt(index: DataFrame, asked: DataFrame, tree: Tree, visits: int, p: Ann, name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of every leaf, and the queries that visit it, with leaf, block
+    and part: blocks of rows and parts of queries, each of bounded size, every
+    block beside every part."""
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[["vec_id", "v"]].assign(leaves=[tree.walk(np.asarray(v), visits) for v in b["v"]])
+
+    walked = stored(asked.select("vec_id", "v").mapInPandas(walk, "vec_id long, v array<double>, leaves array<long>"), f"{name}-walks")
+    asks = walked.select("vec_id", "v", F.explode("leaves").alias("leaf"))
+
+    # the number of leaves is bounded by the sample, and so are these lists
+    def counted(df: DataFrame, most: int):
+        n = {r["leaf"]: -(-r["n"] // most) for r in df.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+        return F.element_at(F.array(*[F.lit(n.get(i, 0)) for i in range(tree.leaves)]), (F.col("leaf") + 1).cast("int"))
+
+    def side(df: DataFrame, own: str, n_own, salt: int, other: str, n_other) -> DataFrame:
+        """Dealt by ``own``, and repeated for each ``other``."""
+        return (df.withColumn(own, F.pmod(F.xxhash64("vec_id", F.lit(salt)), n_own)).where(n_other > 0)
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), (n_other - 1).cast("long")))).select("vec_id", "v", "leaf", "block", "part"))
+
+    blocks, parts = counted(index, p.block_rows), counted(asks.select("leaf"), p.part_rows)
+    return side(index, "block", blocks, p.seed, "part", parts), side(asks, "part", parts, p.seed + 1, "block", blocks)
+
+
 def calibrated(index: DataFrame, asked: DataFrame, tree: Tree, p: Ann) -> int:
     """Leaves to visit: widened from 1 until the calibration queries find the
     wanted share of their exact neighbours.
