@@ -2,6 +2,7 @@
 text, licenses, packing and mixing."""
 
 import textwrap
+import warnings
 import zlib
 
 import numpy as np
@@ -265,6 +266,37 @@ def test_mixing_odd_rows(spark, odd):
     assert mix.mixed(none(odd), labels).count() == 0
 
 
+def members_of(spark, p, tokens):
+    return spark.createDataFrame([(t, v.tolist()) for t, v in zip(tokens.tolist(), p)], "n_tokens long, posterior array<double>").repartition(2)
+
+
+@pytest.mark.parametrize("blur, bounded", [(0.0, True), (0.05, True), (0.3, False)])
+def test_mixing_of_a_corpus_of_one_domain(spark, blur, bounded):
+    share = {"en": 0.95, "de": 0.02, "fr": 0.02, "es": 0.01}
+    p = np.vstack([np.tile(np.eye(4)[i] * (1 - blur) + blur / 4, (int(s * 2000), 1)) for i, s in enumerate(share.values())])
+    tokens = np.full(len(p), 50)
+    free = mix.Mix(targets=mix.STAGE_MIX.targets)
+    for m in (free, mix.STAGE_MIX)[: 1 + bounded]:
+        history, reached, wanted = mix.solve(members_of(spark, p, tokens), m)
+        rate = mix.replayed(p, history, m.min_rate, m.max_rate)
+        assert np.allclose((tokens * rate) @ p, reached) and (rate >= m.min_rate).all()
+        with warnings.catch_warnings(record=True) as told:
+            warnings.simplefilter("always")
+            missed = mix.residuals(reached, wanted, m)
+        if m is free or not blur:  # nothing is in the way
+            assert max(map(abs, missed.values())) <= m.tolerance and not told
+            assert np.allclose(reached / reached.sum(), list(m.targets.values()), atol=1e-3)
+            assert rate[-1] > 8 or len(history) > 60
+        else:  # documents of the others add to en, which must not lose any
+            assert missed["en"] > m.tolerance and len(told) == 1 and "en" in str(told[0].message)
+
+
+def test_mixing_says_what_it_misses(spark, odd):
+    with pytest.warns(UserWarning, match="misses its targets"):
+        out = mix.mixed(odd, none(spark.createDataFrame([(1, 1)], "doc_id long, quality int")))
+    assert out.schema["rate"].metadata["residuals"].keys() == mix.Mix().targets.keys()
+
+
 def test_mixing_stage_keeps_every_document(spark, odd):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = mix.stage(spark, docs, "/root/testdata/sf0.001")

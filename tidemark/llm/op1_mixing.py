@@ -10,7 +10,10 @@ domain residuals alone: r <- clip(r - sum_d p_d (S_d - W_d) / N_d).  A step
 therefore needs one pass over (tokens, posterior) that returns one sum per
 domain; no per-document state is kept between steps.  With N_d the domain's
 total at rate 1, the step's matrix has the largest eigenvalue 1, so a unit step
-never diverges.
+never diverges.  Steps go on until every domain meets its target within the
+tolerance.  Where they cannot (a lower rate limit in the way, or posteriors that
+do not tell the domains apart) they end as soon as they gain nothing more, with
+a warning that names each domain's residual; the rate column's metadata has it too.
 
 Defined results: a null or blank text has no tokens, the sample's mean
 posterior and its rate like any other; without labelled rows every posterior is
@@ -20,6 +23,7 @@ keep their row; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -51,8 +55,10 @@ class Mix:
     #: enough that no domain has to lose any.
     budget: float | None = 1.0
     min_rate: float = 0.0
-    max_rate: float = 8.0
-    steps: int = 60
+    max_rate: float = float("inf")
+    #: Only a guard: the steps end before it, at the tolerance or where they
+    #: gain nothing; the residual is reported in any case.
+    steps: int = 1000
     tolerance: float = 1e-4  # of the budget, in every domain
     seed: int = 11
 
@@ -160,6 +166,21 @@ def totals(members: DataFrame, history: list[np.ndarray], k: int, lo: float, hi:
     return out
 
 
+#: The steps have come to an end if so many of them make the least squares
+#: smaller by less than this share.
+GAIN_STEPS, GAIN = 20, 0.05
+
+
+def residuals(reached: np.ndarray, wanted: np.ndarray, mix: Mix) -> dict[str, float]:
+    """What each domain got too much, as a share of the tokens wanted in all;
+    a warning where that is beyond the tolerance."""
+    total = float(wanted.sum())
+    out = {d: float(r) / total if total else 0.0 for d, r in zip(mix.targets, reached - wanted)}
+    if any(abs(r) > mix.tolerance for r in out.values()):
+        warnings.warn(f"mixing misses its targets; residuals as shares of the budget: {out}", stacklevel=2)
+    return out
+
+
 def solve(members: DataFrame, mix: Mix) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """(history of scaled residuals, totals reached, totals wanted)."""
     share = np.array(list(mix.targets.values()), float)
@@ -175,9 +196,13 @@ def solve(members: DataFrame, mix: Mix) -> tuple[list[np.ndarray], np.ndarray, n
                       else (have[share > 0] / share[share > 0]).max())
     history: list[np.ndarray] = []
     reached = have if lo <= 1 <= hi else totals(members, history, k, lo, hi)
+    left = []  # what the descent makes smaller, at each step
     for _ in range(mix.steps):
         if np.abs(reached - wanted).max() <= mix.tolerance * wanted.sum():
             break
+        left.append(((reached - wanted)[live] ** 2 / have[live]).sum())
+        if len(left) > GAIN_STEPS and left[-1] > (1 - GAIN) * left[-1 - GAIN_STEPS]:
+            break
         history.append(np.where(live, (reached - wanted) / np.where(live, have, 1.0), 0.0))
         reached = totals(members, history, k, lo, hi)
     return history, reached, wanted
@@ -200,15 +225,17 @@ def rates(members: DataFrame, history: list[np.ndarray], mix: Mix) -> DataFrame:
 
 def mixed(docs: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """One row per document: doc_id, n_tokens, domain (the likeliest),
-    posterior, rate, copies."""
+    posterior, rate (its metadata: the residual of each domain), copies."""
     domains = list(mix.targets)
     weights = train(docs, labels, domains, mix.sample_rows)
     m = with_posteriors(docs.select("doc_id", "text"), weights, len(domains))
     members = stored(m.select("doc_id", F.xxhash64("text").alias("digest"), "__mix.n_tokens", "__mix.posterior"), "posteriors")
-    history, _, _ = solve(members, mix)
+    history, reached, wanted = solve(members, mix)
+    missed = residuals(reached, wanted, mix)
     names = F.array(*map(F.lit, domains))
     best = F.element_at(names, F.array_position("posterior", F.array_max("posterior")).cast("int"))
-    return rates(members, history, mix).select("doc_id", "n_tokens", best.alias("domain"), "posterior", "rate", "copies")
+    rate = F.col("rate").alias("rate", metadata={"residuals": missed})
+    return rates(members, history, mix).select("doc_id", "n_tokens", best.alias("domain"), "posterior", rate, "copies")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +257,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = with_posteriors(docs, weights, len(domains))
     members = stored(scored.select("doc_id", F.xxhash64("text").alias("digest"), "__mix.n_tokens", "__mix.posterior"),
                      "posteriors")
-    history, _, _ = solve(members, mix)
+    history, reached, wanted = solve(members, mix)
+    residuals(reached, wanted, mix)
     again = (scored.withColumn("digest", F.xxhash64("text")).withColumn("posterior", F.col("__mix.posterior")))
     used = rates(again, history, mix)
     return used.withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(cols)
