@@ -33,3 +33,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def crc32_of(col) -> F.Column:
     """crc32 of a column's text (null: of the empty text)."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
+
+
+def bit_table(keys: DataFrame, bits: int, name: str) -> DataFrame:
+    """A one-row table with the bits (in 64-bit words) of the keys' (column
+    ``key``, long) cells, stored; its size, 2^bits bits, is fixed whatever the keys.
+    Use with :func:`has_bit`: a key of the table always has its bit, others may."""
+    words = (keys.select(F.pmod("key", F.lit(1 << bits)).alias("b"))
+             .groupBy(F.floor(F.col("b") / 64).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits")))
+    every = keys.sparkSession.range((1 << bits) // 64).select(F.col("id").cast("int").alias("w")).join(words, "w", "left")
+    cells = F.array_sort(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return stored(every.agg(F.transform(cells, lambda x: x["bits"]).alias("bits")), name)
+
+
+def has_bit(table: DataFrame, key, bits: int) -> F.Column:
+    cell = F.pmod(key, F.lit(1 << bits))
+    word = F.element_at(table.scalar(), (F.floor(cell / 64) + 1).cast("int"))
+    return F.getbit(word, (cell % 64).cast("int")) == 1

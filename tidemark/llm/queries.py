@@ -13,6 +13,9 @@ from tidemark.llm import (
     op8_html_text,
     op9_licenses,
     op10_ngram_join,
+    op11_resampling,
+    op12_substrings,
+    op13_conversations,
 )
 
 QUERIES = {
@@ -26,10 +29,16 @@ QUERIES = {
     "op8_html_text": op8_html_text.op8_html_text,
     "op9_licenses": op9_licenses.op9_licenses,
     "op10_ngram_join": op10_ngram_join.op10_ngram_join,
+    "op11_resampling": op11_resampling.op11_resampling,
+    "op12_substrings": op12_substrings.op12_substrings,
+    "op13_conversations": op13_conversations.op13_conversations,
 }
 
 ORACLE = {
     "op3_line_rules": op3_line_rules.SQL,
     "op7_line_dedup": op7_line_dedup.SQL,
     "op10_ngram_join": op10_ngram_join.SQL,
+    "op11_resampling": op11_resampling.SQL,
+    "op12_substrings": op12_substrings.SQL,
+    "op13_conversations": op13_conversations.SQL,
 }
