@@ -122,6 +122,87 @@ def merge(
     ``strategy`` is ``"auto"`` (broadcast only under the measured bound) or
     ``"shuffle"`` (always the full outer join).
     """
+    p = prepare(target, batch, c, mode, strategy, broadcast_limit_bytes, check_cardinality, materialize_batch)
+    if p.broadcast:
+        # distinct: target keys can repeat (compat inserts unmatched ties), so
+        # only deduplicated they are bounded by the measured batch
+        s_keys = p.s.select(*[_c(_s(k)) for k in c.key_cols])
+        matched = p.t.select(*[_c(_t(k)) for k in c.key_cols]).join(F.broadcast(s_keys), p.on, "left_semi").distinct()
+        joined = p.kept().unionByName(p.inserted(matched), allowMissingColumns=True)
+    else:
+        joined = p.outer()
+    resolved = p.resolved(joined)
+    out_cols = p.columns
+    if mode == "compat":
+        table = resolved.where(_c(ACTION) != DELETE).select(*out_cols)
+    else:
+        table = resolved
+        if not keep_tombstones:
+            table = table.where(~_c(DELETED_COL))
+        table = table.select(*out_cols, *p.hidden)
+    actions = resolved.select(*c.columns, ACTION)
+    conflicts = resolved.where(_c(CONFLICT).isNotNull()).select(
+        *c.key_cols, _c(_TS).alias(c.ts_col), _c(_OP).alias(c.op_col), CONFLICT, ACTION)
+    return MergeResult(table, actions, "broadcast" if p.broadcast else "shuffle", p.size, mode,
+                       conflicts)
+
+
+@dataclass
+class Prepared:
+    """A target and a measured batch, named and typed alike, ready to be joined."""
+
+    t: DataFrame          # target columns as _t_*, with _t_hit
+    s: DataFrame          # batch columns as _s_*, with _s_hit; materialised
+    on: Column
+    c: ChangeContract
+    mode: str
+    extra: _Extra
+    seq: str | None       # strict: the batch's sequence column, if it has one
+    ties: list
+    size: Size | None
+    broadcast: bool
+
+    @property
+    def columns(self) -> list[str]:
+        return [*self.c.columns, *self.extra.names]
+
+    @property
+    def hidden(self) -> list[str]:
+        return [DELETED_COL, *([CHANGE_SEQ_COL] if self.seq else [])] if self.mode == "strict" else []
+
+    def kept(self) -> DataFrame:
+        """Every target row with its change, if any (the batch is broadcast)."""
+        return self.t.join(F.broadcast(self.s), self.on, "left")
+
+    def inserted(self, matched: DataFrame) -> DataFrame:
+        """The changes whose key is none of ``matched`` (columns ``_t_<key>``)."""
+        return self.s.join(F.broadcast(matched), self.on, "left_anti")
+
+    def outer(self) -> DataFrame:
+        """Both in one full outer join; null keys match nothing and pass beside it."""
+        t_null, s_null = _null_key(self.c.key_cols, _t), _null_key(self.c.key_cols, _s)
+        joined = self.t.where(~t_null).join(self.s.where(~s_null), self.on, "full_outer")
+        lone = self.t.where(t_null).unionByName(self.s.where(s_null), allowMissingColumns=True)
+        return joined.unionByName(lone, allowMissingColumns=True)
+
+    def resolved(self, joined: DataFrame) -> DataFrame:
+        """The next state of every joined row, with its action, its change's op
+        and time, and its conflict."""
+        if self.mode == "compat":
+            return _resolve_compat(joined, self.c, self.extra)
+        return _resolve_strict(joined, self.c, self.extra, self.seq is not None, self.ties)
+
+
+def prepare(
+    target: DataFrame,
+    batch: DataFrame,
+    c: ChangeContract,
+    mode: str = "strict",
+    strategy: str = "auto",
+    broadcast_limit_bytes: int | None = None,
+    check_cardinality: bool = True,
+    materialize_batch: bool = True,
+) -> Prepared:
     if mode not in ("compat", "strict"):
         raise ValueError(f"mode must be compat or strict, not {mode!r}")
     if strategy not in ("auto", "shuffle"):
@@ -182,38 +263,8 @@ def merge(
     if check_cardinality:
         _check_cardinality(t if mode == "compat" else None, s, keys, broadcast_limit_bytes)
 
-    if use_broadcast:
-        left = t.join(F.broadcast(s), on, "left")
-        s_keys = s.select(*[_c(_s(k)) for k in keys])
-        # distinct: target keys can repeat (compat inserts unmatched ties), so
-        # only deduplicated they are bounded by the measured batch
-        matched = t.select(*[_c(_t(k)) for k in keys]).join(F.broadcast(s_keys), on, "left_semi").distinct()
-        inserts = s.join(F.broadcast(matched), on, "left_anti")
-        joined = left.unionByName(inserts, allowMissingColumns=True)
-    else:
-        t_null, s_null = _null_key(keys, _t), _null_key(keys, _s)
-        joined = t.where(~t_null).join(s.where(~s_null), on, "full_outer")
-        lone = t.where(t_null).unionByName(s.where(s_null), allowMissingColumns=True)
-        joined = joined.unionByName(lone, allowMissingColumns=True)
-
-    if mode == "compat":
-        resolved = _resolve_compat(joined, c, extra)
-    else:
-        ties = tie_columns([x for x in batch.columns if x not in HIDDEN_COLS], c)
-        resolved = _resolve_strict(joined, c, extra, seq is not None, ties)
-    out_cols = cols + extra.names
-    if mode == "compat":
-        table = resolved.where(_c(ACTION) != DELETE).select(*out_cols)
-    else:
-        table = resolved
-        if not keep_tombstones:
-            table = table.where(~_c(DELETED_COL))
-        table = table.select(*out_cols, DELETED_COL, *([CHANGE_SEQ_COL] if seq else []))
-    actions = resolved.select(*cols, ACTION)
-    conflicts = resolved.where(_c(CONFLICT).isNotNull()).select(
-        *keys, _c(_TS).alias(c.ts_col), _c(_OP).alias(c.op_col), CONFLICT, ACTION)
-    return MergeResult(table, actions, "broadcast" if use_broadcast else "shuffle", size, mode,
-                       conflicts)
+    ties = tie_columns([x for x in batch.columns if x not in HIDDEN_COLS], c)
+    return Prepared(t, s, on, c, mode, extra, seq, ties, size, use_broadcast)
 
 
 @dataclass

@@ -9,12 +9,19 @@ current one (another statement, a compaction, an earlier stream).  The version
 records the stream and the batch it applied, so a batch replayed after a crash
 between the table write and the checkpoint commit is recognised and skipped
 (Q10, Q11).  Rejected rows and conflicts are written before the version, which
-is what marks the batch as done.  One query owns one checkpoint, and one
-writer at a time works on a table (Q12).
+is what marks the batch as done.  One query owns one checkpoint; several queries
+and statements may write one table (Q12): a batch whose version another writer
+published first is merged again into that one.
+
+Strict batches read the target once (:mod:`tidemark.operators.apply`).  With
+``late_by`` the table's low-water mark follows the slowest stream at that
+distance: changes below the mark go to the quarantine, and a compaction may
+drop the tombstones below it.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -22,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.contract import ChangeContract, ColumnSpec
+from tidemark.operators.apply import apply_changes
 from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
 from tidemark.operators.merge import merge
 from tidemark.operators.quality import conform, table_specs
@@ -53,6 +61,7 @@ def upsert_batch_fn(
     conflicts_path: str | None = None,
     discard_rejects: bool = False,
     stream_id: str | None = None,
+    late_by: dt.timedelta | None = None,
 ):
     """The ``foreachBatch`` function: conform, reduce, log rejected rows
     (``quarantine_path``) and apply conflicts (``conflicts_path``), merge and
@@ -73,9 +82,6 @@ def upsert_batch_fn(
         stream = stream_id or batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
         if not stream:
             raise ValueError("outside a streaming query the batch function needs a stream_id")
-        done = table.applied_batch(stream)
-        if done is not None and batch_id <= done:
-            return  # replay of a batch that the table holds
         staging = scratch_path(table.spark, "landed")
         try:
             apply(batch, batch_id, stream, staging)
@@ -83,6 +89,9 @@ def upsert_batch_fn(
             delete_folder(table.spark, staging)
 
     def apply(batch: DataFrame, batch_id: int, stream: str, staging: str) -> None:
+        done = table.applied_batch(stream)
+        if done is not None and batch_id <= done:
+            return  # replay of a batch that the table holds
         rows, rejects = batch, None
         if CORRUPT_COL in rows.columns:
             # parsed once into a staged table; the emptiness test below reads it
@@ -91,10 +100,20 @@ def upsert_batch_fn(
                                      F.array(F.lit("corrupt")).alias("reasons"))
         if rows.isEmpty() and (rejects is None or rejects.isEmpty()):
             return  # B8: nothing landed, no new version
-        prev = table.read()
         if specs:
             rows, bad = conform(rows, specs)
             rejects = _union(rejects, _as_rejects(bad))
+        before = table.current_version()
+        now = table.transact(lambda base: merged(rows, rejects, batch_id, stream, base))
+        if keep_versions and now != before:
+            table.vacuum(keep_versions)
+
+    def merged(rows: DataFrame, rejects: DataFrame | None, batch_id: int, stream: str, base: int | None) -> int:
+        """The batch applied to version ``base``; the version that holds it."""
+        done = None if base is None else table._meta(base)["streams"].get(stream)
+        if done is not None and batch_id <= done:
+            return base
+        prev = table.read(base)
         as_stored = table_specs(rows, prev, c)
         if as_stored:
             rows, bad = conform(rows, as_stored)
@@ -102,22 +121,26 @@ def upsert_batch_fn(
         if mode == "strict":
             rows, bad = split_valid(rows, c)
             rejects = _union(rejects, _as_rejects(bad))
+            rows, late = table.split_late(rows, c.ts_col, base)
+            if late is not None:
+                rejects = _union(rejects, _as_rejects(late.withColumn("reasons", F.array(F.lit("below_low_water")))))
         log = f"stream={stream}/batch={batch_id}"
         if quarantine_path and rejects is not None:
             rejects.write.mode("overwrite").parquet(f"{quarantine_path}/{log}")
         if rows.isEmpty():
-            return  # B8: only rejected rows landed, the table is as it was
+            return base  # B8: only rejected rows landed, the table is as it was
+
+        def keep(conflicts: DataFrame) -> None:
+            if conflicts_path:
+                conflicts.write.mode("overwrite").parquet(f"{conflicts_path}/{log}")
+
         if mode == "strict":
+            # reduced in the target's types, so a key cannot occur twice
             latest = latest_one(rows, c, assume_valid=True)
-        else:
-            latest = latest_with_ties(rows, c)
-        # strict: reduced in the target's types, so a key cannot occur twice
-        res = merge(prev, latest, c, mode=mode, check_cardinality=mode == "compat")
-        if conflicts_path:
-            res.conflicts.write.mode("overwrite").parquet(f"{conflicts_path}/{log}")
-        table.write(res.table, clustered_input=True, batch=(stream, batch_id))
-        if keep_versions:
-            table.vacuum(keep_versions)
+            return apply_changes(table, latest, c, base, (stream, batch_id), late_by, keep, check_cardinality=False).version
+        res = merge(prev, latest_with_ties(rows, c), c, mode=mode)
+        keep(res.conflicts)
+        return table.write(res.table, clustered_input=True, batch=(stream, batch_id), base=base)
 
     return run
 
@@ -135,11 +158,12 @@ def start_upsert(
     keep_versions: int | None = None,
     conflicts_path: str | None = None,
     discard_rejects: bool = False,
+    late_by: dt.timedelta | None = None,
 ) -> StreamingQuery:
     """Start the upsert stream over a streaming DataFrame of change rows."""
     w = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         upsert_batch_fn(table, c, mode, specs, quarantine_path, keep_versions, conflicts_path,
-                        discard_rejects))
+                        discard_rejects, late_by=late_by))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
