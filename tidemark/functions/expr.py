@@ -30,6 +30,18 @@ def to_change_time(c: Column | str, fmt: str | None = None, ntz: bool = True) ->
     return out.cast(T.TimestampNTZType()) if ntz else out
 
 
+def to_change_time_any(c: Column | str, formats: tuple[str, ...], epoch: bool = False) -> Column:
+    """G1 where sources write times in several forms: the first pattern of
+    ``formats`` that fits, then (``epoch``) whole seconds since 1970, then ISO
+    text; null where none does."""
+    col = F.col(c) if isinstance(c, str) else c
+    tries = [to_change_time(col, f) for f in formats]
+    if epoch:
+        whole = F.when(col.rlike(r"^-?[0-9]{1,11}$"), col).try_cast("long")
+        tries.append(F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=whole.cast("decimal(18,6)")))
+    return F.coalesce(*tries, to_change_time(F.when(~col.rlike(r"^[0-9]+$"), col)))
+
+
 def capture_time(literal: str | None = None, ntz: bool = True) -> Column:
     """The capture-time column added to every change row.
 

@@ -127,7 +127,9 @@ def select_tables(spark: SparkSession, pattern: str, db: str | None = None) -> l
     if "." in pattern and db is None:
         db, pattern = pattern.split(".", 1)
     spark_pattern = pattern.replace("%", "*")
-    return sorted(t.name for t in spark.catalog.listTables(db, spark_pattern))
+    # a session's temporary views are listed with every database, but are in none
+    return sorted(t.name for t in spark.catalog.listTables(db, spark_pattern)
+                  if db is None or not t.isTemporary)
 
 
 def create_landing_table(spark: SparkSession, name: str, path: str, c: ChangeContract,
