@@ -1,8 +1,8 @@
 """Packing by first-fit decreasing, in randomised groups of pieces.
 
 Each document (its ids, then the end id) is cut into pieces of the sequence
-length and one remainder.  Pieces are dealt at random into groups of bounded
-size; in each group, first-fit decreasing places the pieces, longest first,
+length and one remainder.  Documents are dealt at random into groups of bounded
+size (one longer than a group is dealt in parts); in each group, first-fit decreasing places the pieces, longest first,
 into the first sequence with room, found through a tournament tree over the
 sequences' free capacities.  Only lengths and digests are shuffled, never ids.
 
@@ -26,8 +26,8 @@ from tidemark.llm.encode import encoder, public_tokenizer
 
 SEQUENCE = 2048
 END_ID = 1
-#: Pieces per group: bounds a task's work; a group leaves at most about one
-#: sequence part empty.
+#: Pieces per group, on average, and of one document in a group at most: bounds
+#: a task's work; a group leaves at most about one sequence part empty.
 GROUP_PIECES = 2000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -62,35 +62,38 @@ def first_fit_decreasing(lengths, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
-    """Every piece of every document, with the digest of its ids."""
+    """Every piece of every document, with the digest of its ids and the
+    number of the document's row."""
     end = int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = encoder(tokenizer)
         for b in batches:
             rows = []
-            for doc_id, ids in zip(b["doc_id"].tolist(), e.ids(b["text"].tolist())):
+            for doc_id, row, ids in zip(b["doc_id"].tolist(), b["row"].tolist(), e.ids(b["text"].tolist())):
                 ids += end
                 n = len(ids) // 4
-                rows += [(doc_id, at, min(sequence, n - at), zlib.crc32(ids[4 * at : 4 * (at + sequence)]), n)
+                rows += [(doc_id, at, min(sequence, n - at), zlib.crc32(ids[4 * at : 4 * (at + sequence)]), n, row)
                          for at in range(0, n, sequence)]
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"])
             yield out.astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, _PIECES)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
+    return rows.mapInPandas(cut, f"{_PIECES}, row long")
 
 
 def packed(docs: DataFrame, tokenizer: str | None = None, sequence: int = SEQUENCE,
            group_pieces: int = GROUP_PIECES, seed: int = 5) -> DataFrame:
     """One row per piece with its sequence and its offset there.
 
-    Groups are dealt by a hash of the stored row's number, so neither a
-    repeated document nor a hot source makes a group large, and a retried task
-    deals the same groups.
+    Groups are dealt by a hash of the document's row number, so neither a
+    repeated document nor a hot source makes a group large; the pieces are
+    stored with it, so a retried task deals the same groups.
     """
     cut = stored(pieces(docs, tokenizer or public_tokenizer(), sequence), "pieces")
     groups = max(1, -(-cut.count() // group_pieces))
-    dealt = cut.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(groups)))
+    part = F.floor(F.col("start") / F.lit(sequence * group_pieces))
+    dealt = cut.withColumn("group", F.pmod(F.xxhash64("row", part, F.lit(seed)), F.lit(groups))).drop("row")
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         # an order of its own, so that the result doesn't hang on arrival
