@@ -327,3 +327,42 @@ def test_conversations_without_damage(spark):
 def test_every_original_conversation_is_there(spark):
     t = spark.read.parquet(f"{SF}/conversations.parquet")
     assert talks.op13_conversations(spark, SF).count() == t.agg(F.countDistinct("conv_id")).first()[0]
+
+
+# -- token ids and groups of documents ----------------------------------------
+
+def test_ids_equal_the_library_on_texts_of_pieces(monkeypatch):
+    from tidemark.llm import encode
+
+    monkeypatch.setattr(encode, "MEMO_PIECES", 200)  # the table is cut down again and again
+    monkeypatch.setattr(encode, "BLOCK", 500)
+    e = encode.Encoder(encode.public_tokenizer())
+    rng = random.Random(9)
+    marks = ["", ".", ",", "!", "?!", "'s", "’", "…", ":"]
+    for _ in range(150):
+        texts = []
+        for _ in range(8):
+            words = ["".join(rng.choices("abcÉéßñ÷×ªЖ中'-2", k=rng.randint(1, 9))) + rng.choice(marks) for _ in range(rng.randint(1, 30))]
+            texts.append("".join(w + rng.choice([" ", " ", " ", "\n"]) for w in words)[:-1])
+            texts.append("".join(rng.choices(["a", "b.", " ", " ", "\n", "\t", "\xa0", " ", "　", "<|endoftext|>", "\x1c", "é"], k=rng.randint(0, 12))))
+        texts += [None, "", "x" * 300 + " " + "y" * 70]
+        want = [np.array(e.library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert e.ids(texts) == want
+    assert len(e.known) <= 200
+
+
+def test_groups_are_of_documents(spark):
+    from tidemark.llm import op5_packing as packing
+
+    docs = spark.createDataFrame([(i, "word " * (300 if i % 7 == 0 else 20), 0) for i in range(200)] + [(7, "again and again", 1)] * 100
+                                 + [(999, "long " * 9000, 2)], "doc_id long, text string, row int").repartition(3)
+    got = packing.packed(docs, sequence=64, group_pieces=40).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault((r["doc_id"], r["start"] // (64 * 40)), set()).add(r["sequence_id"] >> 32)
+    assert all(len(g) == 1 for (i, _), g in groups.items() if i != 7)  # 7 is many documents
+    assert len(groups[7, 0]) > 1 and len({k for k in groups if k[0] == 999}) > 1
+    size = {}
+    for r in got:
+        size[r["sequence_id"] >> 32] = size.get(r["sequence_id"] >> 32, 0) + 1
+    assert max(size.values()) <= 4 * 40
