@@ -366,3 +366,83 @@ def test_groups_are_of_documents(spark):
     for r in got:
         size[r["sequence_id"] >> 32] = size.get(r["sequence_id"] >> 32, 0) + 1
     assert max(size.values()) <= 4 * 40
+
+
+# -- licenses by conditional compression ---------------------------------------
+
+def everywhere(scanner, text):
+    """Every template at every place: (license, differing words, characters)
+    of the spans that no better one overlaps."""
+    from tidemark.llm import op9_licenses as lic
+
+    places = [m.span() for m in lic._WORD.finditer(text)]
+    have = [lic.word(text[a:b]) for a, b in places]
+    found = set()
+    for k in range(len(scanner.templates)):
+        for a in range(len(have)):
+            f = scanner.confirmed(have, *scanner.reach(a, k, len(have)), k, a)
+            if f is not None:
+                found.add((*f, scanner.templates[k][0]))
+    return have, found
+
+
+def test_ranking_by_compression_loses_no_notice():
+    from tidemark.llm import op9_licenses as lic
+
+    scanner = lic.Scanner()
+    rng = random.Random(6)
+    filler = "the of and a to we build boats in harbour town every spring when water is high then paint them again".split()
+    for _ in range(60):
+        text, planted = [], 0
+        for _ in range(rng.randint(1, 3)):
+            _, needs, notice = rng.choice(lic.TEMPLATES)
+            words, keep = notice.split(), set(needs.split())
+            for i in range(len(words)):  # few words changed, none that the license needs
+                if rng.random() < 0.05 and not keep & set(lic.words(words[i])) and len(words) > 8:
+                    words[i] = rng.choice(filler)
+            text += rng.choices(filler, k=rng.randint(3, 40)) + words
+            planted += 1
+        block = " ".join(text + rng.choices(filler, k=5))
+        _, want = everywhere(scanner, block)
+        got = scanner.scan(block)
+        places = [m.span() for m in lic._WORD.finditer(block)]
+        spans = [(a, a + n) for a, n, *_ in got]
+        assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+        # whatever any template states anywhere lies on a reported notice
+        for different, first, last, name in want:
+            a, b = places[first][0], places[last - 1][1]
+            assert any(x < b and a < y for x, y in spans), (name, block[a:b])
+        # and an exact notice is reported as one, unless a longer one holds it
+        for different, first, last, name in want:
+            if different == 0:
+                a, b = places[first][0], places[last - 1][1]
+                assert any(n == name and d == 0 and x <= a and b <= x + m or x < b and a < x + m and m >= b - a
+                           for x, m, n, d, _ in got), (name, block[a:b], got)
+
+
+def test_ranks_decide_which_pairs_are_compared(monkeypatch):
+    from tidemark.llm import op9_licenses as lic
+
+    scanner = lic.Scanner()
+    text = next(t for n, _, t in lic.TEMPLATES if n == "GPL-3.0" and len(t) > 150)
+    pairs = scanner.pairs([lic.word(w) for w in lic._WORD.findall(text)])
+    assert scanner.templates[pairs[0][1]][0] == "GPL-3.0" and len(scanner.templates[pairs[0][1]][2]) > 30
+    compared = []
+    plain = lic.Scanner.confirmed
+    monkeypatch.setattr(lic.Scanner, "confirmed", lambda self, have, lo, hi, k, a: compared.append(k) or plain(self, have, lo, hi, k, a))
+    assert [r[2] for r in scanner.scan(text)] == ["GPL-3.0"]
+    assert len(compared) < len(pairs) and compared[0] == pairs[0][1]
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Released under the MIT Licence.", "MIT"), ("SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"),
+    ("Distributed under the terms of the MIT license.", "MIT"), ("This project is MIT licensed.", "MIT"),
+    ("MIT License\n\nCopyright (c) 2020 A. Person", None), ("MIT License\nCopyright (c) 2020 A. Person", "MIT"),
+    ("Licensed under the EUPL, Version 1.2.", "EUPL-1.2"), ("My driving licence was renewed.", None), ("SPDX-License-Identifier: CC-BY-SA-4.0", "CC-BY-SA-4.0"),
+])
+def test_forms_of_notices(text, want):
+    from tidemark.llm import op9_licenses as lic
+
+    scanner = lic.Scanner()
+    got = [r[2] for _, _, block in lic.blocks(text) for r in scanner.scan(block)]
+    assert got == ([want] if want else [])

@@ -2,13 +2,15 @@
 
 Adjacent non-blank lines are a paragraph; adjacent paragraphs that hold a cue
 word are a candidate, in which line breaks and comment marks count as spaces, so
-a notice may be wrapped.  Every template whose words may all be near some place
-of a candidate is compared there word by word: it is found only if the differing
-words leave its required words alone.  The aligned spans are then compressed by
-themselves and with their template as a zstandard raw dictionary, whatever the
-length of the text around them; of spans that overlap, the one with the fewest
-differing words stays, then the longest, then the one whose dictionary makes it
-smaller by the larger share.
+a notice may be wrapped.  Of each candidate, the windows of a template's size
+around its rarest required word are compressed, by themselves and with the
+template as a zstandard raw dictionary.  The (window, template) pairs are ranked
+by the bytes that the dictionary saves, and taken in that order: the first whose
+wording confirms it (of equal ranks, the one with the fewest different words) wins
+its words, and pairs that these leave no room are never compared.  Wording confirms a template if the exact word differences of the
+window's best alignment are few and leave the required words alone.  No pair is
+cut off by its saving, so the ranking decides between templates and never hides
+a notice, whatever the length of the text around it.
 
 Defined results: a null or blank text has no candidates and no rows; repeated
 rows are scanned row by row; an empty table gives an empty result; other
@@ -18,7 +20,6 @@ columns of the input are ignored.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -81,6 +82,34 @@ TEMPLATES: list[tuple[str, str, str]] = [
      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
 ]
 
+#: How licenses are named in short notices: license, name, the
+#: words that must be there.
+NAMES = [
+    ("MIT", "MIT", "mit"), ("Apache-2.0", "Apache 2.0", "apache 2.0"), ("GPL-3.0", "GPL 3.0", "gpl 3.0"), ("GPL-3.0", "GPLv3", "gplv3"),
+    ("GPL-2.0", "GPL 2.0", "gpl 2.0"), ("GPL-2.0", "GPLv2", "gplv2"), ("LGPL-3.0", "LGPL 3.0", "lgpl 3.0"), ("AGPL-3.0", "AGPL 3.0", "agpl 3.0"),
+    ("BSD-3-Clause", "BSD 3-Clause", "bsd 3"), ("BSD-2-Clause", "BSD 2-Clause", "bsd 2"), ("MPL-2.0", "MPL 2.0", "mpl 2.0"),
+    ("ISC", "ISC", "isc"), ("EUPL-1.2", "EUPL 1.2", "eupl 1.2"),
+]
+#: Forms of short notices, and the license word each must hold.
+FORMS = [
+    ("Distributed under the terms of the {} license.", "license"),
+    ("Licensed under the {} license.", "license"),
+    ("Released under the {} license.", "license"),
+    ("This project is {} licensed.", "licensed"),
+]
+#: License identifiers of the tag "SPDX-License-Identifier".
+IDENTIFIERS = [
+    "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "ISC",
+    "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "EUPL-1.2", "Zlib",
+]
+_KNOWN = {text for _, _, text in TEMPLATES}
+TEMPLATES += [(lic, f"{need} {word}", form.format(name)) for lic, name, need in NAMES for form, word in FORMS
+              if form.format(name).lower() not in {t.lower() for t in _KNOWN}]
+TEMPLATES += [(i, "spdx identifier " + " ".join(re.findall(r"\d+(?:\.\d+)*|[^\W\d_]+\d*", i.lower())) + (" !sa !nc !nd" if i == "CC-BY-4.0" else ""),
+               f"SPDX-License-Identifier: {i}") for i in IDENTIFIERS]
+TEMPLATES += [("MIT", "mit license copyright", "MIT License Copyright (c)"),
+              ("EUPL-1.2", "eupl 1.2", "Licensed under the EUPL, Version 1.2.")]
+
 #: Reaches only paragraphs that may hold a notice; runs inside the JVM.  Single
 #: words, so a line break cannot part them; each template needs one of them.
 CUE = r"(?i)licen[sc]e|\bCC0?\b|\bcommons\b|\bpermission\b|\bredistribution\b|\bdomain\b"
@@ -91,10 +120,21 @@ _WORD = re.compile(r"\d+(?:\.\d+)*|[^\W\d_]+\d*")
 
 #: A notice differs in at most this share of the template's words.
 MAX_DIFFERENT = 0.25
+#: Compression level of windows.
+LEVEL = 9
+#: Savings that differ by no more bytes are equal ranks (a window's other words
+#: move them by that much); the wording decides between these.
+EQUAL_BYTES = 6
+
+
+def word(raw: str) -> str:
+    """A word as it is compared: small letters, one spelling of "license"."""
+    low = raw.lower()
+    return low.replace("licence", "license") if low.startswith("licence") else low
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [word(w) for w in _WORD.findall(text)]
 
 
 class Scanner:
@@ -106,82 +146,107 @@ class Scanner:
         self.templates = [(name, required.split(), words(text)) for name, required, text in templates]
         self.needed = [[r for r in required if r[0] != "!"] for _, required, _ in self.templates]
         self.counts = [Counter(want) for _, _, want in self.templates]
-        self.alone = zstandard.ZstdCompressor(level=19)
-        self.given = [zstandard.ZstdCompressor(level=19, dict_data=zstandard.ZstdCompressionDict(
-            text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, _, text in templates]
+        self.alone = zstandard.ZstdCompressor(level=LEVEL)
+        self.given = []
+        for _, _, want in self.templates:
+            d = zstandard.ZstdCompressionDict(" ".join(want).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=LEVEL)
+            self.given.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d))
+
+    def sizes(self, have: list[str], lo: int, hi: int, k: int) -> tuple[int, int]:
+        """Bytes of the words from ``lo`` to ``hi``, compressed by themselves
+        and with template ``k`` as dictionary."""
+        raw = " ".join(have[lo:hi]).encode("utf-8", "surrogatepass")
+        return len(self.alone.compress(raw)), len(self.given[k].compress(raw))
 
-    def saved(self, span: str, k: int) -> float:
-        """The share of the span's compressed size that template ``k`` saves."""
-        raw = " ".join(span.lower().split()).encode("utf-8", "surrogatepass")
-        return 1 - len(self.given[k].compress(raw)) / len(self.alone.compress(raw))
+    def pairs(self, have: list[str]) -> list[tuple[int, int, int]]:
+        """(bytes saved, template, place of its rarest required word) of every
+        window that may state a template, best first."""
+        at: dict[str, list[int]] = {}
+        for i, w in enumerate(have):
+            at.setdefault(w, []).append(i)
+        out = []
+        for k, needed in enumerate(self.needed):
+            if any(r not in at for r in needed):
+                continue
+            for a in at[min(needed, key=lambda r: len(at[r]))]:
+                alone, given = self.sizes(have, *self.reach(a, k, len(have)), k)
+                out.append((alone - given, k, a))
+        return sorted(out, key=lambda p: (-p[0], -len(self.templates[p[1]][2]), p[1], p[2]))
 
-    def confirmed(self, have: list[str], lo: int, hi: int, k: int) -> tuple[int, int, int] | None:
+    def reach(self, a: int, k: int, n: int) -> tuple[int, int]:
+        """The window of template ``k`` around word ``a`` of ``n``: wherever in
+        the template that word may be."""
+        wide = len(self.templates[k][2]) + int(MAX_DIFFERENT * len(self.templates[k][2])) + 2
+        return max(0, a - wide), min(n, a + wide + 1)
+
+    def confirmed(self, have: list[str], lo: int, hi: int, k: int, a: int) -> tuple[int, int, int] | None:
         """(differing words, first and last word of the match) if the words
-        from ``lo`` to ``hi`` state template ``k``: the alignment of both, cut
-        to the run of aligned parts that differs least."""
+        from ``lo`` to ``hi`` state template ``k`` at word ``a``: the exact
+        alignment of both, cut to the run of aligned parts around ``a`` that
+        differs least."""
         _, required, want = self.templates[k]
         most = MAX_DIFFERENT * len(want)
         # no alignment has more words in common than the two bags
         if len(want) - (Counter(have[lo:hi]) & self.counts[k]).total() > most:
             return None
-        parts = [m for m in SequenceMatcher(None, want, have[lo:hi], autojunk=False).get_matching_blocks() if m.size]
         best = None
-        for i, m in enumerate(parts):
-            same = 0
-            for n in parts[i:]:
-                same += n.size
-                first, last = lo + m.b, lo + n.b + n.size
-                different = max(len(want), last - first) - same
-                if different <= most and (best is None or (different, first - last) < (best[0], best[1] - best[2])):
-                    near = set(have[max(0, first - 1) : last + 2])
-                    if all((r[1:] not in near) if r[0] == "!" else (r in near) for r in required):
-                        best = different, first, last
+        # the alignment as the template has word a, each way, then of the window
+        slack = int(most) + 2
+        ways = [(max(lo, a - i - slack), min(hi, a - i + len(want) + slack)) for i, w in enumerate(want) if w == have[a]]
+        for x, y in [*ways, (lo, hi)]:
+            parts = [m for m in SequenceMatcher(None, want, have[x:y], autojunk=False).get_matching_blocks() if m.size]
+            for i, m in enumerate(parts):
+                same = 0
+                for n in parts[i:]:
+                    same += n.size
+                    first, last = x + m.b, x + n.b + n.size
+                    different = max(len(want), last - first) - same
+                    if different <= most and first - 1 <= a <= last and (
+                            best is None or (different, first - last, first) < (best[0], best[1] - best[2], best[1])):
+                        near = set(have[max(0, first - 1) : last + 2])
+                        if all((r[1:] not in near) if r[0] == "!" else (r in near) for r in required):
+                            best = different, first, last
         return best
 
-    def spans(self, have: list[str], at: dict[str, list[int]], k: int) -> Iterator[tuple[int, int, int]]:
-        """The places where template ``k`` is stated.  Each is within reach of
-        a required word, so only the neighbourhoods of the rarest are compared."""
-        if any(r not in at for r in self.needed[k]):
-            return
-        want = self.templates[k][2]
-        rare = min(self.needed[k], key=lambda r: len(at[r]))
-        slack = int(MAX_DIFFERENT * len(want)) + 2
-        reach = len(want) + slack
-        todo = [(0, len(have))]
-        while todo:
-            lo, hi = todo.pop()
-            for a in at[rare][bisect_left(at[rare], lo) : bisect_left(at[rare], hi)]:
-                # as the template has it, then wherever it may be
-                near = [(a - i - slack, a - i + reach) for i, w in enumerate(want) if w == rare] + [(a - reach, a + reach + 1)]
-                near = [(max(lo, x), min(hi, y)) for x, y in near]
-                found = [f for x, y in near if (f := self.confirmed(have, x, y, k)) is not None]
-                if found:
-                    f = min(found, key=lambda f: (f[0], f[1] - f[2], f[1]))
-                    yield f
-                    # what lies before the first of the neighbourhoods has been compared
-                    todo += [(f[2], hi), (near[-1][0], f[1])]
-                    break
-
     def scan(self, block: str) -> list[tuple[int, int, str, int, float]]:
         """(first character, length, license, differing words, share saved) of
-        every notice: the confirmed templates that overlap no better one."""
+        every notice: pairs in the order of their ranks, each confirmed by its
+        wording among the words that no better one has taken."""
         places = [m.span() for m in _WORD.finditer(block)]
-        have = [block[a:b].lower() for a, b in places]
-        at: dict[str, list[int]] = {}
-        for i, w in enumerate(have):
-            at.setdefault(w, []).append(i)
-        found = []
-        for k in range(len(self.templates)):
-            for different, first, last in self.spans(have, at, k):
-                a, b = places[first][0], places[last - 1][1]
-                found.append((different, first - last, -self.saved(block[a:b], k), k, first, last, a, b - a))
-        out, taken = [], set()
-        for different, _, saved, k, first, last, a, n in sorted(found):
-            if taken.isdisjoint(range(first, last)):
-                taken.update(range(first, last))
-                out.append((a, n, self.templates[k][0], different, -saved))
+        have = [word(block[a:b]) for a, b in places]
+        free = [True] * len(have)
+        out = []
+        pairs = self.pairs(have)
+        for i, (saved, k, a) in enumerate(pairs):
+            best = self.placed(have, free, k, a)
+            if best is None:
+                continue
+            for other, m, c in pairs[i + 1 :]:
+                if saved - other > EQUAL_BYTES or not best[0]:
+                    break
+                rival = self.placed(have, free, m, c)
+                if rival is not None and rival[1] < best[2] and best[1] < rival[2] and (rival[0], rival[1] - rival[2]) < (best[0], best[1] - best[2]):
+                    best, k = rival, m
+            different, first, last = best
+            free[first:last] = [False] * (last - first)
+            alone, given = self.sizes(have, first, last, k)
+            x, y = places[first][0], places[last - 1][1]
+            out.append((x, y - x, self.templates[k][0], different, 1 - given / alone))
         return sorted(out)
 
+    def placed(self, have: list[str], free: list[bool], k: int, a: int) -> tuple[int, int, int] | None:
+        """``confirmed`` among the free words around word ``a``."""
+        if not free[a]:
+            return None
+        lo, hi = self.reach(a, k, len(have))
+        while not all(free[lo:a]):
+            lo += 1
+        stop = a
+        while stop < hi and free[stop]:
+            stop += 1
+        return self.confirmed(have, lo, stop, k, a)
+
 
 def blocks(text: str) -> Iterator[tuple[int, int, str]]:
     """(first character, length, block) of each candidate: the runs of
