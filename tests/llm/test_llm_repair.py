@@ -446,3 +446,71 @@ def test_forms_of_notices(text, want):
     scanner = lic.Scanner()
     got = [r[2] for _, _, block in lic.blocks(text) for r in scanner.scan(block)]
     assert got == ([want] if want else [])
+
+
+# -- main text of pages ----------------------------------------------------------
+
+def splits(tree):
+    return set() if isinstance(tree, bool) else {tree[0]} | splits(tree[2]) | splits(tree[3])
+
+
+def test_the_tree_decides_by_neighbours():
+    from tidemark.llm import op8_html_text as html
+
+    used = {html.FEATURES[f] for f in splits(html.trained())}
+    assert {"words before", "words after"} <= used and used & {"density before", "density after"}
+    x, y = html.labelled_table()
+    near = [i for i, f in enumerate(html.FEATURES) if "before" in f or "after" in f]
+    own = [i for i in range(len(html.FEATURES)) if i not in near]
+    with_them = (html.classify(html.trained(), x) == y).mean()
+    alone = html.grow(x[:, own], y)
+    assert with_them > 0.99 and with_them - (html.classify(alone, x[:, own]) == y).mean() > 0.01
+    # one block, other neighbours
+    prose = "The path goes on along the water for a mile and then turns to the hills, where the wind is strong. " * 3
+    links = "<ul><li><a href=1>One page</a></li><li><a href=2>Another</a></li></ul>"
+    kept, gone = (f"<body>{links}<p>{prose}</p><p>Open all year</p>{after}</body>" for after in (f"<p>{prose}</p>{links}", links))
+    assert "Open all year" in html.main_text(kept) and "Open all year" not in html.main_text(gone)
+
+
+def test_blocks_and_features_against_brute_force():
+    from tidemark.llm import op8_html_text as html
+
+    rng = random.Random(4)
+    for _ in range(60):
+        want, page = [], "<body>"
+        for _ in range(rng.randint(1, 12)):
+            words = rng.choices(["a", "b.", "été", "c?", "d,"], k=rng.randint(1, 8))
+            linked = rng.randint(0, len(words))
+            boiler, heading, tag = rng.random() < 0.3, rng.random() < 0.2, rng.choice(["p", "div", "li", "td"])
+            tag = "h2" if heading else tag
+            inner = "<a href='x'>" + rng.choice([" ", "\n "]).join(words[:linked]) + "</a> " + "  ".join(words[linked:])
+            page += f"<div class='{'sidebar' if boiler else 'x1'}'><{tag}>{inner}</{tag}></div>"
+            want.append([" ".join(words), len(words), linked, boiler, 0, heading])
+        got = html.blocks_of(page + "</body>")
+        assert [b[:6] for b in got] == want
+        x = html.features(got)
+        for i, b in enumerate(want):
+            def three(j):
+                if not 0 <= j < len(want):
+                    return [0, 0, 0]
+                return [want[j][1], want[j][2] / want[j][1], sum(w[-1] in ".?" for w in want[j][0].split())]
+
+            context = html.BOILER if b[3] else html.UNMARKED
+            assert x[i].tolist() == [*three(i), *three(i - 1), *three(i + 1), b[5], context]
+
+
+@pytest.mark.parametrize("part, want", [
+    ("<p>One is here.<button>Share</button> And two.</p>", "One is here. And two."),
+    ("<p>One is here.<button>Share<p>Two is here too.</p>", "One is here.\n\nTwo is here too."),
+    ("<p>One.<svg><title>x</title><path></svg> Two.</p>", "One. Two."),
+    ("<p>One.<svg><path><p>Two.</p>", "One.\n\nTwo."),
+    ("<p>Pick <select><option>a<option>b</select> one.</p>", "Pick one."),
+    ("<p>Energy is <math>E=mc2</math> as known.</p>", "Energy is E=mc2 as known."),
+    ("<p>One.<iframe src=x></iframe> Two.</p>", "One. Two."),
+    ("<script>var a = '<p>no</p>'</script><p>One.</p><style>p{}</style>", "One."),
+])
+def test_elements_without_text(part, want):
+    from tidemark.llm import op8_html_text as html
+
+    assert html.main_text(f"<article><h1>Head of it</h1>{part}<p>The last one ends the page.</p></article>") == (
+        f"Head of it\n\n{want}\n\nThe last one ends the page.")
