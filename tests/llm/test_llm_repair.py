@@ -468,8 +468,8 @@ def test_the_tree_decides_by_neighbours():
     # one block, other neighbours
     prose = "The path goes on along the water for a mile and then turns to the hills, where the wind is strong. " * 3
     links = "<ul><li><a href=1>One page</a></li><li><a href=2>Another</a></li></ul>"
-    kept, gone = (f"<body>{links}<p>{prose}</p><p>Open all year</p>{after}</body>" for after in (f"<p>{prose}</p>{links}", links))
-    assert "Open all year" in html.main_text(kept) and "Open all year" not in html.main_text(gone)
+    kept, gone = (f"<body>{links}<p>{prose}</p><p>Open all year to every visitor</p>{after}</body>" for after in (f"<p>{prose}</p>{links}", links))
+    assert "Open all year to every visitor" in html.main_text(kept) and "Open all year to every visitor" not in html.main_text(gone)
 
 
 def test_blocks_and_features_against_brute_force():
