@@ -514,3 +514,29 @@ def test_elements_without_text(part, want):
 
     assert html.main_text(f"<article><h1>Head of it</h1>{part}<p>The last one ends the page.</p></article>") == (
         f"Head of it\n\n{want}\n\nThe last one ends the page.")
+
+
+# -- nearest neighbours among repeated rows --------------------------------------
+
+def test_ann_of_repeated_rows(spark, monkeypatch):
+    from tidemark.llm import op2_ann as ann
+
+    monkeypatch.setattr(ann, "FAN", 3)  # lists are joined in several steps
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 12))
+    p = ann.Ann(k=10, sample_rows=300, leaf_rows=16, block_rows=20, calibration=20)
+    once = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    often = once.withColumn("again", F.explode(F.array(*map(F.lit, range(8))))).drop("again").repartition(5)
+    results = []
+    for d in (once, often):
+        got = {}
+        for r in ann.search(d, d.where("vec_id % 20 = 0"), p).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+        hit = 0
+        for q, found in got.items():
+            s = (x * x[q]).sum(1)
+            s[q] = -np.inf
+            assert [k for k, _ in sorted(found)] == list(range(1, 11)) and len({v for _, v in found}) == 10
+            hit += len({v for _, v in found} & set(np.argsort(-s)[:10].tolist()))
+        results.append(hit / (10 * len(got)))
+    assert min(results) >= 0.9

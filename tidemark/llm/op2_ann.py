@@ -13,8 +13,8 @@ Nearness is the inner product in double precision.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite
 component take no part, as queries or candidates, and neither do vectors of
-another length than the most common one; repeated vectors are separate
-candidates (ties go to the smaller id); rows with a null id are candidates of
+another length than the most common one; equal vectors of several ids are separate
+candidates (ties go to the smaller id), repeated rows of one id are one; rows with a null id are candidates of
 nobody; an empty table gives an empty result.
 """
 
@@ -26,10 +26,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc32_of, stored, table
+from tidemark.llm.common import bit_table, crc32_of, has_bit, stored, table
+
+
+#: Lists of ``k`` rows that one aggregation joins.
+FAN = 64
 
 
 @dataclass(frozen=True)
@@ -134,6 +139,27 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return out.where(F.size("v") == (size[0]["n"] if size else 0))
 
 
+def distinct(rows: DataFrame, name: str, bits: int = 23) -> DataFrame:
+    """``rows`` (vec_id, v) without repeated ones.  Only rows of ids that occur
+    twice, and few more, are shuffled for it."""
+    ids = rows.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1")
+    table_ = bit_table(ids.select(F.xxhash64("vec_id").alias("key")), bits, f"{name}-ids")
+    twice = has_bit(table_, F.xxhash64("vec_id"), bits)
+    return rows.where(~twice).unionByName(rows.where(twice).dropDuplicates(["vec_id", "v"]))
+
+
+def nearest_of(found: DataFrame, key: str, lists: int, k: int) -> DataFrame:
+    """key, all: the ``k`` best (smallest) ``hit`` of every key, in order, of
+    the ``lists`` lists of ``k`` that each key has at most (``bin`` tells them
+    apart).  Lists are joined ``FAN`` at a time, so that none grows with the table."""
+    while lists > FAN:
+        lists = -(-lists // FAN)
+        part = F.pmod(F.xxhash64("bin", F.lit(lists)), F.lit(lists))
+        found = (found.groupBy(key, part.alias("bin")).agg(F.slice(F.array_sort(F.collect_set("hit")), 1, k).alias("all"))
+                 .select(key, "bin", F.explode("all").alias("hit")))
+    return found.groupBy(key).agg(F.slice(F.array_sort(F.collect_set("hit")), 1, k).alias("all"))
+
+
 def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Inner products, each summed in the same order wherever it is computed."""
     return (x * q).sum(axis=1)
@@ -146,9 +172,10 @@ def top_of(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k:
     out = []
     prod = q @ x.T
     margin = 1e-9 * (1 + np.abs(prod).max())
+    own = (ids[None, :] == q_ids[:, None]).sum(axis=1)
     for i in range(len(q)):
         row = prod[i]
-        n = k + 1  # the query itself may be among them
+        n = k + own[i]  # the query itself may be among them
         floor = np.partition(row, len(row) - n)[len(row) - n] - margin if len(row) > n else -np.inf
         c = np.flatnonzero(row >= floor)
         c = c[ids[c] != q_ids[i]]
@@ -162,7 +189,7 @@ def search(vectors: DataFrame, queries: DataFrame, p: Ann = Ann(), id_col: str =
            vec_col: str = "embedding", name: str = "ann") -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` nearest found.
     ``queries`` has the same columns as ``vectors``."""
-    base = usable(vectors, id_col, vec_col)
+    base = distinct(usable(vectors, id_col, vec_col), name)
     sample = base.orderBy(crc32_of(F.col("vec_id")), "vec_id").limit(p.sample_rows).collect()
     if not sample:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -175,27 +202,28 @@ def search(vectors: DataFrame, queries: DataFrame, p: Ann = Ann(), id_col: str =
                 yield b.assign(leaf=tree.leaf_of(np.vstack(b["v"].to_numpy())))
 
     index = stored(base.mapInPandas(place, "vec_id long, v array<double>, leaf long"), f"{name}-index")
-    asked = stored(usable(queries, id_col, vec_col), f"{name}-queries")
+    asked = stored(distinct(usable(queries, id_col, vec_col), f"{name}-asked"), f"{name}-queries")
     visits = calibrated(index, asked, tree, p)
 
     rows, asks = dealt(index, asked, tree, visits, p, name)
+    blocks = visits + index.count() // p.block_rows  # that a query meets, at most
 
     def match(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
+        here = (int(key[0]) << 32) | int(key[1])
         if len(left) and len(right):
             ids, own = left["vec_id"].to_numpy(), np.vstack(left["v"].to_numpy())
             for a in range(0, len(right), p.query_rows):
                 part = right.iloc[a : a + p.query_rows]
                 q_ids = part["vec_id"].to_numpy()
                 i, found, s = top_of(q_ids, np.vstack(part["v"].to_numpy()), ids, own, p.k)
-                out.append(pd.DataFrame({"query_id": q_ids[i], "vec_id": found, "score": s}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                out.append(pd.DataFrame({"query_id": q_ids[i], "vec_id": found, "score": s, "bin": here}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "bin": []})
 
     found = (rows.groupBy("leaf", "block", "part").cogroup(asks.groupBy("leaf", "block", "part"))
-             .applyInPandas(match, "query_id long, vec_id long, score double"))
-    # at most k rows of a query from each block, so a query's list is bounded
-    best = (found.groupBy("query_id").agg(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id")).alias("all"))
-            .select("query_id", F.slice(F.array_sort("all"), 1, p.k).alias("all")))
+             .applyInPandas(match, "query_id long, vec_id long, score double, bin long"))
+    # at most k rows of a query from each block it visits
+    best = nearest_of(found.select("query_id", "bin", F.struct((-F.col("score")).alias("s"), "vec_id").alias("hit")), "query_id", blocks, p.k)
     return best.select("query_id", F.posexplode("all").alias("pos", "hit")).select(
         "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"),
         (-F.col("hit.s")).alias("score"))
@@ -240,20 +268,26 @@ def calibrated(index: DataFrame, asked: DataFrame, tree: Tree, p: Ann) -> int:
     q_ids, q = np.array([r["vec_id"] for r in got]), np.array([r["v"] for r in got])
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        top, task = None, TaskContext.get().partitionId()
         for b in batches:
             if len(b):
                 ids, leaf = b["vec_id"].to_numpy(), b["leaf"].to_numpy()
                 i, found, s = top_of(q_ids, q, ids, np.vstack(b["v"].to_numpy()), p.k)
                 by_id = dict(zip(ids.tolist(), leaf.tolist()))
-                yield pd.DataFrame({"q": i, "vec_id": found, "score": s, "leaf": [by_id[f] for f in found.tolist()]})
-
-    near = (index.mapInPandas(best, "q int, vec_id long, score double, leaf long")
-            .groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "leaf"))),
-                                      1, p.k).alias("near")).collect())
+                own = pd.DataFrame({"q": i, "vec_id": found, "score": s, "leaf": [by_id[f] for f in found.tolist()]})
+                top = own if top is None else pd.concat([top, own])
+                top = top.sort_values(["q", "score", "vec_id"], ascending=[True, False, True]).groupby("q").head(p.k)
+        if top is not None:
+            yield top.assign(bin=task)
+
+    hits = index.mapInPandas(best, "q int, vec_id long, score double, leaf long, bin long")
+    hits = hits.select("q", "bin", F.struct((-F.col("score")).alias("s"), "vec_id", "leaf").alias("hit"))
+    tasks = index.select(F.spark_partition_id()).distinct().count()
+    near = nearest_of(hits, "q", tasks, p.k).collect()  # k rows of each calibration query
     place = []  # the visit in which each exact neighbour is met
     for r in near:
         order = {leaf: i + 1 for i, leaf in enumerate(tree.walk(q[r["q"]], tree.leaves))}
-        place += [order[n["leaf"]] for n in r["near"]]
+        place += [order[n["leaf"]] for n in r["all"]]
     place = np.array(place)
     visits = 1
     while visits < tree.leaves and (place <= visits).mean() < p.recall:
