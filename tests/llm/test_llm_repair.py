@@ -540,3 +540,47 @@ def test_ann_of_repeated_rows(spark, monkeypatch):
             hit += len({v for _, v in found} & set(np.argsort(-s)[:10].tolist()))
         results.append(hit / (10 * len(got)))
     assert min(results) >= 0.9
+
+
+# -- ids with several texts, columns of any name --------------------------------
+
+def test_an_id_with_several_texts_links_them(spark):
+    from tidemark.llm import op10_ngram_join as ngram
+
+    t1, t2, t3 = (" ".join(f"{p}{i}" for i in range(60)) for p in "xyz")
+    docs = [(1, t1), (5, t1), (5, t2), (3, t2), (4, t3), (7, t3), (8, "short"), (9, None), (9, "more words than one or two here")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram.linked(d).collect()}
+    assert got == {1: 1, 3: 1, 5: 1, 4: 4, 7: 4, 8: 8, 9: 9}
+    # the stage removes copies, not the other texts of their ids
+    kept = sorted((r["doc_id"], r["text"]) for r in ngram.stage(spark, d, "").collect() if r["doc_id"] != 9)
+    assert kept == sorted([(1, t1), (3, t2), (4, t3), (8, "short")])
+
+
+def test_one_text_very_often(spark):
+    from tidemark.llm import op10_ngram_join as ngram
+
+    text = " ".join(f"w{i}" for i in range(50))
+    d = spark.range(10_000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text")).repartition(4)
+    near = spark.createDataFrame([(20_000, text + " more"), (20_001, "another text of its own altogether")], "doc_id long, text string")
+    got = ngram.linked(d.unionByName(near))
+    assert got.groupBy("component_id").count().collect()[0]["count"] in (10_001, 1)
+    assert {r["component_id"]: r["count"] for r in got.groupBy("component_id").count().collect()} == {0: 10_001, 20_001: 1}
+
+
+CLASHES = ["h", "doc", "gone", "at", "row", "own", "own_doc", "own_h", "rate", "digest", "posterior", "copies", "use", "__mix", "__use",
+           "__judged", "_judged", "__removed", "key", "cls", "gone_id", "gone_h", "__id", "quality", "n_tokens"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in CLASHES])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns, name
+        bad = F.lit(False)
+        for c in CLASHES:
+            bad = bad | ~F.col(f"`{c}`").eqNullSafe(F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")))
+        assert out.where(bad).isEmpty() and not out.isEmpty(), name

@@ -30,6 +30,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def crc32_of(col) -> F.Column:
     """crc32 of a column's text (null: of the empty text)."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import fresh, stored, table
 from tidemark.llm.components import components
 
 _U = np.uint64
@@ -418,6 +418,13 @@ def verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, j: Join, name: s
 
 def linked(docs: DataFrame, j: Join = Join(), name: str = "ngram") -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
+    out = linked_rows(docs, j, name, tie_ids=True)
+    return out.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"))
+
+
+def linked_rows(docs: DataFrame, j: Join, name: str, tie_ids: bool) -> DataFrame:
+    """doc_id, h (digest of the text), n_shingles, component_id of every text of
+    every document; with ``tie_ids`` the texts of one id are linked."""
     docs = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     rows = stored(shared_keys(rows_of(docs, j)), f"{name}-rows")
@@ -457,15 +464,21 @@ def linked(docs: DataFrame, j: Join = Join(), name: str = "ngram") -> DataFrame:
     more = stored(looks.hint("merge").join(found, (looks["key"] == found["key"]) & (F.col("rx") != F.col("ry")) & may_link("x", "y", j.percent))
                   .select(*pair).distinct().join(star, ["a", "b"], "left_anti"), f"{name}-pairs")
     second = stored(verified(more, docs, ids, j, name), f"{name}-more")
-    root = components(links.unionAll(second), f"{name}-components")
+    links = links.unionAll(second)
+    if tie_ids:
+        # the classes of an id with several, each tied to the smallest
+        several = (members.where("cls <> 0").groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z"))
+                   .where("a < z").select("doc_id", "a"))
+        links = links.unionAll(members.hint("merge").join(several, "doc_id").where("cls <> 0 and cls <> a")
+                               .select("a", F.col("cls").alias("b")).distinct())
+    root = components(links, f"{name}-components")
 
     placed = stored(ids.select("cls", "doc_id").join(root, F.col("cls") == F.col("node"), "left")
                     .select("cls", "doc_id", F.coalesce("root", "cls").alias("root")), f"{name}-roots")
     smallest = stored(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), f"{name}-smallest")
     named = stored(placed.hint("merge").join(smallest, "root").select("cls", "component_id"), f"{name}-named")
-    out = (members.hint("merge").join(named, "cls", "left")
-           .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
-    return out.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"))
+    return (members.hint("merge").join(named, "cls", "left")
+            .select("doc_id", "h", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,10 +491,14 @@ STAGE_JOIN = Join(shingle=5, percent=80)
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the document with the smallest id
-    stays; rows with a null id stay, as they are in no component."""
-    group = linked(docs, STAGE_JOIN, "stage-ngram")
-    gone = group.where("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    stays; rows with a null id stay, as they are in no component.  Texts of one
+    id are judged by themselves, so a copy takes no other text with it."""
+    group = linked_rows(docs, STAGE_JOIN, "stage-ngram", tie_ids=False)
+    own = fresh(docs, "own")
+    gone = group.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h")).distinct()
+    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias(own), *[F.col(f"`{c}`") for c in docs.columns])
+    same = (F.col(own)["doc_id"] == gone["gone_id"]) & (F.col(own)["h"] == gone["gone_h"])
+    return keyed.join(gone, same, "left_anti").drop(own)
 
 
 SQL = r"""

@@ -254,11 +254,13 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     weights = train(docs, table(spark, sf_dir, "labels"), domains, mix.sample_rows)
     # doc_id and the text's digest name a row's posterior, so texts are not
     # shuffled: rates are computed again beside the text
-    scored = with_posteriors(docs, weights, len(domains))
+    # the row is one column beside those of this stage, whatever its own are called
+    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"))
+    scored = with_posteriors(whole, weights, len(domains))
     members = stored(scored.select("doc_id", F.xxhash64("text").alias("digest"), "__mix.n_tokens", "__mix.posterior"),
                      "posteriors")
     history, reached, wanted = solve(members, mix)
     residuals(reached, wanted, mix)
     again = (scored.withColumn("digest", F.xxhash64("text")).withColumn("posterior", F.col("__mix.posterior")))
     used = rates(again, history, mix)
-    return used.withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(cols)
+    return used.withColumn("use", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

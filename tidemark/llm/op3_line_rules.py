@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.common import WORD_RE, table
+from tidemark.llm.common import WORD_RE, fresh, table
 
 SYMBOLS = "#*$%&|<>"
 _SYMBOL_WORD = re.compile(r"[^\x20\x09-\x0D]*[#*$%&|<>][^\x20\x09-\x0D]*")
@@ -169,7 +169,8 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: rejected documents go, failing lines leave the kept ones."""
     cols = list(docs.columns)
-    j = judged(docs, out="__judged").where("__judged.kept").withColumn("text", F.col("__judged.clean_text"))
+    own = fresh(docs, "__judged")
+    j = judged(docs, out=own).where(F.col(own)["kept"]).withColumn("text", F.col(own)["clean_text"])
     return j.withColumn("n_chars", F.char_length("text").cast("long")).select(cols)
 
 

@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import fresh, stored, table
 
 
 @dataclass(frozen=True)
@@ -207,16 +207,19 @@ def removed_lines(docs: DataFrame, p: Lines = Lines(), name: str = "lines") -> D
             .where(F.coalesce("late", F.lit(False)) | (own > head)).select("doc", "h", "at"))
 
 
-def deduplicated(docs: DataFrame, p: Lines = Lines(), name: str = "lines") -> DataFrame:
-    """``docs`` with its kept text in place of ``text``, and ``__removed``, the
+def deduplicated(docs: DataFrame, p: Lines = Lines(), name: str = "lines", removed: str = "__removed") -> DataFrame:
+    """``docs`` with its kept text in place of ``text``, and ``removed``, the
     number of lines removed from it."""
     cols = list(docs.columns)
     gone = stored(removed_lines(keyed(docs), p, name).groupBy("doc", "h").agg(F.sort_array(F.collect_set("at")).alias("gone")), f"{name}-gone")
-    d = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__h": F.xxhash64("text")})
-    joined = d.join(gone, (F.col("__h") == F.col("h")) & F.col("__doc").eqNullSafe(F.col("doc")), "left")
+    # the row is one column beside those of this join, whatever its own are called
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("doc_id").cast("long").alias("own_doc"),
+                    F.xxhash64("text").alias("own_h"), "text")
+    joined = d.join(gone, (F.col("own_h") == F.col("h")) & F.col("own_doc").eqNullSafe(F.col("doc")), "left")
     kept = F.array_join(F.filter(text_lines(F.col("text")), lambda x, i: ~F.array_contains("gone", i)), "\n")
-    return joined.select(*(F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c)
-                           for c in cols), F.coalesce(F.size("gone"), F.lit(0)).alias("__removed"))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
+    return joined.select(*((text if c == "text" else F.col("row")[c]).alias(c) for c in cols),
+                         F.coalesce(F.size("gone"), F.lit(0)).alias(removed))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,8 +231,9 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the kept text of every document; a document that loses
     its last words this way is a copy, and goes."""
-    d = deduplicated(docs, name="stage-lines").where(
-        (F.col("__removed") <= 0) | (F.btrim("text", F.lit(_SPACES)) != ""))
+    removed = fresh(docs, "__removed")
+    d = deduplicated(docs, name="stage-lines", removed=removed).where(
+        (F.col(removed) <= 0) | (F.btrim("text", F.lit(_SPACES)) != ""))
     return d.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
