@@ -584,3 +584,24 @@ def test_stages_keep_columns_of_any_name(spark):
         for c in CLASHES:
             bad = bad | ~F.col(f"`{c}`").eqNullSafe(F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")))
         assert out.where(bad).isEmpty() and not out.isEmpty(), name
+
+
+def test_plans_of_line_dedup_hold_no_table(spark, monkeypatch):
+    """The rarity table is read where it is used: no plan holds its bytes, and
+    it is no column of any row."""
+    from tidemark.llm import op7_line_dedup as lines
+
+    plans = []
+    plain = lines.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(lines, "stored", seen)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lines.deduplicated(docs.select("doc_id", "text")).count()
+    using = [p for p in plans if "Subquery" in p]
+    assert len(plans) > 8 and using and max(map(len, plans)) < 40_000
+    # no operator gives the table on as a column
+    assert not any("AS levels" in p for p in using)

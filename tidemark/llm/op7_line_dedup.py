@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, stored, table
+from tidemark.llm.common import bit_table, fresh, has_bit, stored, table
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ class Lines:
     #: Whether such lines go if an earlier line has the same words; they stay,
     #: however often they occur, without it.
     short_copies: bool = False
-    #: The counting table has 2^cell_bits cells, of a byte each in the plan.
+    #: The counting table has 2^cell_bits cells, of a byte each.
     cell_bits: int = 20
 
 
@@ -83,10 +83,11 @@ def cell(word, bits: int) -> Column:
     return F.shiftrightunsigned(word, 64 - bits).cast("int")
 
 
-def rarity(docs: DataFrame, bits: int) -> bytes:
-    """The level of every cell, one byte each; three levels double the count.
-    The table's size is fixed by ``bits``, whatever the corpus.  Any levels give
-    the same pairs, so words are parted at spaces alone here."""
+def rarity(docs: DataFrame, bits: int, name: str) -> DataFrame:
+    """The level of every cell, one byte each, as a stored table of one row
+    (``levels``); three levels double the count.  The table's size is fixed by
+    ``bits``, whatever the corpus.  Any levels give the same pairs, so words are
+    parted at spaces alone here."""
     word = docs.select(F.explode(F.split("text", " ", -1)).alias("w")).select(cell(F.xxhash64("w"), bits).alias("c"))
     count = word.groupBy("c").agg(F.count("*").alias("n"))
     level = F.least(F.floor(F.log2(F.col("n") + 1.0) * 3), F.lit(126)).cast("int")
@@ -96,14 +97,21 @@ def rarity(docs: DataFrame, bits: int) -> bytes:
     for row in part.select("v").collect():
         for v in row["v"]:
             out[v >> 7] = v & 127
-    return bytes(out)
+    return stored(docs.sparkSession.createDataFrame([(out,)], "levels binary"), f"{name}-levels")
 
 
-def ordered_set(words, levels: bytes, bits: int) -> Column:
-    """The words as numbers, rarest first."""
+def with_levels(df: DataFrame, levels: DataFrame) -> DataFrame:
+    """``df`` with the table in a column ``levels``, read where it is used: the
+    optimizer puts the subquery in the column's place, so neither the plan nor a
+    row holds its bytes."""
+    return df.withColumn("levels", levels.scalar())
+
+
+def ordered_set(words, bits: int) -> Column:
+    """The words as numbers, rarest first; needs the column ``levels``."""
 
     def number(w):
-        own = F.ascii(F.substring(F.lit(levels), cell(w, bits) + 1, F.lit(1)).cast("string")).cast("long")
+        own = F.ascii(F.substring(F.col("levels"), cell(w, bits) + 1, F.lit(1)).cast("string")).cast("long")
         return F.shiftleft(own, 56).bitwiseOR(F.shiftrightunsigned(w, 8))
 
     return F.sort_array(F.transform(words, number))
@@ -131,7 +139,7 @@ def least_common(n, m, percent: int) -> Column:
     return F.floor(((n + m) * percent + 99 + percent) / F.lit(100 + percent))
 
 
-def later_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: bytes, p: Lines, name: str) -> DataFrame:
+def later_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: DataFrame, p: Lines, name: str) -> DataFrame:
     """id of the later line of every pair (a, b) that is similar, verified on
     the whole sets."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -146,7 +154,8 @@ def later_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: byte
     near = F.getbit(F.element_at(bits.scalar(), (F.floor(bit / 64) + 1).cast("int")), (bit % 64).cast("int")) == 1
     w, line = wanted.alias("w"), lines_of(docs.where(near)).alias("l")
     same = (F.col("w.h") == F.col("l.h")) & (F.col("w.at") == F.col("l.at")) & F.col("w.doc").eqNullSafe(F.col("l.doc"))
-    sets = stored(line.join(w, same).select("w.id", "w.doc", "w.h", "w.at", ordered_set(words_of(F.col("line")), levels, p.cell_bits).alias("s"))
+    found = with_levels(line.join(w, same).select("w.id", "w.doc", "w.h", "w.at", "line"), levels)
+    sets = stored(found.select("id", "doc", "h", "at", ordered_set(words_of(F.col("line")), p.cell_bits).alias("s"))
                   .dropDuplicates(["id"]), f"{name}-sets")
     one = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"), place(F.col("doc"), F.col("h"), F.col("at")).alias("pa"))
     two = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"), place(F.col("doc"), F.col("h"), F.col("at")).alias("pb"))
@@ -159,10 +168,10 @@ def later_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: byte
 def removed_lines(docs: DataFrame, p: Lines = Lines(), name: str = "lines") -> DataFrame:
     """doc, h, at of every line that an earlier line removes (``docs``: keyed)."""
     raw = lines_of(docs).select("doc", "h", "at", words_of(F.col("line")).alias("words"))
-    levels = rarity(docs, p.cell_bits)
+    levels = rarity(docs, p.cell_bits, name)
     n = F.size("s")
     prefix = n - F.floor((n * p.percent + 99) / F.lit(100)).cast("int") + 1
-    sets = stored(raw.select("doc", "h", "at", ordered_set(F.col("words"), levels, p.cell_bits).alias("s"))
+    sets = stored(with_levels(raw, levels).select("doc", "h", "at", ordered_set(F.col("words"), p.cell_bits).alias("s"))
                   .select("doc", "h", "at", F.xxhash64("s").alias("id"), n.alias("n"), sketch(F.col("s")).alias("k"),
                           F.slice("s", F.lit(1), prefix).alias("prefix")),
                   f"{name}-sets").where(F.col("n") >= (1 if p.short_copies else max(1, p.min_words)))  # before the table, the words would be split twice
@@ -215,11 +224,19 @@ def deduplicated(docs: DataFrame, p: Lines = Lines(), name: str = "lines", remov
     # the row is one column beside those of this join, whatever its own are called
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("doc_id").cast("long").alias("own_doc"),
                     F.xxhash64("text").alias("own_h"), "text")
-    joined = d.join(gone, (F.col("own_h") == F.col("h")) & F.col("own_doc").eqNullSafe(F.col("doc")), "left")
+    # most texts lose nothing and stay where they are; a bit table of fixed size
+    # tells which may
+    key = F.xxhash64(F.coalesce("own_doc", F.lit(-1)), "own_h")
+    bits = bit_table(gone.select(F.xxhash64(F.coalesce("doc", F.lit(-1)), "h").alias("key")), 23, f"{name}-gone-bits")
+    hit = has_bit(bits, key, 23)
+    joined = d.where(hit).join(gone, (F.col("own_h") == F.col("h")) & F.col("own_doc").eqNullSafe(F.col("doc")), "left")
     kept = F.array_join(F.filter(text_lines(F.col("text")), lambda x, i: ~F.array_contains("gone", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
-    return joined.select(*((text if c == "text" else F.col("row")[c]).alias(c) for c in cols),
-                         F.coalesce(F.size("gone"), F.lit(0)).alias(removed))
+
+    def out(df: DataFrame, text: Column, n: Column) -> DataFrame:
+        return df.select(*((text if c == "text" else F.col("row")[c]).alias(c) for c in cols), n.alias(removed))
+
+    return out(joined, text, F.coalesce(F.size("gone"), F.lit(0))).unionByName(out(d.where(~hit), F.col("text"), F.lit(0)))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
