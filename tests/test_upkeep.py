@@ -375,3 +375,68 @@ def test_change_times_in_several_forms(spark):
         to_change_time_any("t", ("yyyy-MM-dd HH:mm:ss.SSSSSS", "dd/MM/yyyy HH:mm:ss"), epoch=True)).collect()]
     at = dt.datetime(2024, 1, 2, 3, 4, 5)
     assert got == [at.replace(microsecond=600000), at, at, at, None, None, None]
+
+
+# ------------------------------------------------------ latest of wide rows
+@pytest.mark.parametrize("limit", [None, -1])
+def test_latest_of_wide_rows(spark, changes, limit):
+    rng = random.Random(4)
+    rows = [(rng.choice(["I", "U", "D", None, "x"]), rng.choice("AB"), rng.choice(["v", "w", None]), rng.choice([None, 1, 2, 3, 4, 5]),
+             rng.choice([None, 1, 2, 3]), rng.choice([None, 1, 2])) for _ in range(300)]
+    df = changes(rows).repartition(4)
+    assert rows_of(latest_one(df, C, wide=True, broadcast_limit_bytes=limit)) == rows_of(latest_one(df, C))
+    assert latest_one(df.where("false"), C, wide=True).count() == 0
+
+
+# ---------------------------------------------------------- row-level catalog
+def test_catalog_stream_reaches_the_merge_and_skips_replays(spark, tmp_dir, changes):
+    """No table format with row-level operations is installed, so the merge ends
+    at Spark's capability check; everything up to it runs."""
+    from tidemark import job
+    from tidemark.sources.catalog import properties
+    from tidemark.streaming.upsert import BATCH_PROPERTY, catalog_batch_fn
+
+    spark.sql("DROP TABLE IF EXISTS tm_rowlevel")
+    spark.sql("CREATE TABLE tm_rowlevel (state STRING, val STRING, record_id BIGINT, ts TIMESTAMP_NTZ, is_deleted BOOLEAN, "
+              "change_seq BIGINT, extra STRING) USING parquet")
+    fn = catalog_batch_fn(spark, "tm_rowlevel", C, quarantine_path=f"{tmp_dir}/q", stream_id="s")
+    batch = changes([("U", "A", "v", 1, 1, 1), (None, "A", "v", 2, 1, 2)]).withColumn("extra", F.lit("kept"))
+    with pytest.raises(Exception, match="UNSUPPORTED|TABLE_OPERATION"):
+        fn(batch, 0)
+    assert spark.read.parquet(f"{tmp_dir}/q").count() == 1  # rejected rows are set aside before the merge
+    assert f"{BATCH_PROPERTY}s" not in properties(spark, "tm_rowlevel")  # not done
+    fn(batch.where("op is null"), 0)  # nothing to merge: the batch is done
+    assert properties(spark, "tm_rowlevel")[f"{BATCH_PROPERTY}s"] == "0"
+    fn(batch, 0)  # a replay merges nothing
+    with pytest.raises(ValueError):
+        catalog_batch_fn(spark, "tm_rowlevel", C)
+    # the job reaches it too
+    (Path(tmp_dir.replace("file:", "")) / "land").mkdir(parents=True, exist_ok=True)
+    from tidemark.contract import TOLL_CONTRACT
+    from tidemark.sources.landing import write_landing
+
+    toll = spark.createDataFrame([("U", *["x"] * 14, dt.datetime(2024, 1, 1))], "op string, " + ", ".join(
+        f"{x} {'timestamp_ntz' if x == TOLL_CONTRACT.ts_col else 'string'}" for x in TOLL_CONTRACT.columns))
+    write_landing(toll, f"{tmp_dir}/land", TOLL_CONTRACT)
+    spark.sql("DROP TABLE IF EXISTS tm_rowtoll")
+    toll.drop("op").where("false").write.saveAsTable("tm_rowtoll")
+    with pytest.raises(Exception, match="UNSUPPORTED|TABLE_OPERATION"):
+        job.run(spark, f"{tmp_dir}/land", f"{tmp_dir}/cat", mode="compat", catalog_table="tm_rowtoll")
+
+
+def test_a_writer_whose_rows_were_vacuumed_runs_again(spark, tmp_dir):
+    t = strict(spark, f"{tmp_dir}/vac")
+    other = strict(spark, f"{tmp_dir}/vac")
+    seen = []
+
+    def change(base):
+        seen.append(base)
+        if len(seen) == 1:  # meanwhile
+            other.update("record_id = 1", {"val": "'x'"})
+            other.update("record_id = 2", {"val": "'y'"})
+            other.vacuum(keep=1)
+        return t._update("record_id = 3", {"val": "'z'"}, None, base)
+
+    assert t.transact(change) == 3 and seen == [0, 2]
+    got = dict(rows_of(t.read(visible=True), "record_id", "val")[:4])
+    assert got == {0: "t0", 1: "x", 2: "y", 3: "z"}

@@ -6,12 +6,16 @@ a versioned table.  One run processes every landing file not yet processed
         --mode strict [--contract toll | contract.json] [--full-load path/to/parquet]
 
 The checkpoint and quarantine live under the table folder; the cluster's
-``spark.checkpoint.dir`` is used for intermediate checkpoints.
+``spark.checkpoint.dir`` is used for intermediate checkpoints.  With
+``--catalog-table`` the changes are merged into a table of a catalog with
+row-level operations instead, and ``--table`` is the folder of the checkpoint and
+the quarantine only.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from pyspark.sql import SparkSession
@@ -21,7 +25,7 @@ from tidemark.contract import DELETED_COL, TOLL_CONTRACT, TOLL_SPECS, ChangeCont
 from tidemark.operators.quality import conform as conform_rows
 from tidemark.sources.landing import CORRUPT_COL, full_load as load_rows, read_landing
 from tidemark.sources.table import VersionedTable
-from tidemark.streaming.upsert import start_upsert
+from tidemark.streaming.upsert import start_catalog_upsert, start_upsert
 
 CONTRACTS = {"toll": (TOLL_CONTRACT, TOLL_SPECS)}
 
@@ -37,9 +41,19 @@ def load_contract(name_or_path: str):
 
 def run(spark: SparkSession, landing: str, table_path: str, mode: str = "strict",
         contract: str = "toll", full_load: str | None = None, conform: bool = False,
-        keep_versions: int | None = None, cluster_buckets: int = 0) -> int:
-    """Run the job once; returns the table's current version."""
+        keep_versions: int | None = None, cluster_buckets: int = 0, late_by: dt.timedelta | None = None,
+        catalog_table: str | None = None) -> int | None:
+    """Run the job once; returns the table's current version (none for a
+    catalog table, which has its own)."""
     c, specs = load_contract(contract)
+    if catalog_table:
+        q = start_catalog_upsert(
+            read_landing(spark, landing, c, streaming=True), catalog_table, c, f"{table_path}/_checkpoint",
+            mode=mode, specs=specs if conform else None, quarantine_path=f"{table_path}/_quarantine")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        return None
     table = VersionedTable.for_contract(spark, table_path, c, cluster_buckets=cluster_buckets)
     if table.current_version() is None:
         if full_load:  # H2: the full load becomes version 0
@@ -56,7 +70,7 @@ def run(spark: SparkSession, landing: str, table_path: str, mode: str = "strict"
         read_landing(spark, landing, c, streaming=True), table, c,
         checkpoint=f"{table_path}/_checkpoint", mode=mode,
         specs=specs if conform else None, quarantine_path=f"{table_path}/_quarantine",
-        keep_versions=keep_versions, conflicts_path=f"{table_path}/_conflicts")
+        keep_versions=keep_versions, conflicts_path=f"{table_path}/_conflicts", late_by=late_by)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -76,12 +90,16 @@ def main(argv: list[str] | None = None) -> None:
                     help="delete all but the newest N versions after each batch (default: keep all)")
     ap.add_argument("--cluster-buckets", type=int, default=0,
                     help="store versions bucketed by the key (co-located merges)")
+    ap.add_argument("--late-by-hours", type=float,
+                    help="move the low-water mark this far behind the last change applied; older changes are "
+                         "set aside, and compactions drop older tombstones (default: no mark)")
+    ap.add_argument("--catalog-table", help="merge into this table of a catalog with row-level operations")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tidemark-upsert").config("spark.ui.enabled", "false") \
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     v = run(spark, a.landing, a.table, a.mode, a.contract, a.full_load, a.conform, a.keep_versions,
-            a.cluster_buckets)
-    print(f"current version {v}")
+            a.cluster_buckets, None if a.late_by_hours is None else dt.timedelta(hours=a.late_by_hours), a.catalog_table)
+    print(f"merged into {a.catalog_table}" if a.catalog_table else f"current version {v}")
 
 
 if __name__ == "__main__":

@@ -83,7 +83,8 @@ def split_valid(changes: DataFrame, c: ChangeContract) -> tuple[DataFrame, DataF
     return good, bad
 
 
-def latest_one(changes: DataFrame, c: ChangeContract, assume_valid: bool = False) -> DataFrame:
+def latest_one(changes: DataFrame, c: ChangeContract, assume_valid: bool = False, wide: bool = False,
+               broadcast_limit_bytes: int | None = None) -> DataFrame:
     """Exactly one change per key, the one with the greatest ``(time, seq)``.
 
     Rows equal in both are ordered by their content (a delete above others,
@@ -93,10 +94,17 @@ def latest_one(changes: DataFrame, c: ChangeContract, assume_valid: bool = False
     Invalid rows (null key, null time, unknown op) are filtered first unless
     ``assume_valid``; use :func:`split_valid` to keep them.  Filtering before
     the maximum is what makes batch folding order-independent (SURVEY 2.13).
+
+    With ``wide`` (rows of many or long columns) only keys and times are
+    aggregated, by hash: rows at their key's last time are matched back and
+    kept in the shared folder, and whole rows are compared only where several
+    of a key are left.  Same result; more passes, but no sort of whole rows.
     """
     if not assume_valid:
         changes, _ = split_valid(changes, c)
     check_sequence(changes, c)
+    if wide:
+        return _latest_one_wide(changes, c, broadcast_limit_bytes)
     keys = list(c.key_cols)
     types = {f.name: f.dataType for f in changes.schema.fields}
     head = [c.ts_col] + ([c.seq_col] if c.seq_col else [])
@@ -113,6 +121,19 @@ def latest_one(changes: DataFrame, c: ChangeContract, assume_valid: bool = False
     return picked.select(*[F.col(f"`{x}`") if x in keys else F.col(at[x]).alias(x) for x in changes.columns])
 
 
+def _latest_one_wide(changes: DataFrame, c: ChangeContract, limit: int | None) -> DataFrame:
+    keys = [F.col(f"`{k}`") for k in c.key_cols]
+    # every row here has an op, a key and a time, so these are the rows at the
+    # last time of their key, all ties included
+    last = materialize(latest_with_ties(changes, c, broadcast_limit_bytes=limit))
+    tied = materialize(last.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tm_n")).where("_tm_n > 1").drop("_tm_n"))
+    small, _ = fits_broadcast(tied, limit)
+    tied = F.broadcast(tied) if small else tied.hint("merge")
+    single = last.join(tied, list(c.key_cols), "left_anti")
+    several = last.join(tied, list(c.key_cols), "left_semi")
+    return single.unionByName(latest_one(several, c, assume_valid=True)).select(*[F.col(f"`{x}`") for x in changes.columns])
+
+
 def tie_columns(names: list[str], c: ChangeContract) -> list[str]:
     """The columns that order changes of one key, time and sequence: the
     contract's own, then the others as they come."""

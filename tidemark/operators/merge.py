@@ -467,8 +467,14 @@ def merge_into_catalog(
     environment, so it is exercised only up to analysis).
 
     ``batch`` must already hold one change per key (strict) or the reference's
-    latest rows (compat), with ``op`` and the contract columns.
+    latest rows (compat), with ``op`` and the contract columns.  Columns outside
+    the contract that both the table and the batch have (added by schema
+    evolution) are carried, as :func:`merge` does.
     """
+    known = {x.lower() for x in batch.sparkSession.table(table_name).columns}
+    skip = {c.op_col, c.seq_col, *HIDDEN_COLS, *c.columns}
+    extra = [x for x in batch.columns if x not in skip and x.lower() in known]
+    columns = [*c.columns, *extra]
     s = batch.alias("_src")
     src = lambda x: F.col(f"_src.`{x}`")
     tgt = lambda x: F.col(f"{table_name}.`{x}`")
@@ -481,14 +487,14 @@ def merge_into_catalog(
     if mode == "compat":
         m = (m.whenMatched(is_d).delete()
              .whenMatched().update({x: src(x) for x in c.columns if x not in c.frozen_cols})
-             .whenNotMatched().insert({x: src(x) for x in c.columns}))
+             .whenNotMatched().insert({x: src(x) for x in columns}))
     else:
         kept = {}
         if c.seq_col and c.seq_col in batch.columns:
             # the table keeps the applied change's sequence (``change_seq``)
             check_sequence(batch, c)
             kept = {CHANGE_SEQ_COL: src(c.seq_col)}
-        ties = [x for x in tie_columns(batch.columns, c) if x in c.columns]
+        ties = [x for x in tie_columns(batch.columns, c) if x in columns]
         types = {f.name: f.dataType for f in batch.schema.fields}
 
         def place(col, seq: list[Column], dead: Column) -> Column:
@@ -496,8 +502,8 @@ def merge_into_catalog(
 
         newer = place(src, [src(c.seq_col)] if kept else [], is_delete(src(c.op_col))) >= place(
             tgt, [tgt(CHANGE_SEQ_COL)] if kept else [], F.coalesce(tgt(DELETED_COL), F.lit(False)))
-        live = {x: src(x) for x in c.columns} | {DELETED_COL: F.lit(False)} | kept
-        dead = {x: src(x) for x in c.columns} | {DELETED_COL: F.lit(True)} | kept
+        live = {x: src(x) for x in columns} | {DELETED_COL: F.lit(False)} | kept
+        dead = {x: src(x) for x in columns} | {DELETED_COL: F.lit(True)} | kept
         if keep_tombstones:
             m = m.whenMatched(newer & is_d).update(dead)
         else:

@@ -21,7 +21,7 @@ from tidemark.plans.queries import _strict_customers, query
 from tidemark.replicate import replicate
 from tidemark.session import scratch_path
 from tidemark.sources import catalog, feeds
-from tidemark.sources.feeds import ALL_CUSTOMERS_SQL, BATCH_CUTS, FEED_CONTRACT, FEED_SQL, ORDERS_CONTRACT, TARGET_SQL
+from tidemark.sources.feeds import ALL_CUSTOMERS_SQL, BATCH_CUTS, FEED_CONTRACT, FEED_SQL, LINEITEM_CONTRACT, ORDERS_CONTRACT, TARGET_SQL
 from tidemark.sources.table import VersionedTable
 from tidemark.sources.landing import read_landing, write_landing
 from tidemark.streaming.upsert import start_upsert, upsert_batch_fn
@@ -73,6 +73,24 @@ SELECT c_custkey AS record_id, CASE WHEN c_acctbal > 9900 THEN 'missing' ELSE 'd
 FROM customer WHERE c_acctbal < -950 OR c_acctbal > 9900"""
 
 
+# --------------------------------------------------------- latest of wide rows
+@query("latest_change_one_wide")
+def latest_change_one_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 by a hash aggregate of keys and times; whole rows are compared only
+    where a key has several at its last time."""
+    return latest_one(feeds.lineitem_feed(spark, sf_dir), LINEITEM_CONTRACT, wide=True).drop("seq")
+
+
+@query("rough_latest_one_wide")
+def rough_latest_one_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over null keys, null times, unknown ops and ties without a sequence."""
+    return latest_one(feeds.rough_feed(spark, sf_dir), feeds.ROUGH_CONTRACT, wide=True)
+
+
+ORACLE["latest_change_one_wide"] = ORACLE["latest_change_one_lineitem"]
+ORACLE["rough_latest_one_wide"] = ORACLE["rough_latest_one"]
+
+
 # ------------------------------------------------------------ several writers
 def at_once(*work) -> None:
     """Run functions in threads of their own; the first error is raised."""

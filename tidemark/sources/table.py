@@ -324,12 +324,16 @@ class VersionedTable:
         """Run ``change(base)``, which writes the version after ``base`` (with
         ``write(..., base=base)``), on the current version; if another writer
         publishes first, run it again on the version that one wrote."""
-        for _ in range(attempts):
+        for left in reversed(range(attempts)):
+            base = self.current_version()
             try:
-                return change(self.current_version())
-            except ConcurrentWriteError as e:
-                lost = e
-        raise lost
+                return change(base)
+            except ConcurrentWriteError:
+                if not left:
+                    raise
+            except Exception:  # the rows it read were dropped after newer versions came
+                if not left or base is None or base in self.versions():
+                    raise
 
     @property
     def bucket_name(self) -> str | None:

@@ -24,16 +24,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.contract import ChangeContract, ColumnSpec
 from tidemark.operators.apply import apply_changes
 from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
-from tidemark.operators.merge import merge
+from tidemark.operators.merge import merge, merge_into_catalog
 from tidemark.operators.quality import conform, table_specs
 from tidemark.session import scratch_path
+from tidemark.sources.catalog import properties, quoted
 from tidemark.sources.landing import CORRUPT_COL, split_corrupt
 from tidemark.sources.table import VersionedTable, delete_folder
 
@@ -51,6 +52,42 @@ def _union(a: DataFrame | None, b: DataFrame) -> DataFrame:
     return b if a is None else a.unionByName(b)
 
 
+def _accepted(rows: DataFrame, rejects: DataFrame | None, target: DataFrame, c: ChangeContract,
+              mode: str) -> tuple[DataFrame, DataFrame | None]:
+    """Rows in the target's types that can be applied, and all rejected so far."""
+    as_stored = table_specs(rows, target, c)
+    if as_stored:
+        rows, bad = conform(rows, as_stored)
+        rejects = _union(rejects, _as_rejects(bad))
+    if mode == "strict":
+        rows, bad = split_valid(rows, c)
+        rejects = _union(rejects, _as_rejects(bad))
+    return rows, rejects
+
+
+def _landed(batch: DataFrame, staging: str, specs: list[ColumnSpec] | None) -> tuple[DataFrame, DataFrame | None] | None:
+    """Parsed rows and rejected lines of a batch; None if nothing landed."""
+    rows, rejects = batch, None
+    if CORRUPT_COL in rows.columns:
+        # parsed once into a staged table; the emptiness test below reads it
+        rows, corrupt = split_corrupt(rows, staging)
+        rejects = corrupt.select(F.col(CORRUPT_COL).alias("raw"),
+                                 F.array(F.lit("corrupt")).alias("reasons"))
+    if rows.isEmpty() and (rejects is None or rejects.isEmpty()):
+        return None
+    if specs:
+        rows, bad = conform(rows, specs)
+        rejects = _union(rejects, _as_rejects(bad))
+    return rows, rejects
+
+
+def _stream_of(batch: DataFrame, stream_id: str | None) -> str:
+    stream = stream_id or batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+    if not stream:
+        raise ValueError("outside a streaming query the batch function needs a stream_id")
+    return stream
+
+
 def upsert_batch_fn(
     table: VersionedTable,
     c: ChangeContract,
@@ -79,9 +116,7 @@ def upsert_batch_fn(
     specs = list(specs) if specs else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        stream = stream_id or batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
-        if not stream:
-            raise ValueError("outside a streaming query the batch function needs a stream_id")
+        stream = _stream_of(batch, stream_id)
         staging = scratch_path(table.spark, "landed")
         try:
             apply(batch, batch_id, stream, staging)
@@ -92,17 +127,10 @@ def upsert_batch_fn(
         done = table.applied_batch(stream)
         if done is not None and batch_id <= done:
             return  # replay of a batch that the table holds
-        rows, rejects = batch, None
-        if CORRUPT_COL in rows.columns:
-            # parsed once into a staged table; the emptiness test below reads it
-            rows, corrupt = split_corrupt(rows, staging)
-            rejects = corrupt.select(F.col(CORRUPT_COL).alias("raw"),
-                                     F.array(F.lit("corrupt")).alias("reasons"))
-        if rows.isEmpty() and (rejects is None or rejects.isEmpty()):
+        landed = _landed(batch, staging, specs)
+        if landed is None:
             return  # B8: nothing landed, no new version
-        if specs:
-            rows, bad = conform(rows, specs)
-            rejects = _union(rejects, _as_rejects(bad))
+        rows, rejects = landed
         before = table.current_version()
         now = table.transact(lambda base: merged(rows, rejects, batch_id, stream, base))
         if keep_versions and now != before:
@@ -114,13 +142,8 @@ def upsert_batch_fn(
         if done is not None and batch_id <= done:
             return base
         prev = table.read(base)
-        as_stored = table_specs(rows, prev, c)
-        if as_stored:
-            rows, bad = conform(rows, as_stored)
-            rejects = _union(rejects, _as_rejects(bad))
+        rows, rejects = _accepted(rows, rejects, prev, c, mode)
         if mode == "strict":
-            rows, bad = split_valid(rows, c)
-            rejects = _union(rejects, _as_rejects(bad))
             rows, late = table.split_late(rows, c.ts_col, base)
             if late is not None:
                 rejects = _union(rejects, _as_rejects(late.withColumn("reasons", F.array(F.lit("below_low_water")))))
@@ -145,6 +168,61 @@ def upsert_batch_fn(
     return run
 
 
+# Table property that holds the last batch of a stream which a catalog table has.
+BATCH_PROPERTY = "tidemark.batch."
+
+
+def catalog_batch_fn(
+    spark: SparkSession,
+    table_name: str,
+    c: ChangeContract,
+    mode: str = "strict",
+    specs: Iterable[ColumnSpec] | None = None,
+    quarantine_path: str | None = None,
+    discard_rejects: bool = False,
+    stream_id: str | None = None,
+):
+    """The ``foreachBatch`` function for a table of a catalog with row-level
+    operations (C1): the same rules, with ``DataFrame.mergeInto`` in place of a
+    new version, so only files with matched rows are rewritten.
+
+    The last batch of each stream is a table property, by which a replayed
+    batch is skipped.  It is set after the merge; a batch replayed between the
+    two is merged again, which changes nothing in strict mode."""
+    if quarantine_path is None and not discard_rejects:
+        raise ValueError("rejected rows need a quarantine_path (or discard_rejects=True)")
+    specs = list(specs) if specs else None
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        stream = _stream_of(batch, stream_id)
+        key = f"{BATCH_PROPERTY}{stream}"
+        done = properties(spark, table_name).get(key)
+        if done is not None and batch_id <= int(done):
+            return
+        staging = scratch_path(spark, "landed")
+        try:
+            landed = _landed(batch, staging, specs)
+            if landed is None:
+                return
+            rows, rejects = _accepted(*landed, spark.table(quoted(table_name)), c, mode)
+            if quarantine_path and rejects is not None:
+                rejects.write.mode("overwrite").parquet(f"{quarantine_path}/stream={stream}/batch={batch_id}")
+            if not rows.isEmpty():
+                latest = latest_one(rows, c, assume_valid=True) if mode == "strict" else latest_with_ties(rows, c)
+                merge_into_catalog(table_name, latest, c, mode)
+            spark.sql(f"ALTER TABLE {quoted(table_name)} SET TBLPROPERTIES ('{key}' = '{batch_id}')")
+        finally:
+            delete_folder(spark, staging)
+
+    return run
+
+
+def start_catalog_upsert(changes: DataFrame, table_name: str, c: ChangeContract, checkpoint: str, **kw) -> StreamingQuery:
+    """Start the upsert stream into a catalog table; processes what has landed and stops."""
+    fn = catalog_batch_fn(changes.sparkSession, table_name, c, **kw)
+    return changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(fn).trigger(availableNow=True).start()
+
+
 def start_upsert(
     changes: DataFrame,
     table: VersionedTable,

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.contract import ChangeContract  # noqa: E402
 from tidemark.functions.expr import valid_op  # noqa: E402
-from tidemark.operators.diff import snapshot_diff  # noqa: E402
+from tidemark.operators.diff import reconcile, snapshot_diff  # noqa: E402
+from tidemark.operators.digest_tree import differing_rows, reconcile_by_digest  # noqa: E402
 from tidemark.operators.latest import latest_one, latest_with_ties  # noqa: E402
 from tidemark.operators.merge import merge  # noqa: E402
 from tidemark.session import local_session, scratch_path  # noqa: E402
@@ -65,6 +66,26 @@ def orders_batch(spark, sf_dir, small: bool):
                      F.expr("o_orderdate + INTERVAL 1 DAY").alias("o_orderdate"), "o_orderpriority")
 
 
+def validation(spark, sf_dir: str, copies: int = 20) -> dict:
+    """Full outer join against digest tree over ``copies`` times the orders
+    (keys moved apart), with no, few and many rows changed in the second table."""
+    od = feeds.table(spark, sf_dir, "orders").select(*ORDERS_CONTRACT.columns)
+    most = od.agg(F.max("o_orderkey")).first()[0] + 1
+    many = od.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    path = scratch_path(spark, "measure_orders")
+    many.withColumn("o_orderkey", F.col("o_orderkey") + F.col("c") * most).drop("c").write.parquet(path)
+    a = spark.read.parquet(path)
+    res = {"validation_rows": a.count()}
+    for tag, changed in (("equal", F.lit(False)), ("one_in_100000", F.col("o_orderkey") % 100_000 == 7), ("one_in_5", F.col("o_orderkey") % 5 == 0)):
+        other = f"{path}-{tag}"
+        a.withColumn("o_totalprice", F.when(changed, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))).write.parquet(other)
+        b = spark.read.parquet(other)
+        res[f"validation_{tag}_full_join"] = timed(run(lambda: reconcile(a, b, ORDERS_CONTRACT)))
+        res[f"validation_{tag}_digest_tree"] = timed(run(lambda: reconcile_by_digest(a, b, ORDERS_CONTRACT)))
+        res[f"validation_{tag}_levels"] = [(x.bits, x.ranges, x.differing, x.rows[0]) for x in differing_rows(a, b, ORDERS_CONTRACT).levels]
+    return res
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session()
@@ -126,7 +147,7 @@ def main():
     table.write(feeds.customer_target(spark, sf_dir).withColumn("is_deleted", F.lit(False)), version=0)
     stream = read_landing(spark, f"{root}/landing", FEED_CONTRACT, streaming=True, max_files_per_trigger=1)
     t0 = time.perf_counter()
-    q = start_upsert(stream, table, FEED_CONTRACT, f"{root}/ckpt", specs=feeds.feed_typed_specs())
+    q = start_upsert(stream, table, FEED_CONTRACT, f"{root}/ckpt", specs=feeds.feed_typed_specs(), discard_rejects=True)
     q.awaitTermination()
     secs = time.perf_counter() - t0
     n = feed.count()
@@ -138,6 +159,7 @@ def main():
     t.write(feeds.table(spark, sf_dir, "events").repartition(64), rebalance=False)
     v, before, after = t.compact()
     res["compact_files_before"], res["compact_files_after"] = before, after
+    res |= validation(spark, sf_dir)
     print(json.dumps(res, indent=1))
 
 

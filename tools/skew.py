@@ -52,6 +52,7 @@ def main():
         "window_max (reference form)": lambda: window_ties(hot().drop("seq"), LINEITEM_CONTRACT),
         "latest_with_ties (agg + join)": lambda: latest_with_ties(hot().drop("seq"), LINEITEM_CONTRACT),
         "latest_one (max_by)": lambda: latest_one(hot(), LINEITEM_CONTRACT),
+        "latest_one (wide rows)": lambda: latest_one(hot(), LINEITEM_CONTRACT, wide=True),
     }
     total = hot().count()
     hot_rows = hot().where("record_id = -1").count()
