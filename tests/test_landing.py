@@ -89,9 +89,9 @@ def test_compat_job_into_partitioned_raw_table(spark, tmp_dir):
 
 def test_full_load_and_select_tables(spark):
     df = spark.createDataFrame([("Alabama", 1)], "state string, record_id int")
-    df.createOrReplaceTempView("tolldata_roads")
+    df.createOrReplaceTempView("sales_roads")
     spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("other_table")
-    assert select_tables(spark, "tolldata_%") == ["tolldata_roads"]
+    assert select_tables(spark, "sales_%") == ["sales_roads"]
     from tidemark.contract import ChangeContract
 
     c = ChangeContract(columns=("state", "record_id", "ts"), key_cols=("record_id",), ts_col="ts")
@@ -102,8 +102,8 @@ def test_full_load_and_select_tables(spark):
 def test_landing_catalog_table(spark, tmp_dir):
     from tidemark.sources.landing import create_landing_table
 
-    create_landing_table(spark, "tm_db.roads_landing_csv", _land(spark, tmp_dir), TOLL_CONTRACT)
-    got = spark.sql("SELECT op, count(*) AS n FROM tm_db.roads_landing_csv "
+    create_landing_table(spark, "tm_db.landed_rows", _land(spark, tmp_dir), TOLL_CONTRACT)
+    got = spark.sql("SELECT op, count(*) AS n FROM tm_db.landed_rows "
                     "WHERE record_id IS NOT NULL GROUP BY op").collect()
     # the short first half of the split row has no key; the bad-time row keeps
     # its key and reads a null time in a table without the corrupt column

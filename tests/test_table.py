@@ -74,10 +74,10 @@ def test_view_and_catalog_table(spark, tmp_dir):
     t = _table(spark, tmp_dir)
     t.view("cur_state")
     assert spark.sql("SELECT count(*) AS n FROM cur_state WHERE state = 'B'").first()["n"] == 10
-    t.register("tm_db.tolldata_raw")
+    t.register("tm_db.current_rows")
     t.delete("state = 'B'")
-    t.register("tm_db.tolldata_raw")
-    assert spark.table("tm_db.tolldata_raw").count() == 10
+    t.register("tm_db.current_rows")
+    assert spark.table("tm_db.current_rows").count() == 10
 
 
 def test_vacuum_keeps_newest_versions(spark, tmp_dir):

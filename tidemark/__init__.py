@@ -7,7 +7,9 @@ Catalyst plans the work, nothing is collected to the driver.
 """
 
 from tidemark.contract import OPS, TOLL_CONTRACT, ChangeContract, ColumnSpec
+from tidemark.operators.apply import apply_changes
 from tidemark.operators.diff import DuplicateKeyError, reconcile, reconcile_summary, snapshot_diff
+from tidemark.operators.digest_tree import DigestTree, reconcile_by_digest, reconcile_summary_by_digest, snapshot_diff_by_digest
 from tidemark.operators.latest import latest_one, latest_with_ties, split_valid
 from tidemark.operators.merge import (
     MergeCardinalityError,
@@ -19,18 +21,22 @@ from tidemark.operators.merge import (
 )
 from tidemark.operators.quality import conform
 from tidemark.sources.landing import full_load, read_landing, split_corrupt, write_landing
-from tidemark.sources.table import VersionedTable
-from tidemark.streaming.upsert import start_upsert
+from tidemark.replicate import replicate
+from tidemark.sources.table import ConcurrentWriteError, VersionedTable
+from tidemark.streaming.upsert import start_catalog_upsert, start_upsert
 
 __all__ = [
     "OPS",
     "TOLL_CONTRACT",
     "ChangeContract",
     "ColumnSpec",
+    "ConcurrentWriteError",
+    "DigestTree",
     "DuplicateKeyError",
     "MergeCardinalityError",
     "MergeResult",
     "VersionedTable",
+    "apply_changes",
     "conform",
     "fold",
     "full_load",
@@ -40,10 +46,15 @@ __all__ = [
     "merge_into_catalog",
     "read_landing",
     "reconcile",
+    "reconcile_by_digest",
     "reconcile_summary",
+    "reconcile_summary_by_digest",
+    "replicate",
     "snapshot_diff",
+    "snapshot_diff_by_digest",
     "split_corrupt",
     "split_valid",
+    "start_catalog_upsert",
     "start_upsert",
     "visible",
     "write_landing",

@@ -22,7 +22,7 @@ from tidemark.replicate import replicate
 from tidemark.session import scratch_path
 from tidemark.sources import catalog, feeds
 from tidemark.sources.feeds import ALL_CUSTOMERS_SQL, BATCH_CUTS, FEED_CONTRACT, FEED_SQL, LINEITEM_CONTRACT, ORDERS_CONTRACT, TARGET_SQL
-from tidemark.sources.table import VersionedTable
+from tidemark.sources.table import VersionedTable, folder_exists
 from tidemark.sources.landing import read_landing, write_landing
 from tidemark.streaming.upsert import start_upsert, upsert_batch_fn
 
@@ -343,16 +343,11 @@ def quiet_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-        found = catalog_exists(spark, f"{root}/rejects")
+        found = folder_exists(spark, f"{root}/rejects")
         out.append((step, table.current_version(), spark.read.parquet(f"{root}/rejects").count() if found else 0))
     return spark.createDataFrame(out, "step string, version long, n_rejected long")
 
 
-def catalog_exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 ORACLE["quiet_drops"] = f"""
 WITH n AS (SELECT count(*) AS n FROM ({FEED_SQL}) WHERE op IS NULL)
 SELECT 'empty' AS step, 0 AS version, 0 AS n_rejected

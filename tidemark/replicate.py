@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.contract import DELETED_COL
 from tidemark.sources.catalog import Source, quoted, select_sources
 from tidemark.sources.landing import full_load, read_landing
-from tidemark.sources.table import VersionedTable, _FS
+from tidemark.sources.table import VersionedTable, folder_exists
 from tidemark.streaming.upsert import start_upsert
 
 
@@ -43,7 +43,7 @@ def replicate_one(spark: SparkSession, s: Source, landing: str, target: str, cap
         rows = full_load(spark.table(quoted(s.name)), s.contract, capture_literal).drop(s.contract.op_col)
         table.write(rows.withColumn(DELETED_COL, F.lit(False)))
     folder = f"{landing.rstrip('/')}/{s.name.rsplit('.', 1)[-1]}"
-    if _FS(spark, folder).exists(folder):  # nothing has landed for it yet otherwise
+    if folder_exists(spark, folder):  # nothing has landed for it yet otherwise
         q = start_upsert(read_landing(spark, folder, s.contract, streaming=True), table, s.contract,
                          checkpoint=f"{table.path}/_checkpoint", specs=s.contract.specs,
                          quarantine_path=f"{table.path}/_quarantine", conflicts_path=f"{table.path}/_conflicts")

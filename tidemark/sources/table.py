@@ -175,6 +175,10 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     _FS(spark, path).delete(path)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    return _FS(spark, path).exists(path)
+
+
 class VersionExistsError(ValueError):
     """A published version would be overwritten, or hidden by a newer one."""
 
