@@ -22,11 +22,11 @@ from collections.abc import Sequence
 import numpy as np
 
 #: Bound of the table of known pieces of one Python worker.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 250_000
 #: Longest piece, in bytes, that is kept in the table.
 MEMO_BYTES = 64
 #: Texts are taken in blocks of about this many characters.
-BLOCK = 2_000_000
+BLOCK = 500_000
 #: Marks that are cut from the end of a piece of letters.
 MARKS = b".,;:!?"
 
