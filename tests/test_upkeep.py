@@ -398,7 +398,7 @@ def test_catalog_stream_reaches_the_merge_and_skips_replays(spark, tmp_dir, chan
 
     spark.sql("DROP TABLE IF EXISTS tm_rowlevel")
     spark.sql("CREATE TABLE tm_rowlevel (state STRING, val STRING, record_id BIGINT, ts TIMESTAMP_NTZ, is_deleted BOOLEAN, "
-              "change_seq BIGINT, extra STRING) USING parquet")
+              f"change_seq BIGINT, extra STRING) USING parquet LOCATION '{tmp_dir}/rowlevel'")
     fn = catalog_batch_fn(spark, "tm_rowlevel", C, quarantine_path=f"{tmp_dir}/q", stream_id="s")
     batch = changes([("U", "A", "v", 1, 1, 1), (None, "A", "v", 2, 1, 2)]).withColumn("extra", F.lit("kept"))
     with pytest.raises(Exception, match="UNSUPPORTED|TABLE_OPERATION"):
@@ -419,7 +419,7 @@ def test_catalog_stream_reaches_the_merge_and_skips_replays(spark, tmp_dir, chan
         f"{x} {'timestamp_ntz' if x == TOLL_CONTRACT.ts_col else 'string'}" for x in TOLL_CONTRACT.columns))
     write_landing(toll, f"{tmp_dir}/land", TOLL_CONTRACT)
     spark.sql("DROP TABLE IF EXISTS tm_rowtoll")
-    toll.drop("op").where("false").write.saveAsTable("tm_rowtoll")
+    toll.drop("op").where("false").write.option("path", f"{tmp_dir}/rowtoll").saveAsTable("tm_rowtoll")
     with pytest.raises(Exception, match="UNSUPPORTED|TABLE_OPERATION"):
         job.run(spark, f"{tmp_dir}/land", f"{tmp_dir}/cat", mode="compat", catalog_table="tm_rowtoll")
 
