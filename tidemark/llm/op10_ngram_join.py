@@ -363,9 +363,8 @@ def shaped(ids: DataFrame, x: str) -> DataFrame:
     return ids.select(F.col("cls").alias(x), F.col("n").alias(f"{x}_n"), *(F.col(k).alias(f"{x}_{k}") for k in _KS))
 
 
-#: Rounds of tying each key's members to one of them, at most; they end before
-#: that when a round finds less than one link for so many rows left.
-STARS, FEW = 8, 1000
+#: Rounds of tying each key's members to one of them.
+STARS = 4
 #: Bits of the table that keeps texts out of a shuffle for which no pair asks:
 #: 1 MB, whatever the number of documents.
 BITS = 1 << 23
@@ -451,15 +450,14 @@ def linked_rows(docs: DataFrame, j: Join, name: str, tie_ids: bool) -> DataFrame
                  .select("key", "cls", "found", "probe", F.coalesce("root", "cls").alias("root")))
         apart = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
         rest = stored(named.join(apart, "key", "left_semi"), f"{name}-rest")
-        if again == STARS or again > 1 and links_found.count() * FEW < rest.count():
+        if again == STARS:
             break
         order = F.xxhash64("cls", F.lit(again))
         rep = rest.where("found").groupBy("key").agg(F.min_by("cls", order).alias("y"), F.min_by("root", order).alias("ry"))
         tied = rest.where("probe").join(rep, "key").where("root <> ry").select(F.col("cls").alias("x"), "y")
         tied = stored(tied.select(*pair).distinct().join(shaped(ids, "a"), "a").join(shaped(ids, "b"), "b")
                       .where(may_link("a", "b", j.percent)).select("a", "b"), f"{name}-star-pairs")
-        links_found = stored(verified(tied, docs, ids, j, name), f"{name}-star")
-        links = links.unionAll(links_found)
+        links = links.unionAll(stored(verified(tied, docs, ids, j, name), f"{name}-star"))
 
     looks = rest.where("probe").select("key", F.col("cls").alias("x"), F.col("root").alias("rx")).join(shaped(ids, "x"), "x")
     found = rest.where("found").select("key", F.col("cls").alias("y"), F.col("root").alias("ry")).join(shaped(ids, "y"), "y")
