@@ -307,3 +307,17 @@ def test_mixing_stage_keeps_every_document(spark, odd):
 def test_rules_query_covers_every_document(spark):
     sf = "/root/testdata/sf0.001"
     assert rules.op3_line_rules(spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").agg(F.count("*")).first()[0]
+
+
+def test_rules_hand_back_no_text(spark, odd):
+    # whole texts used to come back from the workers, in blocks of 10,000 rows
+    kinds = [f.dataType.simpleString() for f in rules.judged(odd).schema["judged"].dataType]
+    assert "string" not in kinds
+    prose = [" ".join(f"word{k + i}" for i in range(40)) + ", and so on." for k in (0, 100)]
+    texts = [f"{prose[0]}\nhome | news | sport | more\n\n{prose[1]}\n", "\n".join(prose)] * 1100
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in rules.stage(spark, docs, "").collect()}
+    want = [rules.judge(t)[9] for t in texts[:2]]
+    assert want[0] != texts[0]
+    assert got == {i: (want[i % 2], len(want[i % 2])) for i in range(len(texts))}
