@@ -278,3 +278,33 @@ def test_pipeline_against_brute_force(spark):
         pieces += [(i, a, zlib.crc32(ids[a : a + packing.SEQUENCE].tobytes())) for a in range(0, len(ids), packing.SEQUENCE)]
     out = pipeline.run(spark, sf)
     assert sorted((r["doc_id"], r["start"], r["ids_crc32"]) for r in out.collect()) == sorted(pieces)
+
+
+def test_pairs_of_many_shared_keys_come_once(spark):
+    # 40 texts of one long passage, each with words of its own at places of its
+    # own: similar, but not linked, and of equal subsets in many segments
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for d in range(40):
+        words = list(base)
+        for at in rng.sample(range(300), 3):
+            words[at] = f"own{d}x{at}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("h", F.xxhash64("text"))
+    j = ngram.Join()
+    live = ngram.shared_keys(ngram.rows_of(docs, j)).where("body is null").withColumn("root", F.col("cls")).cache()
+    ids = ngram.rows_of(docs, j).where("body is not null").select((F.col("val") - ngram.MEMBER).alias("cls"), "body") \
+        .mapInPandas(ngram.unpacked, ngram._MEMBERS).withColumnRenamed("n_shingles", "n")
+    x, y = ngram.shaped(ids, "x"), ngram.shaped(ids, "y")
+    every = (live.where("probe").select("key", F.col("cls").alias("x")).join(live.where("found").select("key", F.col("cls").alias("y")), "key")
+             .where("x <> y").join(x, "x").join(y, "y").where(ngram.may_link("x", "y", j.percent)).select("x", "y"))
+    got = ngram.pairs_apart(live, ids, j, "test").select("x", "y").collect()
+    want = every.collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in want}
+    assert len(want) > 3 * len(set(want))
+    assert len(got) < 1.5 * len(set(got))

@@ -30,6 +30,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """``df`` in at most four partitions a core, without a shuffle: for tables of
+    links and pairs, which are small beside the texts and would otherwise be
+    written as a file for each shuffle partition."""
+    return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -19,10 +19,11 @@ few others.
 Large groups of similar sets never become all pairs.  Equal sets are joined
 first, by digest.  Then each key ties its probes to one member of its index
 (the smallest), which is as many candidates as there are probes; verified ones
-are links, and links are merged into components.  This is done a few times, with
-another member each time, under keys that are not yet in one component.  Only pairs under a key that
-are still in different components are then verified, so no link between
-different components is lost.
+are links, and links are merged into components.  While that links
+many of the sets whose keys are not yet in one component, it is done again, a few
+times, with another member each time.  Only pairs under a key that are still in different
+components are then verified, so no link between different components is lost; a
+pair that shares many keys is joined under the first of them.
 
 Verification compares the sets themselves (64-bit digests of their shingles),
 exactly, in integers: 100 * intersection >= percent * union.
@@ -46,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, stored, table
+from tidemark.llm.common import few, fresh, stored, table
 from tidemark.llm.components import components
 
 _U = np.uint64
@@ -358,13 +359,18 @@ def may_link(x: str, y: str, percent: int) -> F.Column:
     return (percent * F.greatest(n, m) <= 100 * F.least(n, m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
 
 
-def shaped(ids: DataFrame, x: str) -> DataFrame:
+def shaped(ids: DataFrame, x: str, *more: str) -> DataFrame:
     """A class, its size and sketch, under the names of side ``x`` of a pair."""
-    return ids.select(F.col("cls").alias(x), F.col("n").alias(f"{x}_n"), *(F.col(k).alias(f"{x}_{k}") for k in _KS))
+    return ids.select(F.col("cls").alias(x), *more, F.col("n").alias(f"{x}_n"), *(F.col(k).alias(f"{x}_{k}") for k in _KS))
 
 
-#: Rounds of tying each key's members to one of them.
-STARS = 4
+#: Rounds of tying each key's members to one of them, at most.  They end when a
+#: round finds fewer links than one for so many classes under keys of several
+#: components.
+STARS, LINKING = 4, 4
+#: A pair is joined under the first of its keys, as far as it is among so many
+#: first keys of both classes.
+FIRSTS = 16
 #: Bits of the table that keeps texts out of a shuffle for which no pair asks:
 #: 1 MB, whatever the number of documents.
 BITS = 1 << 23
@@ -388,7 +394,7 @@ def asked_only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, j: Join, name: str) -> DataFrame:
     """The pairs (a, b) of classes that are linked, by their documents' texts."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = stored(ids.join(asked, "cls", "left_semi").select("cls", "doc_id", "h"), f"{name}-wanted")
+    wanted = stored(few(ids.join(asked, "cls", "left_semi").select("cls", "doc_id", "h")), f"{name}-wanted")
     # repeated rows of a document stand in the same task already
     texts = stored(asked_only(docs, wanted).hint("merge").join(wanted, ["doc_id", "h"])
                    .groupBy("doc_id", "h", "cls").agg(F.min("text").alias("text")).select("cls", "text"), f"{name}-texts")
@@ -411,9 +417,32 @@ def verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, j: Join, name: s
                     known.clear()
             yield p.loc[np.array(keep, bool), ["a", "b"]]
 
-    return (pairs.hint("merge").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a")
-            .hint("merge").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b")
-            .select("a", "ta", "b", "tb").mapInPandas(run, "a long, b long"))
+    both = (pairs.hint("merge").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a")
+            .hint("merge").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b"))
+    return few(both.select("a", "ta", "b", "tb")).mapInPandas(run, "a long, b long")
+
+
+def pairs_apart(rest: DataFrame, ids: DataFrame, j: Join, name: str) -> DataFrame:
+    """x, y: classes of different components of which x looks under a key where y
+    is found, where they may be linked.  Similar texts share many keys; a pair
+    comes up under the smallest one, and under no key beyond a smaller one that
+    is among the first of both."""
+
+    def first_keys(kind: str) -> F.Column:
+        return F.slice(F.sort_array(F.collect_set(F.when(F.col(kind), F.col("key")))), 1, FIRSTS)
+
+    firsts = rest.groupBy("cls").agg(first_keys("probe").alias("looked"), first_keys("found").alias("held"))
+    sides = stored(few(firsts.join(ids, "cls").select("cls", "looked", "held", "n", *_KS)), f"{name}-sides")
+
+    def side(kind: str, x: str, keys: str) -> DataFrame:
+        shape = shaped(sides, x, keys)
+        return rest.where(kind).select(F.col("key").alias(f"{x}_key"), F.col("cls").alias(x), F.col("root").alias(f"r{x}")).join(shape, x)
+
+    earlier = F.array_min(F.array_intersect("looked", "held"))
+    return side("probe", "x", "looked").hint("merge").join(
+        side("found", "y", "held"),
+        (F.col("x_key") == F.col("y_key")) & (F.col("rx") != F.col("ry")) & may_link("x", "y", j.percent)
+        & (F.coalesce(earlier, F.col("x_key")) >= F.col("x_key")))
 
 
 def linked(docs: DataFrame, j: Join = Join(), name: str = "ngram") -> DataFrame:
@@ -438,31 +467,30 @@ def linked_rows(docs: DataFrame, j: Join, name: str, tie_ids: bool) -> DataFrame
     # each probe with one member of the key's index: no more candidates than probes
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     tied = live.where(F.col("probe") & (F.col("cls") != F.col("rep"))).select(F.col("cls").alias("x"), F.col("rep").alias("y"))
-    star = stored(tied.select(*pair).distinct().join(shaped(ids, "a"), "a").join(shaped(ids, "b"), "b")
-                  .where(may_link("a", "b", j.percent)).select("a", "b"), f"{name}-star-pairs")
+    star = stored(few(tied.select(*pair).distinct().join(shaped(ids, "a"), "a").join(shaped(ids, "b"), "b")
+                      .where(may_link("a", "b", j.percent)).select("a", "b")), f"{name}-star-pairs")
     first = stored(verified(star, docs, ids, j, name), f"{name}-star")
     # again with other members, under keys that are not yet in one component,
-    # before the members of different components are compared one by one
-    links, rest = first, live.select("key", "cls", "found", "probe")
+    # while that links many of them
+    links, newest, rest = first, first, live.select("key", "cls", "found", "probe")
     for again in range(1, STARS + 1):
         comp = components(links, f"{name}-components")
+        links = comp.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
         named = (rest.select("key", "cls", "found", "probe").join(comp, F.col("cls") == F.col("node"), "left")
                  .select("key", "cls", "found", "probe", F.coalesce("root", "cls").alias("root")))
         apart = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
         rest = stored(named.join(apart, "key", "left_semi"), f"{name}-rest")
-        if again == STARS:
+        if again == STARS or LINKING * newest.count() < rest.select("cls").distinct().count():
             break
         order = F.xxhash64("cls", F.lit(again))
         rep = rest.where("found").groupBy("key").agg(F.min_by("cls", order).alias("y"), F.min_by("root", order).alias("ry"))
         tied = rest.where("probe").join(rep, "key").where("root <> ry").select(F.col("cls").alias("x"), "y")
-        tied = stored(tied.select(*pair).distinct().join(shaped(ids, "a"), "a").join(shaped(ids, "b"), "b")
-                      .where(may_link("a", "b", j.percent)).select("a", "b"), f"{name}-star-pairs")
-        links = links.unionAll(stored(verified(tied, docs, ids, j, name), f"{name}-star"))
-
-    looks = rest.where("probe").select("key", F.col("cls").alias("x"), F.col("root").alias("rx")).join(shaped(ids, "x"), "x")
-    found = rest.where("found").select("key", F.col("cls").alias("y"), F.col("root").alias("ry")).join(shaped(ids, "y"), "y")
-    more = stored(looks.hint("merge").join(found, (looks["key"] == found["key"]) & (F.col("rx") != F.col("ry")) & may_link("x", "y", j.percent))
-                  .select(*pair).distinct().join(star, ["a", "b"], "left_anti"), f"{name}-pairs")
+        tied = stored(few(tied.select(*pair).distinct().join(shaped(ids, "a"), "a").join(shaped(ids, "b"), "b")
+                          .where(may_link("a", "b", j.percent)).select("a", "b")), f"{name}-star-pairs")
+        newest = stored(verified(tied, docs, ids, j, name), f"{name}-star")
+        links = links.unionAll(newest)
+
+    more = stored(few(pairs_apart(rest, ids, j, name).select(*pair).distinct().join(star, ["a", "b"], "left_anti")), f"{name}-pairs")
     second = stored(verified(more, docs, ids, j, name), f"{name}-more")
     links = links.unionAll(second)
     if tie_ids:
@@ -473,10 +501,10 @@ def linked_rows(docs: DataFrame, j: Join, name: str, tie_ids: bool) -> DataFrame
                                .select("a", F.col("cls").alias("b")).distinct())
     root = components(links, f"{name}-components")
 
-    placed = stored(ids.select("cls", "doc_id").join(root, F.col("cls") == F.col("node"), "left")
-                    .select("cls", "doc_id", F.coalesce("root", "cls").alias("root")), f"{name}-roots")
-    smallest = stored(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), f"{name}-smallest")
-    named = stored(placed.hint("merge").join(smallest, "root").select("cls", "component_id"), f"{name}-named")
+    placed = stored(few(ids.select("cls", "doc_id").join(root, F.col("cls") == F.col("node"), "left")
+                        .select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))), f"{name}-roots")
+    smallest = stored(few(placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))), f"{name}-smallest")
+    named = stored(few(placed.hint("merge").join(smallest, "root").select("cls", "component_id")), f"{name}-named")
     return (members.hint("merge").join(named, "cls", "left")
             .select("doc_id", "h", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
