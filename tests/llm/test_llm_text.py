@@ -6,6 +6,7 @@ import warnings
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from tidemark.llm import op5_packing as packing
 from tidemark.llm import op6_line_crf as crf
 from tidemark.llm import op8_html_text as html
 from tidemark.llm import op9_licenses as licenses
-from tidemark.llm.common import WORD_RE
+from tidemark.llm.common import BATCH_BYTES, WORD_RE
 from tidemark.llm.encode import Encoder, public_tokenizer
 
 CLEAN = "The quick brown fox jumps over the lazy dog, and nobody minds at all.\nA second line says something else entirely, in plain words."
@@ -304,6 +305,33 @@ def test_mixing_stage_keeps_every_document(spark, odd):
     assert out.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
 
 
+def test_mixing_stage_holds_one_worker_a_task(spark):
+    """The last pass finds posteriors and rates in one function."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = mix.stage(spark, docs, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_workers_get_a_few_mb_of_texts_at_a_time(spark):
+    key, row = "spark.sql.execution.arrow.maxBytesPerBatch", 4400
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), row // 11).alias("text"))
+
+    def rows(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [len(b)]})
+
+    spark.conf.unset(key)
+    packing.pieces(docs, public_tokenizer())
+    got = [r["n"] for r in docs.mapInPandas(rows, "n long").collect()]
+    assert sum(got) == 4000 and max(got) * row < 2 * BATCH_BYTES
+    try:  # a bound that the session has stays
+        spark.conf.set(key, "1m")
+        packing.pieces(docs, public_tokenizer())
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_rules_query_covers_every_document(spark):
     sf = "/root/testdata/sf0.001"
     assert rules.op3_line_rules(spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").agg(F.count("*")).first()[0]

@@ -37,6 +37,20 @@ def few(df: DataFrame) -> DataFrame:
     return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
+#: Bytes of rows that go to a Python worker at a time.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what goes to a Python worker at a time by its bytes, where the
+    session has no such bound of its own.  Spark's 10,000 rows are tens of MB of
+    texts, which each worker and its executor hold several times over; rows of
+    numbers still go 10,000 at a time.  The setting stays, as results are lazy."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

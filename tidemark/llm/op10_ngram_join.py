@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import few, fresh, stored, table
+from tidemark.llm.common import few, fresh, small_batches, stored, table
 from tidemark.llm.components import components
 
 _U = np.uint64
@@ -283,6 +283,7 @@ def rows_of(docs: DataFrame, j: Join) -> DataFrame:
                 yield pd.DataFrame({"key": key, "val": np.concatenate([np.array(own_vals, np.int64), *vals]),
                                     "body": np.array(bodies + [None] * (len(key) - len(bodies)), object)})
 
+    small_batches(docs.sparkSession)
     return docs.mapInPandas(run, "key long, val long, body binary")
 
 

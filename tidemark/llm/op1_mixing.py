@@ -24,7 +24,7 @@ keep their row; an empty table gives an empty result.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.common import crc32_of, stored, table
+from tidemark.llm.common import crc32_of, small_batches, stored, table
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -112,6 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, domains: list[str], sample_rows: i
             yield pd.DataFrame({"doc_id": b["doc_id"], "domain": b["domain"],
                                 "x": [text_features(t)[1].tobytes() for t in b["text"]]})
 
+    small_batches(docs.sparkSession)
     # a repeated document counts once, so the rows stay within the bound
     got = (rows.mapInPandas(feats, "doc_id long, domain string, x binary")
            .groupBy("doc_id").agg(F.min(F.struct("domain", "x")).alias("r")).collect())
@@ -122,10 +123,13 @@ def train(docs: DataFrame, labels: DataFrame, domains: list[str], sample_rows: i
     return fit_softmax(x, np.array([domains.index(r["r"]["domain"]) for r in got]), len(domains))
 
 
-def with_posteriors(docs: DataFrame, weights: np.ndarray | None, n_domains: int, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct ``__mix`` of n_tokens and the posterior."""
+def with_posteriors(docs: DataFrame, weights: np.ndarray | None, n_domains: int, text_col: str = "text",
+                    rate: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """``docs`` with a struct ``__mix`` of n_tokens and the posterior, and with
+    ``rate`` (of the posteriors of some rows) their rate.  One function, as each
+    that stands in a plan holds a worker of its own."""
 
-    @pandas_udf("n_tokens long, posterior array<double>")
+    @pandas_udf("n_tokens long, posterior array<double>" + (", rate double" if rate else ""))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             found = [text_features(t) for t in texts]
@@ -135,8 +139,10 @@ def with_posteriors(docs: DataFrame, weights: np.ndarray | None, n_domains: int,
                 x = np.vstack([f[1] for f in found])
                 p = np.round(softmax(np.column_stack([x, np.ones(len(x))]) @ weights), 6)
                 p /= p.sum(1, keepdims=True)
-            yield pd.DataFrame({"n_tokens": [f[0] for f in found], "posterior": list(p)})
+            out = pd.DataFrame({"n_tokens": [f[0] for f in found], "posterior": list(p)})
+            yield out.assign(rate=rate(p)) if rate else out
 
+    small_batches(docs.sparkSession)
     return docs.withColumn("__mix", run.asNondeterministic()(F.col(text_col)))
 
 
@@ -208,18 +214,26 @@ def solve(members: DataFrame, mix: Mix) -> tuple[list[np.ndarray], np.ndarray, n
     return history, reached, wanted
 
 
+def final_rates(p: np.ndarray, history: list[np.ndarray], mix: Mix) -> np.ndarray:
+    return np.round(replayed(p, history, mix.min_rate, mix.max_rate), 6)
+
+
 def rates(members: DataFrame, history: list[np.ndarray], mix: Mix) -> DataFrame:
-    """``members`` with its rate and its whole number of uses: the rate rounded
-    up or down by chance, where chance is a hash of the row's id and text."""
+    """``members`` with its rate and its whole number of uses."""
 
     @pandas_udf("double")
     def rate(posteriors: pd.Series) -> pd.Series:
         if not len(posteriors):
             return pd.Series([], dtype=float)
-        return pd.Series(np.round(replayed(np.vstack(posteriors.to_numpy()), history, mix.min_rate, mix.max_rate), 6))
+        return pd.Series(final_rates(np.vstack(posteriors.to_numpy()), history, mix))
+
+    return with_copies(members.withColumn("rate", rate.asNondeterministic()("posterior")), mix)
+
 
+def with_copies(out: DataFrame, mix: Mix) -> DataFrame:
+    """The whole number of uses: the rate rounded up or down by chance, where
+    chance is a hash of the row's id and text."""
     chance = F.pmod(F.xxhash64("doc_id", "digest", F.lit(mix.seed)), F.lit(1_000_003)) / 1_000_003
-    out = members.withColumn("rate", rate.asNondeterministic()("posterior"))
     return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("int"))
 
 
@@ -261,6 +275,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                      "posteriors")
     history, reached, wanted = solve(members, mix)
     residuals(reached, wanted, mix)
-    again = (scored.withColumn("digest", F.xxhash64("text")).withColumn("posterior", F.col("__mix.posterior")))
-    used = rates(again, history, mix)
+    again = with_posteriors(whole, weights, len(domains), rate=lambda p: final_rates(p, history, mix))
+    used = with_copies(again.select("*", F.xxhash64("text").alias("digest"), "__mix.rate"), mix)
     return used.withColumn("use", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import small_batches, stored, table
 from tidemark.llm.encode import encoder, public_tokenizer
 
 SEQUENCE = 2048
@@ -78,6 +78,7 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: in
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"])
             yield out.astype({"doc_id": "Int64"})
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
     return rows.mapInPandas(cut, f"{_PIECES}, row long")
 
