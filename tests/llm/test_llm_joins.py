@@ -154,6 +154,27 @@ def test_lines_of_nothing(spark):
     assert lines.deduplicated(d).count() == 0
 
 
+def test_lists_of_lines_are_shuffled_once(spark, monkeypatch):
+    """Lines that are not settled are joined with the lists they stand in: both
+    sides are the same rows, settled or not."""
+    plans, plain = [], lines.stored
+
+    def seen(df, name):
+        if name.endswith("-pairs"):
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(lines, "stored", seen)
+    docs = line_docs(np.random.default_rng(3), 60)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {}
+    for r in lines.removed_lines(lines.keyed(d)).collect():
+        got.setdefault(r["doc"], set()).add(r["at"])
+    assert got == brute_removed(docs)
+    assert len(plans) == 1 and "ReusedExchange" in plans[0]
+
+
 def test_line_dedup_is_native(spark):
     d = spark.createDataFrame([(1, A), (2, A + " more")], "doc_id long, text string")
     plan = lines.deduplicated(d)._jdf.queryExecution().toString()

@@ -32,6 +32,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,8 +86,8 @@ def cell(word, bits: int) -> Column:
 
 
 def rarity(docs: DataFrame, bits: int, name: str) -> DataFrame:
-    """The level of every cell, one byte each, as a stored table of one row
-    (``levels``); three levels double the count.  The table's size is fixed by
+    """The level of every cell, as a stored table of one row with an array of
+    bytes (``levels``); three levels double the count.  The table's size is fixed by
     ``bits``, whatever the corpus.  Any levels give the same pairs, so words are
     parted at spaces alone here."""
     word = docs.select(F.explode(F.split("text", " ", -1)).alias("w")).select(cell(F.xxhash64("w"), bits).alias("c"))
@@ -97,7 +99,9 @@ def rarity(docs: DataFrame, bits: int, name: str) -> DataFrame:
     for row in part.select("v").collect():
         for v in row["v"]:
             out[v >> 7] = v & 127
-    return stored(docs.sparkSession.createDataFrame([(out,)], "levels binary"), f"{name}-levels")
+    # of an array one item is read at a time, and of bytes all
+    row = pa.table({"levels": pa.array([np.frombuffer(out, np.int8)], pa.list_(pa.int8()))})
+    return stored(docs.sparkSession.createDataFrame(row), f"{name}-levels")
 
 
 def with_levels(df: DataFrame, levels: DataFrame) -> DataFrame:
@@ -111,7 +115,7 @@ def ordered_set(words, bits: int) -> Column:
     """The words as numbers, rarest first; needs the column ``levels``."""
 
     def number(w):
-        own = F.ascii(F.substring(F.col("levels"), cell(w, bits) + 1, F.lit(1)).cast("string")).cast("long")
+        own = F.get(F.col("levels"), cell(w, bits)).cast("long")
         return F.shiftleft(own, 56).bitwiseOR(F.shiftrightunsigned(w, 8))
 
     return F.sort_array(F.transform(words, number))
@@ -196,16 +200,23 @@ def removed_lines(docs: DataFrame, p: Lines = Lines(), name: str = "lines") -> D
                   f"{name}-star")
     settled = stored(later_of(star, classes, docs, levels, p, name), f"{name}-settled")
 
-    # lines not settled, with every line of the lists that may be similar
-    x = live.select(F.col("id").alias("x"), F.col("n").alias("nx"), F.col("k").alias("kx"), F.col("pos").alias("px"), "w")
-    y = live.join(settled, "id", "left_anti").select(F.col("id").alias("y"), F.col("n").alias("ny"), F.col("k").alias("ky"), F.col("pos").alias("py"), "w")
+    # lines not settled (open), with every line of the lists that may be similar;
+    # a bit table of fixed size tells most lines that are open from the others
+    hit = has_bit(bit_table(settled.select(F.col("id").alias("key")), 23, f"{name}-settled-bits"), F.col("id"), 23)
+    post = live.select("id", "n", "k", "pos", "w")
+    asked = post.where(hit).join(settled.withColumn("done", F.lit(True)), "id", "left")
+    post = (post.where(~hit).withColumn("open", F.lit(True))
+            .unionByName(asked.withColumn("open", F.col("done").isNull()).drop("done")))
+    # both sides are the same rows, which are shuffled once
+    x, y = (post.select(*(F.col(c).alias(f"{c}{s}") for c in ("id", "n", "k", "pos", "open")), "w") for s in "xy")
     # a shared word at these places leaves so many that can be common: itself,
     # those before it at most on the shorter side, and those after it
-    room = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
+    room = F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy"))
     more = stored(x.hint("merge").join(y, "w").where(
-        (F.col("x") != F.col("y")) & may_match(F.col("nx"), F.col("ny"), F.col("kx"), F.col("ky"), p.percent)
-        & (room + F.least("px", "py") >= least_common(F.col("nx"), F.col("ny"), p.percent)))
-        .select(*pair).distinct().join(star, ["a", "b"], "left_anti"), f"{name}-pairs")
+        (F.col("idx") < F.col("idy")) & (F.col("openx") | F.col("openy"))
+        & may_match(F.col("nx"), F.col("ny"), F.col("kx"), F.col("ky"), p.percent)
+        & (room + F.least("posx", "posy") >= least_common(F.col("nx"), F.col("ny"), p.percent)))
+        .select(F.col("idx").alias("a"), F.col("idy").alias("b")).distinct().join(star, ["a", "b"], "left_anti"), f"{name}-pairs")
     late = settled.unionAll(later_of(more, classes, docs, levels, p, name)).distinct().withColumn("late", F.lit(True))
 
     fate = stored(classes.select("id", F.col("last").alias("l0"), F.col("doc").alias("d0"), F.col("h").alias("h0"), F.col("at").alias("a0"), "lines")
