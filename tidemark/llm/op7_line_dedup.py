@@ -116,7 +116,9 @@ def ordered_set(words, bits: int) -> Column:
 
     def number(w):
         own = F.get(F.col("levels"), cell(w, bits)).cast("long")
-        return F.shiftleft(own, 56).bitwiseOR(F.shiftrightunsigned(w, 8))
+        # every cell has a level; where a number could be null, Spark would sort
+        # and pass on objects instead of plain numbers
+        return F.coalesce(F.shiftleft(own, 56).bitwiseOR(F.shiftrightunsigned(w, 8)), F.lit(0).cast("long"))
 
     return F.sort_array(F.transform(words, number))
 
